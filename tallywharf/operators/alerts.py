@@ -4,8 +4,8 @@ An account of a device qualifies in a window when it has a coupon event and no i
 ``min_accounts`` qualifying accounts raises an alert that lists those accounts, their items and their events.
 
 The work is split so that no step depends on how large one device or account is.  Raw events are first reduced to
-counts (``facts``, a map-side combinable aggregate); verdicts are again aggregates; lists are only built for alerts,
-in parts of limited length.
+counts, a map-side combinable aggregate; verdicts are aggregates of counts; lists are only built for alerts, in parts
+of limited length.
 """
 
 from math import gcd
@@ -22,9 +22,6 @@ SLIDE_SECONDS = 10
 MIN_ACCOUNTS = 3
 PART_ENTRIES = 10_000
 
-# From this many windows per event on, unsuspicious devices are sorted out before events are copied into windows.
-_SIEVE_FROM_OVERLAP = 8
-
 _FACT = ("mid", "uid", "evid", "itemid")
 
 
@@ -61,124 +58,135 @@ def stream_facts(logs, window_seconds=WINDOW_SECONDS, slide_seconds=SLIDE_SECOND
     )
 
 
-def batch_facts(logs, window_seconds=WINDOW_SECONDS, slide_seconds=None, offset_seconds=0,
-                min_accounts=MIN_ACCOUNTS, coupon=COUPON):
-    """The same counts for stored logs.
-
-    Events are counted once per pane (the largest tumbling window that tiles every sliding one) and only pane
-    counts are copied into the windows they belong to.  Windows start ``offset_seconds`` after multiples of the
-    slide since the epoch.
-    """
-    slide_seconds = slide_seconds or window_seconds
+def _panes(logs, window_seconds, slide_seconds, offset_seconds):
+    """Event counts per pane: the largest tumbling window of which every sliding one is made."""
     pane_seconds = gcd(window_seconds, slide_seconds)
-    panes = (
-        _instants(logs)
-        .groupBy(_window("at", pane_seconds, pane_seconds, offset_seconds % pane_seconds).alias("pane"), *_FACT)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    if slide_seconds == window_seconds:
-        return panes.select(*_bounds("pane"), *_FACT, "n")
-    if window_seconds >= _SIEVE_FROM_OVERLAP * slide_seconds:
-        panes = _sieve(panes, window_seconds, offset_seconds, min_accounts, coupon)
-    win = _window(F.col("pane.start"), window_seconds, slide_seconds, offset_seconds)
-    spread = panes.select(win.alias("win"), *_FACT, "n")
-    return spread.groupBy(*_bounds("win"), *_FACT).agg(F.sum("n").alias("n"))
+    pane = _window("at", pane_seconds, pane_seconds, offset_seconds % pane_seconds)
+    counts = _instants(logs).groupBy(pane.alias("pane"), *_FACT).agg(F.count(F.lit(1)).alias("n"))
+    return counts.select(F.col("pane.start").alias("pane_start"), F.col("pane.end").alias("pane_end"), *_FACT, "n")
 
 
-def _sieve(panes, window_seconds, offset_seconds, min_accounts, coupon):
-    """Drops panes of devices that cannot alert.
+def _qualifying(totals):
+    return totals.where((F.col("coupons") > 0) & (F.col("clicks") == 0))
 
-    Any window lies within two neighbouring buckets of its own length.  A device with at most ``min_accounts``
-    coupon accounts in such a pair cannot alert in it, so its panes need no copies.  This only saves work; the
-    verdict is still taken per window.
-    """
-    since = F.unix_seconds("pane.start") - F.lit(offset_seconds)
-    panes = panes.withColumn("bucket", F.call_function("div", since - F.pmod(since, F.lit(window_seconds)),
-                                                       F.lit(window_seconds)))
-    suspects = (
-        panes.where(F.col("evid") == coupon)
-        .select("mid", "uid", F.explode(F.array(F.col("bucket"), F.col("bucket") + 1)).alias("pair"))
-        .distinct()
-        .groupBy("mid", "pair").agg(F.count(F.lit(1)).alias("accounts"))
+
+def _totals(counts, keys, coupon, click):
+    def of(event):
+        return F.sum(F.when(F.col("evid") == event, F.col("n")).otherwise(0))
+
+    return counts.groupBy(*keys).agg(of(coupon).alias("coupons"), of(click).alias("clicks"), F.sum("n").alias("events"))
+
+
+_WINDOW = ("window_start", "window_end")
+_DEVICE = (*_WINDOW, "mid")
+
+
+def _guilty(accounts, min_accounts, part_entries):
+    """Qualifying accounts of alerting devices, with the number of parts their alert takes."""
+    devices = (
+        accounts.groupBy(*_DEVICE)
+        .agg(F.count(F.lit(1)).alias("accounts"), F.sum("events").alias("events"))
         .where(F.col("accounts") > min_accounts)
-        .select("mid", F.explode(F.array(F.col("pair") - 1, F.col("pair"))).alias("bucket"))
-        .distinct()
+        .select(*_DEVICE, F.ceil(F.col("events") / F.lit(part_entries)).cast("int").alias("parts"))
     )
-    return panes.join(suspects, ["mid", "bucket"], "left_semi").drop("bucket")
+    return accounts.select(*_DEVICE, "uid").join(devices, list(_DEVICE))
+
+
+def _same(left, right, columns):
+    """Equality on all columns; an unknown account is an account, so ``uid`` compares null-safe."""
+    on = F.col(f"{left}.uid").eqNullSafe(F.col(f"{right}.uid"))
+    for c in columns:
+        on = on & (F.col(f"{left}.{c}") == F.col(f"{right}.{c}"))
+    return on
 
 
-def coupon_alerts(facts, min_accounts=MIN_ACCOUNTS, coupon=COUPON, click=CLICK, part_entries=PART_ENTRIES,
+def window_alerts(facts, min_accounts=MIN_ACCOUNTS, coupon=COUPON, click=CLICK, part_entries=PART_ENTRIES,
                   zone=clock.SHOP_ZONE):
-    """Alert documents of all windows in ``facts``.
+    """Alert documents of all windows in ``facts``, counts per window (see ``stream_facts``).
 
     An alert is one document; one with more than ``part_entries`` events is spread over several ``part`` numbers
     that together hold exactly the same accounts, items and events, so no list grows without limit.
     """
-    window = ["window_start", "window_end"]
-    device = [*window, "mid"]
+    accounts = _qualifying(_totals(facts, (*_DEVICE, "uid"), coupon, click))
+    guilty = _guilty(accounts, min_accounts, part_entries)
+    evidence = facts.alias("f").join(guilty.alias("g"), _same("f", "g", _DEVICE)).select("f.*", "g.parts")
+    return _documents(evidence, part_entries, zone)
 
-    def of(event):
-        return F.sum(F.when(F.col("evid") == event, F.col("n")).otherwise(0))
 
-    accounts = (
-        facts.groupBy(*device, "uid")
-        .agg(of(coupon).alias("coupons"), of(click).alias("clicks"), F.sum("n").alias("events"))
-        .where((F.col("coupons") > 0) & (F.col("clicks") == 0))
-    )
-    devices = (
-        accounts.groupBy(*device)
-        .agg(F.count(F.lit(1)).alias("accounts"), F.sum("events").alias("events"))
-        .where(F.col("accounts") > min_accounts)
-        .select(*device, F.ceil(F.col("events") / F.lit(part_entries)).cast("int").alias("parts"))
+def batch_alerts(logs, window_seconds=WINDOW_SECONDS, slide_seconds=None, offset_seconds=0,
+                 min_accounts=MIN_ACCOUNTS, coupon=COUPON, click=CLICK, part_entries=PART_ENTRIES,
+                 zone=clock.SHOP_ZONE):
+    """Alert documents of stored logs; windows tumble unless a slide is given.
+
+    Windows start ``offset_seconds`` after multiples of the slide since the epoch.  With overlapping windows an
+    event is never copied into all of them.  Accounts are totalled per pane, their panes are brought together, and
+    only then copied into windows and totalled again without another shuffle.  Events are fetched for guilty
+    accounts alone.
+    """
+    slide_seconds = slide_seconds or window_seconds
+    panes = _panes(logs, window_seconds, slide_seconds, offset_seconds)
+    if slide_seconds == window_seconds:
+        facts = panes.withColumnsRenamed({"pane_start": "window_start", "pane_end": "window_end"})
+        return window_alerts(facts, min_accounts, coupon, click, part_entries, zone)
+
+    win = _window(F.col("pane_start"), window_seconds, slide_seconds, offset_seconds)
+    accounts = _qualifying(
+        _totals(panes, ("pane_start", "mid", "uid"), coupon, click)
+        # An account has at most one row per pane here, so even a hot one is small.
+        .repartition("mid", "uid")
+        .select(win.alias("win"), "mid", "uid", "coupons", "clicks", "events")
+        .groupBy(F.col("win.start").alias("window_start"), F.col("win.end").alias("window_end"), "mid", "uid")
+        .agg(*[F.sum(c).alias(c) for c in ("coupons", "clicks", "events")])
     )
-    guilty = accounts.select(*device, "uid").join(devices, device)
-    same_account = F.col("f.uid").eqNullSafe(F.col("g.uid"))
-    for c in device:
-        same_account = same_account & (F.col(f"f.{c}") == F.col(f"g.{c}"))
-    facts_of_guilty = facts.alias("f").join(guilty.alias("g"), same_account).select("f.*", "g.parts")
-
-    entries = facts_of_guilty.select(*device, "parts", F.explode(_entries(part_entries)).alias("e"))
-    documents = entries.groupBy(*device, "parts", F.col("e.part").alias("part")).agg(
-        F.sort_array(F.collect_set("e.uid")).alias("uids"),
-        F.sort_array(F.collect_set("e.itemid")).alias("itemIds"),
-        F.sort_array(F.flatten(F.collect_list(F.array_repeat("e.evid", F.col("e.copies"))))).alias("events"),
+    guilty = _guilty(accounts, min_accounts, part_entries)
+    pane_step = F.expr(f"INTERVAL {gcd(window_seconds, slide_seconds)} SECONDS")
+    inside = guilty.select(
+        "*", F.explode(F.sequence(F.col("window_start"), F.col("window_end") - pane_step, pane_step)).alias("pane_start")
     )
-    minute = clock.minute_text(clock.local_time(F.unix_seconds("window_end"), zone))
-    return documents.select(
-        F.concat_ws(" ", "mid", minute).alias("doc_id"), "mid", minute.alias("minute"), "part", "uids", "itemIds",
-        "events", F.unix_millis("window_end").alias("ts"),
+    evidence = (
+        panes.alias("f").join(inside.alias("g"), _same("f", "g", ("pane_start", "mid")))
+        .select(*[f"g.{c}" for c in _WINDOW], *[f"f.{c}" for c in _FACT], "f.n", "g.parts")
     )
+    return _documents(evidence, part_entries, zone)
 
 
-def _entries(part_entries):
-    """What one count contributes: its account, its item, and its events in chunks of limited size."""
+def _documents(evidence, part_entries, zone):
+    """Lists the evidence of each alert, each entry in the part its value hashes to.
 
-    def entry(part, uid=None, itemid=None, evid=None, copies=0):
-        text = F.lit(None).cast("string")
-        return F.struct(
-            part.cast("int").alias("part"),
-            (text if uid is None else uid).alias("uid"),
-            (text if itemid is None else itemid).alias("itemid"),
-            (text if evid is None else evid).alias("evid"),
-            (F.lit(copies) if isinstance(copies, int) else copies).cast("int").alias("copies"),
-        )
+    An alert of one part lists everything in one row per count.  Otherwise a count contributes its account, its item
+    and its events separately, and events beyond the limit in chunks.
+    """
+    limit = F.lit(part_entries)
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("n") / limit) - 1)
+    whole, account, item, event = 0, 1, 2, 3
+    kinds = F.when(F.col("parts") == 1, F.array(F.lit(whole))).otherwise(
+        F.array(*[F.lit(k) for k in (account, item, event)])
+    )
+    rows = evidence.select("*", F.explode(chunks).alias("chunk")).select("*", F.explode(kinds).alias("kind"))
 
     def place(*values):
         return F.pmod(F.xxhash64(*values), F.col("parts"))
 
-    limit = F.lit(part_entries)
-    chunks = F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / limit) - 1)
-    home = F.xxhash64("uid", "itemid", "evid")
-    events = F.transform(
-        chunks,
-        lambda c: entry(
-            F.pmod(F.pmod(home, F.col("parts")) + c, F.col("parts")),
-            evid=F.col("evid"),
-            copies=F.least(limit.cast("long"), F.col("n") - c * limit),
-        ),
+    part = (
+        F.when(F.col("kind") == whole, 0)
+        .when(F.col("kind") == account, place("uid"))
+        .when(F.col("kind") == item, place("itemid"))
+        .otherwise(F.pmod(place("uid", "itemid", "evid") + F.col("chunk"), F.col("parts")))
     )
-    return F.concat(
-        F.array(entry(place("uid"), uid=F.col("uid")), entry(place("itemid"), itemid=F.col("itemid"))), events
+
+    def listed(kind, value):
+        return F.when(F.col("kind").isin(whole, kind), value)
+
+    copies = F.least(limit.cast("bigint"), F.col("n") - F.col("chunk") * limit).cast("int")
+    documents = rows.groupBy(*_DEVICE, part.cast("int").alias("part")).agg(
+        F.sort_array(F.collect_set(listed(account, F.col("uid")))).alias("uids"),
+        F.sort_array(F.collect_set(listed(item, F.col("itemid")))).alias("itemIds"),
+        F.sort_array(F.flatten(F.collect_list(listed(event, F.array_repeat("evid", copies))))).alias("events"),
+    )
+    minute = clock.minute_text(clock.local_time(F.unix_seconds("window_end"), zone))
+    return documents.select(
+        F.concat_ws(" ", "mid", minute).alias("doc_id"), "mid", minute.alias("minute"), "part", "uids", "itemIds",
+        "events", F.unix_millis("window_end").alias("ts"),
     )
 
 

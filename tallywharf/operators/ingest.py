@@ -18,16 +18,19 @@ def stamp(lines, arrived):
     """Adds the arrival second to each raw log line as ``ts``, replacing one sent by the client.
 
     Lines are objects of any shape, so they are opened one level only and every value keeps its JSON type.  A line
-    that is not an object has a NULL ``value`` and its text in ``raw``.
+    that is not an object is not ``usable``; its text stays in ``raw``.
     """
-    entries = F.from_json("value", "map<string,variant>")
-    others = F.map_filter(entries, lambda k, _: k != "ts")
-    second = F.create_map(F.lit("ts"), F.unix_seconds(arrived).cast("variant"))
+    opened = F.from_json("value", "map<string,variant>")
+    # Passing through a one-element explode keeps later filters from parsing the line again.
+    lines = lines.select("value", arrived.alias("arrived"), F.explode(F.array(opened)).alias("entries"))
+    others = F.map_filter("entries", lambda k, _: k != "ts")
+    second = F.create_map(F.lit("ts"), F.unix_seconds("arrived").cast("variant"))
     return lines.select(
         F.col("value").alias("raw"),
         F.to_json(F.map_concat(others, second), {"ignoreNullFields": "false"}).alias("value"),
-        F.try_variant_get(F.try_element_at(entries, F.lit("type")), "$", "string").alias("type"),
-        arrived.alias("arrived"),
+        F.try_variant_get(F.try_element_at("entries", F.lit("type")), "$", "string").alias("type"),
+        "arrived",
+        F.col("entries").isNotNull().alias("usable"),
     )
 
 
@@ -37,7 +40,7 @@ def log_topic(kind):
 
 
 def route_logs(stamped):
-    return stamped.where(F.col("value").isNotNull()).select(
+    return stamped.where("usable").select(
         log_topic(F.col("type")).alias("topic"), "value", "arrived"
     )
 

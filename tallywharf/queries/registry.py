@@ -243,8 +243,7 @@ def _flat(documents):
 
 def _alerts(spark, sf_dir, window, slide=None, offset=0):
     logs = t.shared_device_logs(t.read(spark, sf_dir, "events"))
-    facts = alerts.batch_facts(logs, window, slide, offset, coupon=RULE["coupon"])
-    return _flat(alerts.coupon_alerts(facts, **RULE))
+    return _flat(alerts.batch_alerts(logs, window, slide, offset, **RULE))
 
 
 @query
@@ -292,7 +291,7 @@ def stream_dau(spark, sf_dir):
     schema = "log_date date, mid bigint, ts timestamp_ntz, event_id bigint, event_type string, value double"
     order = ("ts", "event_id")
     loaded = devices.first_per_day(_logs(spark, sf_dir, last=DAY), order)
-    keyed.write_batch(loaded, f"{work}/table", keyed.BACKFILL, ("log_date",))
+    keyed.write_settled(loaded, f"{work}/table", "log_date")
     logs = t.device_logs(t.stream(spark, sf_dir, "events"))
     _finish(jobs.dau(logs, f"{work}/table", f"{work}/checkpoint", schema, order, interval=None))
     return t.with_hour(keyed.read_batches(spark, f"{work}/table", schema)).select(

@@ -1,7 +1,10 @@
 """Tables with a key, kept as plain parquet.
 
-A micro-batch overwrites its own ``batch_id=<n>`` folder, so a repeated batch changes nothing, and readers keep one
-row per key.  Where a table format with MERGE is available, that replaces this convention.
+``<table>/recent/batch_id=<n>/`` holds what one micro-batch wrote; running the batch again overwrites its own folder,
+so a repeated batch changes nothing.  ``<table>/settled/`` holds bulk-loaded or folded rows in one folder per day.
+Readers see both and keep one row per key.  Micro-batches get no day folders: one that spans many days would shatter
+into small files.  Their rows are sorted by day instead, and a day filter skips by the statistics in the files.
+Where a table format with MERGE is available, that replaces this convention.
 """
 
 from pyspark.errors import AnalysisException
@@ -9,30 +12,55 @@ from pyspark.sql import functions as F
 
 from ..operators.newest import latest_by_key, newest_version_rows
 
-# Rows loaded from elsewhere before the stream started.
-BACKFILL = -1
+SETTLED = -1
 
 
-def write_batch(rows, table, batch_id, partition_by=()):
-    """Stores one batch; a null ``doc_id`` gets a generated one."""
-    if "doc_id" in rows.columns:
-        rows = rows.withColumn("doc_id", F.coalesce("doc_id", F.uuid()))
-    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{table}/batch_id={batch_id}")
+def _identified(rows):
+    """A null ``doc_id`` gets a generated one."""
+    return rows.withColumn("doc_id", F.coalesce("doc_id", F.uuid())) if "doc_id" in rows.columns else rows
+
+
+def write_batch(rows, table, batch_id, day=None):
+    rows = _identified(rows)
+    if day is not None:
+        rows = rows.sortWithinPartitions(day)
+    rows.write.mode("overwrite").parquet(f"{table}/recent/batch_id={batch_id}")
+
+
+def write_settled(rows, table, day=None):
+    """Stores a table's starting rows, by day if ``day`` names a column.
+
+    Rows are gathered by day first, so a day gets few files instead of one per task; adaptive execution splits a day
+    that is too large for one task.  To fold a table, write its current rows as the settled rows of a fresh one and
+    let the stream go on there.
+    """
+    rows = _identified(rows)
+    if day is None:
+        rows.write.mode("overwrite").parquet(f"{table}/settled")
+    else:
+        rows.hint("rebalance", day).write.mode("overwrite").partitionBy(day).parquet(f"{table}/settled")
 
 
 def read_batches(spark, table, schema, before=None):
-    """All stored rows with their ``batch_id``; only batches below ``before`` when given; empty if nothing is stored.
+    """All stored rows with their ``batch_id``; only batches below ``before`` when given; none if nothing is stored.
 
     A batch must not see its own rows when it is run again, hence ``before``.
     """
-    layout = f"{schema if isinstance(schema, str) else _ddl(schema)}, batch_id bigint"
+    layout = schema if isinstance(schema, str) else _ddl(schema)
+    recent = _read(spark, f"{table}/recent", f"{layout}, batch_id bigint")
+    if before is not None:
+        recent = recent.where(F.col("batch_id") < before)
+    settled = _read(spark, f"{table}/settled", layout).withColumn("batch_id", F.lit(SETTLED).cast("bigint"))
+    return recent.unionByName(settled)
+
+
+def _read(spark, path, layout):
     try:
-        rows = spark.read.schema(layout).parquet(table)
+        return spark.read.schema(layout).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], layout)
-    return rows if before is None else rows.where(F.col("batch_id") < before)
 
 
 def _ddl(schema):
@@ -47,13 +75,4 @@ def current(rows, keys, version=()):
 def current_documents(rows, keys, version):
     """All parts of the newest version of each document."""
     newest = newest_version_rows(rows, list(keys), version)
-    parts = [c for c in newest.columns if c in ("part",)]
-    return latest_by_key(newest, [*keys, *parts], ["batch_id"]).drop("batch_id")
-
-
-def fold(rows, target, partition_by=()):
-    """Writes the current rows of a table as the backfill of a fresh table, to shed old versions and small files.
-
-    The stream then goes on with the fresh table; its batch numbers continue above the backfill.
-    """
-    write_batch(rows, target, BACKFILL, partition_by)
+    return latest_by_key(newest, [*keys, "part"], ["batch_id"]).drop("batch_id")

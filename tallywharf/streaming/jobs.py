@@ -66,11 +66,10 @@ def route_logs(lines, root, checkpoint, archive=None, quarantine=None, zone=cloc
     def sink(batch, batch_id):
         with _Held(ingest.stamp(batch, F.col("arrived"))) as stamped:
             topics.write_topics(ingest.route_logs(stamped), root, batch_id)
-            good = stamped.where(F.col("value").isNotNull())
             if archive is not None:
-                topics.write_day_files(good, archive, batch_id, zone)
+                topics.write_day_files(stamped.where("usable"), archive, batch_id, zone)
             if quarantine is not None:
-                bad = stamped.where(F.col("value").isNull()).select(F.col("raw").alias("value"), "arrived")
+                bad = stamped.where(~F.col("usable")).select(F.col("raw").alias("value"), "arrived")
                 keyed.write_batch(bad, quarantine, batch_id)
 
     return _start(lines, "route_logs", sink, checkpoint, interval)
@@ -105,7 +104,7 @@ def dau_sink(table, schema=DAU_ROW, order_by=("ts",)):
             stored = keyed.read_batches(spark, table, schema, before=batch_id)
             stored = stored.where(F.col("log_date").between(span.a, span.b))
             seen = devices.seen_among(firsts, stored, broadcast_keys=span.n <= BROADCAST_KEYS)
-            keyed.write_batch(devices.unseen(firsts, seen), table, batch_id, ("log_date",))
+            keyed.write_batch(devices.unseen(firsts, seen), table, batch_id, "log_date")
 
     return sink
 
@@ -137,7 +136,7 @@ def orders(messages, table, checkpoint, quarantine=None, interval=INTERVAL):
         with _Held(decode.orders(batch)) as decoded:
             _set_aside(decoded, quarantine, batch_id)
             latest = latest_by_key(decode.accepted(decoded, keep=("arrived",)), ["id"], ["arrived"])
-            keyed.write_batch(latest, table, batch_id, ("create_date",))
+            keyed.write_batch(latest, table, batch_id, "create_date")
 
     return _start(messages, "orders", sink, checkpoint, interval)
 
@@ -187,7 +186,7 @@ def sale_details(order_rows, detail_rows, table, checkpoint, users, as_of, laten
     def sink(batch, batch_id):
         documents = sales.enrich(batch, users(), as_of())
         latest = latest_by_key(documents, ["order_detail_id"], ["arrived"])
-        keyed.write_batch(latest, table, batch_id, ("dt",))
+        keyed.write_batch(latest, table, batch_id, "dt")
 
     return _start(pairs, "sale_details", sink, checkpoint, interval)
 
@@ -206,7 +205,7 @@ def coupon_alerts(logs, table, checkpoint, window_seconds=coupon.WINDOW_SECONDS,
 
     def sink(batch, batch_id):
         with _Held(batch) as facts_of_closed_windows:
-            found = coupon.one_per_minute(coupon.coupon_alerts(facts_of_closed_windows, **rule))
+            found = coupon.one_per_minute(coupon.window_alerts(facts_of_closed_windows, **rule))
             keyed.write_batch(found, table, batch_id)
 
     return _start(facts, "coupon_alerts", sink, checkpoint, interval)
