@@ -25,23 +25,6 @@ PART_ENTRIES = 10_000
 _FACT = ("mid", "uid", "evid", "itemid")
 
 
-def _seconds(n):
-    return f"{n} seconds"
-
-
-def _instants(logs):
-    """Logs of known devices with the instant they happened, narrowed to what alerts need."""
-    return logs.where(F.col("mid").isNotNull()).select(*_FACT, F.timestamp_seconds("ts").alias("at"))
-
-
-def _window(at, seconds, slide, offset):
-    return F.window(at, _seconds(seconds), _seconds(slide), _seconds(offset))
-
-
-def _bounds(win):
-    return [F.col(f"{win}.start").alias("window_start"), F.col(f"{win}.end").alias("window_end")]
-
-
 def stream_facts(logs, window_seconds=WINDOW_SECONDS, slide_seconds=SLIDE_SECONDS, offset_seconds=0,
                  delay="1 minute"):
     """Event counts per window, device, account, event and item, as one stateful aggregation.
@@ -49,25 +32,33 @@ def stream_facts(logs, window_seconds=WINDOW_SECONDS, slide_seconds=SLIDE_SECOND
     In append mode all counts of a window come out together once the watermark passes its end, so every batch of the
     sink holds whole windows.
     """
+    seconds = (f"{n} seconds" for n in (window_seconds, slide_seconds, offset_seconds))
     return (
-        _instants(logs)
+        logs.where(F.col("mid").isNotNull())
+        .select(*_FACT, F.timestamp_seconds("ts").alias("at"))
         .withWatermark("at", delay)
-        .groupBy(_window("at", window_seconds, slide_seconds, offset_seconds).alias("win"), *_FACT)
+        .groupBy(F.window("at", *seconds).alias("win"), *_FACT)
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(*_bounds("win"), *_FACT, "n")
+        .select(F.unix_seconds("win.end").alias("window_end"), *_FACT, "n")
     )
 
 
-def _panes(logs, window_seconds, slide_seconds, offset_seconds):
-    """Event counts per pane: the largest tumbling window of which every sliding one is made."""
-    pane_seconds = gcd(window_seconds, slide_seconds)
-    pane = _window("at", pane_seconds, pane_seconds, offset_seconds % pane_seconds)
-    counts = _instants(logs).groupBy(pane.alias("pane"), *_FACT).agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(F.col("pane.start").alias("pane_start"), F.col("pane.end").alias("pane_end"), *_FACT, "n")
+def _floor(seconds, step, offset):
+    """The last multiple of ``step``, counted from ``offset``, that is not after ``seconds``."""
+    return seconds - F.pmod(seconds - F.lit(offset), F.lit(step))
+
 
+def _panes(logs, pane_seconds, offset_seconds):
+    pane = _floor(F.col("ts"), pane_seconds, offset_seconds)
+    known = logs.where(F.col("mid").isNotNull() & F.col("ts").isNotNull())
+    return known.groupBy(pane.alias("pane_start"), *_FACT).agg(F.count(F.lit(1)).alias("n"))
 
-def _qualifying(totals):
-    return totals.where((F.col("coupons") > 0) & (F.col("clicks") == 0))
+
+def _window_ends(pane_start, window, slide, offset):
+    """The ends of all windows that contain a pane."""
+    last = _floor(pane_start, slide, offset)
+    earliest = _floor(pane_start - F.lit(window) + F.lit(slide), slide, offset)
+    return F.sequence(earliest + F.lit(window), last + F.lit(window), F.lit(slide).cast("bigint"))
 
 
 def _totals(counts, keys, coupon, click):
@@ -77,27 +68,32 @@ def _totals(counts, keys, coupon, click):
     return counts.groupBy(*keys).agg(of(coupon).alias("coupons"), of(click).alias("clicks"), F.sum("n").alias("events"))
 
 
-_WINDOW = ("window_start", "window_end")
-_DEVICE = (*_WINDOW, "mid")
-
-
-def _guilty(accounts, min_accounts, part_entries):
+def _guilty(totals, min_accounts, part_entries):
     """Qualifying accounts of alerting devices, with the number of parts their alert takes."""
+    accounts = totals.where((F.col("coupons") > 0) & (F.col("clicks") == 0)).select("window_end", "mid", "uid", "events")
+    # Both uses below start from this shuffle and need all its columns, so Spark makes it, and the totals behind it,
+    # only once.
+    accounts = accounts.repartition("window_end", "mid", "uid")
     devices = (
-        accounts.groupBy(*_DEVICE)
+        accounts.groupBy("window_end", "mid")
         .agg(F.count(F.lit(1)).alias("accounts"), F.sum("events").alias("events"))
         .where(F.col("accounts") > min_accounts)
-        .select(*_DEVICE, F.ceil(F.col("events") / F.lit(part_entries)).cast("int").alias("parts"))
+        .select("window_end", "mid", F.ceil(F.col("events") / F.lit(part_entries)).cast("int").alias("parts"))
     )
-    return accounts.select(*_DEVICE, "uid").join(devices, list(_DEVICE))
-
-
-def _same(left, right, columns):
-    """Equality on all columns; an unknown account is an account, so ``uid`` compares null-safe."""
-    on = F.col(f"{left}.uid").eqNullSafe(F.col(f"{right}.uid"))
-    for c in columns:
-        on = on & (F.col(f"{left}.{c}") == F.col(f"{right}.{c}"))
-    return on
+    return accounts.join(devices, ["window_end", "mid"])
+
+
+def _evidence(counts, guilty, time):
+    """The counts of guilty accounts; an unknown account is an account, so ``uid`` compares null-safe."""
+    f, g = counts.alias("f"), guilty.alias("g")
+    same = (
+        F.col("f.uid").eqNullSafe(F.col("g.uid"))
+        & (F.col("f.mid") == F.col("g.mid"))
+        & (F.col(f"f.{time}") == F.col(f"g.{time}"))
+        # Always so; keeps ``events`` in use (see ``_guilty``).
+        & (F.col("f.n") <= F.col("g.events"))
+    )
+    return f.join(g, same).select("g.window_end", "g.parts", *[f"f.{c}" for c in _FACT], "f.n")
 
 
 def window_alerts(facts, min_accounts=MIN_ACCOUNTS, coupon=COUPON, click=CLICK, part_entries=PART_ENTRIES,
@@ -107,10 +103,9 @@ def window_alerts(facts, min_accounts=MIN_ACCOUNTS, coupon=COUPON, click=CLICK,
     An alert is one document; one with more than ``part_entries`` events is spread over several ``part`` numbers
     that together hold exactly the same accounts, items and events, so no list grows without limit.
     """
-    accounts = _qualifying(_totals(facts, (*_DEVICE, "uid"), coupon, click))
-    guilty = _guilty(accounts, min_accounts, part_entries)
-    evidence = facts.alias("f").join(guilty.alias("g"), _same("f", "g", _DEVICE)).select("f.*", "g.parts")
-    return _documents(evidence, part_entries, zone)
+    totals = _totals(facts, ("window_end", "mid", "uid"), coupon, click)
+    guilty = _guilty(totals, min_accounts, part_entries)
+    return _documents(_evidence(facts, guilty, "window_end"), part_entries, zone)
 
 
 def batch_alerts(logs, window_seconds=WINDOW_SECONDS, slide_seconds=None, offset_seconds=0,
@@ -118,36 +113,32 @@ def batch_alerts(logs, window_seconds=WINDOW_SECONDS, slide_seconds=None, offset
                  zone=clock.SHOP_ZONE):
     """Alert documents of stored logs; windows tumble unless a slide is given.
 
-    Windows start ``offset_seconds`` after multiples of the slide since the epoch.  With overlapping windows an
-    event is never copied into all of them.  Accounts are totalled per pane, their panes are brought together, and
-    only then copied into windows and totalled again without another shuffle.  Events are fetched for guilty
-    accounts alone.
+    Windows start ``offset_seconds`` after multiples of the slide since the epoch.  Events are counted per pane, the
+    largest tumbling window of which every sliding one is made, and never copied into all their windows: accounts
+    are totalled per pane, their panes are brought together, and only then copied into windows and totalled again
+    without another shuffle.  Events are fetched for guilty accounts alone.
     """
     slide_seconds = slide_seconds or window_seconds
-    panes = _panes(logs, window_seconds, slide_seconds, offset_seconds)
+    pane_seconds = gcd(window_seconds, slide_seconds)
+    panes = _panes(logs, pane_seconds, offset_seconds)
     if slide_seconds == window_seconds:
-        facts = panes.withColumnsRenamed({"pane_start": "window_start", "pane_end": "window_end"})
+        facts = panes.select((F.col("pane_start") + window_seconds).alias("window_end"), *_FACT, "n")
         return window_alerts(facts, min_accounts, coupon, click, part_entries, zone)
 
-    win = _window(F.col("pane_start"), window_seconds, slide_seconds, offset_seconds)
-    accounts = _qualifying(
+    ends = _window_ends(F.col("pane_start"), window_seconds, slide_seconds, offset_seconds)
+    sums = ("coupons", "clicks", "events")
+    totals = (
         _totals(panes, ("pane_start", "mid", "uid"), coupon, click)
         # An account has at most one row per pane here, so even a hot one is small.
         .repartition("mid", "uid")
-        .select(win.alias("win"), "mid", "uid", "coupons", "clicks", "events")
-        .groupBy(F.col("win.start").alias("window_start"), F.col("win.end").alias("window_end"), "mid", "uid")
-        .agg(*[F.sum(c).alias(c) for c in ("coupons", "clicks", "events")])
-    )
-    guilty = _guilty(accounts, min_accounts, part_entries)
-    pane_step = F.expr(f"INTERVAL {gcd(window_seconds, slide_seconds)} SECONDS")
-    inside = guilty.select(
-        "*", F.explode(F.sequence(F.col("window_start"), F.col("window_end") - pane_step, pane_step)).alias("pane_start")
-    )
-    evidence = (
-        panes.alias("f").join(inside.alias("g"), _same("f", "g", ("pane_start", "mid")))
-        .select(*[f"g.{c}" for c in _WINDOW], *[f"f.{c}" for c in _FACT], "f.n", "g.parts")
+        .select(F.explode(ends).alias("window_end"), "mid", "uid", *sums)
+        .groupBy("window_end", "mid", "uid").agg(*[F.sum(c).alias(c) for c in sums])
     )
-    return _documents(evidence, part_entries, zone)
+    guilty = _guilty(totals, min_accounts, part_entries)
+    end = F.col("window_end")
+    inside = F.sequence(end - window_seconds, end - pane_seconds, F.lit(pane_seconds).cast("bigint"))
+    places = guilty.select("*", F.explode(inside).alias("pane_start"))
+    return _documents(_evidence(panes, places, "pane_start"), part_entries, zone)
 
 
 def _documents(evidence, part_entries, zone):
@@ -178,15 +169,15 @@ def _documents(evidence, part_entries, zone):
         return F.when(F.col("kind").isin(whole, kind), value)
 
     copies = F.least(limit.cast("bigint"), F.col("n") - F.col("chunk") * limit).cast("int")
-    documents = rows.groupBy(*_DEVICE, part.cast("int").alias("part")).agg(
+    documents = rows.groupBy("window_end", "mid", part.cast("int").alias("part")).agg(
         F.sort_array(F.collect_set(listed(account, F.col("uid")))).alias("uids"),
         F.sort_array(F.collect_set(listed(item, F.col("itemid")))).alias("itemIds"),
         F.sort_array(F.flatten(F.collect_list(listed(event, F.array_repeat("evid", copies))))).alias("events"),
     )
-    minute = clock.minute_text(clock.local_time(F.unix_seconds("window_end"), zone))
+    minute = clock.minute_text(clock.local_time("window_end", zone))
     return documents.select(
         F.concat_ws(" ", "mid", minute).alias("doc_id"), "mid", minute.alias("minute"), "part", "uids", "itemIds",
-        "events", F.unix_millis("window_end").alias("ts"),
+        "events", (F.col("window_end") * 1000).alias("ts"),
     )
 
 

@@ -1,5 +1,6 @@
 """Keyword search over sale documents, paging, and bucket counts of the matches."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import shares, text
@@ -17,18 +18,37 @@ def page(hits, number, size):
     return ranked.offset((number - 1) * size).limit(size).withColumn("es_metadata_id", F.col("order_detail_id"))
 
 
-def audience(hits):
-    """Hits counted by gender and age: all that totals and shares need, in one pass over the hits."""
-    return hits.groupBy("user_gender", "user_age").agg(F.count(F.lit(1)).alias("n"))
+# How many of the most frequent terms are counted.
+TOP_GENDERS, TOP_AGES = 10, 150
 
+_ALL, _GENDER, _AGE = "all", "gender", "age"
 
-def top_terms(counted, column, k):
-    """The ``k`` most frequent known values of ``column`` with their counts."""
-    return (
-        counted.where(F.col(column).isNotNull())
-        .groupBy(column).agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), F.asc(column)).limit(k)
+
+def terms(hits):
+    """(kind, gender, age, n): the total, the most frequent genders and the most frequent ages of the hits.
+
+    One pass: hits are reduced to gender × age counts, and those few rows are counted again in the three ways.  An
+    unknown value is in the total only.  Equally frequent terms rank in their own order.
+    """
+    counts = hits.groupBy("user_gender", "user_age").agg(F.count(F.lit(1)).alias("n"))
+
+    def way(kind, gender=None, age=None):
+        none = F.lit(None)
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            (none if gender is None else F.col(gender)).cast("string").alias("gender"),
+            (none if age is None else F.col(age)).cast("int").alias("age"),
+        )
+
+    ways = F.array(way(_ALL), way(_GENDER, gender="user_gender"), way(_AGE, age="user_age"))
+    counted = (
+        counts.select(F.explode(ways).alias("t"), "n")
+        .groupBy("t.kind", "t.gender", "t.age").agg(F.sum("n").alias("n"))
+        .where((F.col("kind") == _ALL) | F.col("gender").isNotNull() | F.col("age").isNotNull())
     )
+    rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("n"), "gender", "age"))
+    size = F.when(F.col("kind") == _GENDER, TOP_GENDERS).when(F.col("kind") == _AGE, TOP_AGES).otherwise(1)
+    return counted.withColumn("rank", rank).where(F.col("rank") <= size).drop("rank")
 
 
 def _options(pairs):
@@ -37,39 +57,37 @@ def _options(pairs):
     ])
 
 
-def gender_options(counted):
-    """One row: male and female shares as an array of (name, value)."""
-    band = shares.gender_band(F.col("user_gender"))
-    totals = top_terms(counted, "user_gender", 10).agg(
-        F.coalesce(F.sum(F.when(band == shares.MALE, F.col("n"))), F.lit(0)).alias("male"),
-        F.sum("n").alias("known"),
+def summary(hits):
+    """One row: total, and the shares of age bands and genders as arrays of (name, value).
+
+    The middle age band is what the other two leave; shares of no hits are NULL.
+    """
+    ages, genders = shares.age_band(F.col("age")), shares.gender_band(F.col("gender"))
+
+    def count(condition):
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+    counts = terms(hits).agg(
+        count(F.col("kind") == _ALL).alias("total"),
+        count(ages == shares.UNDER_20).alias("young"),
+        count(ages == shares.FROM_30).alias("old"),
+        count(ages.isNotNull()).alias("aged"),
+        count(genders == shares.MALE).alias("men"),
+        count(genders.isNotNull()).alias("gendered"),
     )
-    male = shares.percent(F.col("male"), F.col("known"))
-    raw = F.lit(100.0) - F.try_divide(F.col("male") * F.lit(100.0), F.col("known"))
-    return totals.select(
-        _options([(shares.MALE, male), (shares.FEMALE, F.bround(raw, 2))]).alias("options")
+    young, old = (shares.percent(F.col(c), F.col("aged")) for c in ("young", "old"))
+    men = F.try_divide(F.col("men") * F.lit(100.0), F.col("gendered"))
+    return counts.select(
+        "total",
+        _options([
+            (shares.UNDER_20, young), (shares.FROM_20_TO_29, shares.remainder(young, old)), (shares.FROM_30, old),
+        ]).alias("ages"),
+        _options([
+            (shares.MALE, shares.percent(F.col("men"), F.col("gendered"))), (shares.FEMALE, shares.remainder(men)),
+        ]).alias("genders"),
     )
 
 
-def age_options(counted):
-    """One row: shares of the three age bands; the middle one is what the other two leave."""
-    band = shares.age_band(F.col("user_age"))
-    totals = top_terms(counted, "user_age", 150).agg(
-        *[
-            F.coalesce(F.sum(F.when(band == label, F.col("n"))), F.lit(0)).alias(name)
-            for name, label in (("young", shares.UNDER_20), ("old", shares.FROM_30))
-        ],
-        F.sum("n").alias("known"),
-    )
-    young = shares.percent(F.col("young"), F.col("known"))
-    old = shares.percent(F.col("old"), F.col("known"))
-    return totals.select(_options([
-        (shares.UNDER_20, young),
-        (shares.FROM_20_TO_29, shares.remainder(young, old)),
-        (shares.FROM_30, old),
-    ]).alias("options"))
-
-
-def option_rows(options):
-    """(name, value) rows of an options array."""
-    return options.select(F.explode("options").alias("o")).select("o.name", "o.value")
+def option_rows(summary_row, options):
+    """(name, value) rows of one of the share arrays."""
+    return summary_row.select(F.explode(options).alias("o")).select("o.name", "o.value")

@@ -34,15 +34,17 @@ def _device_days(dau, day):
     """
     return (
         dau.where(F.col("log_date") <= day)
+        # As dates the two extremes fit into a hash aggregation; as text they would need a sort.
+        .select("mid", F.to_date("log_date").alias("day"))
         .groupBy("mid")
-        .agg(F.min("log_date").alias("first_day"), F.max("log_date").alias("last_day"))
-        .where(F.col("last_day") == day)
+        .agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+        .where(F.col("last_day") == F.lit(day).cast("date"))
     )
 
 
 def _is_new(day):
     # An unknown device is never recognised, so it is new on every day it shows up.
-    return F.col("mid").isNull() | (F.col("first_day") == day)
+    return F.col("mid").isNull() | (F.col("first_day") == F.lit(day).cast("date"))
 
 
 def new_device_count(dau, day):
@@ -118,31 +120,24 @@ def sale_search(sales, day, keyword, number, size):
     """One row {total, detail[], stat[2]}: a page of matching sales, and shares over all matches.
 
     ``day`` may be None to search sale documents of all days.  Matches are scanned twice: once for the page and once
-    for the gender × age counts that total and shares are derived from.
+    for the counts that total and shares are derived from.
     """
     found = search.matches(sales if day is None else sales.where(F.col("dt") == day), keyword)
-    counted = search.audience(found)
-    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
-    columns = [c for c in sales.columns] + ["es_metadata_id"]
-    ranked = search.page(found, number, size).select(
+    columns = [*sales.columns, "es_metadata_id"]
+    hits = search.page(found, number, size).select(
         F.struct((-F.col("score")).alias("rank"), F.col("order_detail_id").alias("at"),
                  F.struct(*columns).alias("doc")).alias("hit")
     )
-    detail = ranked.agg(
-        F.transform(F.sort_array(F.collect_list("hit")), lambda h: h["doc"]).alias("detail")
-    )
+    # At most one page of documents.
+    detail = hits.agg(F.transform(F.sort_array(F.collect_list("hit")), lambda h: h["doc"]).alias("detail"))
+    # Two one-row results, stacked and then squeezed into one row.
+    both = search.summary(found).unionByName(detail, allowMissingColumns=True)
+    row = both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("total", "detail", "ages", "genders")])
 
     def stat(title, options):
-        return options.select(F.struct(F.lit(title).alias("title"), F.col("options").alias("options")).alias(title))
-
-    ages = stat(shares.AGE_TITLE, search.age_options(counted))
-    genders = stat(shares.GENDER_TITLE, search.gender_options(counted))
-    # Four one-row results side by side.
-    one = F.lit(1)
-    parts = [f.withColumn("_one", one) for f in (total, detail, ages, genders)]
-    row = parts[0]
-    for p in parts[1:]:
-        row = row.join(p, "_one")
+        return F.struct(F.lit(title).alias("title"), F.col(options).alias("options"))
+
     return row.select(
-        "total", "detail", F.array(F.col(shares.AGE_TITLE), F.col(shares.GENDER_TITLE)).alias("stat")
+        "total", "detail",
+        F.array(stat(shares.AGE_TITLE, "ages"), stat(shares.GENDER_TITLE, "genders")).alias("stat"),
     )

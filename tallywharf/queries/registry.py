@@ -201,18 +201,18 @@ def sale_search_page(spark, sf_dir):
     return search.page(hits, 3, 20).select("es_metadata_id", "score", "order_id", "sku_id", "sku_name")
 
 
-def _audience(spark, sf_dir):
-    return search.audience(search.matches(_sales(spark, sf_dir), KEYWORD))
+def _summary(spark, sf_dir):
+    return search.summary(search.matches(_sales(spark, sf_dir), KEYWORD))
 
 
 @query
 def sale_age_share(spark, sf_dir):
-    return search.option_rows(search.age_options(_audience(spark, sf_dir)))
+    return search.option_rows(_summary(spark, sf_dir), "ages")
 
 
 @query
 def sale_gender_share(spark, sf_dir):
-    return search.option_rows(search.gender_options(_audience(spark, sf_dir)))
+    return search.option_rows(_summary(spark, sf_dir), "genders")
 
 
 def _report(spark, sf_dir, day):

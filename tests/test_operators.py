@@ -203,17 +203,18 @@ PEOPLE = [("F", 19), ("M", 20), (None, 29), ("x", 30), ("F", 19), ("F", 19)]
 
 
 def test_shares(spark):
-    counted = search.audience(search.matches(_documents(spark, PEOPLE[:4]), "red"))
-    assert rows(search.option_rows(search.age_options(counted))) == sorted([
+    found = search.summary(search.matches(_documents(spark, PEOPLE[:4]), "red"))
+    assert rows(search.option_rows(found, "ages")) == sorted([
         (shares.UNDER_20, 25.0), (shares.FROM_20_TO_29, 50.0), (shares.FROM_30, 25.0)], key=repr)
-    assert rows(search.option_rows(search.gender_options(counted))) == sorted(
+    assert rows(search.option_rows(found, "genders")) == sorted(
         [(shares.MALE, 66.67), (shares.FEMALE, 33.33)], key=repr)
 
 
 def test_shares_of_nothing(spark):
-    counted = search.audience(search.matches(_documents(spark, PEOPLE), "absent"))
-    assert {v for _, v in rows(search.option_rows(search.age_options(counted)))} == {None}
-    assert {v for _, v in rows(search.option_rows(search.gender_options(counted)))} == {None}
+    found = search.summary(search.matches(_documents(spark, PEOPLE), "absent"))
+    assert found.first().total == 0
+    assert {v for _, v in rows(search.option_rows(found, "ages"))} == {None}
+    assert {v for _, v in rows(search.option_rows(found, "genders"))} == {None}
 
 
 def test_pages(spark):
@@ -223,9 +224,11 @@ def test_pages(spark):
     assert search.page(hits, 3, 4).count() == 0
 
 
-def test_top_terms(spark):
-    counted = search.audience(_documents(spark, PEOPLE))
-    assert [tuple(r) for r in search.top_terms(counted, "user_gender", 2).collect()] == [("F", 3), ("M", 1)]
+def test_top_terms(spark, monkeypatch):
+    monkeypatch.setattr(search, "TOP_GENDERS", 2)
+    assert rows(search.terms(_documents(spark, PEOPLE))) == [
+        ("age", None, 19, 3), ("age", None, 20, 1), ("age", None, 29, 1), ("age", None, 30, 1), ("all", None, None, 6),
+        ("gender", "F", None, 3), ("gender", "M", None, 1)]
 
 
 def test_search_report(spark):
