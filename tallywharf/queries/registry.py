@@ -305,10 +305,7 @@ def stream_orders(spark, sf_dir):
     messages = t.order_messages(t.stream(spark, sf_dir, "orders"), t.read(spark, sf_dir, "customer"))
     messages = messages.withColumn("arrived", F.timestamp_seconds(F.lit(0)))
     _finish(jobs.orders(messages, f"{work}/table", f"{work}/checkpoint", interval=None))
-    columns = [c if c != "total_amount" else c + " double" for c in _ORDER_COLUMNS]
-    layout = ", ".join(c if " " in c else c + " string" for c in columns) + ", arrived timestamp"
-    stored = keyed.current(keyed.read_batches(spark, f"{work}/table", layout), ["id"], ["arrived"])
-    return stored.select(*_ORDER_COLUMNS)
+    return jobs.order_table(spark, f"{work}/table").select(*_ORDER_COLUMNS)
 
 
 @query
@@ -339,7 +336,8 @@ def stream_sale_join(spark, sf_dir):
     )
     customer = t.read(spark, sf_dir, "customer")
     _finish(jobs.sale_details(
-        orders, details, f"{work}/table", f"{work}/checkpoint", lambda: t.users(customer),
+        orders, details, f"{work}/table", f"{work}/checkpoint",
+        lambda ids: t.users(customer).join(ids, "id", "left_semi"),
         lambda: clock.wall_clock(t.AS_OF), interval=None,
     ))
     layout = (

@@ -7,12 +7,13 @@ Large join and window state belongs in the RocksDB state store; set ``STATE_STOR
 """
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import clock
 from ..operators import alerts as coupon
 from ..operators import decode, devices, ingest, sales
 from ..operators.newest import latest_by_key
-from ..schemas import DAU_ROW, USER
+from ..schemas import DAU_ROW, MESSAGE, ORDER_ROW, USER
 from ..sources import keyed, topics
 
 STATE_STORE = {
@@ -24,7 +25,7 @@ DAU_INTERVAL = "5 seconds"
 INTERVAL = "10 seconds"
 SALE_LATENESS = "10 minutes"
 
-# Up to this many keys of one batch are sent to the stored days; with more, both sides are shuffled.
+# Up to this many keys of one batch are sent to where a stored table lies; with more, both sides are shuffled.
 BROADCAST_KEYS = 1_000_000
 
 
@@ -52,6 +53,11 @@ class _Held:
         self.batch.unpersist()
 
 
+def _sendable(keys):
+    """A batch's keys, marked for broadcast after counting them."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
 def _set_aside(decoded, quarantine, batch_id):
     if quarantine is not None:
         keyed.write_batch(decode.rejected(decoded), quarantine, batch_id)
@@ -130,21 +136,25 @@ def dau_from_messages(messages, table, checkpoint, quarantine=None, zone=clock.S
 
 
 def orders(messages, table, checkpoint, quarantine=None, interval=INTERVAL):
-    """Order messages to the order table, one row per id (read it with ``keyed.current``)."""
+    """Order messages to the order table, one row per id (read it with ``order_table``)."""
 
     def sink(batch, batch_id):
         with _Held(decode.orders(batch)) as decoded:
             _set_aside(decoded, quarantine, batch_id)
-            latest = latest_by_key(decode.accepted(decoded, keep=("arrived",)), ["id"], ["arrived"])
+            latest = latest_by_key(decode.accepted(decoded, keep=("arrived",)), ["create_date", "id"], ["arrived"])
             keyed.write_batch(latest, table, batch_id, "create_date")
 
     return _start(messages, "orders", sink, checkpoint, interval)
 
 
-def user_versions(messages):
-    """(id, value, arrived): the raw user object under its id."""
-    decoded = decode.users(messages)
-    return decoded.where(F.col(decode.REASON).isNull()).select("id", "value", "arrived")
+def order_table(spark, table):
+    """The order table.
+
+    An order keeps its time of creation in all its versions, so a filter on ``create_date`` reaches the scan below
+    the choice of versions.
+    """
+    rows = keyed.read_batches(spark, table, T.StructType(ORDER_ROW.fields + [MESSAGE["arrived"]]))
+    return keyed.current(rows, ["create_date", "id"], ["arrived"])
 
 
 def users(messages, table, checkpoint, quarantine=None, interval=INTERVAL):
@@ -162,10 +172,16 @@ def users(messages, table, checkpoint, quarantine=None, interval=INTERVAL):
 USER_VERSION = "id string, value string, arrived timestamp"
 
 
-def user_snapshot(spark, table):
-    """The user table as of now, decoded."""
-    raw = keyed.current(keyed.read_batches(spark, table, USER_VERSION), ["id"], ["arrived"])
-    return decode.accepted(decode.users(raw.select("value"))).select(*USER.fieldNames())
+def user_snapshot(spark, table, ids=None):
+    """The user table as of now, decoded; only the users in ``ids`` (a frame of ``id``) when given.
+
+    The restriction comes before versions are compared, so users nobody asks about are not shuffled.
+    """
+    versions = keyed.read_batches(spark, table, USER_VERSION)
+    if ids is not None:
+        versions = versions.join(ids, "id", "left_semi")
+    latest = keyed.current(versions, ["id"], ["arrived"])
+    return decode.accepted(decode.users(latest.select("value"))).select(*USER.fieldNames())
 
 
 # Sales ----------------------------------------------------------------------------------------------------------
@@ -175,24 +191,31 @@ def sale_details(order_rows, detail_rows, table, checkpoint, users, as_of, laten
                  interval=INTERVAL):
     """Orders and order lines that arrive at most ``lateness`` apart, with buyer data, to the sale documents.
 
-    Both inputs carry ``arrived``.  ``users`` gives the snapshot and ``as_of`` the time ages refer to; both are
-    called per batch, so a batch sees the users known when it runs.  A pair that is delivered again overwrites its
-    document.  Stateful joins are not split at run time, hence the fixed number of salts.
+    Both inputs carry ``arrived``.  ``users`` maps a frame of buyer ids to their snapshot (such as ``user_snapshot``)
+    and ``as_of`` gives the time ages refer to; both are called per batch, so a batch sees the users known when it
+    runs.  A pair that is delivered again overwrites its document.  Stateful joins are not split at run time, hence
+    the fixed number of salts.
     """
     left = order_rows.withWatermark("arrived", lateness)
     right = detail_rows.withWatermark("arrived", lateness)
     pairs = sales.join_sales(left, right, lateness, salts)
 
     def sink(batch, batch_id):
-        documents = sales.enrich(batch, users(), as_of())
-        latest = latest_by_key(documents, ["order_detail_id"], ["arrived"])
-        keyed.write_batch(latest, table, batch_id, "dt")
+        with _Held(batch) as pairs_of_batch:
+            buyers = pairs_of_batch.select(F.col("user_id").alias("id")).where(F.col("id").isNotNull()).distinct()
+            documents = sales.enrich(pairs_of_batch, users(_sendable(buyers)), as_of())
+            latest = latest_by_key(documents, ["dt", "order_detail_id"], ["arrived"])
+            keyed.write_batch(latest, table, batch_id, "dt")
 
     return _start(pairs, "sale_details", sink, checkpoint, interval)
 
 
 def sale_documents(spark, table, schema):
-    return keyed.current(keyed.read_batches(spark, table, schema), ["order_detail_id"], ["arrived"])
+    """The sale documents of all days.
+
+    A document belongs to its day, so a filter on ``dt`` reaches the scan below the choice of versions.
+    """
+    return keyed.current(keyed.read_batches(spark, table, schema), ["dt", "order_detail_id"], ["arrived"])
 
 
 # Alerts ---------------------------------------------------------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallywharf.functions import clock
 from tallywharf.operators import alerts, decode, devices, sales
-from tallywharf.schemas import CHANGE, COUPON_ALERT, DAU_ROW, MESSAGE, ORDER_ROW
+from tallywharf.schemas import CHANGE, COUPON_ALERT, DAU_ROW, MESSAGE
 from tallywharf.sources import keyed, topics
 from tallywharf.sources.workspace import fresh_folder
 from tallywharf.streaming import jobs
@@ -94,16 +94,20 @@ def test_orders_are_upserted(spark, folder, landing):
     landing.add(order("1", "sent", "2021-05-28 01:00:03"))
     table = f"{folder}/orders"
     finish(jobs.orders(landing.stream(MESSAGE), table, f"{folder}/checkpoint", interval=None))
-    layout = keyed._ddl(ORDER_ROW) + ", arrived timestamp"
-    current = keyed.current(keyed.read_batches(spark, table, layout), ["id"], ["arrived"])
+    current = jobs.order_table(spark, table)
     assert rows(current, "id", "order_status", "create_date") == [("1", "sent", "2021-05-28"), ("2", "new", "2021-05-29")]
 
     # Folded into a fresh table by day; later batches still win.
-    keyed.write_settled(current, f"{folder}/folded", "create_date")
-    assert len(glob.glob(f"{folder}/folded/settled/create_date=*")) == 2
-    keyed.write_batch(current.where("id = '2'").withColumn("order_status", F.lit("paid")), f"{folder}/folded", 7)
-    again = keyed.current(keyed.read_batches(spark, f"{folder}/folded", layout), ["id"], ["arrived"])
-    assert rows(again, "id", "order_status") == [("1", "sent"), ("2", "paid")]
+    folded = f"{folder}/folded"
+    keyed.write_settled(current, folded, "create_date")
+    assert len(glob.glob(f"{folded}/settled/create_date=*")) == 2
+    keyed.write_batch(current.where("id = '2'").withColumn("order_status", F.lit("paid")), folded, 7)
+    assert rows(jobs.order_table(spark, folded), "id", "order_status") == [("1", "sent"), ("2", "paid")]
+
+    plan = jobs.order_table(spark, folded).where("create_date = '2021-05-28'")._jdf.queryExecution()
+    scans = [line for line in plan.executedPlan().toString().split("\n") if "FileScan" in line]
+    assert any("PartitionFilters: [isnotnull(create_date" in scan for scan in scans)
+    assert any("EqualTo(create_date,2021-05-28)" in scan for scan in scans)
 
 
 def test_documents_without_id_get_one(spark, folder):
@@ -119,6 +123,8 @@ def test_users_keep_the_last_version(spark, folder, landing):
                          arrived="2021-05-28 01:00:01"))
     finish(jobs.users(landing.stream(MESSAGE), f"{folder}/users", f"{folder}/checkpoint", interval=None))
     assert rows(jobs.user_snapshot(spark, f"{folder}/users"), "id", "user_level") == [("u1", "2"), ("u2", None)]
+    asked = spark.createDataFrame([("u1",), ("u9",)], "id string")
+    assert rows(jobs.user_snapshot(spark, f"{folder}/users", asked), "id", "user_level") == [("u1", "2")]
     raw = keyed.current(keyed.read_batches(spark, f"{folder}/users", jobs.USER_VERSION), ["id"], ["arrived"])
     assert json.loads(raw.where("id = 'u2'").first().value) == {"id": "u2", "extra": [1]}
 
@@ -149,8 +155,9 @@ def test_sale_join(spark, folder):
     left, right = Landing(spark, f"{folder}/o"), Landing(spark, f"{folder}/d")
     users = {"now": [("u1", "1991-06-01", "F", "3")]}
 
-    def snapshot():
-        return spark.createDataFrame(users["now"], "id string, birthday string, gender string, user_level string")
+    def snapshot(ids):
+        frame = spark.createDataFrame(users["now"], "id string, birthday string, gender string, user_level string")
+        return frame.join(ids, "id", "left_semi")
 
     def run():
         finish(jobs.sale_details(
