@@ -13,6 +13,7 @@ from math import gcd
 from pyspark.sql import functions as F
 
 from ..functions import clock
+from .salt import SALT, copied, spread
 
 # The event names of the rule.
 COUPON, CLICK = "coupon", "clickItem"
@@ -22,6 +23,8 @@ SLIDE_SECONDS = 10
 MIN_ACCOUNTS = 3
 PART_ENTRIES = 10_000
 
+_DEVICE_SALTS = 16
+
 _FACT = ("mid", "uid", "evid", "itemid")
 
 
@@ -80,7 +83,9 @@ def _guilty(totals, min_accounts, part_entries):
         .where(F.col("accounts") > min_accounts)
         .select("window_end", "mid", F.ceil(F.col("events") / F.lit(part_entries)).cast("int").alias("parts"))
     )
-    return accounts.join(devices, ["window_end", "mid"])
+    # One row per alert on the right: copies are cheap, and the accounts of one device need not meet in one task.
+    met = spread(accounts, ["uid"], _DEVICE_SALTS).join(copied(devices, _DEVICE_SALTS), ["window_end", "mid", SALT])
+    return met.drop(SALT)
 
 
 def _evidence(counts, guilty, time):

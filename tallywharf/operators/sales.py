@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import clock
+from .salt import SALT, copied, spread
 
 
 def order_side(orders, *extra):
@@ -35,10 +36,8 @@ def join_sales(orders, details, lateness=None, salts=1):
     right = detail_side(details, *(["arrived"] if timed else []))
     on = F.col("order_id") == F.col("detail_order_id")
     if salts > 1:
-        left = left.withColumn("order_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        right = right.withColumn(
-            "detail_salt", F.pmod(F.xxhash64("order_detail_id", "sku_id"), F.lit(salts)).cast("int")
-        )
+        left = copied(left, salts).withColumnRenamed(SALT, "order_salt")
+        right = spread(right, ["order_detail_id", "sku_id"], salts).withColumnRenamed(SALT, "detail_salt")
         on = on & (F.col("order_salt") == F.col("detail_salt"))
     if timed:
         gap = F.expr(f"INTERVAL {lateness}")
@@ -46,19 +45,20 @@ def join_sales(orders, details, lateness=None, salts=1):
     return left.join(right, on, "inner").select(*_SALE, *(["arrived"] if timed else []))
 
 
-def enrich(sales, users, as_of):
+def enrich(sales, users, as_of, salts=1):
     """Adds the buyer's gender, age and level from a one-row-per-user snapshot.
 
     A buyer without a snapshot row keeps the sale with age 0 and no gender or level; so does an unknown birthday.
+    ``salts`` spreads the sales of one buyer, as in ``join_sales``.
     """
     buyers = users.select(
-        F.col("id").alias("_buyer"),
+        F.col("id").alias("user_id"),
         F.col("gender").alias("user_gender"),
         clock.age_years("birthday", as_of).alias("user_age"),
         F.col("user_level"),
     )
-    return (
-        sales.join(buyers, sales["user_id"] == buyers["_buyer"], "left")
-        .withColumn("user_age", F.coalesce("user_age", F.lit(0)))
-        .drop("_buyer")
-    )
+    on = ["user_id"]
+    if salts > 1:
+        sales, buyers, on = spread(sales, ["order_detail_id"], salts), copied(buyers, salts), ["user_id", SALT]
+    joined = sales.join(buyers, on, "left").withColumn("user_age", F.coalesce("user_age", F.lit(0)))
+    return joined.select(*[c for c in sales.columns if c != SALT], "user_gender", "user_age", "user_level")

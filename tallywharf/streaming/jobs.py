@@ -26,7 +26,8 @@ INTERVAL = "10 seconds"
 SALE_LATENESS = "10 minutes"
 
 # Up to this many keys of one batch are sent to where a stored table lies; with more, both sides are shuffled.
-BROADCAST_KEYS = 1_000_000
+BROADCAST_KEYS = 500_000
+BUYER_SALTS = 16
 
 
 def _start(rows, name, sink, checkpoint, interval):
@@ -53,11 +54,6 @@ class _Held:
         self.batch.unpersist()
 
 
-def _sendable(keys):
-    """A batch's keys, marked for broadcast after counting them."""
-    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
-
-
 def _set_aside(decoded, quarantine, batch_id):
     if quarantine is not None:
         keyed.write_batch(decode.rejected(decoded), quarantine, batch_id)
@@ -203,7 +199,12 @@ def sale_details(order_rows, detail_rows, table, checkpoint, users, as_of, laten
     def sink(batch, batch_id):
         with _Held(batch) as pairs_of_batch:
             buyers = pairs_of_batch.select(F.col("user_id").alias("id")).where(F.col("id").isNotNull()).distinct()
-            documents = sales.enrich(pairs_of_batch, users(_sendable(buyers)), as_of())
+            if buyers.count() <= BROADCAST_KEYS:
+                # The snapshot has at most one row per buyer, so the count bounds both broadcasts.
+                snapshot, salts_of_buyer = F.broadcast(users(F.broadcast(buyers))), 1
+            else:
+                snapshot, salts_of_buyer = users(buyers), BUYER_SALTS
+            documents = sales.enrich(pairs_of_batch, snapshot, as_of(), salts_of_buyer)
             latest = latest_by_key(documents, ["dt", "order_detail_id"], ["arrived"])
             keyed.write_batch(latest, table, batch_id, "dt")
 

@@ -179,12 +179,13 @@ def test_join_sales(spark, salts):
         "d1", "d2", "d3", "d4", "d6"]
 
 
-def test_enrich(spark):
+@pytest.mark.parametrize("salts", [1, 4])
+def test_enrich(spark, salts):
     pairs = sales.join_sales(_orders(spark, ("o1", "u1"), ("o2", "u2"), ("o3", "u3")),
                              _details(spark, ("d1", "o1", 0), ("d2", "o2", 0), ("d3", "o3", 0)))
     users = spark.createDataFrame([("u1", "l", "3", "1991-06-01", "F"), ("u2", "l", "1", None, "M")],
                                   "id string, login_name string, user_level string, birthday string, gender string")
-    got = sales.enrich(pairs, users, clock.wall_clock("2021-06-01 00:00:00"))
+    got = sales.enrich(pairs, users, clock.wall_clock("2021-06-01 00:00:00"), salts)
     assert rows(got, "order_detail_id", "user_id", "user_age", "user_gender", "user_level") == [
         ("d1", "u1", 30, "F", "3"), ("d2", "u2", 0, "M", "1"), ("d3", "u3", 0, None, None),
     ]

@@ -151,7 +151,9 @@ def _details(spark, *items):
     return frame.withColumn("arrived", F.timestamp_seconds("at")).drop("at")
 
 
-def test_sale_join(spark, folder):
+@pytest.mark.parametrize("limit", [jobs.BROADCAST_KEYS, 0])
+def test_sale_join(spark, folder, monkeypatch, limit):
+    monkeypatch.setattr(jobs, "BROADCAST_KEYS", limit)
     left, right = Landing(spark, f"{folder}/o"), Landing(spark, f"{folder}/d")
     users = {"now": [("u1", "1991-06-01", "F", "3")]}
 
