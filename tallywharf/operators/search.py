@@ -4,6 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import shares, text
+from ..sources.workspace import ensure_checkpoints
 
 
 def matches(sales, keyword):
@@ -12,10 +13,42 @@ def matches(sales, keyword):
     return sales.where(score > 0).withColumn("score", score)
 
 
+# Pages that end within this many rows are found by a top-k, which keeps that many rows per task.
+TOP_K_ROWS = 10_000
+
+
 def page(hits, number, size):
-    """The ``number``-th page (from 1) of the best hits. Keeps offset+size rows per task, never a full sort."""
-    ranked = hits.orderBy(F.desc("score"), F.asc("order_detail_id"))
-    return ranked.offset((number - 1) * size).limit(size).withColumn("es_metadata_id", F.col("order_detail_id"))
+    """The ``number``-th page (from 1) of the best hits."""
+    rank = [F.desc("score"), F.asc("order_detail_id")]
+    if number * size <= TOP_K_ROWS:
+        rows = hits.orderBy(*rank).offset((number - 1) * size).limit(size)
+    else:
+        rows = _deep_page(hits, rank, (number - 1) * size, size).orderBy(*rank)
+    return rows.withColumn("es_metadata_id", F.col("order_detail_id"))
+
+
+def _deep_page(hits, rank, offset, size):
+    """The same rows for a page far down, without bringing everything before it into one task.
+
+    Hits are sorted once and kept as a checkpoint, whose partitions follow each other in rank.  Their row counts tell
+    which of them hold the page and at which rows.
+    """
+    ensure_checkpoints(hits.sparkSession)
+    sorted_hits = hits.orderBy(*rank).checkpoint()
+    columns = sorted_hits.columns
+    row_bits = F.lit((1 << 33) - 1)  # what monotonically_increasing_id leaves for the row within its partition
+    placed = sorted_hits.select(
+        "*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().bitwiseAND(row_bits).alias("_row")
+    )
+    # One row per partition.
+    counts = sorted((r["_part"], r["count"]) for r in placed.groupBy("_part").count().collect())
+    wanted, before = F.lit(False), 0
+    for part, count in counts:
+        if before < offset + size and before + count > offset:
+            inside = F.col("_row").between(offset - before, offset + size - before - 1)
+            wanted = wanted | ((F.col("_part") == part) & inside)
+        before += count
+    return placed.where(wanted).select(*columns)
 
 
 # How many of the most frequent terms are counted.
@@ -48,7 +81,9 @@ def terms(hits):
     )
     rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("n"), "gender", "age"))
     size = F.when(F.col("kind") == _GENDER, TOP_GENDERS).when(F.col("kind") == _AGE, TOP_AGES).otherwise(1)
-    return counted.withColumn("rank", rank).where(F.col("rank") <= size).drop("rank")
+    # The constant bound lets Spark drop rare terms before they are brought together.
+    most = max(TOP_GENDERS, TOP_AGES)
+    return counted.withColumn("rank", rank).where((F.col("rank") <= most) & (F.col("rank") <= size)).drop("rank")
 
 
 def _options(pairs):

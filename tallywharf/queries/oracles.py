@@ -229,6 +229,11 @@ WHERE rn = 1
 WITH {_HITS}
 SELECT order_detail_id AS es_metadata_id, score, order_id, sku_id, sku_name FROM hits
 ORDER BY score DESC, order_detail_id LIMIT 20 OFFSET 40
+""",
+    "sale_search_deep_page": f"""
+WITH {_HITS}
+SELECT order_detail_id AS es_metadata_id, score, order_id, sku_id, sku_name FROM hits
+ORDER BY score DESC, order_detail_id LIMIT 20 OFFSET 11000
 """,
     "sale_age_share": f"""
 WITH {_HITS}, {_shares("hits")}

@@ -201,6 +201,13 @@ def sale_search_page(spark, sf_dir):
     return search.page(hits, 3, 20).select("es_metadata_id", "score", "order_id", "sku_id", "sku_name")
 
 
+@query
+def sale_search_deep_page(spark, sf_dir):
+    """A page that starts far beyond what a top-k should keep."""
+    hits = search.matches(_sales(spark, sf_dir), KEYWORD)
+    return search.page(hits, 551, 20).select("es_metadata_id", "score", "order_id", "sku_id", "sku_name")
+
+
 def _summary(spark, sf_dir):
     return search.summary(search.matches(_sales(spark, sf_dir), KEYWORD))
 

@@ -15,3 +15,10 @@ def fresh_folder(spark, purpose):
             raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
         shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def ensure_checkpoints(spark):
+    """Makes ``DataFrame.checkpoint`` usable where the session has no checkpoint folder yet."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(fresh_folder(spark, "checkpoints"))

@@ -225,6 +225,17 @@ def test_pages(spark):
     assert search.page(hits, 3, 4).count() == 0
 
 
+def test_deep_pages_equal_shallow_ones(spark, monkeypatch):
+    people = spark.range(500).repartition(7).selectExpr(
+        "'d' || id AS order_detail_id", "IF(id % 3 = 0, 'red bolt', 'red ring') AS sku_name")
+    hits = search.matches(people, "red bolt")
+    pages = [(1, 20), (4, 50), (9, 50), (10, 60), (50, 10), (51, 10)]
+    shallow = [[r.order_detail_id for r in search.page(hits, *p).collect()] for p in pages]
+    monkeypatch.setattr(search, "TOP_K_ROWS", 0)
+    assert [[r.order_detail_id for r in search.page(hits, *p).collect()] for p in pages] == shallow
+    assert [len(p) for p in shallow] == [20, 50, 50, 0, 10, 0]
+
+
 def test_top_terms(spark, monkeypatch):
     monkeypatch.setattr(search, "TOP_GENDERS", 2)
     assert rows(search.terms(_documents(spark, PEOPLE))) == [
