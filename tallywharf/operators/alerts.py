@@ -68,10 +68,16 @@ def _totals(counts, keys, coupon, click):
     def of(event):
         return F.sum(F.when(F.col("evid") == event, F.col("n")).otherwise(0))
 
-    return counts.groupBy(*keys).agg(of(coupon).alias("coupons"), of(click).alias("clicks"), F.sum("n").alias("events"))
+    return counts.groupBy(*keys).agg(
+        of(coupon).alias("coupons"), of(click).alias("clicks"), F.sum("n").alias("events")
+    )
+
+
+def _minute(zone):
+    return clock.minute_text(clock.local_time("window_end", zone))
 
 
-def _guilty(totals, min_accounts, part_entries):
+def _guilty(totals, min_accounts, part_entries, zone, minutes_shared):
     """Qualifying accounts of alerting devices, with the number of parts their alert takes."""
     accounts = totals.where((F.col("coupons") > 0) & (F.col("clicks") == 0)).select("window_end", "mid", "uid", "events")
     # Both uses below start from this shuffle and need all its columns, so Spark makes it, and the totals behind it,
@@ -83,6 +89,11 @@ def _guilty(totals, min_accounts, part_entries):
         .where(F.col("accounts") > min_accounts)
         .select("window_end", "mid", F.ceil(F.col("events") / F.lit(part_entries)).cast("int").alias("parts"))
     )
+    if minutes_shared:
+        last = devices.groupBy("mid", _minute(zone).alias("minute")).agg(
+            F.max("window_end").alias("window_end"), F.max_by("parts", "window_end").alias("parts")
+        )
+        devices = last.drop("minute")
     # One row per alert on the right: copies are cheap, and the accounts of one device need not meet in one task.
     met = spread(accounts, ["uid"], _DEVICE_SALTS).join(copied(devices, _DEVICE_SALTS), ["window_end", "mid", SALT])
     return met.drop(SALT)
@@ -102,14 +113,15 @@ def _evidence(counts, guilty, time):
 
 
 def window_alerts(facts, min_accounts=MIN_ACCOUNTS, coupon=COUPON, click=CLICK, part_entries=PART_ENTRIES,
-                  zone=clock.SHOP_ZONE):
-    """Alert documents of all windows in ``facts``, counts per window (see ``stream_facts``).
+                  zone=clock.SHOP_ZONE, minutes_shared=True):
+    """Alert documents of the windows in ``facts``, counts per window (see ``stream_facts``).
 
-    An alert is one document; one with more than ``part_entries`` events is spread over several ``part`` numbers
+    A device has one alert per minute: of the windows that end in the same minute, the last alert stays.  Where no two
+    windows can end in one minute, ``minutes_shared`` saves looking for them.  An alert is one document; one with more than ``part_entries`` events is spread over several ``part`` numbers
     that together hold exactly the same accounts, items and events, so no list grows without limit.
     """
     totals = _totals(facts, ("window_end", "mid", "uid"), coupon, click)
-    guilty = _guilty(totals, min_accounts, part_entries)
+    guilty = _guilty(totals, min_accounts, part_entries, zone, minutes_shared)
     return _documents(_evidence(facts, guilty, "window_end"), part_entries, zone)
 
 
@@ -126,9 +138,10 @@ def batch_alerts(logs, window_seconds=WINDOW_SECONDS, slide_seconds=None, offset
     slide_seconds = slide_seconds or window_seconds
     pane_seconds = gcd(window_seconds, slide_seconds)
     panes = _panes(logs, pane_seconds, offset_seconds)
+    minutes_shared = slide_seconds < 60
     if slide_seconds == window_seconds:
         facts = panes.select((F.col("pane_start") + window_seconds).alias("window_end"), *_FACT, "n")
-        return window_alerts(facts, min_accounts, coupon, click, part_entries, zone)
+        return window_alerts(facts, min_accounts, coupon, click, part_entries, zone, minutes_shared)
 
     ends = _window_ends(F.col("pane_start"), window_seconds, slide_seconds, offset_seconds)
     sums = ("coupons", "clicks", "events")
@@ -139,7 +152,7 @@ def batch_alerts(logs, window_seconds=WINDOW_SECONDS, slide_seconds=None, offset
         .select(F.explode(ends).alias("window_end"), "mid", "uid", *sums)
         .groupBy("window_end", "mid", "uid").agg(*[F.sum(c).alias(c) for c in sums])
     )
-    guilty = _guilty(totals, min_accounts, part_entries)
+    guilty = _guilty(totals, min_accounts, part_entries, zone, minutes_shared)
     end = F.col("window_end")
     inside = F.sequence(end - window_seconds, end - pane_seconds, F.lit(pane_seconds).cast("bigint"))
     places = guilty.select("*", F.explode(inside).alias("pane_start"))
@@ -179,14 +192,8 @@ def _documents(evidence, part_entries, zone):
         F.sort_array(F.collect_set(listed(item, F.col("itemid")))).alias("itemIds"),
         F.sort_array(F.flatten(F.collect_list(listed(event, F.array_repeat("evid", copies))))).alias("events"),
     )
-    minute = clock.minute_text(clock.local_time("window_end", zone))
+    minute = _minute(zone)
     return documents.select(
         F.concat_ws(" ", "mid", minute).alias("doc_id"), "mid", minute.alias("minute"), "part", "uids", "itemIds",
         "events", (F.col("window_end") * 1000).alias("ts"),
     )
-
-
-def one_per_minute(alerts):
-    """Of the alerts of one device that end in the same minute, those of the last window."""
-    last = alerts.groupBy("doc_id").agg(F.max("ts").alias("ts"))
-    return alerts.join(last, ["doc_id", "ts"], "left_semi").select(*alerts.columns)

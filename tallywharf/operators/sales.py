@@ -20,7 +20,8 @@ def detail_side(details, *extra):
     )
 
 
-_SALE = ("order_detail_id", "order_id", "order_status", "create_time", "user_id", "sku_id", "sku_price", "sku_name", "dt")
+_SALE = ("order_detail_id", "order_id", "order_status", "create_time", "user_id", "sku_id", "sku_price", "sku_name",
+         "dt")
 
 
 def join_sales(orders, details, lateness=None, salts=1):

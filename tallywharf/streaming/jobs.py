@@ -229,7 +229,7 @@ def coupon_alerts(logs, table, checkpoint, window_seconds=coupon.WINDOW_SECONDS,
 
     def sink(batch, batch_id):
         with _Held(batch) as facts_of_closed_windows:
-            found = coupon.one_per_minute(coupon.window_alerts(facts_of_closed_windows, **rule))
+            found = coupon.window_alerts(facts_of_closed_windows, minutes_shared=slide_seconds < 60, **rule)
             keyed.write_batch(found, table, batch_id)
 
     return _start(facts, "coupon_alerts", sink, checkpoint, interval)

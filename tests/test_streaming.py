@@ -206,8 +206,7 @@ def test_alerts_equal_batch(spark, folder, landing):
     table = f"{folder}/alerts"
     finish(jobs.coupon_alerts(landing.stream(EVENT), table, f"{folder}/checkpoint", interval=None))
     documents = jobs.alert_documents(spark, table, COUPON_ALERT)
-    batch = alerts.one_per_minute(
-        alerts.batch_alerts(spark.createDataFrame(first + second + third, EVENT), slide_seconds=10))
+    batch = alerts.batch_alerts(spark.createDataFrame(first + second + third, EVENT), slide_seconds=10)
     got = rows(documents, "doc_id", "part", "uids", "itemIds", "events", "ts")
     assert got == rows(batch, "doc_id", "part", "uids", "itemIds", "events", "ts")
     # Windows from the fourth coupon up to the click.
