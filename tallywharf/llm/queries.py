@@ -2,7 +2,7 @@
 
 from tallywharf.sources.workspace import fresh_folder
 
-from . import packing, token_counts, token_files
+from . import decontamination, language, packing, shingle_join, token_counts, token_files
 
 
 def _table(spark, folder, name):
@@ -19,14 +19,32 @@ def op2_packing(spark, sf_dir):
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark, sf_dir):
+    return decontamination.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op7_language(spark, sf_dir):
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark, sf_dir):
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op10_shingle_join(spark, sf_dir):
+    return shingle_join.join(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_packing": op2_packing,
+    "op3_decontamination": op3_decontamination,
+    "op7_language": op7_language,
     "op9_token_counts": op9_token_counts,
+    "op10_shingle_join": op10_shingle_join,
 }
 
-ORACLES = {}
+ORACLES = {
+    "op3_decontamination": decontamination.sql(),
+    "op10_shingle_join": shingle_join.sql(),
+}
