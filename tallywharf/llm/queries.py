@@ -2,7 +2,7 @@
 
 from tallywharf.sources.workspace import fresh_folder
 
-from . import decontamination, language, packing, shingle_join, token_counts, token_files
+from . import decontamination, fingerprints, language, packing, private, quality, shingle_join, token_counts, token_files, toxicity
 
 
 def _table(spark, folder, name):
@@ -27,6 +27,22 @@ def op7_language(spark, sf_dir):
     return language.identify(_table(spark, sf_dir, "documents"))
 
 
+def op4_private(spark, sf_dir):
+    return private.classify(_table(spark, sf_dir, "documents"))
+
+
+def op5_fingerprints(spark, sf_dir):
+    return fingerprints.edited(_table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark, sf_dir):
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op8_quality(spark, sf_dir):
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_token_counts(spark, sf_dir):
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
 
@@ -39,7 +55,11 @@ QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
+    "op4_private": op4_private,
+    "op5_fingerprints": op5_fingerprints,
+    "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
+    "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
     "op10_shingle_join": op10_shingle_join,
 }
