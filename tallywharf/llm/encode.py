@@ -1,6 +1,9 @@
-"""Whole texts to token ids with public tokenizers, each distinct word encoded once per task."""
+"""Whole texts to token ids with public tokenizers, each word of a slice of texts encoded once."""
 
+import functools
 import re
+import unicodedata
+from array import array
 
 import numpy as np
 import public_tokenizers
@@ -9,13 +12,33 @@ import public_tokenizers
 #: as its first character or within a run of white space, and added tokens hold none. So texts may be cut before it.
 CUT = re.compile(r" (?<=\S )(?=\S)")
 
-#: Words whose ids a task keeps; beyond it starts anew.
-KEPT_WORDS = 150_000
+#: White space other than space and line feed; a text without it needs no pattern to be cut.
+OTHER_SPACE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 
+#: Words whose ids a task keeps; beyond it only those that came again stay.
+KEPT_WORDS = 300_000
+#: Words that the library gets at once.
+AT_ONCE = 512
 
-def ids_of(tokenizer, words):
-    """The ids of each string, as little-endian unsigned 32-bit integers."""
-    return [np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch(words, add_special_tokens=False)]
+#: Byte-level tokens show bytes that are not printable as the characters from 256 on.
+_SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTES = dict(zip([b for b in range(256) if b not in _SHOWN], map(chr, range(256, 512)), strict=False))
+
+
+@functools.lru_cache(maxsize=2)
+def encoder(file):
+    """The encoder of a file that the tasks of a worker share, with the words it has learned."""
+    return Encoder(file)
+
+
+def cut(text):
+    """The text in pieces; all but the first have lost the space before them."""
+    if (
+        "  " in text or "\n " in text or " \n" in text or text[:1] == " " or text[-1:] == " "
+        or OTHER_SPACE.search(text)
+    ):
+        return CUT.split(text)
+    return text.split(" ")
 
 
 class Encoder:
@@ -30,18 +53,102 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(file))
         self.kept = kept
-        self.heads, self.words = {}, {}
+        self.words, self.again = {}, set()
+        # Marks in the vocabulary: a byte-level token that starts with a space, a token that ends a word.
+        size = self.tokenizer.get_vocab_size()
+        tokens = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
+        self.ends = np.array([x.endswith("</w>") for x in tokens])
+        self.starts = np.array([x.startswith("Ġ") for x in tokens])
+        self.by_end = bool(self.ends.any())
+
+    def ids_of(self, words):
+        """The ids of each word with a space before it, as little-endian unsigned 32-bit integers.
+
+        Words of lower-case letters are one pre-token that no normalisation changes, so they go straight to the model.
+        Others are encoded together as one text and told apart by the marks of the vocabulary, which is safe for words
+        without white space or, where the end of a word is marked, of letters alone; or else by the tokens' offsets.
+        """
+        out, plain, marked, other, stopped = {}, set(), set(), set(), []
+        for w in words:
+            # With a mark at the end of words, a stop or comma after letters is a pre-token of its own.
+            stem = w[:-1] if self.by_end and w[-1] in ".," else w
+            if stem.isalpha():
+                if stem is not w:
+                    stopped.append(w)
+                if stem not in self.words:
+                    (plain if stem.islower() and unicodedata.is_normalized("NFC", stem) else marked).add(stem)
+            elif self.by_end or any(map(str.isspace, w)):
+                other.add(w)
+            else:
+                marked.add(w)
+        if stopped:
+            other |= {".", ","}
+        for each, how in ((list(plain), self._plain), (list(marked), self._marked), (list(other), self._by_offset)):
+            out.update(zip(each, how(each), strict=True))
+        for w in stopped:
+            stem = w[:-1]
+            out[w] = (out[stem] if stem in out else self.words[stem]) + out[w[-1]]
+        return out
+
+    def _plain(self, words):
+        tokenize, first = self.tokenizer.model.tokenize, "" if self.by_end else "Ġ"
+        for w in words:
+            shown = w if w.isascii() else w.encode().decode("latin-1").translate(BYTES)
+            yield array("I", [x.id for x in tokenize(first + shown)]).tobytes()
+
+    def _marked(self, words):
+        for first in range(0, len(words), AT_ONCE):
+            part = words[first : first + AT_ONCE]
+            found = self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0]
+            ids = np.array(found.ids, dtype="<u4")
+            if self.by_end:
+                bounds = np.concatenate(([0], np.flatnonzero(self.ends[ids]) + 1))
+            else:
+                bounds = np.concatenate((np.flatnonzero(self.starts[ids]), [len(ids)]))
+            if len(bounds) != len(part) + 1 or bounds[0] != 0 or bounds[-1] != len(ids):
+                yield from self._by_offset(part)
+                continue
+            packed, bounds = ids.tobytes(), (4 * bounds).tolist()
+            yield from (packed[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True))
+
+    def _by_offset(self, words):
+        """A token belongs to the word in which it starts."""
+        for first in range(0, len(words), AT_ONCE):
+            part = words[first : first + AT_ONCE]
+            starts = np.cumsum([0] + [len(w) + 1 for w in part])
+            found = self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False)
+            ids = np.array(found.ids, dtype="<u4")
+            bounds = np.searchsorted([a for a, _ in found.offsets], starts).tolist()
+            yield from (ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True))
+
+    def pieces(self, text):
+        """The first piece, with whatever stands before it, and the others. White space itself has no tokens where the
+        end of a word is marked, so there more cuts are safe; that file lower-cases letters one by one, as ``lower`` does
+        but for two of them, and special strings are left as they are."""
+        if not self.by_end:
+            return cut(text)
+        if not any(x in text for x in ("Σ", "İ", "<|")):
+            text = text.lower()
+        return cut(text) if OTHER_SPACE.search(text) else ["", *text.split()]
 
-    def _learn(self, known, pieces, prefix):
-        missing = list(set(pieces) - known.keys())
-        known.update(zip(missing, ids_of(self.tokenizer, [prefix + x for x in missing]), strict=True))
+    def head(self, piece):
+        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes() if piece else b""
 
     def encode(self, texts):
         """The ids of each text as bytes, four for an id."""
-        if len(self.words) + len(self.heads) > self.kept:
-            self.heads, self.words = {}, {}
-        split = [CUT.split(x) for x in texts]
-        self._learn(self.heads, [x[0] for x in split], "")
-        self._learn(self.words, {w for x in split for w in x[1:]}, " ")
-        heads, words = self.heads, self.words.__getitem__
-        return [heads[x[0]] + b"".join(map(words, x[1:])) for x in split]
+        split = [self.pieces(x) for x in texts]
+        heads = [self.head(x[0]) for x in split]
+        for x in split:
+            del x[0]
+        wanted = set().union(*split)
+        if len(self.words) > self.kept:
+            self.words = {w: self.words[w] for w in self.again}
+            if len(self.words) > self.kept:
+                self.words = {}
+            self.again = set()
+        words = self.words
+        missing = [w for w in wanted if w not in words]
+        self.again.update(wanted.difference(missing))
+        words.update(self.ids_of(missing))
+        get = words.__getitem__
+        return [head + b"".join(map(get, x)) for head, x in zip(heads, split, strict=True)]

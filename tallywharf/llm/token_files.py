@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import slices, texts, values
-from .encode import Encoder
+from .encode import encoder
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -40,9 +40,9 @@ def write(documents, folder, tokenizer=TOKENIZER, end_id=END_ID):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def encode(batches):
-        encoder, start = Encoder(tokenizer), 0
+        start = 0
         for batch in slices(batches):
-            ids = [x + end for x in encoder.encode(texts(batch))]
+            ids = [x + end for x in encoder(tokenizer).encode(texts(batch))]
             counts = np.array([len(x) // 4 for x in ids], dtype=np.int64)
             ends = np.cumsum(counts)
             offsets = np.concatenate(([0], ends)).astype(np.int32)
