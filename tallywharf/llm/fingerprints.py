@@ -4,8 +4,9 @@ A document is the set of digests of its paragraphs: the sentences of its lines,
 words each word as well; a repeated paragraph has a digest for each time it is there. A sketch puts each digest into one
 cell of each of its three parts; a cell holds a count, the exclusive or of the digests and of their checks. The sketches of
 two versions are subtracted cell by cell, equal paragraphs cancel, and peeling cells that hold one digest recovers those
-that differ. Where peeling gets stuck, both are sketched again with four times the cells; beyond four times as many cells
-as there are digests, the sets themselves are compared. The fingerprint is the sketch of the first size.
+that differ. Where peeling gets stuck, both are sketched again with at least four times the cells, and as many as the counts
+of the stuck sketch suggest; beyond sixteen times as many cells as there are digests, the sets themselves are compared. The
+fingerprint is the sketch of the first size.
 
 Likeness is the share of common digests in all digests of both (0 to 1); two texts without any are alike.
 
@@ -129,13 +130,17 @@ class Version:
 def difference(a, b):
     """What two versions differ in, and the cells that it took (0: the sets were compared)."""
     cells, total = FIRST_CELLS, len(a.keys) + len(b.keys)
-    while cells <= max(FIRST_CELLS, 4 * total):
-        # Peeling cannot recover more digests than there are cells.
-        if abs(len(a.keys) - len(b.keys)) < cells:
-            found = peel(subtract(a.sketch(cells), b.sketch(cells)))
+    while cells <= max(FIRST_CELLS, 16 * total):
+        apart = subtract(a.sketch(cells), b.sketch(cells))
+        # Differing digests count +1 or -1 in a cell of each part, so the squares sum up to about as many.
+        likely = ((apart[0] ** 2).sum() - apart[0].sum() ** 2 / cells) / PARTS
+        if likely < cells:
+            found = peel(apart)
             if found:
                 return *found, cells
         cells *= GROWTH
+        while cells < 1.4 * likely:
+            cells *= GROWTH
     return np.setdiff1d(a.keys, b.keys), np.setdiff1d(b.keys, a.keys), 0
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from .common import annotate, bounded_sample, fold, slices, texts, values
 
-DIMENSIONS = 1024
+DIMENSIONS = 512
 SAMPLE = 20_000
 SEED = 7_001
 UNKNOWN = "und"
@@ -59,7 +59,7 @@ class Space:
     def __init__(self, dimensions=DIMENSIONS, seed=SEED):
         self.dimensions, self.seed = dimensions, seed
         self.letters, self.rows = {}, {}
-        self.vectors = np.empty((KEPT, dimensions), dtype=np.int8)
+        self.vectors = np.empty((KEPT, dimensions), dtype=np.float32)
 
     def letter(self, point):
         if point not in self.letters:
