@@ -3,9 +3,10 @@
 An account of a device qualifies in a window when it has a coupon event and no item click.  A device with more than
 ``min_accounts`` qualifying accounts raises an alert that lists those accounts, their items and their events.
 
-The work is split so that no step depends on how large one device or account is.  Raw events are first reduced to
-counts, a map-side combinable aggregate; verdicts are aggregates of counts; lists are only built for alerts, in parts
-of limited length.
+The work is split so that no step depends on how large one device or account is.  Verdicts are two flags per account,
+a map-side combinable aggregate straight from the events; events are then fetched for guilty accounts alone.  An alert
+is stored in long form, a row for each of its accounts, items and kinds of events with a count, so it has the same form
+at every size and no list grows with it.
 """
 
 from math import gcd
@@ -21,9 +22,11 @@ COUPON, CLICK = "coupon", "clickItem"
 WINDOW_SECONDS = 5 * 60
 SLIDE_SECONDS = 10
 MIN_ACCOUNTS = 3
-PART_ENTRIES = 10_000
 
-_DEVICE_SALTS = 16
+_SALTS = 16
+
+# Kinds of rows of an alert.
+ACCOUNT, ITEM, EVENT = "account", "item", "event"
 
 _FACT = ("mid", "uid", "evid", "itemid")
 
@@ -52,9 +55,9 @@ def _floor(seconds, step, offset):
 
 
 def _panes(logs, pane_seconds, offset_seconds):
-    pane = _floor(F.col("ts"), pane_seconds, offset_seconds)
+    """Events with the start of their pane, the largest tumbling window of which every sliding one is made."""
     known = logs.where(F.col("mid").isNotNull() & F.col("ts").isNotNull())
-    return known.groupBy(pane.alias("pane_start"), *_FACT).agg(F.count(F.lit(1)).alias("n"))
+    return known.select(_floor(F.col("ts"), pane_seconds, offset_seconds).alias("pane_start"), *_FACT, F.lit(1).alias("n"))
 
 
 def _window_ends(pane_start, window, slide, offset):
@@ -64,76 +67,62 @@ def _window_ends(pane_start, window, slide, offset):
     return F.sequence(earliest + F.lit(window), last + F.lit(window), F.lit(slide).cast("bigint"))
 
 
-def _totals(counts, keys, coupon, click):
-    def of(event):
-        return F.sum(F.when(F.col("evid") == event, F.col("n")).otherwise(0))
+def _marks(rows, keys, coupon, click):
+    """Per account whether it took a coupon and whether it looked at an item."""
 
-    return counts.groupBy(*keys).agg(
-        of(coupon).alias("coupons"), of(click).alias("clicks"), F.sum("n").alias("events")
-    )
+    def any_of(event):
+        return F.max(F.coalesce(F.col("evid") == event, F.lit(False)))
+
+    return rows.groupBy(*keys).agg(any_of(coupon).alias("took"), any_of(click).alias("looked"))
 
 
 def _minute(zone):
     return clock.minute_text(clock.local_time("window_end", zone))
 
 
-def _guilty(totals, min_accounts, part_entries, zone, minutes_shared):
-    """Qualifying accounts of alerting devices, with the number of parts their alert takes."""
-    accounts = totals.where((F.col("coupons") > 0) & (F.col("clicks") == 0)).select("window_end", "mid", "uid", "events")
-    # Both uses below start from this shuffle and need all its columns, so Spark makes it, and the totals behind it,
-    # only once.
-    accounts = accounts.repartition("window_end", "mid", "uid")
-    devices = (
-        accounts.groupBy("window_end", "mid")
-        .agg(F.count(F.lit(1)).alias("accounts"), F.sum("events").alias("events"))
-        .where(F.col("accounts") > min_accounts)
-        .select("window_end", "mid", F.ceil(F.col("events") / F.lit(part_entries)).cast("int").alias("parts"))
-    )
+def _guilty(marks, min_accounts, zone, minutes_shared):
+    """The qualifying accounts of alerting devices: (window_end, mid, uid)."""
+    accounts = marks.where(F.col("took") & ~F.col("looked"))
+    devices = accounts.groupBy("window_end", "mid").agg(F.count(F.lit(1)).alias("accounts"))
+    devices = devices.where(F.col("accounts") > min_accounts).select("window_end", "mid")
     if minutes_shared:
-        last = devices.groupBy("mid", _minute(zone).alias("minute")).agg(
-            F.max("window_end").alias("window_end"), F.max_by("parts", "window_end").alias("parts")
-        )
-        devices = last.drop("minute")
+        devices = devices.groupBy("mid", _minute(zone).alias("minute")).agg(F.max("window_end").alias("window_end"))
     # One row per alert on the right: copies are cheap, and the accounts of one device need not meet in one task.
-    met = spread(accounts, ["uid"], _DEVICE_SALTS).join(copied(devices, _DEVICE_SALTS), ["window_end", "mid", SALT])
-    return met.drop(SALT)
-
-
-def _evidence(counts, guilty, time):
-    """The counts of guilty accounts; an unknown account is an account, so ``uid`` compares null-safe."""
-    f, g = counts.alias("f"), guilty.alias("g")
-    same = (
-        F.col("f.uid").eqNullSafe(F.col("g.uid"))
-        & (F.col("f.mid") == F.col("g.mid"))
-        & (F.col(f"f.{time}") == F.col(f"g.{time}"))
-        # Always so; keeps ``events`` in use (see ``_guilty``).
-        & (F.col("f.n") <= F.col("g.events"))
-    )
-    return f.join(g, same).select("g.window_end", "g.parts", *[f"f.{c}" for c in _FACT], "f.n")
+    met = spread(accounts.select("window_end", "mid", "uid"), ["uid"], _SALTS)
+    return met.join(copied(devices.select("window_end", "mid"), _SALTS), ["window_end", "mid", SALT]).drop(SALT)
 
 
-def window_alerts(facts, min_accounts=MIN_ACCOUNTS, coupon=COUPON, click=CLICK, part_entries=PART_ENTRIES,
-                  zone=clock.SHOP_ZONE, minutes_shared=True):
-    """Alert documents of the windows in ``facts``, counts per window (see ``stream_facts``).
+def _evidence(rows, guilty, time):
+    """The events of guilty accounts; an unknown account is an account, so ``uid`` compares null-safe.
+
+    The events of one account are spread by their items, as an account may have any number of them.
+    """
+    f, g = spread(rows, ["itemid", "evid"], _SALTS).alias("f"), copied(guilty, _SALTS).alias("g")
+    same = F.col("f.uid").eqNullSafe(F.col("g.uid"))
+    for key in ("mid", time, SALT):
+        same = same & (F.col(f"f.{key}") == F.col(f"g.{key}"))
+    return f.join(g, same).select("g.window_end", *[f"f.{c}" for c in _FACT], "f.n")
+
+
+def window_alerts(facts, min_accounts=MIN_ACCOUNTS, coupon=COUPON, click=CLICK, zone=clock.SHOP_ZONE,
+                  minutes_shared=True):
+    """The alerts of the windows in ``facts``, counts per window (see ``stream_facts``), in long form.
 
     A device has one alert per minute: of the windows that end in the same minute, the last alert stays.  Where no two
-    windows can end in one minute, ``minutes_shared`` saves looking for them.  An alert is one document; one with more than ``part_entries`` events is spread over several ``part`` numbers
-    that together hold exactly the same accounts, items and events, so no list grows without limit.
+    windows can end in one minute, ``minutes_shared`` saves looking for them.
     """
-    totals = _totals(facts, ("window_end", "mid", "uid"), coupon, click)
-    guilty = _guilty(totals, min_accounts, part_entries, zone, minutes_shared)
-    return _documents(_evidence(facts, guilty, "window_end"), part_entries, zone)
+    marks = _marks(facts, ("window_end", "mid", "uid"), coupon, click)
+    guilty = _guilty(marks, min_accounts, zone, minutes_shared)
+    return _documents(_evidence(facts, guilty, "window_end"), zone)
 
 
 def batch_alerts(logs, window_seconds=WINDOW_SECONDS, slide_seconds=None, offset_seconds=0,
-                 min_accounts=MIN_ACCOUNTS, coupon=COUPON, click=CLICK, part_entries=PART_ENTRIES,
-                 zone=clock.SHOP_ZONE):
-    """Alert documents of stored logs; windows tumble unless a slide is given.
-
-    Windows start ``offset_seconds`` after multiples of the slide since the epoch.  Events are counted per pane, the
-    largest tumbling window of which every sliding one is made, and never copied into all their windows: accounts
-    are totalled per pane, their panes are brought together, and only then copied into windows and totalled again
-    without another shuffle.  Events are fetched for guilty accounts alone.
+                 min_accounts=MIN_ACCOUNTS, coupon=COUPON, click=CLICK, zone=clock.SHOP_ZONE):
+    """The alerts of stored logs; windows tumble unless a slide is given.
+
+    Windows start ``offset_seconds`` after multiples of the slide since the epoch.  Events are never copied into all
+    their windows: accounts are marked per pane, and those few marks are copied into windows and joined again.  A
+    second scan fetches the events of guilty accounts.
     """
     slide_seconds = slide_seconds or window_seconds
     pane_seconds = gcd(window_seconds, slide_seconds)
@@ -141,59 +130,37 @@ def batch_alerts(logs, window_seconds=WINDOW_SECONDS, slide_seconds=None, offset
     minutes_shared = slide_seconds < 60
     if slide_seconds == window_seconds:
         facts = panes.select((F.col("pane_start") + window_seconds).alias("window_end"), *_FACT, "n")
-        return window_alerts(facts, min_accounts, coupon, click, part_entries, zone, minutes_shared)
+        return window_alerts(facts, min_accounts, coupon, click, zone, minutes_shared)
 
     ends = _window_ends(F.col("pane_start"), window_seconds, slide_seconds, offset_seconds)
-    sums = ("coupons", "clicks", "events")
-    totals = (
-        _totals(panes, ("pane_start", "mid", "uid"), coupon, click)
-        # An account has at most one row per pane here, so even a hot one is small.
-        .repartition("mid", "uid")
-        .select(F.explode(ends).alias("window_end"), "mid", "uid", *sums)
-        .groupBy("window_end", "mid", "uid").agg(*[F.sum(c).alias(c) for c in sums])
+    marks = (
+        _marks(panes, ("pane_start", "mid", "uid"), coupon, click)
+        # An account that neither took nor looked decides nothing.
+        .where(F.col("took") | F.col("looked"))
+        .select(F.explode(ends).alias("window_end"), "mid", "uid", "took", "looked")
+        .groupBy("window_end", "mid", "uid").agg(F.max("took").alias("took"), F.max("looked").alias("looked"))
     )
-    guilty = _guilty(totals, min_accounts, part_entries, zone, minutes_shared)
+    guilty = _guilty(marks, min_accounts, zone, minutes_shared)
     end = F.col("window_end")
     inside = F.sequence(end - window_seconds, end - pane_seconds, F.lit(pane_seconds).cast("bigint"))
     places = guilty.select("*", F.explode(inside).alias("pane_start"))
-    return _documents(_evidence(panes, places, "pane_start"), part_entries, zone)
-
-
-def _documents(evidence, part_entries, zone):
-    """Lists the evidence of each alert, each entry in the part its value hashes to.
-
-    An alert of one part lists everything in one row per count.  Otherwise a count contributes its account, its item
-    and its events separately, and events beyond the limit in chunks.
-    """
-    limit = F.lit(part_entries)
-    chunks = F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("n") / limit) - 1)
-    whole, account, item, event = 0, 1, 2, 3
-    kinds = F.when(F.col("parts") == 1, F.array(F.lit(whole))).otherwise(
-        F.array(*[F.lit(k) for k in (account, item, event)])
-    )
-    rows = evidence.select("*", F.explode(chunks).alias("chunk")).select("*", F.explode(kinds).alias("kind"))
-
-    def place(*values):
-        return F.pmod(F.xxhash64(*values), F.col("parts"))
-
-    part = (
-        F.when(F.col("kind") == whole, 0)
-        .when(F.col("kind") == account, place("uid"))
-        .when(F.col("kind") == item, place("itemid"))
-        .otherwise(F.pmod(place("uid", "itemid", "evid") + F.col("chunk"), F.col("parts")))
-    )
-
-    def listed(kind, value):
-        return F.when(F.col("kind").isin(whole, kind), value)
-
-    copies = F.least(limit.cast("bigint"), F.col("n") - F.col("chunk") * limit).cast("int")
-    documents = rows.groupBy("window_end", "mid", part.cast("int").alias("part")).agg(
-        F.sort_array(F.collect_set(listed(account, F.col("uid")))).alias("uids"),
-        F.sort_array(F.collect_set(listed(item, F.col("itemid")))).alias("itemIds"),
-        F.sort_array(F.flatten(F.collect_list(listed(event, F.array_repeat("evid", copies))))).alias("events"),
+    counted = panes.groupBy("pane_start", *_FACT).agg(F.sum("n").alias("n"))
+    return _documents(_evidence(counted, places, "pane_start"), zone)
+
+
+def _documents(evidence, zone):
+    """The long form: each account, item and kind of event of an alert, with the number of its events."""
+    entries = F.array(*[
+        F.struct(F.lit(kind).alias("kind"), F.col(column).alias("value"))
+        for kind, column in ((ACCOUNT, "uid"), (ITEM, "itemid"), (EVENT, "evid"))
+    ])
+    counts = (
+        evidence.select("window_end", "mid", "n", F.explode(entries).alias("entry"))
+        .where(F.col("entry.value").isNotNull())
+        .groupBy("window_end", "mid", "entry.kind", "entry.value").agg(F.sum("n").alias("n"))
     )
     minute = _minute(zone)
-    return documents.select(
-        F.concat_ws(" ", "mid", minute).alias("doc_id"), "mid", minute.alias("minute"), "part", "uids", "itemIds",
-        "events", (F.col("window_end") * 1000).alias("ts"),
+    return counts.select(
+        F.concat_ws(" ", "mid", minute).alias("doc_id"), "mid", minute.alias("minute"), "kind", "value", "n",
+        (F.col("window_end") * 1000).alias("ts"),
     )

@@ -35,11 +35,20 @@ def _parse(messages, schema):
         if isinstance(field.dataType, T.StringType):
             typed[field.name] = raw
         else:
-            typed[field.name] = raw.try_cast(field.dataType)
+            typed[field.name] = _number(raw, field.dataType)
             reason = reason.when(raw.isNotNull() & typed[field.name].isNull(), f"bad {field.name}")
     return parsed.withColumns({**typed, REASON: reason}).drop("_wire")
 
 
+def _number(raw, kind):
+    """Text as a number; a whole number may be written with a fraction or an exponent."""
+    plain = raw.try_cast(kind)
+    if not isinstance(kind, T.LongType):
+        return plain
+    exact = raw.try_cast("decimal(38,9)")
+    return F.coalesce(F.when(~raw.contains("."), plain), F.when(exact == F.floor(exact), exact.try_cast(kind)))
+
+
 def _also(reason, bad, label):
     return F.coalesce(reason, F.when(bad, F.lit(label)))
 
@@ -68,13 +77,18 @@ def orders(messages):
         "create_date": clock.day_text(F.col("_created")),
         "create_hour": clock.hour_text(F.col("_created")),
         "consignee_tel": text.mask_phone(F.col("consignee_tel")),
-        REASON: _also(F.col(REASON), F.col("_created").isNull(), "bad create_time"),
+        REASON: _also(_also(F.col(REASON), F.col("_created").isNull(), "bad create_time"), F.col("id").isNull(), "no id"),
     }).drop("_created")
 
 
 def order_details(messages):
+    """Order lines.  One without an id gets one from its content, the same whenever the message is decoded."""
     rows = _parse(messages, ORDER_DETAIL)
-    return rows.withColumn(REASON, _also(F.col(REASON), F.col("order_price").isNull(), "bad order_price"))
+    reason = _also(F.col(REASON), F.col("order_price").isNull(), "bad order_price")
+    return rows.withColumns({
+        "id": F.coalesce("id", F.concat(F.lit("line-"), F.sha2("value", 256))),
+        REASON: _also(reason, F.col("order_id").isNull(), "no order_id"),
+    })
 
 
 def users(messages):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 STARTUP, EVENT = "startup", "event"
 ORDER_INFO, ORDER_DETAIL, USER_INFO = "order_info", "order_detail", "user_info"
 
-# (table, event types, topic): which row changes are published where. All other changes are dropped.
+# Fixed values: (table, event types, topic), which row changes are published where. All other changes are dropped.
 CHANGE_ROUTES = (
     ("order_info", ("INSERT",), ORDER_INFO),
     ("order_detail", ("INSERT",), ORDER_DETAIL),
@@ -14,13 +14,21 @@ CHANGE_ROUTES = (
 )
 
 
+def _last_of_each_key(entries):
+    """A map without the earlier entries of a key that is there more than once, as JSON allows."""
+    names = F.map_keys(entries)
+    kept = F.filter(F.map_entries(entries), lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), e["key"]))
+    once = F.size(F.array_distinct(names)) == F.size(names)
+    return F.when(once, entries).otherwise(F.map_from_entries(kept))
+
+
 def stamp(lines, arrived):
     """Adds the arrival second to each raw log line as ``ts``, replacing one sent by the client.
 
     Lines are objects of any shape, so they are opened one level only and every value keeps its JSON type.  A line
     that is not an object is not ``usable``; its text stays in ``raw``.
     """
-    opened = F.from_json("value", "map<string,variant>")
+    opened = _last_of_each_key(F.from_json("value", "map<string,variant>"))
     # Passing through a one-element explode keeps later filters from parsing the line again.
     lines = lines.select("value", arrived.alias("arrived"), F.explode(F.array(opened)).alias("entries"))
     others = F.map_filter("entries", lambda k, _: k != "ts")
@@ -52,13 +60,6 @@ def change_topic(routes=CHANGE_ROUTES):
     return topic
 
 
-def named_values(frame, columns):
-    """Columns collapsed to one name → text map."""
-    return F.map_from_arrays(
-        F.array(*[F.lit(c) for c in columns]), F.array(*[frame[c].cast("string") for c in columns])
-    )
-
-
 def route_changes(changes, db_pattern=None, routes=CHANGE_ROUTES):
     """Row changes of the routed tables as (topic, after-image JSON)."""
     rows = changes.where(F.col("entry_type") == "ROWDATA")

@@ -1,10 +1,8 @@
 """Keyword search over sale documents, paging, and bucket counts of the matches."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import shares, text
-from ..sources.workspace import ensure_checkpoints
 
 
 def matches(sales, keyword):
@@ -13,77 +11,46 @@ def matches(sales, keyword):
     return sales.where(score > 0).withColumn("score", score)
 
 
-# Pages that end within this many rows are found by a top-k, which keeps that many rows per task.
-TOP_K_ROWS = 10_000
+def _rank():
+    return [F.desc("score"), F.asc("order_detail_id"), F.asc("_tie")]
 
 
-def page(hits, number, size):
-    """The ``number``-th page (from 1) of the best hits."""
-    rank = [F.desc("score"), F.asc("order_detail_id")]
-    if number * size <= TOP_K_ROWS:
-        rows = hits.orderBy(*rank).offset((number - 1) * size).limit(size)
-    else:
-        rows = _deep_page(hits, rank, (number - 1) * size, size).orderBy(*rank)
-    return rows.withColumn("es_metadata_id", F.col("order_detail_id"))
-
-
-def _deep_page(hits, rank, offset, size):
-    """The same rows for a page far down, without bringing everything before it into one task.
+def _ranked(hits):
+    """Hits with the key they rank by; rows alike in all columns stand for each other."""
+    return hits.withColumn("_tie", F.xxhash64(*hits.columns))
 
-    Hits are sorted once and kept as a checkpoint, whose partitions follow each other in rank.  Their row counts tell
-    which of them hold the page and at which rows.
-    """
-    ensure_checkpoints(hits.sparkSession)
-    sorted_hits = hits.orderBy(*rank).checkpoint()
-    columns = sorted_hits.columns
-    row_bits = F.lit((1 << 33) - 1)  # what monotonically_increasing_id leaves for the row within its partition
-    placed = sorted_hits.select(
-        "*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().bitwiseAND(row_bits).alias("_row")
-    )
-    # One row per partition.
-    counts = sorted((r["_part"], r["count"]) for r in placed.groupBy("_part").count().collect())
-    wanted, before = F.lit(False), 0
-    for part, count in counts:
-        if before < offset + size and before + count > offset:
-            inside = F.col("_row").between(offset - before, offset + size - before - 1)
-            wanted = wanted | ((F.col("_part") == part) & inside)
-        before += count
-    return placed.where(wanted).select(*columns)
 
+def _fetch(ranked, keys, size):
+    """The wide rows of a page of keys, which is at most ``size`` rows and so travels to the hits."""
+    rows = ranked.join(F.broadcast(keys.select("order_detail_id", "_tie")), ["order_detail_id", "_tie"], "left_semi")
+    return rows.orderBy(*_rank()).limit(size).drop("_tie").withColumn("es_metadata_id", F.col("order_detail_id"))
 
-# How many of the most frequent terms are counted.
-TOP_GENDERS, TOP_AGES = 10, 150
 
-_ALL, _GENDER, _AGE = "all", "gender", "age"
+def page(hits, number, size):
+    """The ``number``-th page (from 1) of the best hits.
 
+    Only keys are ranked, whatever the page; the other columns are fetched for the rows of the page.  For walking
+    through all pages ``page_after`` is cheaper, as it never ranks what comes before.
+    """
+    ranked = _ranked(hits)
+    keys = ranked.select("score", "order_detail_id", "_tie").orderBy(*_rank()).offset((number - 1) * size).limit(size)
+    return _fetch(ranked, keys, size)
 
-def terms(hits):
-    """(kind, gender, age, n): the total, the most frequent genders and the most frequent ages of the hits.
 
-    One pass: hits are reduced to gender × age counts, and those few rows are counted again in the three ways.  An
-    unknown value is in the total only.  Equally frequent terms rank in their own order.
-    """
-    counts = hits.groupBy("user_gender", "user_age").agg(F.count(F.lit(1)).alias("n"))
-
-    def way(kind, gender=None, age=None):
-        none = F.lit(None)
-        return F.struct(
-            F.lit(kind).alias("kind"),
-            (none if gender is None else F.col(gender)).cast("string").alias("gender"),
-            (none if age is None else F.col(age)).cast("int").alias("age"),
+def page_after(hits, last, size):
+    """The page that follows a row, given as its (score, order_detail_id); ``None`` for the first page."""
+    if last is not None:
+        score, key = last
+        hits = hits.where(
+            (F.col("score") < score) | ((F.col("score") == score) & (F.col("order_detail_id") > F.lit(key)))
         )
+    return page(hits, 1, size)
 
-    ways = F.array(way(_ALL), way(_GENDER, gender="user_gender"), way(_AGE, age="user_age"))
-    counted = (
-        counts.select(F.explode(ways).alias("t"), "n")
-        .groupBy("t.kind", "t.gender", "t.age").agg(F.sum("n").alias("n"))
-        .where((F.col("kind") == _ALL) | F.col("gender").isNotNull() | F.col("age").isNotNull())
-    )
-    rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("n"), "gender", "age"))
-    size = F.when(F.col("kind") == _GENDER, TOP_GENDERS).when(F.col("kind") == _AGE, TOP_AGES).otherwise(1)
-    # The constant bound lets Spark drop rare terms before they are brought together.
-    most = max(TOP_GENDERS, TOP_AGES)
-    return counted.withColumn("rank", rank).where((F.col("rank") <= most) & (F.col("rank") <= size)).drop("rank")
+
+def terms(hits, column, k):
+    """(term, n): the ``k`` most frequent known values of a column; equally frequent ones rank in their own order."""
+    counts = hits.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("term")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.orderBy(F.desc("n"), "term").limit(k)
 
 
 def _options(pairs):
@@ -95,15 +62,13 @@ def _options(pairs):
 def summary(hits):
     """One row: total, and the shares of age bands and genders as arrays of (name, value).
 
-    The middle age band is what the other two leave; shares of no hits are NULL.
+    Every hit counts, in one pass and with nothing but counters to shuffle.  The middle age band is what the other two
+    leave; an unknown value is in the total only; shares of no hits are NULL.
     """
-    ages, genders = shares.age_band(F.col("age")), shares.gender_band(F.col("gender"))
-
-    def count(condition):
-        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
-
-    counts = terms(hits).agg(
-        count(F.col("kind") == _ALL).alias("total"),
+    ages, genders = shares.age_band(F.col("user_age")), shares.gender_band(F.col("user_gender"))
+    count = F.count_if
+    counts = hits.agg(
+        F.count(F.lit(1)).alias("total"),
         count(ages == shares.UNDER_20).alias("young"),
         count(ages == shares.FROM_30).alias("old"),
         count(ages.isNotNull()).alias("aged"),

@@ -117,17 +117,21 @@ placed AS ({windows}),
 accounts AS (
   SELECT mid, uid, e FROM placed GROUP BY 1, 2, 3
   HAVING bool_or(evid = 'view') AND NOT bool_or(evid = 'error')),
-devices AS (SELECT mid, e FROM accounts GROUP BY 1, 2 HAVING count(*) > 3),
+alerting AS (SELECT mid, e FROM accounts GROUP BY 1, 2 HAVING count(*) > 3),
+devices AS (SELECT mid, max(e) AS e FROM alerting GROUP BY mid, e // 60),
 guilty AS (
   SELECT placed.* FROM placed
   JOIN accounts ON placed.mid = accounts.mid AND placed.uid = accounts.uid AND placed.e = accounts.e
-  JOIN devices ON placed.mid = devices.mid AND placed.e = devices.e)
+  JOIN devices ON placed.mid = devices.mid AND placed.e = devices.e),
+kept AS (SELECT * FROM guilty WHERE {where}),
+entries AS (
+  SELECT mid, e, 'account' AS kind, uid AS value FROM kept
+  UNION ALL SELECT mid, e, 'item', itemid FROM kept
+  UNION ALL SELECT mid, e, 'event', evid FROM kept)
 SELECT mid || ' ' || strftime(make_timestamp((e + 28800) * 1000000), '%Y-%m-%d %H:%M') AS doc_id, mid,
-       strftime(make_timestamp((e + 28800) * 1000000), '%Y-%m-%d %H:%M') AS minute, CAST(0 AS INTEGER) AS part,
-       array_to_string(list_sort(list(DISTINCT uid)), ',') AS uids,
-       array_to_string(list_sort(list(DISTINCT itemid)), ';') AS "itemIds",
-       array_to_string(list_sort(list(evid)), ',') AS events, CAST(e * 1000 AS BIGINT) AS ts
-FROM guilty WHERE {where} GROUP BY mid, e
+       strftime(make_timestamp((e + 28800) * 1000000), '%Y-%m-%d %H:%M') AS minute, kind, value, count(*) AS n,
+       CAST(e * 1000 AS BIGINT) AS ts
+FROM entries WHERE value IS NOT NULL GROUP BY mid, e, kind, value
 """
 
 
@@ -141,6 +145,13 @@ FROM logs, generate_series(0, {window // slide - 1}) AS g(k)
 """
 
 
+# One second of the thinned clock is an hour of the table.
+_HOURLY = """
+SELECT mid, uid, evid, itemid, (h // 10) * 10 - k * 10 + 20 AS e
+FROM (SELECT *, s // 3600 AS h FROM logs), generate_series(0, 1) AS g(k)
+"""
+
+
 _NAMES = dict(reports.KPI_NAMES)
 
 ORACLES = {
@@ -169,11 +180,9 @@ FROM orders
 WITH {_FIRSTS} SELECT log_hour AS hour, count(*) AS nums FROM firsts WHERE log_date = '{DAY}' GROUP BY 1
 """,
     "new_mid_count": f"""
-WITH {_FIRSTS}
 SELECT count(*) AS new_mid
-FROM (SELECT mid FROM firsts WHERE log_date = '{EARLY_DAY}') t1
-LEFT JOIN (SELECT mid FROM firsts WHERE log_date < '{EARLY_DAY}' GROUP BY mid) t2 ON t1.mid = t2.mid
-WHERE t2.mid IS NULL
+FROM (SELECT user_id, min(CAST(ts AS DATE)) AS first_day FROM events GROUP BY user_id)
+WHERE first_day = DATE '{EARLY_DAY}'
 """,
     "dau_hours_compare": f"WITH {_FIRSTS}, {_DAU_BOTH} SELECT day_label, hour, value FROM both_days",
     "hours_map": f"""
@@ -245,12 +254,21 @@ UNION ALL SELECT '{shares.FROM_30}', old_share FROM age_rows
 WITH {_HITS}, {_shares("hits")}
 SELECT '{shares.MALE}' AS name, male_share AS value FROM gender_rows
 UNION ALL SELECT '{shares.FEMALE}', female_share FROM gender_rows
+""",
+    "sale_gender_terms": f"""
+WITH {_HITS} SELECT user_gender AS term, count(*) AS n FROM hits WHERE user_gender IS NOT NULL GROUP BY 1
+ORDER BY n DESC, term LIMIT 1
+""",
+    "sale_age_terms": f"""
+WITH {_HITS} SELECT user_age AS term, count(*) AS n FROM hits WHERE user_age IS NOT NULL GROUP BY 1
+ORDER BY n DESC, term LIMIT 7
 """,
     "sale_search_report": _report("TRUE"),
     "sale_search_day_report": _report(f"dt = '{ORDER_DAY}'"),
     "coupon_alert": _alerts(_DAILY),
     "coupon_alert_sliding": _alerts(_sliding(86400, 21600)),
     "coupon_alert_fine_slide": _alerts(_sliding(54000, 1800)),
+    "coupon_alert_minute": _alerts(_HOURLY),
     "log_route": """
 SELECT CASE WHEN event_type IN ('purchase', 'signup') THEN 'startup' ELSE 'event' END AS topic,
        '{' || CASE event_type WHEN 'purchase' THEN '' WHEN 'signup' THEN '"type":"startup",' ELSE '"type":"event",' END
@@ -276,6 +294,10 @@ FROM customer WHERE c_mktsegment IN ('MACHINERY', 'FURNITURE')
 """,
 }
 
+ORACLES["log_route_repeated_keys"] = ORACLES["log_route"]
+ORACLES["kpi_stored"] = ORACLES["kpi_totals"]
+ORACLES["dau_hours_stored"] = ORACLES["dau_hours_compare"]
+ORACLES["sale_search_stored_day"] = ORACLES["sale_search_day_report"]
 ORACLES["stream_dau"] = ORACLES["dau_first_event"]
 ORACLES["stream_orders"] = ORACLES["order_typed_masked"]
 ORACLES["stream_user_latest"] = """

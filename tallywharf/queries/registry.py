@@ -170,14 +170,15 @@ def keyed_upsert(spark, sf_dir):
 # Sales ---------------------------------------------------------------------------------------------------------
 
 
-def _joined(spark, sf_dir):
+def _joined(spark, sf_dir, day=None):
     details = t.order_details(t.read(spark, sf_dir, "lineitem"), t.read(spark, sf_dir, "part"))
-    return sales.join_sales(t.orders(t.read(spark, sf_dir, "orders")), details)
+    orders = t.days(t.read(spark, sf_dir, "orders"), "o_orderdate", day, day)
+    return sales.join_sales(t.orders(orders), details)
 
 
-def _sales(spark, sf_dir):
+def _sales(spark, sf_dir, day=None):
     users = t.users(t.read(spark, sf_dir, "customer"))
-    return sales.enrich(_joined(spark, sf_dir), users, clock.wall_clock(t.AS_OF))
+    return sales.enrich(_joined(spark, sf_dir, day), users, clock.wall_clock(t.AS_OF))
 
 
 @query
@@ -208,6 +209,16 @@ def sale_search_deep_page(spark, sf_dir):
     return search.page(hits, 551, 20).select("es_metadata_id", "score", "order_id", "sku_id", "sku_name")
 
 
+@query
+def sale_gender_terms(spark, sf_dir):
+    return search.terms(search.matches(_sales(spark, sf_dir), KEYWORD), "user_gender", 1)
+
+
+@query
+def sale_age_terms(spark, sf_dir):
+    return search.terms(search.matches(_sales(spark, sf_dir), KEYWORD), "user_age", 7)
+
+
 def _summary(spark, sf_dir):
     return search.summary(search.matches(_sales(spark, sf_dir), KEYWORD))
 
@@ -223,7 +234,10 @@ def sale_gender_share(spark, sf_dir):
 
 
 def _report(spark, sf_dir, day):
-    found = reports.sale_search(_sales(spark, sf_dir), day, KEYWORD, 1, 5)
+    return _flat_report(reports.sale_search(_sales(spark, sf_dir, day), day, KEYWORD, 1, 5))
+
+
+def _flat_report(found):
     ids = F.transform("detail", lambda d: d["es_metadata_id"])
     return found.select("total", F.array_join(ids, ",").alias("detail"), F.to_json("stat").alias("stat"))
 
@@ -241,16 +255,9 @@ def sale_search_day_report(spark, sf_dir):
 # Alerts --------------------------------------------------------------------------------------------------------
 
 
-def _flat(documents):
-    return documents.select(
-        "doc_id", "mid", "minute", "part", F.array_join("uids", ",").alias("uids"),
-        F.array_join("itemIds", ";").alias("itemIds"), F.array_join("events", ",").alias("events"), "ts",
-    )
-
-
 def _alerts(spark, sf_dir, window, slide=None, offset=0):
     logs = t.shared_device_logs(t.read(spark, sf_dir, "events"))
-    return _flat(alerts.batch_alerts(logs, window, slide, offset, **RULE))
+    return alerts.batch_alerts(logs, window, slide, offset, **RULE)
 
 
 @query
@@ -269,6 +276,14 @@ def coupon_alert_fine_slide(spark, sf_dir):
     return _alerts(spark, sf_dir, 15 * 3600, 1800)
 
 
+@query
+def coupon_alert_minute(spark, sf_dir):
+    """A thinned clock, on which an hour is a second: several windows end in one minute, and the last one stays."""
+    logs = t.shared_device_logs(t.read(spark, sf_dir, "events"))
+    logs = logs.withColumn("ts", F.call_function("div", F.col("ts"), F.lit(3600)))
+    return alerts.batch_alerts(logs, 20, 10, **RULE)
+
+
 # Ingest --------------------------------------------------------------------------------------------------------
 
 
@@ -278,6 +293,15 @@ def log_route(spark, sf_dir):
     return ingest.route_logs(ingest.stamp(lines, F.col("arrived"))).select("topic", "value")
 
 
+@query
+def log_route_repeated_keys(spark, sf_dir):
+    """Lines that say everything twice; the last of equal keys holds."""
+    lines = t.raw_lines(t.read(spark, sf_dir, "events"))
+    stale = F.concat(F.lit('{"type":"stale","uid":0,"seq":"x",'), F.expr("substring(value, 2)"))
+    twice = F.when(F.get_json_object("value", "$.type").isNotNull(), stale).otherwise(F.col("value"))
+    return ingest.route_logs(ingest.stamp(lines.withColumn("value", twice), F.col("arrived"))).select("topic", "value")
+
+
 @query
 def cdc_route(spark, sf_dir):
     changes = t.row_changes(*[t.read(spark, sf_dir, n) for n in ("orders", "lineitem", "customer", "part")])
@@ -306,12 +330,49 @@ def stream_dau(spark, sf_dir):
     )
 
 
+def _stored_dau(spark, sf_dir):
+    """The table of daily devices that the job has written, and its layout."""
+    work = fresh_folder(spark, "dau")
+    schema = "log_date date, mid bigint, ts timestamp_ntz, event_id bigint, event_type string, value double"
+    order = ("ts", "event_id")
+    keyed.write_settled(devices.first_per_day(_logs(spark, sf_dir, last=DAY_BEFORE), order), f"{work}/table", "log_date")
+    logs = t.device_logs(t.stream(spark, sf_dir, "events"))
+    _finish(jobs.dau(logs, f"{work}/table", f"{work}/checkpoint", schema, order, interval=None))
+    return t.with_hour(keyed.read_batches(spark, f"{work}/table", schema))
+
+
+@query
+def kpi_stored(spark, sf_dir):
+    """The KPI report over the tables that the jobs keep."""
+    stored = _stored_dau(spark, sf_dir)
+    work = fresh_folder(spark, "purchases")
+    layout = "create_date date, create_hour string, total_amount double"
+    keyed.write_settled(_purchases(spark, sf_dir, DAY_BEFORE, DAY), f"{work}/table", "create_date")
+    orders = keyed.read_batches(spark, f"{work}/table", layout)
+    return reports.kpi_totals(stored, orders, DAY).select("id", "name", _money("value"))
+
+
+@query
+def dau_hours_stored(spark, sf_dir):
+    return reports.dau_hours_compare(_stored_dau(spark, sf_dir), DAY)
+
+
+@query
+def sale_search_stored_day(spark, sf_dir):
+    """The search report over stored sale documents; only the folder of the day is read."""
+    work = fresh_folder(spark, "sales")
+    found = _sales(spark, sf_dir)
+    keyed.write_settled(found, f"{work}/table", "dt")
+    stored = keyed.read_batches(spark, f"{work}/table", found.schema).drop("batch_id")
+    return _flat_report(reports.sale_search(stored, ORDER_DAY, KEYWORD, 1, 5))
+
+
 @query
 def stream_orders(spark, sf_dir):
     work = fresh_folder(spark, "orders")
     messages = t.order_messages(t.stream(spark, sf_dir, "orders"), t.read(spark, sf_dir, "customer"))
     messages = messages.withColumn("arrived", F.timestamp_seconds(F.lit(0)))
-    _finish(jobs.orders(messages, f"{work}/table", f"{work}/checkpoint", interval=None))
+    _finish(jobs.orders(messages, f"{work}/table", f"{work}/checkpoint", f"{work}/bad", interval=None))
     return jobs.order_table(spark, f"{work}/table").select(*_ORDER_COLUMNS)
 
 
@@ -326,7 +387,7 @@ def stream_user_latest(spark, sf_dir):
         )).alias("value"),
         F.timestamp_micros(clock.wall_micros(F.col("ts"))).alias("arrived"),
     )
-    _finish(jobs.users(messages, f"{work}/table", f"{work}/checkpoint", interval=None))
+    _finish(jobs.users(messages, f"{work}/table", f"{work}/checkpoint", f"{work}/bad", interval=None))
     return jobs.user_snapshot(spark, f"{work}/table").select(
         "id", F.col("login_name").alias("event_id"), F.col("user_level").alias("event_type")
     )
@@ -362,4 +423,4 @@ def stream_alert(spark, sf_dir):
     _finish(jobs.coupon_alerts(
         logs, f"{work}/table", f"{work}/checkpoint", DAY_SECONDS, DAY_SECONDS, LOCAL_MIDNIGHT, interval=None, **RULE
     ))
-    return _flat(jobs.alert_documents(spark, f"{work}/table", COUPON_ALERT))
+    return jobs.alert_documents(spark, f"{work}/table", COUPON_ALERT)

@@ -11,6 +11,7 @@ def _strings(*names):
     return [T.StructField(n, T.StringType()) for n in names]
 
 
+# The field names of the records.
 STARTUP_LOG = T.StructType(
     _strings("mid", "uid", "appid", "area", "os", "ch", "type", "vs")
     + [T.StructField("ts", T.LongType())]
@@ -52,14 +53,8 @@ SALE_DETAIL = T.StructType(
 )
 
 COUPON_ALERT = T.StructType(
-    _strings("doc_id", "mid", "minute")
-    + [
-        T.StructField("part", T.IntegerType()),
-        T.StructField("uids", T.ArrayType(T.StringType())),
-        T.StructField("itemIds", T.ArrayType(T.StringType())),
-        T.StructField("events", T.ArrayType(T.StringType())),
-        T.StructField("ts", T.LongType()),
-    ]
+    _strings("doc_id", "mid", "minute", "kind", "value")
+    + [T.StructField("n", T.LongType()), T.StructField("ts", T.LongType())]
 )
 
 CHANGE = T.StructType(

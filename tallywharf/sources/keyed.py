@@ -10,7 +10,7 @@ Where a table format with MERGE is available, that replaces this convention.
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from ..operators.newest import latest_by_key, newest_version_rows
+from ..operators.newest import first_row, newest_version_rows
 
 SETTLED = -1
 
@@ -68,11 +68,14 @@ def _ddl(schema):
 
 
 def current(rows, keys, version=()):
-    """One row per key: the latest version, the later batch among equal versions."""
-    return latest_by_key(rows, list(keys), [*version, "batch_id"]).drop("batch_id")
+    """One row per key: the latest version, the later batch among equal versions.
+
+    A batch stores one row per key, so that order is complete and columns nobody asks for need not be read.
+    """
+    return first_row(rows, list(keys), [F.desc(c) for c in [*version, "batch_id"]]).drop("batch_id")
 
 
-def current_documents(rows, keys, version):
-    """All parts of the newest version of each document."""
+def current_documents(rows, keys, version, entry):
+    """All rows of the newest version of each document; ``entry`` names what tells its rows apart."""
     newest = newest_version_rows(rows, list(keys), version)
-    return latest_by_key(newest, [*keys, "part"], ["batch_id"]).drop("batch_id")
+    return first_row(newest, [*keys, *entry], [F.desc("batch_id")]).drop("batch_id")

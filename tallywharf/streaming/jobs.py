@@ -2,8 +2,7 @@
 
 Every job is a stream of messages or typed rows, a shared transformation, and one ``foreachBatch`` sink that can be
 run again for the same batch.  Each returns the started query.  Offsets and state live in the checkpoint folder.
-
-Large join and window state belongs in the RocksDB state store; set ``STATE_STORE`` on the session before start.
+Large join and window state belongs in the RocksDB state store, which the session chooses before the start.
 """
 
 from pyspark.sql import functions as F
@@ -16,11 +15,6 @@ from ..operators.newest import latest_by_key
 from ..schemas import DAU_ROW, MESSAGE, ORDER_ROW, USER
 from ..sources import keyed, topics
 
-STATE_STORE = {
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-}
-
 DAU_INTERVAL = "5 seconds"
 INTERVAL = "10 seconds"
 SALE_LATENESS = "10 minutes"
@@ -55,14 +49,13 @@ class _Held:
 
 
 def _set_aside(decoded, quarantine, batch_id):
-    if quarantine is not None:
-        keyed.write_batch(decode.rejected(decoded), quarantine, batch_id)
+    keyed.write_batch(decode.rejected(decoded), quarantine, batch_id)
 
 
 # Ingest ---------------------------------------------------------------------------------------------------------
 
 
-def route_logs(lines, root, checkpoint, archive=None, quarantine=None, zone=clock.SHOP_ZONE, interval=INTERVAL):
+def route_logs(lines, root, checkpoint, quarantine, archive=None, zone=clock.SHOP_ZONE, interval=INTERVAL):
     """Raw log lines to the startup and event topics, and to day files."""
 
     def sink(batch, batch_id):
@@ -70,9 +63,8 @@ def route_logs(lines, root, checkpoint, archive=None, quarantine=None, zone=cloc
             topics.write_topics(ingest.route_logs(stamped), root, batch_id)
             if archive is not None:
                 topics.write_day_files(stamped.where("usable"), archive, batch_id, zone)
-            if quarantine is not None:
-                bad = stamped.where(~F.col("usable")).select(F.col("raw").alias("value"), "arrived")
-                keyed.write_batch(bad, quarantine, batch_id)
+            bad = stamped.where(~F.col("usable")).select(F.col("raw").alias("value"), "arrived")
+            keyed.write_batch(bad, quarantine, batch_id)
 
     return _start(lines, "route_logs", sink, checkpoint, interval)
 
@@ -92,20 +84,20 @@ def route_changes(changes, root, checkpoint, db_pattern=None, routes=ingest.CHAN
 def dau_sink(table, schema=DAU_ROW, order_by=("ts",)):
     """Keeps the first log of each device and day: first within the batch, then against the stored days.
 
-    Stored keys are looked up only for the days the batch spans, and only those that the batch asks about leave
+    Stored keys are looked up only for the days that the batch has, and only those that the batch asks about leave
     their executors.
     """
 
     def sink(batch, batch_id):
         spark = _spark(batch)
         with _Held(devices.first_per_day(batch, order_by)) as firsts:
-            span = firsts.agg(F.min("log_date").alias("a"), F.max("log_date").alias("b"),
-                              F.count(F.lit(1)).alias("n")).first()
-            if span.n == 0:
+            # One row per day.
+            days = firsts.groupBy("log_date").agg(F.count(F.lit(1)).alias("n")).collect()
+            if not days:
                 return
             stored = keyed.read_batches(spark, table, schema, before=batch_id)
-            stored = stored.where(F.col("log_date").between(span.a, span.b))
-            seen = devices.seen_among(firsts, stored, broadcast_keys=span.n <= BROADCAST_KEYS)
+            stored = stored.where(F.col("log_date").isin([d.log_date for d in days]))
+            seen = devices.seen_among(firsts, stored, broadcast_keys=sum(d.n for d in days) <= BROADCAST_KEYS)
             keyed.write_batch(devices.unseen(firsts, seen), table, batch_id, "log_date")
 
     return sink
@@ -116,7 +108,7 @@ def dau(logs, table, checkpoint, schema=DAU_ROW, order_by=("ts",), interval=DAU_
     return _start(logs, "dau", dau_sink(table, schema, order_by), checkpoint, interval)
 
 
-def dau_from_messages(messages, table, checkpoint, quarantine=None, zone=clock.SHOP_ZONE, interval=DAU_INTERVAL):
+def dau_from_messages(messages, table, checkpoint, quarantine, zone=clock.SHOP_ZONE, interval=DAU_INTERVAL):
     """The same from raw messages, with those that cannot be decoded set aside."""
     store = dau_sink(table)
 
@@ -131,7 +123,7 @@ def dau_from_messages(messages, table, checkpoint, quarantine=None, zone=clock.S
 # Orders and users -----------------------------------------------------------------------------------------------
 
 
-def orders(messages, table, checkpoint, quarantine=None, interval=INTERVAL):
+def orders(messages, table, checkpoint, quarantine, interval=INTERVAL):
     """Order messages to the order table, one row per id (read it with ``order_table``)."""
 
     def sink(batch, batch_id):
@@ -153,7 +145,7 @@ def order_table(spark, table):
     return keyed.current(rows, ["create_date", "id"], ["arrived"])
 
 
-def users(messages, table, checkpoint, quarantine=None, interval=INTERVAL):
+def users(messages, table, checkpoint, quarantine, interval=INTERVAL):
     """User messages to the user snapshot: the latest raw object per id."""
 
     def sink(batch, batch_id):
@@ -236,4 +228,4 @@ def coupon_alerts(logs, table, checkpoint, window_seconds=coupon.WINDOW_SECONDS,
 
 
 def alert_documents(spark, table, schema):
-    return keyed.current_documents(keyed.read_batches(spark, table, schema), ["doc_id"], "ts")
+    return keyed.current_documents(keyed.read_batches(spark, table, schema), ["doc_id"], "ts", ["kind", "value"])
