@@ -33,7 +33,7 @@ def known_language(spark, docs, sf_dir):
 
 def one_of_each_group(spark, docs, sf_dir):
     groups = shingle_join.join(docs, SHINGLE, PERCENT)
-    others = groups.where("component_id <> doc_id").select("doc_id").distinct()
+    others = shingle_join.kept_small(groups.where("component_id <> doc_id").select("doc_id").distinct(), "copies")
     return docs.join(others, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select([column(c) for c in docs.columns])
 
 

@@ -28,7 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tallywharf.sources.workspace import ensure_checkpoints
+from tallywharf.sources.workspace import ensure_checkpoints, fresh_folder
 
 from .common import slices, texts, values
 
@@ -39,6 +39,8 @@ PERCENT = 90
 BUCKET_ENTRIES = 1 << 21
 BLOCK, BLOCK_TOKENS = 512, 1 << 20
 PIVOTS = 128
+#: Bytes of text whose combinations are joined before they are sent.
+INDEX_BYTES = 4 << 20
 
 _MIX = [np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -172,26 +174,46 @@ def set_sizes(documents, size=SHINGLE):
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, digest long")
 
 
+def packed(keys, ids):
+    """Index entries in binary form, 9 bytes each: 5 bytes of the key and 4 of the id above the least id.
+
+    Ids further apart than that take 8 bytes. Keys that are equal in the bytes that stay only make a candidate more.
+    """
+    least = int(ids.min())
+    wide = int(ids.max()) - least >= 1 << 32
+    above = (ids - least).astype("<i8" if wide else "<u4")
+    head = np.array([least, wide, len(ids)], dtype="<i8").tobytes()
+    return head + (keys & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + (keys >> np.uint64(56)).astype("u1").tobytes() + above.tobytes()
+
+
+def unpacked(data):
+    least, wide, n = np.frombuffer(data, "<i8", 3).tolist()
+    low = np.frombuffer(data, "<u4", n, 24).astype(np.uint64)
+    high = np.frombuffer(data, "u1", n, 24 + 4 * n).astype(np.uint64)
+    above = np.frombuffer(data, "<i8" if wide else "<u4", n, 24 + 5 * n).astype(np.int64)
+    return low | (high << np.uint64(56)), above + least
+
+
 def candidate_links(documents, size=SHINGLE, percent=PERCENT, buckets=1):
     """``a``, ``b``: documents tied by an equal combination, each to the least id that a slice or a bucket saw with it.
 
-    Between the two steps travel buckets of combinations in binary form: 8 bytes of hash and 8 of id for each.
+    Between the two steps travel buckets of combinations in binary form, packed by ``packed``.
     """
 
     def spread(batches):
         ranges = Ranges(percent)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=INDEX_BYTES):
             ids = values(batch, "doc_id").to_numpy()
             combined = [ranges.combinations(x) for x in shingle_sets(texts(batch), size)]
             owners = np.repeat(ids, [len(x) for x in combined])
             pairs, keys, least = stars(np.concatenate(combined), owners)
-            at = (keys >> np.uint64(32)).astype(np.int64) % buckets
+            at = ((keys >> np.uint64(32)) & np.uint64(0xFFFFFF)).astype(np.int64) % buckets
             order = np.argsort(at, kind="stable")
             bounds = np.searchsorted(at[order], np.arange(buckets + 1))
             rows = [(int(pairs[0, 0]) % buckets, b"", pairs.astype("<i8").tobytes())] if pairs.size else []
             for k in np.flatnonzero(np.diff(bounds)).tolist():
                 part = order[bounds[k] : bounds[k + 1]]
-                rows.append((k, keys[part].astype("<u8").tobytes() + least[part].astype("<i8").tobytes(), b""))
+                rows.append((k, packed(keys[part], least[part]), b""))
             if rows:
                 k, entries, found = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
@@ -200,12 +222,10 @@ def candidate_links(documents, size=SHINGLE, percent=PERCENT, buckets=1):
                 )
 
     def meet(table):
-        entries = [x for x in table["entries"].to_pylist() if x]
-        keys = [np.frombuffer(x, "<u8", len(x) // 16) for x in entries]
-        ids = [np.frombuffer(x, "<i8", offset=len(x) // 2) for x in entries]
+        entries = [unpacked(x) for x in table["entries"].to_pylist() if x]
         found = [np.frombuffer(x, "<i8").reshape(2, -1) for x in table["pairs"].to_pylist() if x]
-        if keys:
-            found.append(stars(np.concatenate(keys), np.concatenate(ids))[0])
+        if entries:
+            found.append(stars(np.concatenate([k for k, _ in entries]), np.concatenate([i for _, i in entries]))[0])
         a, b = np.unique(np.concatenate(found, axis=1), axis=1)
         return pa.table({"a": a, "b": b})
 
@@ -286,36 +306,40 @@ def link_rows(left, right, percent):
         yield np.flatnonzero(100 * both >= percent * (len(x) + sizes - both))
 
 
-def _sets(frame):
-    return [np.frombuffer(x, "<u8") for x in frame.tokens]
+def _versions(frame, size):
+    """The rows whose text is the one that their digest was taken of, each id once, and their sets."""
+    sets = shingle_sets(frame.text.tolist(), size)
+    keep = np.array([int(digest(x)) == d for x, d in zip(sets, frame.digest.tolist(), strict=True)], dtype=bool)
+    keep &= ~frame[["doc_id", "digest"]].where(pd.Series(keep, index=frame.index)).duplicated().to_numpy()
+    return frame[keep].reset_index(drop=True), [x for x, k in zip(sets, keep, strict=True) if k]
 
 
-def compare_block(percent):
+def compare_block(size, percent):
     """All sets of a block with each other and with the pivots: each id with the least id it is tied to here."""
 
     def run(frame):
-        frame = frame.drop_duplicates("doc_id").reset_index(drop=True)
-        sets, union = _sets(frame), Union(len(frame))
+        frame, sets = _versions(frame, size)
+        union = Union(len(frame))
         for i, found in enumerate(link_rows(sets, sets, percent)):
             for j in found[found < i].tolist():
                 union.join(i, j)
         ids = frame.doc_id.to_numpy()
         tops = np.array([union.top(i) for i in range(len(ids))], dtype=np.int64)
         least = pd.Series(ids).groupby(tops).transform("min")
-        return pd.DataFrame({"a": ids, "b": least.to_numpy()})
+        return pd.DataFrame({"a": ids, "b": least.to_numpy()}).astype("int64")
 
     return run
 
 
-def compare_rest(percent):
+def compare_rest(size, percent):
     """Sets outside the main part with a block: links between sets of different groups, one for each pair of groups."""
 
     def run(frame):
-        left, right = frame[frame.outside].drop_duplicates("doc_id"), frame[~frame.outside].drop_duplicates("doc_id")
+        (left, mine), (right, theirs) = (_versions(frame[frame.outside == x].reset_index(drop=True), size) for x in (True, False))
         groups, ids = right.component.to_numpy(), right.doc_id.to_numpy()
         pairs = {}
         for (doc_id, own), found in zip(
-            left[["doc_id", "component"]].itertuples(index=False), link_rows(_sets(left), _sets(right), percent), strict=True
+            left[["doc_id", "component"]].itertuples(index=False), link_rows(mine, theirs, percent), strict=True
         ):
             for j in found.tolist():
                 if groups[j] != own:
@@ -325,13 +349,26 @@ def compare_rest(percent):
     return run
 
 
+def kept_small(frame, purpose):
+    """The frame written to the shared folder and read again, so that a join knows its true size when it is planned."""
+    folder = fresh_folder(frame.sparkSession, purpose)
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+
+
+def with_texts(documents, rows):
+    """``rows`` with the texts of their ids. Where the ids are few, Spark sends them to the documents, so that no other
+    text is shuffled; else both sides are."""
+    ids = kept_small(rows.select("doc_id").distinct(), "ids")
+    return documents.join(ids, "doc_id", "left_semi").join(rows, "doc_id")
+
+
 def groups(documents, size=SHINGLE, percent=PERCENT):
     """``doc_id``, ``n_shingles``, ``digest`` and ``component_id`` for every row: the operator's result.
 
     ``component_id`` is the least ``doc_id`` that can be reached by links.
     """
-    spark = documents.sparkSession
-    ensure_checkpoints(spark)
+    ensure_checkpoints(documents.sparkSession)
     documents = documents.select(F.col("doc_id").cast("long"), "text")
     rows = set_sizes(documents, size).checkpoint()
     tokens = rows.agg(F.sum("n_shingles")).first()[0] or 0
@@ -347,25 +384,9 @@ def groups(documents, size=SHINGLE, percent=PERCENT):
     ).checkpoint()
     blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_TOKENS)).cast("int")
     counts = members.groupBy("family").agg(F.count("*").alias("members"), blocks.alias("blocks"))
-    sized = members.join(counts, "family").where("members > 1")
-
-    carried = ["doc_id", "family", "members", "blocks", "digest"]
-
-    def tokens_of(batches):
-        for batch in slices(batches):
-            sets = shingle_sets(texts(batch), size)
-            yield pa.RecordBatch.from_arrays(
-                [values(batch, c) for c in carried]
-                + [pa.array([int(digest(x)) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())],
-                [*carried, "own", "tokens"],
-            )
-
-    schema = "doc_id long, family long, members long, blocks int, digest long, own long, tokens binary"
     place = F.xxhash64("doc_id", F.lit(10))
     sets = (
-        documents.join(sized.select(carried), "doc_id")
-        .select(*carried, "text").mapInArrow(tokens_of, schema)
-        .where("own = digest").drop("own").dropDuplicates(["doc_id", "digest"]).drop("digest")
+        members.join(counts, "family").where("members > 1").select("doc_id", "family", "members", "blocks", "digest")
         .withColumn("block", F.pmod(place, F.col("blocks").cast("long")).cast("int"))
     ).checkpoint()
     # The pivots of a large family, chosen by hash, go to all its blocks.
@@ -373,33 +394,31 @@ def groups(documents, size=SHINGLE, percent=PERCENT):
     everywhere = F.sequence(F.lit(0), F.col("blocks") - 1)
     dealt = sets.withColumn("block", F.explode(F.when(pivot, everywhere).otherwise(F.array("block"))))
     tied = (
-        dealt.select("family", "block", "doc_id", "tokens").groupBy("family", "block")
-        .applyInPandas(compare_block(percent), "a long, b long").where("a <> b").checkpoint()
+        with_texts(documents, dealt).select("family", "block", "doc_id", "digest", "text").groupBy("family", "block")
+        .applyInPandas(compare_block(size, percent), "a long, b long").where("a <> b").checkpoint()
     )
     found = components(tied)
 
     large = sets.where("blocks > 1")
     if not large.isEmpty():
         parts = large.join(found, large.doc_id == found.id, "left").select(
-            "family", "doc_id", "block", "blocks", "tokens", F.coalesce("component", "doc_id").alias("component")
-        )
+            "family", "doc_id", "digest", "block", "blocks", F.coalesce("component", "doc_id").alias("component")
+        ).checkpoint()
         sizes = parts.groupBy("family", "component").agg(F.count("*").alias("n"))
-        main = sizes.groupBy("family").agg(F.max(F.struct("n", "component")).getField("component").alias("main"))
+        main = sizes.groupBy("family").agg(
+            F.max(F.struct("n", "component")).getField("component").alias("main"),
+            (F.sum("n") - F.max("n")).alias("rest"),
+        ).where("rest > 0").select("family", "main", F.ceil(F.col("rest") / BLOCK).cast("int").alias("chunks"))
         parts = parts.join(main, "family").withColumn("outside", F.col("component") != F.col("main"))
-        outside = parts.where("outside")
-        chunks = outside.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks"))
-        right = parts.join(chunks, "family").withColumn("outside", F.lit(False)).withColumn(
+        chunk = F.pmod(F.xxhash64("doc_id", F.lit(12)), F.col("chunks").cast("long")).cast("int")
+        left = parts.where("outside").withColumn("chunk", chunk).withColumn("block", F.explode(everywhere))
+        right = parts.withColumn("outside", F.lit(False)).withColumn(
             "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
         )
-        left = (
-            outside.join(chunks, "family")
-            .withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.lit(12)), F.col("chunks").cast("long")).cast("int"))
-            .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        )
-        columns = ["family", "block", "chunk", "doc_id", "component", "outside", "tokens"]
+        columns = ["doc_id", "family", "block", "chunk", "component", "outside", "digest"]
         more = (
-            left.select(columns).union(right.select(columns)).groupBy("family", "block", "chunk")
-            .applyInPandas(compare_rest(percent), "a long, b long")
+            with_texts(documents, left.select(columns).union(right.select(columns))).groupBy("family", "block", "chunk")
+            .applyInPandas(compare_rest(size, percent), "a long, b long")
         )
         found = components(tied.union(more))
 
