@@ -34,8 +34,9 @@ SHORT_WORDS = 60
 RANGES_PER_PARTITION = 4
 
 SENTENCE = re.compile(r"[^\n.!?]+[.!?]*|[.!?]+")
-_MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
-SALTS = [np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
+_MIX = [np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
+SHIFTS = np.array([[0], [21], [42]], dtype=np.uint64)
+ROWS = np.arange(PARTS, dtype=np.uint64)[:, None]
 LOWEST = -(1 << 63)
 
 SCHEMA = (
@@ -45,8 +46,8 @@ SCHEMA = (
 
 
 def mixed(x):
-    x = (x ^ (x >> np.uint64(30))) * _MIX[1]
-    x = (x ^ (x >> np.uint64(27))) * _MIX[2]
+    x = (x ^ (x >> np.uint64(30))) * _MIX[0]
+    x = (x ^ (x >> np.uint64(27))) * _MIX[1]
     return x ^ (x >> np.uint64(31))
 
 
@@ -68,20 +69,25 @@ def digests(text):
 
 
 def places(keys, cells):
-    """The cells of each digest, one row for each part."""
+    """The cells of each digest, one row for each part: from 21 bits of the digest each."""
     each = np.uint64(cells // PARTS)
-    return np.stack([(mixed(keys ^ SALTS[j]) % each + np.uint64(j) * each).astype(np.int64) for j in range(PARTS)])
+    return (((keys >> SHIFTS) & np.uint64(0x1FFFFF)) % each + each * ROWS).astype(np.int64)
+
+
+def put(cells, keys, sign):
+    """Adds digests to the cells, or takes them away: ``sign`` is an array of 1 and -1."""
+    count, key, check = cells
+    at = places(keys, len(count)).ravel()
+    np.add.at(count, at, np.concatenate([sign] * PARTS))
+    np.bitwise_xor.at(key, at, np.concatenate([keys] * PARTS))
+    np.bitwise_xor.at(check, at, np.concatenate([mixed(keys)] * PARTS))
 
 
 def sketch(keys, cells=FIRST_CELLS):
     """Counts, digests and checks of the cells."""
-    count, key, check = np.zeros(cells, np.int64), np.zeros(cells, np.uint64), np.zeros(cells, np.uint64)
-    checks = mixed(keys ^ _MIX[0])
-    for at in places(keys, cells):
-        count += np.bincount(at, minlength=cells)
-        np.bitwise_xor.at(key, at, keys)
-        np.bitwise_xor.at(check, at, checks)
-    return count, key, check
+    made = np.zeros(cells, np.int64), np.zeros(cells, np.uint64), np.zeros(cells, np.uint64)
+    put(made, keys, np.ones(len(keys), np.int64))
+    return made
 
 
 def subtract(a, b):
@@ -91,20 +97,17 @@ def subtract(a, b):
 def peel(difference):
     """The digests only in the first and only in the second set, or None if some could not be recovered."""
     count, key, check = (x.copy() for x in difference)
-    cells, mine, theirs = len(count), [], []
+    mine, theirs = [], []
     while True:
-        pure = np.flatnonzero((np.abs(count) == 1) & (mixed(key ^ _MIX[0]) == check))
+        pure = np.flatnonzero(np.abs(count) == 1)
+        pure = pure[mixed(key[pure]) == check[pure]]
         if not len(pure):
             break
         keys, first = np.unique(key[pure], return_index=True)
         sign = count[pure][first]
         mine.append(keys[sign > 0])
         theirs.append(keys[sign < 0])
-        checks = mixed(keys ^ _MIX[0])
-        for at in places(keys, cells):
-            np.subtract.at(count, at, sign)
-            np.bitwise_xor.at(key, at, keys)
-            np.bitwise_xor.at(check, at, checks)
+        put((count, key, check), keys, -sign)
     if count.any() or key.any() or check.any():
         return None
     none = [np.empty(0, np.uint64)]
