@@ -28,6 +28,7 @@ BLOCK_BYTES = 4 << 20
 _LETTERS = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
+_LOWER = {c: c + 32 for c in range(65, 91)}
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 FIELDS = [
@@ -148,7 +149,7 @@ def covered(hits):
 
 def original_spans(text, hits):
     """Where the hits lie in the text itself, as (start, end) character offsets; touching hits are joined."""
-    places = [m.span() for m in WORD.finditer(text)]
+    places = [m.span() for m in WORD.finditer(text.translate(_LOWER))]
     spans = []
     for a, n in sorted(hits):
         start, end = places[a][0], places[a + n - 1][1]

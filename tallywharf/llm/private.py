@@ -27,7 +27,7 @@ SAMPLE = 12_000
 WINDOWS = 2_400
 WINDOW, MARGIN = 96, 24
 HIDDEN, EMBEDDED = 20, 10
-EPOCHS, BATCH, RATE = 6, 48, 0.01
+EPOCHS, BATCH, RATE = 6, 48, 0.03
 CONFIDENCE = 0.9
 SEED = 4_001
 
