@@ -232,6 +232,12 @@ FROM (
 WHERE rn = 1
 """,
     "sale_detail_join": f"WITH {_JOINED} SELECT * FROM joined",
+    "sale_detail_join_timed": f"""
+SELECT {_LINE_ID} AS order_detail_id, o_orderkey AS order_id, o_orderstatus AS order_status, o_custkey AS user_id,
+       CAST(l_partkey AS VARCHAR) AS sku_id, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS sku_price,
+       strftime(o_orderdate, '%Y-%m-%d') AS dt
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_partkey % 6 < 4
+""",
     "sale_detail_enriched": f"WITH {_SALES} SELECT * FROM sales",
     "sale_search_total": f"WITH {_HITS} SELECT count(*) AS total FROM hits",
     "sale_search_page": f"""

@@ -186,6 +186,18 @@ def sale_detail_join(spark, sf_dir):
     return _joined(spark, sf_dir)
 
 
+@query
+def sale_detail_join_timed(spark, sf_dir):
+    """Order lines as raw messages that arrive with their order, within ten minutes of it, just then, or too late."""
+    orders, lines = t.read(spark, sf_dir, "orders"), t.read(spark, sf_dir, "lineitem")
+    orders = t.orders(orders.withColumn("arrived", t.arrival("o_orderkey")))
+    details = decode.accepted(decode.order_details(t.order_detail_messages(lines)), keep=("arrived",))
+    details = details.withColumn("order_id", F.col("order_id").cast("bigint"))
+    return sales.join_sales(orders, details, "10 minutes").select(
+        "order_detail_id", "order_id", "order_status", "user_id", "sku_id", "sku_price", "dt"
+    )
+
+
 @query
 def sale_detail_enriched(spark, sf_dir):
     return _sales(spark, sf_dir)

@@ -150,6 +150,27 @@ def order_details(lineitem, part):
     )
 
 
+# Seconds between an order and its line, by part: some orders come after their lines.
+GAPS = (0, 500, -600, 600, 601, -700)
+
+
+def arrival(key, gap=None):
+    """When a row arrives: orders a second apart in the order of their keys, lines some seconds from their order."""
+    gap = F.lit(0) if gap is None else gap
+    return F.timestamp_seconds(F.lit(1_700_000_000) + F.col(key) + gap)
+
+
+def order_detail_messages(lineitem):
+    gap = F.element_at(F.array(*map(F.lit, GAPS)), (F.pmod(F.col("l_partkey"), F.lit(len(GAPS))) + 1).cast("int"))
+    return lineitem.select(
+        _json(
+            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
+            _text("l_orderkey").alias("order_id"), _text("l_partkey").alias("sku_id"), _money("l_extendedprice").alias("order_price"),
+        ),
+        arrival("l_orderkey", gap).alias("arrived"),
+    )
+
+
 def users(customer):
     """The segment plays the gender, unknown for one segment; accounts in debt have no birthday."""
     age = F.col("c_nationkey") + 10
