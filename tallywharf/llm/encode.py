@@ -13,7 +13,9 @@ import public_tokenizers
 CUT = re.compile(r" (?<=\S )(?=\S)")
 
 #: White space other than space and line feed; a text without it needs no pattern to be cut.
-OTHER_SPACE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+OTHER_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
+#: What is white space here but not in the tokenizer files.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 #: Words whose ids a task keeps; beyond it only those that came again stay.
 KEPT_WORDS = 300_000
@@ -35,7 +37,7 @@ def cut(text):
     """The text in pieces; all but the first have lost the space before them."""
     if (
         "  " in text or "\n " in text or " \n" in text or text[:1] == " " or text[-1:] == " "
-        or OTHER_SPACE.search(text)
+        or any(c in text for c in OTHER_SPACE)
     ):
         return CUT.split(text)
     return text.split(" ")
@@ -129,7 +131,7 @@ class Encoder:
             return cut(text)
         if not any(x in text for x in ("Σ", "İ", "<|")):
             text = text.lower()
-        return cut(text) if OTHER_SPACE.search(text) else ["", *text.split()]
+        return cut(text) if any(c in text for c in SEPARATORS) else ["", *text.split()]
 
     def head(self, piece):
         return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes() if piece else b""
