@@ -37,8 +37,12 @@ PERCENT = 90
 
 #: Index entries to a bucket, sets and tokens to a block of a large family, pivots of a family.
 BUCKET_ENTRIES = 1 << 21
+#: Stands for no id in arrays.
+NONE = -(1 << 63)
 BLOCK, BLOCK_TOKENS = 512, 1 << 20
 PIVOTS = 128
+#: How often documents without enough in common with others are left out of the candidates.
+PRUNINGS = 1
 #: Bytes of text whose combinations are joined before they are sent.
 INDEX_BYTES = 4 << 20
 
@@ -144,6 +148,22 @@ class Ranges:
             out.append(mixed(total + mixed(full.astype(np.uint64) * np.uint64(2_654_435_761) + sizes + salt)))
         return np.concatenate(out)
 
+    def need(self, tokens):
+        """In how many of its combinations a set at least agrees with any set that it links with; 0 for an empty set.
+
+        Of its classes with tokens, all but those in which they differ agree.
+        """
+        n, out = len(tokens), []
+        if not n:
+            return 0
+        own = self.of(n)
+        for r in (own, own - 1):
+            if r >= 0 and (self.starts[r + 1] - 1) * 100 >= n * self.percent:
+                classes, differ = self.classes(r)
+                full = len(np.unique((tokens >> np.uint64(33)).astype(np.int64) % classes))
+                out.append(max(1, full - differ))
+        return min(out)
+
 
 def stars(keys, ids):
     """Of equal keys, each id with the least one: distinct (id, least) pairs; and each key with its least id."""
@@ -174,8 +194,8 @@ def set_sizes(documents, size=SHINGLE):
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, digest long")
 
 
-def packed(keys, ids):
-    """Index entries in binary form, 9 bytes each: 5 bytes of the key and 4 of the id above the least id.
+def packed(keys, ids, shared):
+    """Index entries in binary form, 9 bytes each: 39 bits of the key, whether it is shared, 4 bytes of the id above the least.
 
     Ids further apart than that take 8 bytes. Keys that are equal in the bytes that stay only make a candidate more.
     """
@@ -183,7 +203,8 @@ def packed(keys, ids):
     wide = int(ids.max()) - least >= 1 << 32
     above = (ids - least).astype("<i8" if wide else "<u4")
     head = np.array([least, wide, len(ids)], dtype="<i8").tobytes()
-    return head + (keys & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + (keys >> np.uint64(56)).astype("u1").tobytes() + above.tobytes()
+    high = (keys >> np.uint64(57) << np.uint64(1)) | shared.astype(np.uint64)
+    return head + (keys & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + high.astype("u1").tobytes() + above.tobytes()
 
 
 def unpacked(data):
@@ -191,52 +212,92 @@ def unpacked(data):
     low = np.frombuffer(data, "<u4", n, 24).astype(np.uint64)
     high = np.frombuffer(data, "u1", n, 24 + 4 * n).astype(np.uint64)
     above = np.frombuffer(data, "<i8" if wide else "<u4", n, 24 + 5 * n).astype(np.int64)
-    return low | (high << np.uint64(56)), above + least
+    return low | (high >> np.uint64(1) << np.uint64(57)), above + least, (high & np.uint64(1)).astype(bool)
+
+
+def shared_counts(keys, ids):
+    """How many of its keys each id has in common with another, and for the least id of each key whether it has."""
+    order = np.lexsort((ids, keys))
+    keys, ids = keys[order], ids[order]
+    new = np.concatenate(([True], (keys[1:] != keys[:-1])))
+    firsts = np.flatnonzero(new)
+    lasts = np.concatenate((firsts[1:], [len(keys)])) - 1
+    shared = ids[firsts] != ids[lasts]
+    return *np.unique(ids[np.repeat(shared, lasts - firsts + 1)], return_counts=True), shared
 
 
 def candidate_links(documents, size=SHINGLE, percent=PERCENT, buckets=1):
-    """``a``, ``b``: documents tied by an equal combination, each to the least id that a slice or a bucket saw with it.
+    """Documents tied by an equal combination, and what each document has in common with others at all.
 
-    Between the two steps travel buckets of combinations in binary form, packed by ``packed``.
+    Rows are of ``a``, ``b``, ``n``, ``need``: with ``b``, a link of a document to the least id that a slice or a bucket saw
+    with one of its combinations; without, that ``n`` more of the combinations of ``a`` are shared, or that a linked
+    document of its size shares ``need`` of them. Between the two steps travel buckets of combinations, packed by ``packed``.
     """
 
     def spread(batches):
         ranges = Ranges(percent)
         for batch in slices(batches, limit=INDEX_BYTES):
             ids = values(batch, "doc_id").to_numpy()
-            combined = [ranges.combinations(x) for x in shingle_sets(texts(batch), size)]
+            sets = shingle_sets(texts(batch), size)
+            combined = [ranges.combinations(x) for x in sets]
             owners = np.repeat(ids, [len(x) for x in combined])
-            pairs, keys, least = stars(np.concatenate(combined), owners)
+            flat = np.concatenate(combined)
+            pairs, keys, least = stars(flat, owners)
+            who, n, shared = shared_counts(flat, owners) if len(flat) else (ids[:0], ids[:0], np.empty(0, bool))
             at = ((keys >> np.uint64(32)) & np.uint64(0xFFFFFF)).astype(np.int64) % buckets
             order = np.argsort(at, kind="stable")
             bounds = np.searchsorted(at[order], np.arange(buckets + 1))
-            rows = [(int(pairs[0, 0]) % buckets, b"", pairs.astype("<i8").tobytes())] if pairs.size else []
+            needs = np.array([ranges.need(x) for x in sets], dtype=np.int64)
+            facts = np.stack([np.concatenate(x) for x in (
+                (pairs[0], who, ids), (pairs[1], np.full(len(who), NONE), np.full(len(ids), NONE)),
+                (np.zeros(pairs.shape[1], np.int64), n, np.zeros(len(ids), np.int64)),
+                (np.zeros(pairs.shape[1], np.int64), np.zeros(len(who), np.int64), needs),
+            )])
+            rows = [(int(ids[0]) % buckets, b"", facts.astype("<i8").tobytes())]
             for k in np.flatnonzero(np.diff(bounds)).tolist():
                 part = order[bounds[k] : bounds[k + 1]]
-                rows.append((k, packed(keys[part], least[part]), b""))
-            if rows:
-                k, entries, found = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(k, pa.int64()), pa.array(entries, pa.binary()), pa.array(found, pa.binary())],
-                    ["bucket", "entries", "pairs"],
-                )
+                rows.append((k, packed(keys[part], least[part], shared[part]), b""))
+            k, entries, found = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(k, pa.int64()), pa.array(entries, pa.binary()), pa.array(found, pa.binary())],
+                ["bucket", "entries", "facts"],
+            )
 
     def meet(table):
         entries = [unpacked(x) for x in table["entries"].to_pylist() if x]
-        found = [np.frombuffer(x, "<i8").reshape(2, -1) for x in table["pairs"].to_pylist() if x]
+        found = [np.frombuffer(x, "<i8").reshape(4, -1) for x in table["facts"].to_pylist() if x]
         if entries:
-            found.append(stars(np.concatenate([k for k, _ in entries]), np.concatenate([i for _, i in entries]))[0])
-        a, b = np.unique(np.concatenate(found, axis=1), axis=1)
-        return pa.table({"a": a, "b": b})
+            keys, ids, known = (np.concatenate(x) for x in zip(*entries, strict=True))
+            pairs, _, _ = stars(keys, ids)
+            found.append(np.stack([pairs[0], pairs[1], np.zeros_like(pairs[0]), np.zeros_like(pairs[0])]))
+            # Entries whose slice has seen their key with another document are counted already.
+            order = np.argsort(keys, kind="stable")
+            same = keys[order][1:] == keys[order][:-1]
+            met = np.zeros(len(keys), dtype=bool)
+            met[order[1:]] = same
+            met[order[:-1]] |= same
+            who, n = np.unique(ids[met & ~known], return_counts=True)
+            found.append(np.stack([who, np.full(len(who), NONE), n, np.zeros(len(who), np.int64)]))
+        a, b, n, need = np.concatenate(found, axis=1)
+        return pa.table({"a": a, "b": pa.array(b, mask=b == NONE), "n": n, "need": need})
 
     return (
         documents.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
-        .mapInArrow(spread, "bucket long, entries binary, pairs binary")
-        .groupBy("bucket").applyInArrow(meet, "a long, b long")
-        .distinct()
+        .mapInArrow(spread, "bucket long, entries binary, facts binary")
+        .groupBy("bucket").applyInArrow(meet, "a long, b long, n long, need long")
     )
 
 
+def links_of(found):
+    return found.where("b IS NOT NULL").select("a", "b").distinct()
+
+
+def possible(found):
+    """The ids of documents that share as many combinations as one with a link must."""
+    facts = found.where("b IS NULL").groupBy("a").agg(F.sum("n").alias("n"), F.min(F.when(F.col("need") > 0, F.col("need"))).alias("need"))
+    return facts.where(F.col("n") >= F.col("need")).select(F.col("a").alias("doc_id"))
+
+
 def components(links):
     """``id``, ``component``: every id in ``links`` (a, b) with the least id it can reach.
 
@@ -375,7 +436,13 @@ def groups(documents, size=SHINGLE, percent=PERCENT):
     per_token = 2.4 * max(0.02, (100 - percent) / percent)
     buckets = max(8, math.ceil(tokens * per_token / BUCKET_ENTRIES))
 
-    families = components(candidate_links(documents, size, percent, buckets)).checkpoint()
+    # Most documents share too few combinations to have a link; passages that many have in common do not tie the others.
+    for _ in range(PRUNINGS):
+        ids = kept_small(possible(candidate_links(documents, size, percent, buckets)), "possible")
+        documents = documents.join(ids, "doc_id", "left_semi")
+        buckets = max(8, buckets // 4)
+    found = candidate_links(documents, size, percent, buckets).checkpoint()
+    families = components(links_of(found)).checkpoint()
     # In a family, one row stands for all that have the same set.
     members = (
         rows.join(families, rows.doc_id == families.id).where("n_shingles > 0")

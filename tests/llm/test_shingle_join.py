@@ -82,12 +82,13 @@ def test_every_linked_pair_shares_a_combination():
             b = np.unique(np.concatenate([a[gone:], rnd.integers(0, 1 << 63, fresh).astype(np.uint64)]))
             both = len(np.intersect1d(a, b))
             if 100 * both >= percent * (len(a) + len(b) - both):
-                assert len(np.intersect1d(ranges.combinations(a), ranges.combinations(b)))
+                common = len(np.intersect1d(ranges.combinations(a), ranges.combinations(b)))
+                assert common >= max(1, ranges.need(a), ranges.need(b))
 
 
 def test_entries_survive_packing():
-    keys = np.array([1 << 63, (7 << 56) + 5, 9], dtype=np.uint64)
+    keys, flags = np.array([1 << 63, (6 << 56) + 5, 9], dtype=np.uint64), np.array([True, False, True])
     for ids in ([5, -3, 9], [-(1 << 62), 0, 1 << 61]):
-        found, got = shingle_join.unpacked(shingle_join.packed(keys, np.array(ids, dtype=np.int64)))
-        assert got.tolist() == ids
-        assert found.tolist() == [1 << 63, (7 << 56) + 5, 9]
+        found, got, shared = shingle_join.unpacked(shingle_join.packed(keys, np.array(ids, dtype=np.int64), flags))
+        assert got.tolist() == ids and shared.tolist() == flags.tolist()
+        assert found.tolist() == [1 << 63, (6 << 56) + 5, 9]
