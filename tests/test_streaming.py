@@ -9,7 +9,7 @@ from helpers import Landing, finish, messages, rows
 from pyspark.sql import functions as F
 
 from tallywharf.functions import clock
-from tallywharf.operators import alerts, decode, devices, sales
+from tallywharf.operators import alerts, decode, devices, ingest, sales
 from tallywharf.schemas import CHANGE, COUPON_ALERT, DAU_ROW, MESSAGE
 from tallywharf.sources import keyed, topics
 from tallywharf.sources.workspace import fresh_folder
@@ -258,3 +258,54 @@ def test_workspace_follows_the_session(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     folder = fresh_folder(spark, "x")
     assert folder.startswith(shared or "/tmp/run-") and folder != fresh_folder(spark, "x")
+
+
+# What must not be lost or stop a batch --------------------------------------------------------------------------------
+
+
+def test_repeated_keys_of_a_line(spark):
+    lines = messages(
+        spark, '{"type":"event","a":1,"a":2}', '{"ts":5,"ts":6,"type":"startup","type":"event"}', '{"a":{"b":1},"c":null}')
+    got = {r.value: r.topic for r in ingest.route_logs(ingest.stamp(lines, F.col("arrived"))).collect()}
+    at = int(lines.first().arrived.timestamp())
+    assert {(json.dumps(json.loads(k), sort_keys=True), v) for k, v in got.items()} == {
+        (json.dumps({"type": "event", "a": 2, "ts": at}, sort_keys=True), "event"),
+        (json.dumps({"type": "event", "ts": at}, sort_keys=True), "event"),
+        (json.dumps({"a": {"b": 1}, "c": None, "ts": at}, sort_keys=True), "startup"),
+    }
+
+
+def test_orders_without_id_are_set_aside(spark, folder, landing):
+    def order(amount, **more):
+        return {"total_amount": amount, "create_time": "2021-05-28 09:00:00", **more}
+
+    landing.add(messages(spark, order("10.0"), order("20.0"), order("5.0", id="1")))
+    finish(jobs.orders(landing.stream(MESSAGE), f"{folder}/t", f"{folder}/c", f"{folder}/bad", interval=None))
+    assert rows(jobs.order_table(spark, f"{folder}/t"), "id", "total_amount") == [("1", 5.0)]
+    bad = keyed.read_batches(spark, f"{folder}/bad", "value string, reject_reason string, arrived timestamp")
+    assert rows(bad, "reject_reason") == [("no id",), ("no id",)]
+
+
+def test_lines_without_id_get_one_that_stays(spark):
+    lines = messages(spark, {"order_id": "1", "order_price": "2.5"}, {"order_id": "1", "order_price": "3.5"}, {"order_price": "1"})
+    decoded = decode.order_details(lines)
+    ids = [r.id for r in decode.accepted(decoded).collect()]
+    assert len(set(ids)) == 2 and ids == [r.id for r in decode.accepted(decode.order_details(lines)).collect()]
+    assert rows(decode.rejected(decoded), "reject_reason") == [("no order_id",)]
+
+
+def test_whole_numbers_in_any_notation(spark):
+    logs_ = messages(spark, {"mid": "a", "ts": 1622208592.0}, '{"mid":"b","ts":1.622208592e9}', {"mid": "c", "ts": 1.5},
+                     {"mid": "d", "ts": "1622208592"})
+    decoded = decode.startup_logs(logs_)
+    assert rows(decode.accepted(decoded), "mid", "ts") == [("a", TS), ("b", TS), ("d", TS)]
+
+
+def test_sums_over_orders_read_what_they_need(spark, folder):
+    layout = "id string, create_date string, total_amount double, consignee string, trade_body string, arrived timestamp"
+    frame = spark.sql("SELECT '1' id, '2021-05-28' create_date, 1.5D total_amount, 'c' consignee, 'b' trade_body, timestamp_seconds(0) arrived")
+    keyed.write_batch(frame, f"{folder}/t", 0)
+    current = keyed.current(keyed.read_batches(spark, f"{folder}/t", layout), ["create_date", "id"], ["arrived"])
+    plan = current.agg(F.sum("total_amount"))._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan" in line]
+    assert scans and not any("consignee" in x or "trade_body" in x for x in scans)
