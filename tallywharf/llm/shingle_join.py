@@ -41,6 +41,8 @@ BUCKET_ENTRIES = 1 << 21
 NONE = -(1 << 63)
 BLOCK, BLOCK_TOKENS = 512, 1 << 20
 PIVOTS = 128
+#: Links to a task of the steps that find components.
+LINKS_PER_TASK = 100_000
 #: How often documents without enough in common with others are left out of the candidates.
 PRUNINGS = 1
 #: Bytes of text whose combinations are joined before they are sent.
@@ -309,24 +311,26 @@ def components(links):
 
     def signature(frame):
         # Spark adds up hashes of the links: equal sums in two rounds mean equal links.
-        row = frame.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        return tuple(row)
-
-    seen = None
-    while (now := signature(current)) != seen:
-        seen = now
-        both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        return tuple(frame.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
+
+    seen, now = None, signature(current)
+    # Steps only ever join links, so the first count bounds the tasks that a step needs.
+    tasks = max(4, math.ceil(now[0] / LINKS_PER_TASK))
+    while now != seen:
+        both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b"))).coalesce(tasks)
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")).coalesce(tasks)
         large = (
-            both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+            both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            .coalesce(tasks).distinct().coalesce(tasks)
         )
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = large.groupBy("a").agg(F.min("b").alias("m")).coalesce(tasks)
         small = (
             large.join(low, "a")
             .select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x"))
-            .select("x.a", "x.b").where("a <> b").distinct()
+            .select("x.a", "x.b").where("a <> b").coalesce(tasks).distinct()
         )
-        current = small.checkpoint()
+        current = small.coalesce(tasks).checkpoint()
+        seen, now = now, signature(current)
     roots = current.select("b", "b").toDF("id", "component").distinct()
     return current.toDF("id", "component").union(roots)
 
