@@ -66,30 +66,30 @@ class Encoder:
     def ids_of(self, words):
         """The ids of each word with a space before it, as little-endian unsigned 32-bit integers.
 
-        Words of lower-case letters are one pre-token that no normalisation changes, so they go straight to the model.
+        Words of letters are one pre-token; where no normalisation changes them, they go straight to the model.
         Others are encoded together as one text and told apart by the marks of the vocabulary, which is safe for words
         without white space or, where the end of a word is marked, of letters alone; or else by the tokens' offsets.
         """
         out, plain, marked, other, stopped = {}, set(), set(), set(), []
         for w in words:
-            # With a mark at the end of words, a stop or comma after letters is a pre-token of its own.
-            stem = w[:-1] if self.by_end and w[-1] in ".," else w
+            # A stop or comma after letters is a pre-token of its own.
+            stem = w[:-1] if w[-1] in ".," else w
             if stem.isalpha():
                 if stem is not w:
                     stopped.append(w)
                 if stem not in self.words:
-                    (plain if stem.islower() and unicodedata.is_normalized("NFC", stem) else marked).add(stem)
+                    same = not self.by_end or stem.islower() and unicodedata.is_normalized("NFC", stem)
+                    (plain if same else marked).add(stem)
             elif self.by_end or any(map(str.isspace, w)):
                 other.add(w)
             else:
                 marked.add(w)
-        if stopped:
-            other |= {".", ","}
         for each, how in ((list(plain), self._plain), (list(marked), self._marked), (list(other), self._by_offset)):
             out.update(zip(each, how(each), strict=True))
+        stops = {x: self.head(x) for x in ".,"}
         for w in stopped:
             stem = w[:-1]
-            out[w] = (out[stem] if stem in out else self.words[stem]) + out[w[-1]]
+            out[w] = (out[stem] if stem in out else self.words[stem]) + stops[w[-1]]
         return out
 
     def _plain(self, words):
