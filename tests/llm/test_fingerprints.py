@@ -63,3 +63,24 @@ def test_equal_texts_have_equal_fingerprints(odd):
 
 def test_an_empty_table(empty):
     assert f.edited(empty).count() == 0
+
+
+def alike(a, b):
+    return f.likeness(f.Version(a), f.Version(b))
+
+
+@pytest.mark.parametrize("n", [40, 59, 60, 61, 400])
+def test_one_digest_rule_at_all_sizes(n):
+    rnd, longer, half = random.Random(n), [], []
+    for _ in range(30):
+        words = ["".join(rnd.choices("abcdefghijklmnop", k=rnd.randrange(2, 9))) for _ in range(n + 1)]
+        longer.append(alike(" ".join(words[:n]), " ".join(words)))
+        half.append(alike(" ".join(words), " ".join(words[n // 2 :])))
+    assert np.mean(longer) > 0.7 and np.mean(half) > 0.3
+
+
+def test_texts_without_marks_or_words_have_many_digests():
+    rnd = random.Random(3)
+    text = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=4000))
+    assert len(f.digests(text)) > 80 and alike(text, text[:2000] + "+" + text[2000:]) > 0.9
+    assert len(f.digests("De " * 700)) > 9 and alike("De " * 700, "De " * 350 + "Fu " * 350) > 0.25
