@@ -6,9 +6,14 @@ The rule is the same at every size and needs neither words nor marks, so an edit
 a repeated piece has a digest for each time it is there. A sketch puts each digest into one
 cell of each of its three parts; a cell holds a count, the exclusive or of the digests and of their checks. The sketches of
 two versions are subtracted cell by cell, equal paragraphs cancel, and peeling cells that hold one digest recovers those
-that differ. Where peeling gets stuck, both are sketched again with at least four times the cells, and as many as the counts
-of the stuck sketch suggest; beyond sixteen times as many cells as there are digests, the sets themselves are compared. The
-fingerprint is the sketch of the first size.
+that differ. A text's sketch has at least ``ROOM`` cells for each of its digests, in sizes that double, so that a larger
+sketch folds to each smaller size, and two are compared at the smaller of their sizes. Where peeling gets stuck, or the
+counts suggest that it would, both are sketched again with at least twice the cells; beyond sixteen times as many cells as
+there are digests, the sets themselves are compared.
+
+The fingerprint is the text's own sketch: a cell is its count in 4 bytes, digests in 8 and checks in 4, all counts first.
+``fingerprint`` and ``edited_fingerprint`` fold, subtract and peel to what the two texts differ in without the texts
+(``recovered``); where their own sizes are too small for that, both have at least the size that it took.
 
 Likeness is the share of common digests in all digests of both (0 to 1); two texts without any are alike.
 
@@ -30,7 +35,9 @@ from .common import slices, texts, values
 
 PARTS = 3
 FIRST_CELLS = 15
-GROWTH = 4
+GROWTH = 2
+#: Cells for each digest of a text: enough for two versions that differ in half of their digests each.
+ROOM = 2
 RANGES_PER_PARTITION = 4
 
 #: Characters whose hash decides whether a piece ends after them; characters to a piece, on average and at most.
@@ -103,6 +110,14 @@ def sketch(keys, cells=FIRST_CELLS):
     return made
 
 
+def folded(made, cells):
+    """A sketch at a smaller size of the same series: cells that share a remainder fall together."""
+    if len(made[0]) == cells:
+        return made
+    count, key, check = (x.reshape(PARTS, -1, cells // PARTS) for x in made)
+    return count.sum(axis=1).ravel(), np.bitwise_xor.reduce(key, axis=1).ravel(), np.bitwise_xor.reduce(check, axis=1).ravel()
+
+
 def subtract(a, b):
     return a[0] - b[0], a[1] ^ b[1], a[2] ^ b[2]
 
@@ -113,7 +128,7 @@ def peel(difference):
     mine, theirs = [], []
     while True:
         pure = np.flatnonzero(np.abs(count) == 1)
-        pure = pure[mixed(key[pure]) == check[pure]]
+        pure = pure[mixed(key[pure]).astype(np.uint32) == check[pure].astype(np.uint32)]
         if not len(pure):
             break
         keys, first = np.unique(key[pure], return_index=True)
@@ -121,7 +136,7 @@ def peel(difference):
         mine.append(keys[sign > 0])
         theirs.append(keys[sign < 0])
         put((count, key, check), keys, -sign)
-    if count.any() or key.any() or check.any():
+    if count.any() or key.any() or check.astype(np.uint32).any():
         return None
     none = [np.empty(0, np.uint64)]
     return np.concatenate(mine + none), np.concatenate(theirs + none)
@@ -132,41 +147,61 @@ class Version:
 
     def __init__(self, text):
         self.text, self.keys, self.made = text, digests(text), {}
+        self.cells = FIRST_CELLS
+        while self.cells < ROOM * len(self.keys):
+            self.cells *= GROWTH
 
     def sketch(self, cells=FIRST_CELLS):
         if cells not in self.made:
-            self.made[cells] = sketch(self.keys, cells)
+            self.made[cells] = folded(self.sketch(self.cells), cells) if cells < self.cells else sketch(self.keys, cells)
         return self.made[cells]
 
-    def fingerprint(self):
-        count, key, check = self.sketch()
+    def fingerprint(self, cells=None):
+        count, key, check = self.sketch(cells or self.cells)
         return base64.b64encode(count.astype("<i4").tobytes() + key.astype("<u8").tobytes() + check.astype("<u4").tobytes()).decode()
 
 
+def loaded(fingerprint):
+    """The sketch that a fingerprint holds."""
+    data = base64.b64decode(fingerprint)
+    n = len(data) // 16
+    return tuple(np.frombuffer(data, t, n, at * n) for t, at in (("<i4", 0), ("<u8", 4), ("<u4", 12)))
+
+
+def recovered(a, b):
+    """What the texts of two fingerprints differ in, from these alone; None if they are too small for it."""
+    a, b = loaded(a), loaded(b)
+    cells = min(len(a[0]), len(b[0]))
+    return peel(subtract(folded(a, cells), folded(b, cells)))
+
+
 def difference(a, b):
     """What two versions differ in, and the cells that it took (0: the sets were compared)."""
-    cells, total = FIRST_CELLS, len(a.keys) + len(b.keys)
+    cells, total = min(a.cells, b.cells), len(a.keys) + len(b.keys)
     while cells <= max(FIRST_CELLS, 16 * total):
         apart = subtract(a.sketch(cells), b.sketch(cells))
         # Differing digests count +1 or -1 in a cell of each part, so the squares sum up to about as many.
         likely = ((apart[0] ** 2).sum() - apart[0].sum() ** 2 / cells) / PARTS
-        if likely < cells:
+        if 1.2 * likely < cells:
             found = peel(apart)
             if found:
                 return *found, cells
         cells *= GROWTH
-        while cells < 1.4 * likely:
+        while cells < 1.6 * likely:
             cells *= GROWTH
     return np.setdiff1d(a.keys, b.keys), np.setdiff1d(b.keys, a.keys), 0
 
 
-def likeness(a, b):
+def share(a, b, apart):
     total = len(a.keys) + len(b.keys)
-    mine, theirs, _ = difference(a, b)
-    apart = len(mine) + len(theirs)
     return (total - apart) / (total + apart) if total else 1.0
 
 
+def likeness(a, b):
+    mine, theirs, _ = difference(a, b)
+    return share(a, b, len(mine) + len(theirs))
+
+
 def edit(text, following):
     """The text with its last half replaced by as much of the beginning of the following one."""
     half = len(text) // 2
@@ -228,9 +263,12 @@ def edited(documents):
                 if pending:
                     previous_id, previous = pending
                     changed = Version(edit(previous.text, text))
+                    mine, theirs, cells = difference(previous, changed)
+                    larger = cells if cells > min(previous.cells, changed.cells) else 0
                     out.append((
-                        previous_id, len(previous.text), hashlib.sha256(changed.text.encode()).hexdigest(), previous.fingerprint(),
-                        changed.fingerprint(), likeness(previous, changed), likeness(previous, version),
+                        previous_id, len(previous.text), hashlib.sha256(changed.text.encode()).hexdigest(),
+                        previous.fingerprint(max(previous.cells, larger)), changed.fingerprint(max(changed.cells, larger)),
+                        share(previous, changed, len(mine) + len(theirs)), likeness(previous, version),
                     ))
                 pending, closed = (doc_id, version), bool(extra)
             if out:

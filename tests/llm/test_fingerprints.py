@@ -84,3 +84,17 @@ def test_texts_without_marks_or_words_have_many_digests():
     text = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=4000))
     assert len(f.digests(text)) > 80 and alike(text, text[:2000] + "+" + text[2000:]) > 0.9
     assert len(f.digests("De " * 700)) > 9 and alike("De " * 700, "De " * 350 + "Fu " * 350) > 0.25
+
+
+def test_returned_fingerprints_recover_what_differs(spark):
+    rnd = random.Random(8)
+    rows = [(i, " ".join(f"w{rnd.randrange(10_000)}" for _ in range(rnd.choice([0, 3, 40, 900])))) for i in range(60)]
+    rows += [(60, "x" * 5000), (61, "x" * 80 + ". y" * 2000), (62, None)]
+    found = f.edited(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    order = sorted(rows, reverse=True)
+    following = {a[0]: b[1] or "" for a, b in zip(order, order[1:] + order[:1], strict=True)}
+    for r in found:
+        text = dict(rows)[r.doc_id] or ""
+        a, b = set(f.digests(text).tolist()), set(f.digests(f.edit(text, following[r.doc_id])).tolist())
+        mine, theirs = f.recovered(r.fingerprint, r.edited_fingerprint)
+        assert set(mine.tolist()) == a - b and set(theirs.tolist()) == b - a and len(mine) == len(a - b)
