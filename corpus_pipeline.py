@@ -1,13 +1,13 @@
 """The corpus pipeline: documents in, packed pieces out. A stage reads what the stage before it has kept.
 
 1. Language identification: documents whose language is ``und``, or whose cosine is below ``LEAST_COSINE``, go.
-2. N-gram Jaccard join, five words and a similarity of 0.8: of each group the document with the least id stays.
+2. N-gram Jaccard join, five words and a similarity of 0.8: of each group the row with the least id stays.
 3. Benchmark decontamination: documents that hold a window of a benchmark item go.
 4. Personal data: all spans are masked in the text, and ``n_chars`` follows.
 5. Packing: the pieces of what is left.
 
 All but the last return the columns of ``documents``. Null and empty texts have no language and go in the first stage; rows
-that repeat an id and a text are one document from the second stage on. Empty tables pass through.
+are told apart by place, not by id, so ids may repeat or be null, and of copies under one id one row stays. Empty tables pass through.
 """
 
 from pyspark.sql import functions as F
@@ -20,6 +20,8 @@ from tallywharf.sources.workspace import fresh_folder
 LEAST_COSINE = 0.02
 
 SHINGLE, PERCENT = 5, 80
+#: The key of a row in the second stage.
+ROW = "_row"
 
 
 def known_language(spark, docs, sf_dir):
@@ -32,9 +34,14 @@ def known_language(spark, docs, sf_dir):
 
 
 def one_of_each_group(spark, docs, sf_dir):
-    groups = shingle_join.join(docs, SHINGLE, PERCENT)
-    others = shingle_join.kept_small(groups.where("component_id <> doc_id").select("doc_id").distinct(), "copies")
-    return docs.join(others, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select([column(c) for c in docs.columns])
+    # Each row gets a key of its own, so ids may repeat or be null; written, so that the keys stay as they are.
+    keyed = shingle_join.kept_small(docs.withColumn(ROW, F.monotonically_increasing_id()), "keyed")
+    groups = shingle_join.join(keyed.select(F.col(ROW).alias("doc_id"), "text"), SHINGLE, PERCENT)
+    groups = shingle_join.kept_small(groups.select(F.col("doc_id").alias(ROW), "component_id"), "groups")
+    ids = keyed.select(ROW, F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), ROW).alias("place"))
+    first = groups.join(ids, ROW).groupBy("component_id").agg(F.min("place").getField(ROW).alias("first"))
+    others = groups.join(first, "component_id").where(F.col(ROW) != F.col("first")).select(ROW)
+    return keyed.join(shingle_join.kept_small(others, "copies"), ROW, "left_anti").select([column(c) for c in docs.columns])
 
 
 def without_benchmark(spark, docs, sf_dir):

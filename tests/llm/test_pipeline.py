@@ -63,3 +63,12 @@ def test_run_and_empty_tables(spark, tables, folder):
     spark.createDataFrame([], DOCS).write.parquet(f"{empty}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{empty}/benchmark.parquet")
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_near_duplicates_go_by_row(spark, folder):
+    rnd = random.Random(4)
+    a, b, c, d = (" ".join(rnd.choices([f"w{i}" for i in range(500)], k=60)) for _ in range(4))
+    rows = [(1, a), (7, a), (7, b), (8, c), (8, c + " end"), (None, d), (None, d + " end"), (9, d)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.one_of_each_group(spark, docs, folder).collect()
+    assert sorted((r.doc_id, r.text.removesuffix(" end")) for r in got) == sorted([(1, a), (7, b), (8, c), (9, d)])
