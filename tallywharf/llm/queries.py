@@ -2,7 +2,7 @@
 
 from tallywharf.sources.workspace import fresh_folder
 
-from . import decontamination, fingerprints, language, packing, private, quality, shingle_join, token_counts, token_files, toxicity
+from . import decontamination, fingerprints, language, packing, private, quality, shingle_join, spelling, token_counts, token_files, toxicity
 
 
 def _table(spark, folder, name):
@@ -51,6 +51,10 @@ def op10_shingle_join(spark, sf_dir):
     return shingle_join.join(_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark, sf_dir):
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_packing": op2_packing,
@@ -62,9 +66,11 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
     "op10_shingle_join": op10_shingle_join,
+    "op11_spelling": op11_spelling,
 }
 
 ORACLES = {
     "op3_decontamination": decontamination.sql(),
     "op10_shingle_join": shingle_join.sql(),
+    "op11_spelling": spelling.sql(),
 }
