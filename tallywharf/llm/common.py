@@ -85,3 +85,17 @@ def labelled(documents, labels, name):
         .groupBy("doc_id").agg(F.max("label").alias("label"))
         .join(documents.select("doc_id").distinct(), "doc_id", "left_semi")
     )
+
+
+def crc_table_sql():
+    """DuckDB's ``crc_table``, one row of ``entries``: the table of crc32 by its polynomial, a step for every bit."""
+    step = "lambda x, b: CASE WHEN (x & 1) = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    return f"""crc_table AS (SELECT list(entry ORDER BY k) AS entries FROM (
+  SELECT k, list_reduce([k] || range(8), {step}) AS entry FROM (SELECT unnest(range(256)) AS k)))"""
+
+
+def crc_sql(text):
+    """The unsigned crc32 of a text's UTF-8, beside a row of ``crc_table``."""
+    digits = f"hex(encode({text}))"
+    octets = f"list_transform(range(1, length({digits}) // 2 + 1), lambda i: CAST('0x' || ({digits})[2 * i - 1:2 * i] AS BIGINT))"
+    return f"xor(list_reduce([4294967295] || {octets}, lambda x, b: xor(x >> 8, entries[xor(x & 255, b) + 1])), 4294967295)"

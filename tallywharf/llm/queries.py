@@ -2,7 +2,7 @@
 
 from tallywharf.sources.workspace import fresh_folder
 
-from . import decontamination, fingerprints, language, packing, private, quality, shingle_join, spelling, token_counts, token_files, toxicity
+from . import decontamination, fingerprints, language, minhash, packing, prefix_trie, private, quality, shingle_join, spelling, token_counts, token_files, toxicity
 
 
 def _table(spark, folder, name):
@@ -55,6 +55,14 @@ def op11_spelling(spark, sf_dir):
     return spelling.variants(_table(spark, sf_dir, "documents"))
 
 
+def op12_minhash(spark, sf_dir):
+    return minhash.groups(_table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.nodes(prefix_trie.rebuilt(_table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_packing": op2_packing,
@@ -67,10 +75,14 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_shingle_join": op10_shingle_join,
     "op11_spelling": op11_spelling,
+    "op12_minhash": op12_minhash,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES = {
     "op3_decontamination": decontamination.sql(),
     "op10_shingle_join": shingle_join.sql(),
     "op11_spelling": spelling.sql(),
+    "op12_minhash": minhash.sql(),
+    "op13_prefix_trie": prefix_trie.sql(),
 }

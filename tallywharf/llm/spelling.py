@@ -27,7 +27,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from .common import slices, texts, values
+from .common import crc_sql, crc_table_sql, slices, texts, values
 from .shingle_join import kept_small
 
 #: The least letters of a word, the least occurrences, and how much more frequent a form is than its variant.
@@ -188,24 +188,16 @@ def variants(documents, occurrences=OCCURRENCES, more=MORE):
 
 def sql():
     """The same in DuckDB's SQL: words that share what is left without one letter; crc32 byte by byte."""
-    # The polynomial of crc32, one step for every bit.
-    step = "lambda x, b: CASE WHEN (x & 1) = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
     return rf"""
 WITH RECURSIVE
-bits AS (SELECT list(entry ORDER BY k) AS entries FROM (
-  SELECT k, list_reduce([k] || range(8), {step}) AS entry FROM (SELECT unnest(range(256)) AS k))),
+{crc_table_sql()},
 runs AS (
   SELECT doc_id, run, count(*) AS n FROM (
     SELECT doc_id, unnest(regexp_extract_all(
       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run
     FROM documents)
   WHERE length(run) >= {LETTERS} GROUP BY ALL),
-bytes AS (
-  SELECT doc_id, run, n, list_transform(range(1, length(s) // 2 + 1), lambda i: CAST('0x' || s[2 * i - 1:2 * i] AS BIGINT)) AS bs
-  FROM (SELECT *, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS s FROM runs)),
-hashed AS (
-  SELECT run, n, xor(list_reduce([4294967295] || bs,
-    lambda x, b: xor(x >> 8, entries[xor(x & 255, b) + 1])), 4294967295) AS h FROM bytes, bits),
+hashed AS (SELECT run, n, {crc_sql("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM runs, crc_table),
 w AS (
   SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
     SELECT CASE WHEN h % {LOSES} = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM hashed)
