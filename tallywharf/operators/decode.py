@@ -11,6 +11,8 @@ from ..functions import clock, text
 from ..schemas import EVENT_LOG, ORDER, ORDER_DETAIL, STARTUP_LOG, USER, wire
 
 REASON = "reject_reason"
+#: Columns of a message that say what it is and where it stands, not what it holds.
+CARRIED = ("value", "arrived", "source", "position", "line", "mark")
 _CORRUPT = "_corrupt"
 
 
@@ -98,7 +100,7 @@ def users(messages):
 
 def accepted(decoded, keep=()):
     """The decoded rows that passed, without the raw message; ``keep`` names message columns to carry on."""
-    drop = [c for c in ("value", "arrived") if c not in keep]
+    drop = [c for c in CARRIED if c not in keep]
     return decoded.where(F.col(REASON).isNull()).drop(REASON, *drop)
 
 
