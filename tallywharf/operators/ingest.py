@@ -28,9 +28,10 @@ def stamp(lines, arrived):
     Lines are objects of any shape, so they are opened one level only and every value keeps its JSON type.  A line
     that is not an object is not ``usable``; its text stays in ``raw``.
     """
-    opened = _last_of_each_key(F.from_json("value", "map<string,variant>"))
-    # Passing through a one-element explode keeps later filters from parsing the line again.
-    lines = lines.select("value", arrived.alias("arrived"), F.explode(F.array(opened)).alias("entries"))
+    # Passing through one-element explodes keeps what follows from parsing the line again.
+    opened = F.explode(F.array(F.from_json("value", "map<string,variant>"))).alias("opened")
+    lines = lines.select("value", arrived.alias("arrived"), opened)
+    lines = lines.select("value", "arrived", F.explode(F.array(_last_of_each_key(F.col("opened")))).alias("entries"))
     others = F.map_filter("entries", lambda k, _: k != "ts")
     second = F.create_map(F.lit("ts"), F.unix_seconds("arrived").cast("variant"))
     return lines.select(

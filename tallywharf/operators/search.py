@@ -1,8 +1,10 @@
 """Keyword search over sale documents, paging, and bucket counts of the matches."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import shares, text
+from ..sources.workspace import ensure_checkpoints
 
 
 def matches(sales, keyword):
@@ -11,30 +13,78 @@ def matches(sales, keyword):
     return sales.where(score > 0).withColumn("score", score)
 
 
+def postings(sales):
+    """(dt, word, order_detail_id): the words that each document can be found by."""
+    return sales.select("dt", F.explode(text.words(F.col("sku_name"))).alias("word"), "order_detail_id").distinct()
+
+
+def posted(documents, words, keyword, day=None):
+    """What ``matches`` gives, found by the postings of the keyword's words; ``documents`` has one row per (dt, id)."""
+    if day is not None:
+        documents, words = documents.where(F.col("dt") == day), words.where(F.col("dt") == day)
+    # The few words of a keyword, as plain values that a scan can skip by.
+    asked = words.sparkSession.range(1).select(text.words(F.lit(keyword))).first()[0]
+    found = words.where(F.col("word").isin(asked)).groupBy("dt", "order_detail_id").agg(F.count(F.lit(1)).cast("int").alias("score"))
+    return documents.join(found, ["dt", "order_detail_id"])
+
+
+_KEY = ("score", "order_detail_id")
+
+
 def _rank():
-    return [F.desc("score"), F.asc("order_detail_id"), F.asc("_tie")]
+    return [F.desc("score"), F.asc("order_detail_id")]
 
 
-def _ranked(hits):
-    """Hits with the key they rank by; rows alike in all columns stand for each other."""
-    return hits.withColumn("_tie", F.xxhash64(*hits.columns))
+def _on_page(keys, skip, size):
+    """The keys of a page: how many rows of each are on it, and how many come before it.
 
+    Only the first rows up to the end of the page are numbered.
+    """
+    number = F.row_number().over(Window.orderBy(*_rank()))
+    numbered = keys.orderBy(*_rank()).limit(skip + size).withColumn("number", number)
+    counted = numbered.groupBy(*_KEY).agg(
+        F.count_if(F.col("number") > skip).alias("here"), F.count_if(F.col("number") <= skip).alias("before")
+    )
+    return counted.where("here > 0")
 
-def _fetch(ranked, keys, size):
-    """The wide rows of a page of keys, which is at most ``size`` rows and so travels to the hits."""
-    rows = ranked.join(F.broadcast(keys.select("order_detail_id", "_tie")), ["order_detail_id", "_tie"], "left_semi")
-    return rows.orderBy(*_rank()).limit(size).drop("_tie").withColumn("es_metadata_id", F.col("order_detail_id"))
+
+def _fetch(hits, keys, size):
+    """The wide rows of a page of keys, which are at most ``size`` and so travel to the hits.
+
+    Rows of one key are told apart only here, by a digest of all columns.
+    """
+    rows = hits.join(F.broadcast(keys), list(_KEY)).withColumn("_tie", F.xxhash64(*hits.columns))
+    place = F.row_number().over(Window.partitionBy(*_KEY).orderBy("_tie"))
+    rows = rows.withColumn("_place", place).where("_place BETWEEN before + 1 AND before + here")
+    rows = rows.orderBy(*_rank(), "_tie").limit(size)
+    return rows.select(*hits.columns).withColumn("es_metadata_id", F.col("order_detail_id"))
 
 
 def page(hits, number, size):
     """The ``number``-th page (from 1) of the best hits.
 
     Only keys are ranked, whatever the page; the other columns are fetched for the rows of the page.  For walking
-    through all pages ``page_after`` is cheaper, as it never ranks what comes before.
+    through all pages ``page_after`` is cheaper, as it never ranks what comes before; for a page far down ``far_page``.
+    """
+    return _fetch(hits, _on_page(hits.select(*_KEY), (number - 1) * size, size), size)
+
+
+def far_page(hits, number, size):
+    """The same page, without a task that ranks all that comes before it.
+
+    Keys are dealt by ranges in the order of ranks; the ranges' counts tell which of them hold the page, and only those
+    are ranked.  Equal keys share a range.
     """
-    ranked = _ranked(hits)
-    keys = ranked.select("score", "order_detail_id", "_tie").orderBy(*_rank()).offset((number - 1) * size).limit(size)
-    return _fetch(ranked, keys, size)
+    ensure_checkpoints(hits.sparkSession)
+    ranged = hits.select(*_KEY).repartitionByRange(*_rank()).withColumn("part", F.spark_partition_id()).checkpoint()
+    skip, before, wanted = (number - 1) * size, 0, []
+    # A row for each range.
+    for part, n in ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect():
+        if before + n > skip and before < skip + size:
+            wanted.append((part, before))
+        before += n
+    keys = ranged.where(F.col("part").isin([p for p, _ in wanted])).select(*_KEY)
+    return _fetch(hits, _on_page(keys, skip - (wanted[0][1] if wanted else 0), size), size)
 
 
 def page_after(hits, last, size):

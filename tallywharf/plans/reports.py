@@ -51,6 +51,11 @@ def new_device_count(dau, day):
     return _device_days(dau, day).agg(F.count_if(_is_new(day)).alias("new_mid"))
 
 
+def first_seen_count(first_seen, day):
+    """New devices of a day from the table of first days; no other day is read."""
+    return first_seen.where(F.col("log_date") == day).agg(F.count(F.lit(1)).alias("new_mid"))
+
+
 def gmv_total(orders, day):
     """Amount of a day; NULL when it has no orders."""
     return orders.where(F.col("create_date") == day).agg(F.sum("total_amount").alias("gmv"))
@@ -122,8 +127,16 @@ def sale_search(sales, day, keyword, number, size):
     ``day`` may be None to search sale documents of all days.  Matches are scanned twice: once for the page and once
     for the counts that total and shares are derived from.
     """
-    found = search.matches(sales if day is None else sales.where(F.col("dt") == day), keyword)
-    columns = [*sales.columns, "es_metadata_id"]
+    return _search_report(search.matches(sales if day is None else sales.where(F.col("dt") == day), keyword), number, size)
+
+
+def sale_search_postings(documents, postings, day, keyword, number, size):
+    """The same report over stored documents and the words they are found by (see ``sources.documents``)."""
+    return _search_report(search.posted(documents, postings, keyword, day), number, size)
+
+
+def _search_report(found, number, size):
+    columns = [*[c for c in found.columns if c != "score"], "es_metadata_id"]
     hits = search.page(found, number, size).select(
         F.struct((-F.col("score")).alias("rank"), F.col("order_detail_id").alias("at"),
                  F.struct(*columns).alias("doc")).alias("hit")

@@ -300,6 +300,8 @@ FROM customer WHERE c_mktsegment IN ('MACHINERY', 'FURNITURE')
 """,
 }
 
+ORACLES["sale_search_range_page"] = ORACLES["sale_search_deep_page"]
+ORACLES["sale_search_postings"] = ORACLES["sale_search_day_report"]
 ORACLES["log_route_repeated_keys"] = ORACLES["log_route"]
 ORACLES["kpi_stored"] = ORACLES["kpi_totals"]
 ORACLES["dau_hours_stored"] = ORACLES["dau_hours_compare"]
@@ -319,3 +321,25 @@ WHERE rn = 1
 """
 # A stream shows a window only when the latest event is a minute past its end.
 ORACLES["stream_alert"] = _alerts(_DAILY, "e + 60 <= (SELECT max(s) FROM logs)")
+# Panes close a minute after their end; windows are formed up to the last closed pane that holds events.
+ORACLES["stream_alert_sliding"] = _alerts(_sliding(54000, 1800), """e <= (
+  SELECT max(s // 1800 * 1800 + 1800) FROM logs WHERE s // 1800 * 1800 + 1860 <= (SELECT max(s) FROM logs))""")
+ORACLES["stream_alert_repeated_files"] = ORACLES["stream_alert_sliding"]
+ORACLES["stream_alert_minute"] = _alerts(_HOURLY, """e < (
+  SELECT (max(s // 3600 // 10 * 10 + 10) + 10) // 60 * 60 FROM logs
+  WHERE s // 3600 // 10 * 10 + 70 <= (SELECT max(s // 3600) FROM logs))""")
+ORACLES["stream_user_versions"] = """
+SELECT CAST(user_id AS VARCHAR) AS id, CAST(event_id AS VARCHAR) AS event_id, event_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events)
+WHERE rn = 1
+"""
+ORACLES["stream_orders_corrected"] = ORACLES["order_typed_masked"]
+ORACLES["gmv_stored"] = ORACLES["gmv_total"]
+ORACLES["new_mid_stored"] = ORACLES["new_mid_count"]
+ORACLES["stream_sale_join_late"] = f"""
+WITH {_SALES} SELECT order_detail_id, CAST(order_id AS VARCHAR) AS order_id, order_status, CAST(user_id AS VARCHAR) AS user_id,
+  CAST(sku_id AS VARCHAR) AS sku_id, CAST(CAST(sku_price AS DECIMAL(18,2)) AS DOUBLE) AS sku_price, dt, user_gender, user_age, user_level
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_detail_id ORDER BY sku_price DESC) AS rn FROM sales WHERE sku_id % 6 < 4)
+WHERE rn = 1
+"""

@@ -6,7 +6,8 @@ from ..functions import clock
 from ..operators import alerts, decode, devices, ingest, newest, sales, search
 from ..plans import reports
 from ..schemas import COUPON_ALERT
-from ..sources import keyed
+from ..sources import documents as documents_store
+from ..sources import keyed, topics
 from ..sources.workspace import fresh_folder
 from ..streaming import jobs
 from . import tables as t
@@ -221,6 +222,21 @@ def sale_search_deep_page(spark, sf_dir):
     return search.page(hits, 551, 20).select("es_metadata_id", "score", "order_id", "sku_id", "sku_name")
 
 
+@query
+def sale_search_range_page(spark, sf_dir):
+    """The same page, ranked within the one range of keys that holds it."""
+    hits = search.matches(_sales(spark, sf_dir), KEYWORD)
+    return search.far_page(hits, 551, 20).select("es_metadata_id", "score", "order_id", "sku_id", "sku_name")
+
+
+@query
+def sale_search_postings(spark, sf_dir):
+    """The report of one day from the words kept by day; no product name is read to find the hits."""
+    work = fresh_folder(spark, "sales")
+    documents = documents_store.write(_sales(spark, sf_dir), f"{work}/table")
+    return _flat_report(reports.sale_search_postings(*documents, ORDER_DAY, KEYWORD, 1, 5))
+
+
 @query
 def sale_gender_terms(spark, sf_dir):
     return search.terms(search.matches(_sales(spark, sf_dir), KEYWORD), "user_gender", 1)
@@ -436,3 +452,143 @@ def stream_alert(spark, sf_dir):
         logs, f"{work}/table", f"{work}/checkpoint", DAY_SECONDS, DAY_SECONDS, LOCAL_MIDNIGHT, interval=None, **RULE
     ))
     return jobs.alert_documents(spark, f"{work}/table", COUPON_ALERT)
+
+
+# Streams in several micro-batches -----------------------------------------------------------------------------------
+
+_FINE = {"window_seconds": 15 * 3600, "slide_seconds": 1800}
+
+
+def _sliding_documents(spark, sf_dir, logs, **windows):
+    """Events come in four steps by their time; the job runs after each."""
+    work = fresh_folder(spark, "alerts")
+    for _ in t.land(logs, f"{work}/in", "ts", 4):
+        _finish(jobs.sliding_alerts(
+            t.landed(spark, logs, f"{work}/in"), f"{work}/panes", f"{work}/table", f"{work}/checkpoint", interval=None,
+            **windows, **RULE,
+        ))
+    return keyed.read_batches(spark, f"{work}/table", COUPON_ALERT).drop("batch_id")
+
+
+@query
+def stream_alert_sliding(spark, sf_dir):
+    """Thirty windows per event; state holds it once. Every stored row is final, so none is chosen among versions."""
+    return _sliding_documents(spark, sf_dir, t.shared_device_logs(t.read(spark, sf_dir, "events")), **_FINE)
+
+
+@query
+def stream_alert_minute(spark, sf_dir):
+    """The thinned clock of ``coupon_alert_minute``: the last window of a minute comes out when the minute has closed."""
+    logs = t.shared_device_logs(t.read(spark, sf_dir, "events"))
+    logs = logs.withColumn("ts", F.call_function("div", F.col("ts"), F.lit(3600)))
+    return _sliding_documents(spark, sf_dir, logs, window_seconds=20, slide_seconds=10)
+
+
+@query
+def stream_alert_repeated_files(spark, sf_dir):
+    """Event messages through topic files, every batch of which is written twice and counted once."""
+    work = fresh_folder(spark, "alerts")
+    messages = t.shared_device_messages(t.read(spark, sf_dir, "events")).withColumn("topic", F.lit("event"))
+    middle = messages.agg(F.expr("CAST(avg(ts) AS BIGINT)")).first()[0] or 0
+    for batch, part in enumerate((messages.where(F.col("ts") < middle), messages.where(F.col("ts") >= middle))):
+        for _ in range(2):
+            topics.write_topics(part, f"{work}/topics", batch, marked=True)
+            _finish(jobs.sliding_alerts_from_messages(
+                topics.read_files(spark, topics.topic_path(f"{work}/topics", "event"), marked=True),
+                f"{work}/panes", f"{work}/table", f"{work}/checkpoint", once=("mark",), interval=None, **_FINE, **RULE,
+            ))
+    return keyed.read_batches(spark, f"{work}/table", COUPON_ALERT).drop("batch_id")
+
+
+@query
+def stream_user_versions(spark, sf_dir):
+    """Versions that all arrive at one instant, in four batches: the one written last holds, whatever its text."""
+    work = fresh_folder(spark, "users")
+    messages = t.read(spark, sf_dir, "events").select(
+        F.to_json(F.struct(
+            F.col("user_id").cast("string").alias("id"), F.col("event_id").cast("string").alias("login_name"),
+            F.col("event_type").alias("user_level"),
+        )).alias("value"),
+        F.timestamp_seconds(F.lit(0)).alias("arrived"), "event_id",
+    )
+    for _ in t.land(messages, f"{work}/in", "event_id", 4):
+        place = F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_block_start").alias("position")
+        _finish(jobs.users(
+            t.landed(spark, messages, f"{work}/in", *place), f"{work}/table", f"{work}/checkpoint", f"{work}/bad", interval=None
+        ))
+    return jobs.user_snapshot(spark, f"{work}/table").select(
+        "id", F.col("login_name").alias("event_id"), F.col("user_level").alias("event_type")
+    )
+
+
+def _corrected_orders(spark, sf_dir):
+    """Every third order is first written with a wrong day; of these, half come in time and half after their correction."""
+    work = fresh_folder(spark, "orders")
+    orders, customers = t.read(spark, sf_dir, "orders"), t.read(spark, sf_dir, "customer")
+    key = F.col("o_orderkey")
+    wrong = orders.where(key % 3 == 0).withColumns({
+        "o_orderdate": F.col("o_orderdate") + F.expr("INTERVAL 2 DAYS"), "o_totalprice": F.col("o_totalprice") + 1,
+        "written": F.lit(1), "step": 3 * (key % 2),
+    })
+    right = orders.withColumns({"written": F.lit(2), "step": 1 + key % 3})
+    messages = t.order_messages(
+        wrong.unionByName(right), customers, F.timestamp_seconds("written").alias("arrived"), F.col("step").cast("bigint").alias("step")
+    )
+    for _ in t.land(messages, f"{work}/in", "step", 4):
+        _finish(jobs.orders(
+            t.landed(spark, messages, f"{work}/in"), f"{work}/table", f"{work}/checkpoint", f"{work}/bad", interval=None
+        ))
+    return jobs.order_table(spark, f"{work}/table")
+
+
+@query
+def stream_orders_corrected(spark, sf_dir):
+    return _corrected_orders(spark, sf_dir).select(*_ORDER_COLUMNS)
+
+
+@query
+def gmv_stored(spark, sf_dir):
+    """The amount of a day over the table that the job keeps; only files that can hold the day are read."""
+    return reports.gmv_total(_corrected_orders(spark, sf_dir), ORDER_DAY).select(_money("gmv"))
+
+
+@query
+def stream_sale_join_late(spark, sf_dir):
+    """Raw messages of both sides in four steps of time: lines with their order, up to ten minutes off, and later."""
+    work = fresh_folder(spark, "sales")
+    at = F.unix_seconds("arrived").alias("at")
+    orders = t.order_messages(
+        t.read(spark, sf_dir, "orders"), t.read(spark, sf_dir, "customer"), t.arrival("o_orderkey").alias("arrived")
+    ).select("*", at)
+    details = t.order_detail_messages(t.read(spark, sf_dir, "lineitem")).select("*", at)
+    customer = t.read(spark, sf_dir, "customer")
+    steps = zip(t.land(orders, f"{work}/orders", "at", 4), t.land(details, f"{work}/details", "at", 4), strict=True)
+    for _ in steps:
+        _finish(jobs.sale_details_from_messages(
+            t.landed(spark, orders, f"{work}/orders"), t.landed(spark, details, f"{work}/details"),
+            f"{work}/table", f"{work}/checkpoint", lambda ids: t.user_messages(customer).join(ids, "id", "left_semi"),
+            lambda: clock.wall_clock(t.AS_OF), interval=None,
+        ))
+    return jobs.sale_documents(spark, f"{work}/table", _SALE_LAYOUT).select(
+        "order_detail_id", "order_id", "order_status", "user_id", "sku_id", "sku_price", "dt", "user_gender", "user_age", "user_level"
+    )
+
+
+_SALE_LAYOUT = (
+    "order_detail_id string, order_id string, order_status string, create_time string, user_id string, sku_id string, "
+    "sku_price double, sku_name string, dt string, arrived timestamp, user_gender string, user_age int, user_level string"
+)
+
+
+@query
+def new_mid_stored(spark, sf_dir):
+    """New devices of a day from the table of first days, which a late half of the month has moved back."""
+    work = fresh_folder(spark, "dau")
+    layout = "log_date date, mid bigint, ts timestamp_ntz, event_id bigint, event_type string, value double, late bigint"
+    logs = t.device_logs(t.read(spark, sf_dir, "events")).withColumn("late", (F.col("log_date") <= F.lit(DAY).cast("date")).cast("bigint"))
+    for _ in t.land(logs, f"{work}/in", "late", 2):
+        _finish(jobs.dau(
+            t.landed(spark, logs, f"{work}/in"), f"{work}/table", f"{work}/checkpoint", layout, ("ts", "event_id"),
+            interval=None, first_seen=f"{work}/first",
+        ))
+    return reports.first_seen_count(jobs.first_seen_table(spark, f"{work}/first", "mid bigint, log_date date"), EARLY_DAY)

@@ -26,6 +26,27 @@ def stream(spark, sf_dir, name):
     return spark.readStream.schema(read(spark, sf_dir, name).schema).parquet(f"{where[:-1]}[{where[-1]}]")
 
 
+def land(frame, folder, key, parts):
+    """Writes the rows below ``folder`` in ``parts`` steps, by equal ranges of a whole-number column and in its order.
+
+    Yields after each step, so that a job can run on what has come in.
+    """
+    low, high = frame.agg(F.min(key), F.max(key)).first()
+    for k in range(parts):
+        if low is None:
+            return
+        first, last = (low + (high + 1 - low) * x // parts for x in (k, k + 1))
+        rows = frame.where((F.col(key) >= first) & (F.col(key) < last))
+        rows.repartitionByRange(key).sortWithinPartitions(key).write.parquet(f"{folder}/{k}")
+        yield k
+
+
+def landed(spark, frame, folder, *more):
+    """What ``land`` writes, as a stream."""
+    rows = spark.readStream.schema(frame.schema).parquet(f"{folder}/*")
+    return rows.select("*", *more) if more else rows
+
+
 def days(frame, column, first=None, last=None):
     """Rows whose timestamp lies on one of the days; a range on the stored column, so the scan can skip by it."""
     if first is not None:
@@ -118,7 +139,12 @@ def shared_device_logs(events):
     )
 
 
-def order_messages(orders, customers):
+def shared_device_messages(events):
+    logs = shared_device_logs(events)
+    return logs.select(_json(*[F.col(c) for c in logs.columns]), "ts")
+
+
+def order_messages(orders, customers, *extra):
     return (
         orders.join(customers, orders["o_custkey"] == customers["c_custkey"])
         .select(_json(
@@ -126,7 +152,7 @@ def order_messages(orders, customers):
             F.col("o_orderstatus").alias("order_status"), _money("o_totalprice").alias("total_amount"),
             F.col("o_orderpriority").alias("order_comment"), F.col("c_name").alias("consignee_tel"),
             _time_text("o_orderdate").alias("create_time"),
-        ))
+        ), *extra)
     )
 
 
@@ -160,8 +186,17 @@ def arrival(key, gap=None):
     return F.timestamp_seconds(F.lit(1_700_000_000) + F.col(key) + gap)
 
 
+def user_messages(customer):
+    """Customers as user messages; see ``users``."""
+    return users(customer).select(F.col("id").cast("string").alias("id"), "login_name", "user_level", "birthday", "gender")
+
+
+def line_gap():
+    return F.element_at(F.array(*map(F.lit, GAPS)), (F.pmod(F.col("l_partkey"), F.lit(len(GAPS))) + 1).cast("int"))
+
+
 def order_detail_messages(lineitem):
-    gap = F.element_at(F.array(*map(F.lit, GAPS)), (F.pmod(F.col("l_partkey"), F.lit(len(GAPS))) + 1).cast("int"))
+    gap = line_gap()
     return lineitem.select(
         _json(
             F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
