@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from tallywharf.sources.workspace import ensure_checkpoints
 
-from .shingle_join import Union, components, link_rows
+from .common import slices, texts
+from .sets import Union, components, digests, kept_small, link_rows, shingle_sets
 
 #: Sets and tokens to a block of a large family, pivots of a family, tokens to a task.
 BLOCK, BLOCK_TOKENS, PIVOTS, TASK_TOKENS = 512, 1 << 20, 64, 1 << 22
@@ -129,3 +130,31 @@ def linked(sets, percent):
     with_sets = sets.select("family", "id", "tokens").join(left.union(right).hint("merge"), "id")
     more = by_task(with_sets, "block", "chunk").applyInArrow(tie_rest(percent), "a long, b long")
     return components(tied.union(more))
+
+
+def full_sets(documents, wanted, size):
+    """The whole sets of the ``wanted`` classes (family, id, least, high, low, n), from the rows that have their ids."""
+
+    def run(batches):
+        for batch in slices(batches):
+            sets = shingle_sets(texts(batch), size)
+            yield pa.RecordBatch.from_arrays(
+                [*digests(sets), pa.array([x.astype("<u8").tobytes() for x in sets], pa.binary())], ["high", "low", "tokens"]
+            )
+
+    ids = wanted.select("least").distinct()
+    documents = documents.select(F.col("doc_id").cast("long"), "text")
+    rows = documents.join(ids.hint("merge"), documents.doc_id.eqNullSafe(ids.least), "left_semi").select("text")
+    sets = rows.mapInArrow(run, "high long, low long, tokens binary").groupBy("high", "low").agg(F.first("tokens").alias("tokens"))
+    return sets.join(wanted, ["high", "low"]).select("family", "id", "n", "tokens")
+
+
+def class_components(documents, classes, tied, size, percent):
+    """``id``, ``component`` of every class (id, high, low, least, n) that has a link to another.
+
+    ``tied`` (id, family) gives the classes that candidates tie. All texts cross the network once, to where the ids of
+    candidates are; what is kept of them is written, and later steps read that.
+    """
+    wanted = kept_small(classes.join(tied.hint("merge"), "id").select("family", "id", "least", "high", "low", "n"), "wanted")
+    sets = kept_small(full_sets(documents, wanted, size), "sets")
+    return kept_small(linked(sets, percent), "linked")

@@ -23,15 +23,13 @@ text is a slice of its own, and its whole set is compared. Ties do not arise: se
 ``text`` are read, so further columns may have any name. An empty table gives no rows.
 """
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from . import families
 from .common import slices, texts, values
-from .shingle_join import components, kept_small, shingle_sets
+from .sets import components, digests, kept_small, shingle_sets
 from .shingle_join import sql as join_sql
 
 SHINGLE, PERCENT = 4, 80
@@ -41,15 +39,6 @@ K, SHARE, LIST = 64, 0.5, 24
 _ROWS = "doc_id long, n_shingles long, high long, low long, sketch array<long>"
 
 
-def digests(sets):
-    """128 bits of each sorted set, as two columns of signed 64-bit integers."""
-    import xxhash
-
-    flat = b"".join(xxhash.xxh3_128_digest(x.tobytes()) for x in sets)
-    both = np.frombuffer(flat, "<i8").reshape(-1, 2)
-    return pa.array(both[:, 0], pa.int64()), pa.array(both[:, 1], pa.int64())
-
-
 def sketches(documents, size=SHINGLE):
     """For every row the size of its set, the set's digest, and its sketch."""
 
@@ -119,23 +108,6 @@ def ties(classes, lists):
     return alike.union(long_lists)
 
 
-def full_sets(documents, wanted, size=SHINGLE):
-    """The whole sets of the ``wanted`` classes (family, id, least, high, low, n), from the rows that have their ids."""
-
-    def run(batches):
-        for batch in slices(batches):
-            sets = shingle_sets(texts(batch), size)
-            yield pa.RecordBatch.from_arrays(
-                [*digests(sets), pa.array([x.astype("<u8").tobytes() for x in sets], pa.binary())], ["high", "low", "tokens"]
-            )
-
-    ids = wanted.select("least").distinct()
-    documents = documents.select(F.col("doc_id").cast("long"), "text")
-    rows = documents.join(ids.hint("merge"), documents.doc_id.eqNullSafe(ids.least), "left_semi").select("text")
-    sets = rows.mapInArrow(run, "high long, low long, tokens binary").groupBy("high", "low").agg(F.first("tokens").alias("tokens"))
-    return sets.join(wanted, ["high", "low"]).select("family", "id", "n", "tokens")
-
-
 def groups(documents, size=SHINGLE, percent=PERCENT):
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` for every row: the operator's result."""
     rows = kept_small(sketches(documents, size), "rows")
@@ -145,12 +117,8 @@ def groups(documents, size=SHINGLE, percent=PERCENT):
     )
     classes = kept_small(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     tied = kept_small(components(ties(classes, inverted_lists(classes))), "families")
-    wanted = classes.join(tied.select("id", F.col("component").alias("family")).hint("merge"), "id").select(
-        "family", "id", "least", "high", "low", "n"
-    )
-    wanted = kept_small(wanted, "wanted")
-    sets = kept_small(full_sets(documents, wanted, size), "sets")
-    found = kept_small(families.linked(sets, percent), "linked")
+    tied = tied.select("id", F.col("component").alias("family"))
+    found = families.class_components(documents, classes, tied, size, percent)
     labels = classes.select("id", "high", "low", "least").join(found.hint("merge"), "id", "left").withColumn(
         "component", F.coalesce("component", "id")
     )

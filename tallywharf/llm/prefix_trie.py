@@ -30,7 +30,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .common import crc_sql, crc_table_sql
-from .shingle_join import kept_small
+from .sets import kept_small
 
 #: Turns of a segment, turns of all paths of a shard, ids of a block that is hashed.
 SEGMENT, SHARD_TURNS, BLOCK_IDS = 256, 1 << 18, 1 << 14
@@ -428,7 +428,8 @@ def sql():
 WITH {crc_table_sql()},
 t AS (
   SELECT conv_id, turn, md5(CAST(length(role) AS VARCHAR) || ':' || role || text) AS x, role,
-    length(regexp_extract_all(text, '[^ 	-]+')) AS words
+    length(regexp_extract_all(text, '[^ 	-
+]+')) AS words
   FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
 names AS (SELECT x, max(words) AS words FROM t GROUP BY x),
 own AS (SELECT conv_id, list(x ORDER BY turn NULLS FIRST, role, x) AS xs FROM t GROUP BY conv_id),

@@ -1,98 +1,47 @@
-"""Operator 10: similarity join on sets of word shingles by k-token combinations, and the groups that its links make.
+"""Operator 10: similarity join on sets of word shingles by token-combination prefixes, and the groups that its links make.
 
-Two sets link when ``intersection / union >= percent / 100``. Then they differ in few tokens: with ``I`` tokens in common,
-at most ``I * (100 - percent) / percent``. Every set is dealt by token hash into more classes than that bound, so two
-linked sets agree on whole classes, and the combination of all tokens of a class, about ``percent / (100 - percent)`` of
-them, is indexed in place of single tokens. That is the prefix extended to the whole set: it is exact, and a passage
-that many documents share brings two of them together only if it fills a class of both. Sets emit the combinations of
-the size range they are in and of the range below, as linked sets lie in the same range or in neighbouring ones.
+Two sets link when ``intersection / union >= percent / 100``. Rows with equal sets are one class; what follows works on
+classes.
 
-1. Each slice of documents joins equal combinations by a link to the least id among them and passes the combination on
-   once, so a combination that a third of all documents share reaches its index bucket once per slice.
-2. Documents tied by such candidate links, directly or not, are a family. Exact copies in a family become one set.
-3. Small families are compared set by set in one task. A large family is dealt into blocks, which are first compared
-   with the family's pivots; sets that are then still outside the family's main part are compared with every block.
+1. A table of ``CELLS`` counters, added up over all tasks, tells roughly how frequent the tokens of each hash cell are. Its
+   size does not depend on the input. All sets order their tokens by it, rare ones first.
+2. Linked sets share a token among the first ``n - ceil(n * percent / 100) + 1`` of each, their prefixes, whatever the
+   order is, as long as it is one for all sets. Rare tokens of a prefix are indexed as single tokens.
+3. Where the prefix reaches into frequent tokens, single ones would meet far too many sets. Then the prefix is extended to
+   the whole set: its tokens are dealt by hash into more classes than two linked sets can differ in, so linked sets agree on
+   a whole class, and the combination of all tokens of a class is indexed. If the first token that two linked sets share
+   is frequent, both prefixes hold a frequent one and both sets emit combinations, so they meet in one.
+4. A list of up to ``LIST`` classes gives its pairs, those of sizes that can link. A longer list ties its classes, those of
+   the same or neighbouring size ranges. ``families`` compares what is tied on whole sets, exactly.
 
-So a link can only be skipped between sets already known to be in one group, and no group of copies is ever gathered in
-one task, expanded into pairs or sent to the driver. Tokens and combinations are 64-bit hashes.
+Nothing that grows is broadcast or sent to the driver, no list or family meets in one task, and no pairs within a group are
+emitted. Texts cross the network once, at every size by the same plan. Tokens and combinations are 64-bit hashes.
 
 Nulls: a null text is empty. A document without words has an empty set and no links. A document with a null ``doc_id``
 stays alone, with a null ``component_id``. Rows that repeat an id are separate rows, linked if their texts are; if rows of
-one id lie in different groups, these count as one. An empty table gives no rows.
+one id lie in different groups, these count as one. A very long text is a slice of its own, and its whole set is indexed
+and compared. Ties in the order go to the smaller token hash. Only ``doc_id`` and ``text`` are read, so further columns may
+have any name. An empty table gives no rows.
 """
 
 import math
+import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tallywharf.sources.workspace import ensure_checkpoints, fresh_folder
-
+from . import families
 from .common import slices, texts, values
+from .sets import components, digests, kept_small, mixed, shingle_sets
 
 SHINGLE = 3
 PERCENT = 90
 
-#: Index entries to a bucket, sets and tokens to a block of a large family, pivots of a family.
-BUCKET_ENTRIES = 1 << 21
-#: Stands for no id in arrays.
-NONE = -(1 << 63)
-BLOCK, BLOCK_TOKENS = 512, 1 << 20
-PIVOTS = 128
-#: Links to a task of the steps that find components.
-LINKS_PER_TASK = 100_000
-#: How often documents without enough in common with others are left out of the candidates.
-PRUNINGS = 1
-#: Bytes of text whose combinations are joined before they are sent.
-INDEX_BYTES = 4 << 20
-
-_MIX = [np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
-
-
-def mixed(x):
-    """A bijection of 64-bit integers that spreads every bit."""
-    x = (x ^ (x >> np.uint64(30))) * _MIX[0]
-    x = (x ^ (x >> np.uint64(27))) * _MIX[1]
-    return x ^ (x >> np.uint64(31))
-
-
-def hashed_words(texts_):
-    """The hashes of all words of all texts in a row, and how many each text has."""
-    import xxhash
-
-    # Of bytes, lower() turns A-Z alone and split() cuts at the six white space characters of ASCII alone.
-    lines = [x.encode().lower().split() for x in texts_]
-    known = {w: xxhash.xxh64_intdigest(w) for w in {w for x in lines for w in x}}
-    counts = np.array([len(x) for x in lines], dtype=np.int64)
-    flat = np.fromiter((known[w] for x in lines for w in x), dtype=np.uint64, count=int(counts.sum()))
-    return flat, counts
-
-
-def shingle_sets(texts_, size=SHINGLE):
-    """For each text its sorted distinct shingle hashes; a shorter text is one shingle."""
-    flat, counts = hashed_words(texts_)
-    sets, first = [], 0
-    for n in counts.tolist():
-        words = flat[first : first + n]
-        first += n
-        k = min(n, size)
-        if not k:
-            sets.append(np.empty(0, np.uint64))
-            continue
-        h = np.full(n - k + 1, k, dtype=np.uint64)
-        for j in range(k):
-            h = mixed(h + words[j : n - k + 1 + j])
-        sets.append(np.unique(h))
-    return sets
-
-
-def digest(tokens):
-    """Of a sorted set, in 64 bits; sets of different sizes are told apart by size as well."""
-    import xxhash
-
-    return np.int64(np.uint64(xxhash.xxh64_intdigest(tokens.tobytes())).astype(np.int64))
+#: Counters of the frequency table, the slices it is added up in, and how far above the mean a frequent token's counter is.
+CELLS, SLICES, FREQUENT = 1 << 22, 16, 8
+#: Classes of a list that gives pairs.
+LIST = 24
 
 
 class Ranges:
@@ -150,367 +99,173 @@ class Ranges:
             out.append(mixed(total + mixed(full.astype(np.uint64) * np.uint64(2_654_435_761) + sizes + salt)))
         return np.concatenate(out)
 
-    def need(self, tokens):
-        """In how many of its combinations a set at least agrees with any set that it links with; 0 for an empty set.
 
-        Of its classes with tokens, all but those in which they differ agree.
-        """
-        n, out = len(tokens), []
-        if not n:
-            return 0
-        own = self.of(n)
-        for r in (own, own - 1):
-            if r >= 0 and (self.starts[r + 1] - 1) * 100 >= n * self.percent:
-                classes, differ = self.classes(r)
-                full = len(np.unique((tokens >> np.uint64(33)).astype(np.int64) % classes))
-                out.append(max(1, full - differ))
-        return min(out)
+def _cells(tokens):
+    return (tokens >> np.uint64(20)).astype(np.int64) % CELLS
 
 
-def stars(keys, ids):
-    """Of equal keys, each id with the least one: distinct (id, least) pairs; and each key with its least id."""
-    order = np.lexsort((ids, keys))
-    keys, ids = keys[order], ids[order]
-    new = np.concatenate(([True], keys[1:] != keys[:-1])) if len(keys) else np.empty(0, bool)
-    firsts = np.flatnonzero(new)
-    least = np.repeat(ids[firsts], np.diff(np.concatenate((firsts, [len(keys)]))))
-    pairs = np.unique(np.stack([ids, least])[:, ids != least], axis=1)
-    return pairs, keys[firsts], ids[firsts]
+def described(documents, size=SHINGLE):
+    """For every row its set's size and digest; and the counters of every task, as rows with a ``slice``."""
 
+    def run(batches):
+        counts, width = np.zeros(CELLS, np.uint8), CELLS // SLICES
+
+        def rows(n, ids, sizes, high, low, at, data):
+            columns = [ids, sizes, high, low, at, data]
+            kinds = [pa.int64()] * 4 + [pa.int32(), pa.binary()]
+            return pa.RecordBatch.from_arrays(
+                [pa.nulls(n, k) if c is None else c.cast(k) for c, k in zip(columns, kinds, strict=True)],
+                ["doc_id", "n", "high", "low", "slice", "counts"],
+            )
 
-def set_sizes(documents, size=SHINGLE):
-    """``doc_id``, ``n_shingles`` and the set's ``digest`` for every row."""
+        for batch in slices(batches):
+            sets = shingle_sets(texts(batch), size)
+            sizes = pa.array([len(x) for x in sets], pa.int64())
+            yield rows(len(sets), values(batch, "doc_id"), sizes, *digests(sets), None, None)
+            cells, n = np.unique(_cells(np.concatenate(sets)), return_counts=True)
+            # An order is all that is wanted, so a counter may stop at its end.
+            counts[cells] = np.minimum(counts[cells] + n, 255).astype(np.uint8)
+        parts = [zlib.compress(counts[k * width : (k + 1) * width].tobytes(), 1) for k in range(SLICES)]
+        yield rows(SLICES, None, None, None, None, pa.array(range(SLICES)), pa.array(parts, pa.binary()))
+
+    layout = "doc_id long, n long, high long, low long, slice int, counts binary"
+    return documents.mapInArrow(run, layout)
+
+
+def frequencies(found):
+    """The table of counters, of a fixed size whatever the input."""
+    width = CELLS // SLICES
+
+    def add(table):
+        total = np.zeros(width, np.int64)
+        for part in table["counts"].to_pylist():
+            total += np.frombuffer(zlib.decompress(part), np.uint8)
+        mean = max(1.0, total.mean())
+        # Steps of a fraction of the mean, so that all tables fit the same few bytes.
+        steps = np.minimum(total * 256 / mean, 65535).astype("<u2")
+        return pa.table({"slice": table["slice"][:1], "steps": pa.array([steps.tobytes()], pa.binary())})
+
+    parts = found.where("slice IS NOT NULL").select("slice", "counts").groupBy("slice").applyInArrow(add, "slice int, steps binary")
+    table = np.zeros(CELLS, np.uint16)
+    for part in parts.collect():
+        table[part.slice * width : (part.slice + 1) * width] = np.frombuffer(part.steps, "<u2")
+    return table
+
+
+def can_link(n, percent):
+    """Whether a set of this size can link with one that differs."""
+    return n * 100 // percent > n or -(-n * percent // 100) < n
+
+
+def index_values(tokens, table, ranges):
+    """What a set is indexed by: rare tokens of its prefix, and combinations where the prefix holds frequent ones."""
+    n = len(tokens)
+    if not can_link(n, ranges.percent):
+        return np.empty(0, np.uint64)
+    often = table[_cells(tokens)]
+    prefix = np.argsort(often, kind="stable")[: n + (-n * ranges.percent // 100) + 1]
+    rare = often[prefix] <= FREQUENT * 256
+    single = tokens[prefix[rare]]
+    return single if rare.all() else np.concatenate((single, ranges.combinations(tokens)))
+
+
+def entries(documents, table, size=SHINGLE, percent=PERCENT):
+    """``value``, ``node``, ``n``: the index entries of every set, a repeated text of a task once.
+
+    A node is the first half of a set's digest. Should two sets share it, they are tied without need and told apart when
+    they are compared.
+    """
+    shared = documents.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
+        ranges, seen = Ranges(percent), set()
         for batch in slices(batches):
             sets = shingle_sets(texts(batch), size)
+            nodes = digests(sets)[0].to_numpy()
+            found, owners, sizes = [], [], []
+            for node, tokens in zip(nodes.tolist(), sets, strict=True):
+                if len(tokens) and node not in seen:
+                    seen.add(node)
+                    found.append(index_values(tokens, shared.value, ranges))
+                    owners.append(node)
+                    sizes.append(len(tokens))
+            if not found:
+                continue
+            count = [len(x) for x in found]
             yield pa.RecordBatch.from_arrays(
                 [
-                    values(batch, "doc_id"),
-                    pa.array([len(x) for x in sets], pa.int64()),
-                    pa.array([int(digest(x)) for x in sets], pa.int64()),
+                    pa.array(np.concatenate(found).view(np.int64), pa.int64()),
+                    pa.array(np.repeat(np.array(owners, np.int64), count), pa.int64()),
+                    pa.array(np.repeat(np.array(sizes, np.int64), count), pa.int64()),
                 ],
-                ["doc_id", "n_shingles", "digest"],
-            )
-
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, digest long")
-
-
-def packed(keys, ids, shared):
-    """Index entries in binary form, 9 bytes each: 39 bits of the key, whether it is shared, 4 bytes of the id above the least.
-
-    Ids further apart than that take 8 bytes. Keys that are equal in the bytes that stay only make a candidate more.
-    """
-    least = int(ids.min())
-    wide = int(ids.max()) - least >= 1 << 32
-    above = (ids - least).astype("<i8" if wide else "<u4")
-    head = np.array([least, wide, len(ids)], dtype="<i8").tobytes()
-    high = (keys >> np.uint64(57) << np.uint64(1)) | shared.astype(np.uint64)
-    return head + (keys & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + high.astype("u1").tobytes() + above.tobytes()
-
-
-def unpacked(data):
-    least, wide, n = np.frombuffer(data, "<i8", 3).tolist()
-    low = np.frombuffer(data, "<u4", n, 24).astype(np.uint64)
-    high = np.frombuffer(data, "u1", n, 24 + 4 * n).astype(np.uint64)
-    above = np.frombuffer(data, "<i8" if wide else "<u4", n, 24 + 5 * n).astype(np.int64)
-    return low | (high >> np.uint64(1) << np.uint64(57)), above + least, (high & np.uint64(1)).astype(bool)
-
-
-def shared_counts(keys, ids):
-    """How many of its keys each id has in common with another, and for the least id of each key whether it has."""
-    order = np.lexsort((ids, keys))
-    keys, ids = keys[order], ids[order]
-    new = np.concatenate(([True], (keys[1:] != keys[:-1])))
-    firsts = np.flatnonzero(new)
-    lasts = np.concatenate((firsts[1:], [len(keys)])) - 1
-    shared = ids[firsts] != ids[lasts]
-    return *np.unique(ids[np.repeat(shared, lasts - firsts + 1)], return_counts=True), shared
-
-
-def candidate_links(documents, size=SHINGLE, percent=PERCENT, buckets=1):
-    """Documents tied by an equal combination, and what each document has in common with others at all.
-
-    Rows are of ``a``, ``b``, ``n``, ``need``: with ``b``, a link of a document to the least id that a slice or a bucket saw
-    with one of its combinations; without, that ``n`` more of the combinations of ``a`` are shared, or that a linked
-    document of its size shares ``need`` of them. Between the two steps travel buckets of combinations, packed by ``packed``.
-    """
-
-    def spread(batches):
-        ranges = Ranges(percent)
-        for batch in slices(batches, limit=INDEX_BYTES):
-            ids = values(batch, "doc_id").to_numpy()
-            sets = shingle_sets(texts(batch), size)
-            combined = [ranges.combinations(x) for x in sets]
-            owners = np.repeat(ids, [len(x) for x in combined])
-            flat = np.concatenate(combined)
-            pairs, keys, least = stars(flat, owners)
-            who, n, shared = shared_counts(flat, owners) if len(flat) else (ids[:0], ids[:0], np.empty(0, bool))
-            at = ((keys >> np.uint64(32)) & np.uint64(0xFFFFFF)).astype(np.int64) % buckets
-            order = np.argsort(at, kind="stable")
-            bounds = np.searchsorted(at[order], np.arange(buckets + 1))
-            needs = np.array([ranges.need(x) for x in sets], dtype=np.int64)
-            facts = np.stack([np.concatenate(x) for x in (
-                (pairs[0], who, ids), (pairs[1], np.full(len(who), NONE), np.full(len(ids), NONE)),
-                (np.zeros(pairs.shape[1], np.int64), n, np.zeros(len(ids), np.int64)),
-                (np.zeros(pairs.shape[1], np.int64), np.zeros(len(who), np.int64), needs),
-            )])
-            rows = [(int(ids[0]) % buckets, b"", facts.astype("<i8").tobytes())]
-            for k in np.flatnonzero(np.diff(bounds)).tolist():
-                part = order[bounds[k] : bounds[k + 1]]
-                rows.append((k, packed(keys[part], least[part], shared[part]), b""))
-            k, entries, found = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(k, pa.int64()), pa.array(entries, pa.binary()), pa.array(found, pa.binary())],
-                ["bucket", "entries", "facts"],
+                ["value", "node", "n"],
             )
 
-    def meet(table):
-        entries = [unpacked(x) for x in table["entries"].to_pylist() if x]
-        found = [np.frombuffer(x, "<i8").reshape(4, -1) for x in table["facts"].to_pylist() if x]
-        if entries:
-            keys, ids, known = (np.concatenate(x) for x in zip(*entries, strict=True))
-            pairs, _, _ = stars(keys, ids)
-            found.append(np.stack([pairs[0], pairs[1], np.zeros_like(pairs[0]), np.zeros_like(pairs[0])]))
-            # Entries whose slice has seen their key with another document are counted already.
-            order = np.argsort(keys, kind="stable")
-            same = keys[order][1:] == keys[order][:-1]
-            met = np.zeros(len(keys), dtype=bool)
-            met[order[1:]] = same
-            met[order[:-1]] |= same
-            who, n = np.unique(ids[met & ~known], return_counts=True)
-            found.append(np.stack([who, np.full(len(who), NONE), n, np.zeros(len(who), np.int64)]))
-        a, b, n, need = np.concatenate(found, axis=1)
-        return pa.table({"a": a, "b": pa.array(b, mask=b == NONE), "n": n, "need": need})
-
-    return (
-        documents.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
-        .mapInArrow(spread, "bucket long, entries binary, facts binary")
-        .groupBy("bucket").applyInArrow(meet, "a long, b long, n long, need long")
+    return documents.select("text").mapInArrow(run, "value long, node long, n long")
+
+
+def ties(found, percent=PERCENT):
+    """``a``, ``b``: nodes tied by an index value, of which only the closure counts."""
+    counts = kept_small(found.groupBy("value").agg(F.count("*").alias("length")).where("length > 1"), "counts")
+    held = kept_small(found.join(counts.select("value").hint("merge"), "value").distinct(), "held")
+    lengths = kept_small(held.groupBy("value").agg(F.count("*").alias("length")).where("length > 1"), "lengths")
+    held = held.join(lengths.hint("merge"), "value")
+    members = held.where(F.col("length") <= LIST).groupBy("value").agg(F.array_sort(F.collect_list(F.struct("n", "node"))).alias("x"))
+    # In order of size: the later set of a pair is the larger one.
+    each = F.expr(f"""flatten(transform(x, (a, i) -> transform(
+      filter(slice(x, i + 2, size(x)), b -> 100 * a.n >= {percent} * b.n), b -> struct(a.node AS a, b.node AS b))))""")
+    pairs = members.select(F.explode(each).alias("pair")).select("pair.a", "pair.b")
+    # Linked sets lie in the same size range or in neighbouring ones; ranges grow by a little more than linked sizes differ.
+    size_range = F.floor(F.log(F.col("n").cast("double")) / (1.001 * math.log(100 / percent)))
+    ranged = held.where(F.col("length") > LIST).select(
+        "value", "node", F.explode(F.array(size_range, size_range + 1)).alias("range")
     )
-
-
-def links_of(found):
-    return found.where("b IS NOT NULL").select("a", "b").distinct()
-
-
-def possible(found):
-    """The ids of documents that share as many combinations as one with a link must."""
-    facts = found.where("b IS NULL").groupBy("a").agg(F.sum("n").alias("n"), F.min(F.when(F.col("need") > 0, F.col("need"))).alias("need"))
-    return facts.where(F.col("n") >= F.col("need")).select(F.col("a").alias("doc_id"))
-
-
-def components(links):
-    """``id``, ``component``: every id in ``links`` (a, b) with the least id it can reach.
-
-    Large-star and small-star steps in turn until nothing changes; each is a grouping of the links, and every round is
-    written to the checkpoint folder.
-    """
-    ensure_checkpoints(links.sparkSession)
-    current = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct().checkpoint()
-
-    def signature(frame):
-        # Spark adds up hashes of the links: equal sums in two rounds mean equal links.
-        return tuple(frame.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
-
-    seen, now = None, signature(current)
-    # Steps only ever join links, so the first count bounds the tasks that a step needs.
-    tasks = max(4, math.ceil(now[0] / LINKS_PER_TASK))
-    while now != seen:
-        both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b"))).coalesce(tasks)
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")).coalesce(tasks)
-        large = (
-            both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .coalesce(tasks).distinct().coalesce(tasks)
-        )
-        low = large.groupBy("a").agg(F.min("b").alias("m")).coalesce(tasks)
-        small = (
-            large.join(low, "a")
-            .select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x"))
-            .select("x.a", "x.b").where("a <> b").coalesce(tasks).distinct()
-        )
-        current = small.coalesce(tasks).checkpoint()
-        seen, now = now, signature(current)
-    roots = current.select("b", "b").toDF("id", "component").distinct()
-    return current.toDF("id", "component").union(roots)
-
-
-class Union:
-    def __init__(self, n):
-        self.up = list(range(n))
-
-    def top(self, i):
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
-
-    def join(self, i, j):
-        self.up[self.top(i)] = self.top(j)
-
-
-def overlaps(left, right):
-    """Of each left set with each right set the size of the intersection, one row at a time."""
-    tokens = np.concatenate(right) if right else np.empty(0, np.uint64)
-    owner = np.repeat(np.arange(len(right)), [len(x) for x in right])
-    order = np.argsort(tokens, kind="stable")
-    tokens, owner = tokens[order], owner[order]
-    for x in left:
-        a, b = np.searchsorted(tokens, x), np.searchsorted(tokens, x, side="right")
-        n = b - a
-        hit = n > 0
-        starts, n = a[hit], n[hit]
-        at = np.repeat(starts - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum()) if len(n) else np.empty(0, np.int64)
-        yield np.bincount(owner[at], minlength=len(right))
-
-
-def link_rows(left, right, percent):
-    """For each left set the numbers of the right sets it links with."""
-    sizes = np.array([len(x) for x in right])
-    for x, both in zip(left, overlaps(left, right), strict=True):
-        yield np.flatnonzero(100 * both >= percent * (len(x) + sizes - both))
-
-
-def _versions(frame, size):
-    """The rows whose text is the one that their digest was taken of, each id once, and their sets."""
-    sets = shingle_sets(frame.text.tolist(), size)
-    keep = np.array([int(digest(x)) == d for x, d in zip(sets, frame.digest.tolist(), strict=True)], dtype=bool)
-    keep &= ~frame[["doc_id", "digest"]].where(pd.Series(keep, index=frame.index)).duplicated().to_numpy()
-    return frame[keep].reset_index(drop=True), [x for x, k in zip(sets, keep, strict=True) if k]
-
-
-def compare_block(size, percent):
-    """All sets of a block with each other and with the pivots: each id with the least id it is tied to here."""
-
-    def run(frame):
-        frame, sets = _versions(frame, size)
-        union = Union(len(frame))
-        for i, found in enumerate(link_rows(sets, sets, percent)):
-            for j in found[found < i].tolist():
-                union.join(i, j)
-        ids = frame.doc_id.to_numpy()
-        tops = np.array([union.top(i) for i in range(len(ids))], dtype=np.int64)
-        least = pd.Series(ids).groupby(tops).transform("min")
-        return pd.DataFrame({"a": ids, "b": least.to_numpy()}).astype("int64")
-
-    return run
-
-
-def compare_rest(size, percent):
-    """Sets outside the main part with a block: links between sets of different groups, one for each pair of groups."""
-
-    def run(frame):
-        (left, mine), (right, theirs) = (_versions(frame[frame.outside == x].reset_index(drop=True), size) for x in (True, False))
-        groups, ids = right.component.to_numpy(), right.doc_id.to_numpy()
-        pairs = {}
-        for (doc_id, own), found in zip(
-            left[["doc_id", "component"]].itertuples(index=False), link_rows(mine, theirs, percent), strict=True
-        ):
-            for j in found.tolist():
-                if groups[j] != own:
-                    pairs.setdefault((own, int(groups[j])), (doc_id, int(ids[j])))
-        return pd.DataFrame(list(pairs.values()), columns=["a", "b"]).astype("int64")
-
-    return run
-
-
-def kept_small(frame, purpose):
-    """The frame written to the shared folder and read again, so that a join knows its true size when it is planned."""
-    folder = fresh_folder(frame.sparkSession, purpose)
-    frame.write.parquet(folder)
-    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
-
-
-def with_texts(documents, rows):
-    """``rows`` with the texts of their ids. Where the ids are few, Spark sends them to the documents, so that no other
-    text is shuffled; else both sides are."""
-    ids = kept_small(rows.select("doc_id").distinct(), "ids")
-    return documents.join(ids, "doc_id", "left_semi").join(rows, "doc_id")
+    least = ranged.groupBy("value", "range").agg(F.min("node").alias("least"))
+    stars = ranged.join(least.hint("merge"), ["value", "range"]).where(F.col("node") > F.col("least")).select("node", "least")
+    return pairs.union(stars).distinct()
 
 
 def groups(documents, size=SHINGLE, percent=PERCENT):
-    """``doc_id``, ``n_shingles``, ``digest`` and ``component_id`` for every row: the operator's result.
+    """``doc_id``, ``n_shingles``, ``component_id`` for every row: the operator's result.
 
     ``component_id`` is the least ``doc_id`` that can be reached by links.
     """
-    ensure_checkpoints(documents.sparkSession)
     documents = documents.select(F.col("doc_id").cast("long"), "text")
-    rows = set_sizes(documents, size).checkpoint()
-    tokens = rows.agg(F.sum("n_shingles")).first()[0] or 0
-    per_token = 2.4 * max(0.02, (100 - percent) / percent)
-    buckets = max(8, math.ceil(tokens * per_token / BUCKET_ENTRIES))
-
-    # Most documents share too few combinations to have a link; passages that many have in common do not tie the others.
-    for _ in range(PRUNINGS):
-        ids = kept_small(possible(candidate_links(documents, size, percent, buckets)), "possible")
-        documents = documents.join(ids, "doc_id", "left_semi")
-        buckets = max(8, buckets // 4)
-    found = candidate_links(documents, size, percent, buckets).checkpoint()
-    families = components(links_of(found)).checkpoint()
-    # In a family, one row stands for all that have the same set.
-    members = (
-        rows.join(families, rows.doc_id == families.id).where("n_shingles > 0")
-        .groupBy("component", "digest", "n_shingles").agg(F.min("doc_id").alias("doc_id"))
-        .select(F.col("component").alias("family"), "doc_id", "digest", "n_shingles")
-    ).checkpoint()
-    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_TOKENS)).cast("int")
-    counts = members.groupBy("family").agg(F.count("*").alias("members"), blocks.alias("blocks"))
-    place = F.xxhash64("doc_id", F.lit(10))
-    sets = (
-        members.join(counts, "family").where("members > 1").select("doc_id", "family", "members", "blocks", "digest")
-        .withColumn("block", F.pmod(place, F.col("blocks").cast("long")).cast("int"))
-    ).checkpoint()
-    # The pivots of a large family, chosen by hash, go to all its blocks.
-    pivot = (F.col("blocks") > 1) & (F.pmod(F.xxhash64("doc_id", F.lit(11)), F.col("members")) < PIVOTS)
-    everywhere = F.sequence(F.lit(0), F.col("blocks") - 1)
-    dealt = sets.withColumn("block", F.explode(F.when(pivot, everywhere).otherwise(F.array("block"))))
-    tied = (
-        with_texts(documents, dealt).select("family", "block", "doc_id", "digest", "text").groupBy("family", "block")
-        .applyInPandas(compare_block(size, percent), "a long, b long").where("a <> b").checkpoint()
+    found = kept_small(described(documents, size), "rows")
+    rows = found.where("slice IS NULL").select("doc_id", "n", "high", "low")
+    named = rows.where("doc_id IS NOT NULL AND n > 0")
+    classes = named.groupBy("high", "low").agg(F.min("doc_id").alias("least"), F.max("n").alias("n"))
+    classes = kept_small(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    with_ids = documents.where("doc_id IS NOT NULL")
+    tied = kept_small(components(ties(entries(with_ids, frequencies(found), size, percent), percent)), "families")
+    tied = classes.join(tied.toDF("node", "family").hint("merge"), F.col("high") == F.col("node")).select("id", "family")
+    linked = families.class_components(with_ids, classes, tied, size, percent)
+    labels = classes.join(linked.hint("merge"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    names = labels.groupBy("component").agg(F.min("least").alias("component_id"))
+    labels = kept_small(labels.join(names.hint("merge"), "component").select("high", "low", "component_id"), "labels")
+    out = rows.join(labels.hint("merge"), ["high", "low"], "left").select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
-    found = components(tied)
-
-    large = sets.where("blocks > 1")
-    if not large.isEmpty():
-        parts = large.join(found, large.doc_id == found.id, "left").select(
-            "family", "doc_id", "digest", "block", "blocks", F.coalesce("component", "doc_id").alias("component")
-        ).checkpoint()
-        sizes = parts.groupBy("family", "component").agg(F.count("*").alias("n"))
-        main = sizes.groupBy("family").agg(
-            F.max(F.struct("n", "component")).getField("component").alias("main"),
-            (F.sum("n") - F.max("n")).alias("rest"),
-        ).where("rest > 0").select("family", "main", F.ceil(F.col("rest") / BLOCK).cast("int").alias("chunks"))
-        parts = parts.join(main, "family").withColumn("outside", F.col("component") != F.col("main"))
-        chunk = F.pmod(F.xxhash64("doc_id", F.lit(12)), F.col("chunks").cast("long")).cast("int")
-        left = parts.where("outside").withColumn("chunk", chunk).withColumn("block", F.explode(everywhere))
-        right = parts.withColumn("outside", F.lit(False)).withColumn(
-            "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-        )
-        columns = ["doc_id", "family", "block", "chunk", "component", "outside", "digest"]
-        more = (
-            with_texts(documents, left.select(columns).union(right.select(columns))).groupBy("family", "block", "chunk")
-            .applyInPandas(compare_rest(size, percent), "a long, b long")
-        )
-        found = components(tied.union(more))
-
-    # From the sets' representatives to all rows; copies of a set link with it.
-    labels = members.join(found, members.doc_id == found.id, "left").select(
-        "family", "digest", "n_shingles", F.coalesce("component", "doc_id").alias("label")
+    return _one_group_an_id(out)
+
+
+def _one_group_an_id(rows):
+    """Joins the groups that rows of one id lie in."""
+    several = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("component_id").alias("a"), F.max("component_id").alias("b"))
+    several = kept_small(several.where("a <> b"), "ids")
+    if several.isEmpty():
+        return rows
+    held = rows.join(several.select("doc_id", "a").hint("merge"), "doc_id")
+    joined = components(held.select("a", F.col("component_id").alias("b")))
+    return rows.join(joined.toDF("component_id", "joined").hint("merge"), "component_id", "left").select(
+        "doc_id", "n_shingles", F.coalesce("joined", "component_id").alias("component_id")
     )
-    named = (
-        rows.join(families, rows.doc_id == families.id, "left")
-        .select("doc_id", "n_shingles", "digest", F.col("component").alias("family"))
-    )
-    return named.join(
-        labels.withColumnsRenamed({"digest": "d", "n_shingles": "n", "family": "f"}),
-        (F.col("family") == F.col("f")) & (F.col("digest") == F.col("d")) & (F.col("n_shingles") == F.col("n")), "left",
-    ).select("doc_id", "n_shingles", "digest", F.coalesce("label", "doc_id").alias("component_id"))
-
 
 
 def join(documents, size=SHINGLE, percent=PERCENT):
     """The contract's columns."""
-    return groups(documents, size, percent).select("doc_id", "n_shingles", "component_id")
+    return groups(documents, size, percent)
 
 
 def sql(size=SHINGLE, percent=PERCENT):

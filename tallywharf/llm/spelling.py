@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from .common import crc_sql, crc_table_sql, slices, texts, values
-from .shingle_join import kept_small
+from .sets import kept_small
 
 #: The least letters of a word, the least occurrences, and how much more frequent a form is than its variant.
 LETTERS, OCCURRENCES, MORE = 7, 2, 10

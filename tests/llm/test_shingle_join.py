@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from tallywharf.llm import shingle_join
+from tallywharf.llm import families, sets, shingle_join
 
 
 def shingles(text, size):
@@ -51,8 +51,9 @@ def edits(seed, families, members):
 @pytest.mark.parametrize("size, percent", [(3, 90), (5, 80)])
 @pytest.mark.parametrize("block", [512, 6])
 def test_groups_against_all_pairs(spark, monkeypatch, size, percent, block):
-    monkeypatch.setattr(shingle_join, "BLOCK", block)
-    monkeypatch.setattr(shingle_join, "PIVOTS", block // 3)
+    monkeypatch.setattr(families, "BLOCK", block)
+    monkeypatch.setattr(families, "PIVOTS", block // 3)
+    monkeypatch.setattr(shingle_join, "LIST", min(24, block))
     rows = edits(size * percent + block, 12, 22)
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     got = sorted((tuple(r) for r in shingle_join.join(frame, size, percent).collect()), key=repr)
@@ -69,26 +70,50 @@ def test_an_empty_table(empty):
     assert shingle_join.join(empty).count() == 0
 
 
-def test_every_linked_pair_shares_a_combination():
+def test_repeated_ids_join_their_groups(spark):
+    rows = [(k % 40, " ".join(f"w{(k + j) % 23}" for j in range(12 + k % 3))) for k in range(120)] + [(3, ""), (None, "w1 w2 w3"), (None, "w1 w2 w3")]
+    frame = spark.createDataFrame([(*r, "a", 1) for r in rows], "doc_id long, text string, value string, n long")
+    assert sorted((tuple(r) for r in shingle_join.join(frame).collect()), key=repr) == brute(rows, 3, 90)
+
+
+def test_every_linked_pair_meets():
+    """Whatever the counters say: none, few or all tokens may be frequent."""
     rnd = np.random.default_rng(3)
     for percent in (80, 90):
         ranges = shingle_join.Ranges(percent)
-        for _ in range(1500):
-            n = int(rnd.integers(1, 260))
-            a = np.unique(rnd.integers(0, 1 << 63, n).astype(np.uint64))
-            most = len(a) * (100 - percent) // percent
-            gone = int(rnd.integers(0, most + 1))
-            fresh = int(rnd.integers(0, most + 1))
-            b = np.unique(np.concatenate([a[gone:], rnd.integers(0, 1 << 63, fresh).astype(np.uint64)]))
-            both = len(np.intersect1d(a, b))
-            if 100 * both >= percent * (len(a) + len(b) - both):
-                common = len(np.intersect1d(ranges.combinations(a), ranges.combinations(b)))
-                assert common >= max(1, ranges.need(a), ranges.need(b))
-
-
-def test_entries_survive_packing():
-    keys, flags = np.array([1 << 63, (6 << 56) + 5, 9], dtype=np.uint64), np.array([True, False, True])
-    for ids in ([5, -3, 9], [-(1 << 62), 0, 1 << 61]):
-        found, got, shared = shingle_join.unpacked(shingle_join.packed(keys, np.array(ids, dtype=np.int64), flags))
-        assert got.tolist() == ids and shared.tolist() == flags.tolist()
-        assert found.tolist() == [1 << 63, (6 << 56) + 5, 9]
+        for share in (0.0, 0.1, 0.9, 1.0):
+            table = np.where(rnd.random(shingle_join.CELLS) < share, 9000, rnd.integers(0, 900, shingle_join.CELLS)).astype(np.uint16)
+            linked = 0
+            for _ in range(500):
+                n = int(rnd.integers(1, 260))
+                a = np.unique(rnd.integers(0, 1 << 63, n).astype(np.uint64))
+                most = len(a) * (100 - percent) // percent
+                gone, fresh = int(rnd.integers(0, most + 1)), int(rnd.integers(0, most + 1))
+                b = np.unique(np.concatenate([a[gone:], rnd.integers(0, 1 << 63, fresh).astype(np.uint64)]))
+                both = len(np.intersect1d(a, b))
+                if (gone or fresh) and 100 * both >= percent * (len(a) + len(b) - both):
+                    linked += 1
+                    x, y = (shingle_join.index_values(t, table, ranges) for t in (a, b))
+                    assert len(np.intersect1d(x, y))
+            assert linked > 50
+
+
+def test_sets_that_cannot_link_need_no_index():
+    for percent in (80, 90):
+        for n in range(1, 60):
+            other = any(
+                100 * both >= percent * (n + m - both) for m in range(1, 120) for both in range(min(n, m) + 1) if (both, m) != (n, n)
+            )
+            assert shingle_join.can_link(n, percent) == other
+
+
+def test_counters_add_up_over_tasks(spark):
+    texts = [(k, " ".join(f"w{(k * 7 + j) % 50}" for j in range(40))) for k in range(60)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    found = [shingle_join.frequencies(shingle_join.described(frame.repartition(n))) for n in (1, 5)]
+    assert (found[0] == found[1]).all()
+    counted = np.zeros(shingle_join.CELLS, np.int64)
+    for x in sets.shingle_sets([t for _, t in texts], 3):
+        np.add.at(counted, shingle_join._cells(x), 1)
+    order = np.argsort(counted, kind="stable")
+    assert (np.diff(found[0][order].astype(int)) >= 0).all()
