@@ -21,33 +21,86 @@ def mixed(x):
     return x ^ (x >> np.uint64(31))
 
 
+#: Bytes whose words are hashed at once; a longer word is taken whole.
+HASHED_BYTES = 1 << 20
+
+#: A value for every byte, an odd base, and its inverse modulo 2 ** 64.
+_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_BASE = 0xD1342543DE82EF95
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+
+
+class _Powers:
+    """Powers of the base and of its inverse, as many as were needed so far."""
+
+    up = down = np.ones(0, np.uint64)
+
+    @classmethod
+    def first(cls, n):
+        if len(cls.up) < n:
+            size = max(n, HASHED_BYTES)
+            with np.errstate(over="ignore"):
+                cls.up, cls.down = (np.cumprod(np.full(size, x, np.uint64)) for x in (_BASE, _INVERSE))
+        return cls.up[:n], cls.down
+
+
+def _word_hashes(data):
+    """The start of every word in bytes that begin and end between words, and its hash.
+
+    A word's bytes are the coefficients of a polynomial in the base, so its value is a difference of two running sums.
+    """
+    space = _SPACE[data]
+    edges = np.flatnonzero(np.diff(np.concatenate(([True], space, [True]))))
+    starts, ends = edges[::2], edges[1::2]
+    up, down = _Powers.first(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_VALUES[data] * up, out=sums[1:])
+    return starts, mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
 def hashed_words(texts_):
     """The hashes of all words of all texts in a row, and how many each text has."""
-    import xxhash
-
-    # Of bytes, lower() turns A-Z alone and split() cuts at the six white space characters of ASCII alone.
-    lines = [x.encode().lower().split() for x in texts_]
-    known = {w: xxhash.xxh64_intdigest(w) for w in {w for x in lines for w in x}}
-    counts = np.array([len(x) for x in lines], dtype=np.int64)
-    flat = np.fromiter((known[w] for x in lines for w in x), dtype=np.uint64, count=int(counts.sum()))
-    return flat, counts
+    # Of bytes, lower() turns A-Z alone.
+    parts = [x.encode().lower() for x in texts_]
+    firsts = np.cumsum([0] + [len(x) + 1 for x in parts])
+    data = np.frombuffer(b" ".join(parts) + b" ", np.uint8)
+    found, at = [(np.empty(0, np.int64), np.empty(0, np.uint64))], 0
+    while at < len(data):
+        end = min(at + HASHED_BYTES, len(data))
+        while end < len(data):
+            # Up to the last space of the stretch, or on to the next one if a word fills it.
+            cut = np.flatnonzero(_SPACE[data[at:end]])
+            if len(cut):
+                end = at + int(cut[-1]) + 1
+                break
+            end = min(end + HASHED_BYTES, len(data))
+        starts, hashes = _word_hashes(data[at:end])
+        found.append((starts + at, hashes))
+        at = end
+    starts, flat = (np.concatenate(x) for x in zip(*found, strict=True))
+    return flat, np.diff(np.searchsorted(starts, firsts))
 
 
 def shingle_sets(texts_, size):
     """For each text its sorted distinct shingle hashes; a shorter text is one shingle."""
     flat, counts = hashed_words(texts_)
-    sets, first = [], 0
-    for n in counts.tolist():
-        words = flat[first : first + n]
-        first += n
-        k = min(n, size)
-        if not k:
-            sets.append(np.empty(0, np.uint64))
+    ends = np.cumsum(counts)
+    # All runs of words at once; those that reach over the end of a text are left out below.
+    runs = np.full(max(0, len(flat) - size + 1), size, dtype=np.uint64)
+    for j in range(size):
+        runs = mixed(runs + flat[j : len(flat) - size + 1 + j])
+    sets = []
+    for n, end in zip(counts.tolist(), ends.tolist()):
+        if n >= size:
+            found = np.sort(runs[end - n : end - size + 1])
+            new = np.concatenate(([True], found[1:] != found[:-1]))
+            sets.append(found if new.all() else found[new])
             continue
-        h = np.full(n - k + 1, k, dtype=np.uint64)
-        for j in range(k):
-            h = mixed(h + words[j : n - k + 1 + j])
-        sets.append(np.unique(h))
+        whole = np.full(min(n, 1), n, dtype=np.uint64)
+        for j in range(n):
+            whole = mixed(whole + flat[end - n + j])
+        sets.append(whole)
     return sets
 
 

@@ -11,8 +11,10 @@ classes.
    the whole set: its tokens are dealt by hash into more classes than two linked sets can differ in, so linked sets agree on
    a whole class, and the combination of all tokens of a class is indexed. If the first token that two linked sets share
    is frequent, both prefixes hold a frequent one and both sets emit combinations, so they meet in one.
-4. A list of up to ``LIST`` classes gives its pairs, those of sizes that can link. A longer list ties its classes, those of
-   the same or neighbouring size ranges. ``families`` compares what is tied on whole sets, exactly.
+4. A list of up to ``LIST`` classes gives its pairs, those of sizes that can link. A pair goes if its profiles show that it
+   has no link: the tokens of a set, counted by hash buckets, have at most the lesser count of each bucket in common. A
+   longer list ties its classes, those of the same or neighbouring size ranges.
+5. ``families`` compares what is tied, directly or not, on whole sets, exactly.
 
 Nothing that grows is broadcast or sent to the driver, no list or family meets in one task, and no pairs within a group are
 emitted. Texts cross the network once, at every size by the same plan. Tokens and combinations are 64-bit hashes.
@@ -104,31 +106,50 @@ def _cells(tokens):
     return (tokens >> np.uint64(20)).astype(np.int64) % CELLS
 
 
+def profile(tokens):
+    """How many tokens of a set lie in each of about as many buckets; nothing where a byte cannot hold a count."""
+    buckets = 1 << max(3, int(len(tokens) / 1.5).bit_length())
+    counts = np.bincount((tokens >> np.uint64(4)).astype(np.int64) & (buckets - 1), minlength=buckets)
+    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
+
+
+def may_link(a, b, percent):
+    """Whether two profiles leave room for a link; buckets of the longer one fold into those of the other."""
+    if not a or not b:
+        return True
+    a, b = (np.frombuffer(x, np.uint8).astype(np.int64) for x in (a, b))
+    least = min(len(a), len(b))
+    a, b = (x.reshape(-1, least).sum(axis=0) for x in (a, b))
+    both = np.minimum(a, b).sum()
+    return 100 * both >= percent * (a.sum() + b.sum() - both)
+
+
 def described(documents, size=SHINGLE):
-    """For every row its set's size and digest; and the counters of every task, as rows with a ``slice``."""
+    """For every row its set's size, digest and profile; and the counters of every task, as rows with a ``slice``."""
 
     def run(batches):
         counts, width = np.zeros(CELLS, np.uint8), CELLS // SLICES
 
-        def rows(n, ids, sizes, high, low, at, data):
-            columns = [ids, sizes, high, low, at, data]
-            kinds = [pa.int64()] * 4 + [pa.int32(), pa.binary()]
+        def rows(n, ids, sizes, high, low, profiles, at, data):
+            columns = [ids, sizes, high, low, profiles, at, data]
+            kinds = [pa.int64()] * 4 + [pa.binary(), pa.int32(), pa.binary()]
             return pa.RecordBatch.from_arrays(
                 [pa.nulls(n, k) if c is None else c.cast(k) for c, k in zip(columns, kinds, strict=True)],
-                ["doc_id", "n", "high", "low", "slice", "counts"],
+                ["doc_id", "n", "high", "low", "profile", "slice", "counts"],
             )
 
         for batch in slices(batches):
             sets = shingle_sets(texts(batch), size)
             sizes = pa.array([len(x) for x in sets], pa.int64())
-            yield rows(len(sets), values(batch, "doc_id"), sizes, *digests(sets), None, None)
+            profiles = pa.array([profile(x) for x in sets], pa.binary())
+            yield rows(len(sets), values(batch, "doc_id"), sizes, *digests(sets), profiles, None, None)
             cells, n = np.unique(_cells(np.concatenate(sets)), return_counts=True)
             # An order is all that is wanted, so a counter may stop at its end.
             counts[cells] = np.minimum(counts[cells] + n, 255).astype(np.uint8)
         parts = [zlib.compress(counts[k * width : (k + 1) * width].tobytes(), 1) for k in range(SLICES)]
-        yield rows(SLICES, None, None, None, None, pa.array(range(SLICES)), pa.array(parts, pa.binary()))
+        yield rows(SLICES, None, None, None, None, None, pa.array(range(SLICES)), pa.array(parts, pa.binary()))
 
-    layout = "doc_id long, n long, high long, low long, slice int, counts binary"
+    layout = "doc_id long, n long, high long, low long, profile binary, slice int, counts binary"
     return documents.mapInArrow(run, layout)
 
 
@@ -204,7 +225,21 @@ def entries(documents, table, size=SHINGLE, percent=PERCENT):
     return documents.select("text").mapInArrow(run, "value long, node long, n long")
 
 
-def ties(found, percent=PERCENT):
+def _linkable(pairs, classes, percent):
+    """The pairs whose profiles leave room for a link."""
+
+    def run(batches):
+        for batch in batches:
+            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            yield batch.select(["a", "b"]).filter(pa.array([may_link(p, q, percent) for p, q in zip(x, y, strict=True)], pa.bool_()))
+
+    nodes = pairs.select("a").union(pairs.select("b")).distinct().toDF("high")
+    profiles = kept_small(classes.join(nodes.hint("merge"), "high", "left_semi").select("high", "profile"), "profiles")
+    both = pairs.join(profiles.toDF("a", "x").hint("merge"), "a").join(profiles.toDF("b", "y").hint("merge"), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def ties(found, classes, percent=PERCENT):
     """``a``, ``b``: nodes tied by an index value, of which only the closure counts."""
     counts = kept_small(found.groupBy("value").agg(F.count("*").alias("length")).where("length > 1"), "counts")
     held = kept_small(found.join(counts.select("value").hint("merge"), "value").distinct(), "held")
@@ -214,7 +249,7 @@ def ties(found, percent=PERCENT):
     # In order of size: the later set of a pair is the larger one.
     each = F.expr(f"""flatten(transform(x, (a, i) -> transform(
       filter(slice(x, i + 2, size(x)), b -> 100 * a.n >= {percent} * b.n), b -> struct(a.node AS a, b.node AS b))))""")
-    pairs = members.select(F.explode(each).alias("pair")).select("pair.a", "pair.b")
+    pairs = kept_small(members.select(F.explode(each).alias("pair")).select("pair.a", "pair.b").distinct(), "pairs")
     # Linked sets lie in the same size range or in neighbouring ones; ranges grow by a little more than linked sizes differ.
     size_range = F.floor(F.log(F.col("n").cast("double")) / (1.001 * math.log(100 / percent)))
     ranged = held.where(F.col("length") > LIST).select(
@@ -222,7 +257,7 @@ def ties(found, percent=PERCENT):
     )
     least = ranged.groupBy("value", "range").agg(F.min("node").alias("least"))
     stars = ranged.join(least.hint("merge"), ["value", "range"]).where(F.col("node") > F.col("least")).select("node", "least")
-    return pairs.union(stars).distinct()
+    return _linkable(pairs, classes, percent).union(stars)
 
 
 def groups(documents, size=SHINGLE, percent=PERCENT):
@@ -232,12 +267,15 @@ def groups(documents, size=SHINGLE, percent=PERCENT):
     """
     documents = documents.select(F.col("doc_id").cast("long"), "text")
     found = kept_small(described(documents, size), "rows")
-    rows = found.where("slice IS NULL").select("doc_id", "n", "high", "low")
+    rows = found.where("slice IS NULL").select("doc_id", "n", "high", "low", "profile")
     named = rows.where("doc_id IS NOT NULL AND n > 0")
-    classes = named.groupBy("high", "low").agg(F.min("doc_id").alias("least"), F.max("n").alias("n"))
+    classes = named.groupBy("high", "low").agg(
+        F.min("doc_id").alias("least"), F.max("n").alias("n"), F.first("profile").alias("profile")
+    )
     classes = kept_small(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     with_ids = documents.where("doc_id IS NOT NULL")
-    tied = kept_small(components(ties(entries(with_ids, frequencies(found), size, percent), percent)), "families")
+    indexed = kept_small(entries(with_ids, frequencies(found), size, percent), "index")
+    tied = kept_small(components(ties(indexed, classes, percent)), "families")
     tied = classes.join(tied.toDF("node", "family").hint("merge"), F.col("high") == F.col("node")).select("id", "family")
     linked = families.class_components(with_ids, classes, tied, size, percent)
     labels = classes.join(linked.hint("merge"), "id", "left").withColumn("component", F.coalesce("component", "id"))

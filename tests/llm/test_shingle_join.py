@@ -117,3 +117,28 @@ def test_counters_add_up_over_tasks(spark):
         np.add.at(counted, shingle_join._cells(x), 1)
     order = np.argsort(counted, kind="stable")
     assert (np.diff(found[0][order].astype(int)) >= 0).all()
+
+
+def test_profiles_never_hide_a_link():
+    rnd = np.random.default_rng(9)
+    for _ in range(400):
+        n, m = rnd.integers(1, 400, 2)
+        a = np.unique(rnd.integers(0, 1 << 63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: rnd.integers(0, len(a) + 1)], rnd.integers(0, 1 << 63, m // 3).astype(np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        for percent in (50, 80, 90):
+            if len(b) and 100 * both >= percent * (len(a) + len(b) - both):
+                assert shingle_join.may_link(shingle_join.profile(a), shingle_join.profile(b), percent)
+    apart = [shingle_join.profile(np.unique(rnd.integers(0, 1 << 63, 300).astype(np.uint64))) for _ in range(2)]
+    assert not shingle_join.may_link(*apart, 80)
+
+
+def test_words_are_hashed_alike_however_texts_are_cut(monkeypatch):
+    texts = ["a bb  ccc\n", "", " ", "BB x" * 30, "É é ccc", "y" * 90 + " bb"]
+    flat, counts = sets.hashed_words(texts)
+    words = [w for t in texts for w in t.encode().lower().split()]
+    assert counts.tolist() == [len(t.encode().split()) for t in texts]
+    for x, h in zip(words, flat.tolist(), strict=True):
+        assert all((x == y) == (h == g) for y, g in zip(words, flat.tolist(), strict=True))
+    monkeypatch.setattr(sets, "HASHED_BYTES", 16)
+    assert (sets.hashed_words(texts)[0] == flat).all()
