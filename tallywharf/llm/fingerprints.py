@@ -3,17 +3,18 @@
 A document is the set of digests of its paragraphs: pieces that end after line feeds and sentence marks, and wherever a hash
 of the last ``WINDOW`` characters is low; where none is for ``LONGEST`` characters, as in a repeated word, after that many.
 The rule is the same at every size and needs neither words nor marks, so an edit changes the pieces around it and no others;
-a repeated piece has a digest for each time it is there. A sketch puts each digest into one
-cell of each of its three parts; a cell holds a count, the exclusive or of the digests and of their checks. The sketches of
-two versions are subtracted cell by cell, equal paragraphs cancel, and peeling cells that hold one digest recovers those
-that differ. A text's sketch has at least ``ROOM`` cells for each of its digests, in sizes that double, so that a larger
-sketch folds to each smaller size, and two are compared at the smaller of their sizes. Where peeling gets stuck, or the
-counts suggest that it would, both are sketched again with at least twice the cells; beyond sixteen times as many cells as
-there are digests, the sets themselves are compared.
-
-The fingerprint is the text's own sketch: a cell is its count in 4 bytes, digests in 8 and checks in 4, all counts first.
-``fingerprint`` and ``edited_fingerprint`` fold, subtract and peel to what the two texts differ in without the texts
-(``recovered``); where their own sizes are too small for that, both have at least the size that it took.
+a repeated piece has a digest for each time it is there. A sketch puts each digest into one cell of each of its three parts; a cell holds a count,
+the exclusive or of the digests and of their checks. The sketches of two versions are subtracted cell by cell, equal
+paragraphs cancel, and peeling cells that hold one digest recovers those that differ. A text's sketch has at least ``ROOM``
+cells for each of its digests, in sizes that double, so that a larger sketch folds to each smaller size, and two are
+compared at the smaller of their sizes. Where peeling gets stuck, or the counts suggest that it would, both are sketched
+again with at least twice the cells; beyond sixteen times as many cells as there are digests, the sets themselves are
+compared.
+
+The fingerprint is the text's own sketch, at a size that the text alone decides, so equal texts have equal fingerprints. A
+cell is its count in 4 bytes, digests in 8 and checks in 4, all counts first. ``fingerprint`` and ``edited_fingerprint`` fold,
+subtract and peel to what the two texts differ in without the texts (``recovered``); where their sizes are too small for
+that, ``larger_fingerprint`` and ``larger_edited_fingerprint`` hold the sketches that it took, and are null elsewhere.
 
 Likeness is the share of common digests in all digests of both (0 to 1); two texts without any are alike.
 
@@ -32,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from .common import slices, texts, values
+from .sets import mixed, span_hashes
 
 PARTS = 3
 FIRST_CELLS = 15
@@ -43,49 +45,61 @@ RANGES_PER_PARTITION = 4
 #: Characters whose hash decides whether a piece ends after them; characters to a piece, on average and at most.
 WINDOW, PIECE = 4, 24
 LONGEST = 8 * PIECE
+#: Characters whose pieces are hashed at once.
+HASHED = 1 << 20
 _ENDS = np.zeros(1 << 16, dtype=bool)
 _ENDS[[ord(c) for c in "\n.!?。！？"]] = True
+_SPACE = np.array([chr(k).isspace() for k in range(0x3001)] + [False])
 _FACTORS = [np.uint32(x) for x in (0xBF58476D, 0x1CE4E5B9, 0x94D049BB, 0x133111EB)]
-_MIX = [np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 SHIFTS = np.array([[0], [21], [42]], dtype=np.uint64)
 ROWS = np.arange(PARTS, dtype=np.uint64)[:, None]
 LOWEST = -(1 << 63)
 
 SCHEMA = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-    "near_edited double, near_next double"
+    "near_edited double, near_next double, larger_fingerprint string, larger_edited_fingerprint string"
 )
 
 
-def mixed(x):
-    x = (x ^ (x >> np.uint64(30))) * _MIX[0]
-    x = (x ^ (x >> np.uint64(27))) * _MIX[1]
-    return x ^ (x >> np.uint64(31))
-
-
-def paragraphs(text):
-    codes = np.frombuffer(text.encode("utf-32-le"), "<u4")
-    ends = _ENDS.take(codes, mode="clip")
-    ends[:-1] &= ~ends[1:]
+def pieces(codes):
+    """Where the paragraphs of a text begin and end, white space around them left out; ``codes`` are its code points."""
+    cut = _ENDS.take(codes, mode="clip")
+    cut[:-1] &= ~cut[1:]
     n = len(codes) - WINDOW + 1
     if n > 0:
         rolled = codes[:n] * _FACTORS[0]
         for k in range(1, WINDOW):
             rolled += codes[k : k + n] * _FACTORS[k]
-        ends[WINDOW - 1 :] |= rolled < np.uint32((1 << 32) // PIECE)
-    at = [0, *(np.flatnonzero(ends) + 1).tolist(), len(codes)]
-    return [x for a, b in zip(at, at[1:]) for i in range(a, b, LONGEST) if (x := text[i : min(b, i + LONGEST)].strip())]
+        cut[WINDOW - 1 :] |= rolled < np.uint32((1 << 32) // PIECE)
+    at = np.concatenate(([0], np.flatnonzero(cut) + 1, [len(codes)]))
+    wide = np.flatnonzero(np.diff(at) > LONGEST).tolist()
+    if wide:
+        at = np.unique(np.concatenate([at, *(np.arange(at[k], at[k + 1], LONGEST) for k in wide)]))
+    starts, ends = at[:-1], at[1:]
+    # The next character from each start that is no white space, and the last one before each end.
+    black = np.flatnonzero(~_SPACE.take(codes, mode="clip"))
+    first, last = np.searchsorted(black, starts), np.searchsorted(black, ends) - 1
+    full = first <= last
+    return black[first[full]], black[last[full]] + 1
 
 
 def digests(text):
     """The distinct digests of a text's paragraphs."""
-    import xxhash
-
-    seen, out = {}, []
-    for x in paragraphs(text):
-        n = seen[x] = seen.get(x, -1) + 1
-        out.append(xxhash.xxh64_intdigest(x.encode(), n))
-    return np.unique(np.array(out, dtype=np.uint64))
+    codes = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    if not len(codes):
+        return np.empty(0, np.uint64)
+    starts, ends = pieces(codes)
+    found, k = [np.empty(0, np.uint64)], 0
+    while k < len(starts):
+        # Pieces are short, so a stretch holds about as many characters as it may.
+        n = max(k + 1, int(np.searchsorted(ends, starts[k] + HASHED, side="right")))
+        found.append(span_hashes(mixed(codes[starts[k] : ends[n - 1]].astype(np.uint64) + np.uint64(1)), starts[k:n] - starts[k], ends[k:n] - starts[k]))
+        k = n
+    found = np.sort(np.concatenate(found))
+    new = np.concatenate(([True], found[1:] != found[:-1]))[: len(found)]
+    firsts = np.flatnonzero(new)
+    time = np.arange(len(found)) - np.repeat(firsts, np.diff(np.concatenate((firsts, [len(found)]))))
+    return np.unique(mixed(found + time.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
 
 
 def places(keys, cells):
@@ -267,13 +281,14 @@ def edited(documents):
                     larger = cells if cells > min(previous.cells, changed.cells) else 0
                     out.append((
                         previous_id, len(previous.text), hashlib.sha256(changed.text.encode()).hexdigest(),
-                        previous.fingerprint(max(previous.cells, larger)), changed.fingerprint(max(changed.cells, larger)),
+                        previous.fingerprint(), changed.fingerprint(),
                         share(previous, changed, len(mine) + len(theirs)), likeness(previous, version),
+                        *(x.fingerprint(larger) if larger else None for x in (previous, changed)),
                     ))
                 pending, closed = (doc_id, version), bool(extra)
             if out:
                 arrays = list(map(list, zip(*out, strict=True)))
-                kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+                kinds = [pa.int64()] * 2 + [pa.string()] * 3 + [pa.float64()] * 2 + [pa.string()] * 2
                 names = [x.split()[0] for x in SCHEMA.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(a, k) for a, k in zip(arrays, kinds, strict=True)], names)
 

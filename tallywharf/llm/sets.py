@@ -45,18 +45,22 @@ class _Powers:
         return cls.up[:n], cls.down
 
 
-def _word_hashes(data):
-    """The start of every word in bytes that begin and end between words, and its hash.
+def span_hashes(values, starts, ends):
+    """The hashes of spans of 64-bit values.
 
-    A word's bytes are the coefficients of a polynomial in the base, so its value is a difference of two running sums.
+    A span's values are the coefficients of a polynomial in the base, so it is worth a difference of two running sums.
     """
-    space = _SPACE[data]
-    edges = np.flatnonzero(np.diff(np.concatenate(([True], space, [True]))))
+    up, down = _Powers.first(len(values))
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up, out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def _word_hashes(data):
+    """The start of every word in bytes that begin and end between words, and its hash."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([True], _SPACE[data], [True]))))
     starts, ends = edges[::2], edges[1::2]
-    up, down = _Powers.first(len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUES[data] * up, out=sums[1:])
-    return starts, mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return starts, span_hashes(_VALUES[data], starts, ends)
 
 
 def hashed_words(texts_):

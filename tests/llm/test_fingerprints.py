@@ -1,11 +1,15 @@
 import hashlib
+import os
 import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallywharf.llm import fingerprints as f
 
+DOCUMENTS = "/root/testdata/sf0.01/documents.parquet"
+
 
 def test_peeling_recovers_what_differs():
     rnd = np.random.default_rng(1)
@@ -61,6 +65,50 @@ def test_equal_texts_have_equal_fingerprints(odd):
     assert rows.count() == 1
 
 
+@pytest.mark.skipif(not os.path.exists(DOCUMENTS), reason="no test data")
+def test_all_repeated_texts_have_equal_fingerprints(spark):
+    documents = spark.read.parquet(DOCUMENTS)
+    found = f.edited(documents).join(documents.select("doc_id", "text"), "doc_id").groupBy("text").agg(
+        F.count("*").alias("n"), F.countDistinct("fingerprint").alias("kinds"))
+    assert found.where("n > 1").count() > 20
+    assert found.where("kinds <> 1").count() == 0
+
+
+def plain_pieces(text):
+    """Character by character."""
+    out, piece = [], ""
+    for k, c in enumerate(text):
+        piece += c
+        last = text[max(0, k + 1 - f.WINDOW) : k + 1]
+        hashed = sum(ord(x) * int(y) for x, y in zip(last, f._FACTORS, strict=False)) % (1 << 32)
+        mark = c in "\n.!?。！？" and (k + 1 == len(text) or text[k + 1] not in "\n.!?。！？")
+        if mark or len(last) == f.WINDOW and hashed < (1 << 32) // f.PIECE:
+            out.append(piece)
+            piece = ""
+    out.append(piece)
+    return [x for p in out for k in range(0, len(p), f.LONGEST) if (x := p[k : k + f.LONGEST].strip())]
+
+
+def test_pieces_and_digests_against_single_characters(monkeypatch):
+    rnd = random.Random(7)
+    for n in (0, 1, 5, 199, 200, 201, 900, 5000):
+        for alphabet in ("ab. \n", "abcdefgh \u3000é漢!", "x", "abcdefghijklmnop", " \n\t"):
+            text = "".join(rnd.choices(alphabet, k=n))
+            codes = np.frombuffer(text.encode("utf-32-le"), "<u4")
+            want = plain_pieces(text)
+            if n:
+                assert [text[a:b] for a, b in zip(*f.pieces(codes), strict=True)] == want
+            times = {}
+            for x in want:
+                times[x] = times.get(x, 0) + 1
+            keys = {(x, k) for x, m in times.items() for k in range(m)}
+            assert len(f.digests(text)) == len(keys)
+            monkeypatch.setattr(f, "HASHED", 64)
+            cut = f.digests(text)
+            monkeypatch.setattr(f, "HASHED", 1 << 20)
+            assert np.array_equal(cut, f.digests(text))
+
+
 def test_an_empty_table(empty):
     assert f.edited(empty).count() == 0
 
@@ -96,5 +144,8 @@ def test_returned_fingerprints_recover_what_differs(spark):
     for r in found:
         text = dict(rows)[r.doc_id] or ""
         a, b = set(f.digests(text).tolist()), set(f.digests(f.edit(text, following[r.doc_id])).tolist())
-        mine, theirs = f.recovered(r.fingerprint, r.edited_fingerprint)
+        own = f.Version(text).fingerprint(), f.Version(f.edit(text, following[r.doc_id])).fingerprint()
+        assert (r.fingerprint, r.edited_fingerprint) == own
+        larger = r.larger_fingerprint, r.larger_edited_fingerprint
+        mine, theirs = f.recovered(*(own if larger == (None, None) else larger))
         assert set(mine.tolist()) == a - b and set(theirs.tolist()) == b - a and len(mine) == len(a - b)
