@@ -72,8 +72,10 @@ class Encoder:
         """
         out, plain, marked, other, stopped = {}, set(), set(), set(), []
         for w in words:
-            # A stop or comma after letters is a pre-token of its own.
+            # A stop or comma after letters is a pre-token of its own, unless the letters become letters and marks.
             stem = w[:-1] if w[-1] in ".," else w
+            if stem is not w and self.by_end and not (stem == stem.lower() and unicodedata.is_normalized("NFC", stem)):
+                stem = w
             if stem.isalpha():
                 if stem is not w:
                     stopped.append(w)
@@ -125,13 +127,22 @@ class Encoder:
 
     def pieces(self, text):
         """The first piece, with whatever stands before it, and the others. White space itself has no tokens where the
-        end of a word is marked, so there more cuts are safe; that file lower-cases letters one by one, as ``lower`` does
-        but for two of them, and special strings are left as they are."""
+        end of a word is marked, so there more cuts are safe. That file composes letters and marks and then lower-cases
+        letters one by one, as ``lower`` does but for two of them; special strings are left as they are. Where its own
+        normaliser would change what it has made of a text, the text goes to the library whole."""
         if not self.by_end:
             return cut(text)
-        if not any(x in text for x in ("Σ", "İ", "<|")):
-            text = text.lower()
-        return cut(text) if any(c in text for c in SEPARATORS) else ["", *text.split()]
+        made = text
+        if any(x in text for x in ("Σ", "İ", "<|")):
+            if not unicodedata.is_normalized("NFC", text):
+                return [text]
+        elif unicodedata.is_normalized("NFC", text):
+            made = text.lower()
+        else:
+            made = self.tokenizer.normalizer.normalize_str(text)
+        if made is not text and not unicodedata.is_normalized("NFC", made):
+            return [text]
+        return cut(made) if any(c in made for c in SEPARATORS) else ["", *made.split()]
 
     def head(self, piece):
         return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes() if piece else b""

@@ -22,6 +22,8 @@ from .encode import encoder
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
+#: Characters of a text that tell rows of one id apart when they are dealt to files.
+BEGINNING = 32
 
 SCHEMA = "doc_id long, file_start long, n_tokens long, ids array<int>"
 
@@ -55,21 +57,28 @@ def write(documents, folder, tokenizer=TOKENIZER, end_id=END_ID):
 
     (
         documents.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-        .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+        # Rows that repeat an id, or have none, are spread by how their texts begin.
+        .repartitionByRange("doc_id", F.substring("text", 1, BEGINNING)).sortWithinPartitions("doc_id", "text")
         .mapInArrow(encode, SCHEMA)
         .write.options(**ORC).orc(folder)
     )
 
 
 def read(spark, folder):
-    """The stored rows with ``file``, the name of their file; files follow each other by name."""
+    """The stored rows with ``file``, the name of their file; files follow each other by ``file_number``."""
     return spark.read.schema(SCHEMA).orc(folder).select("*", F.col("_metadata.file_name").alias("file"))
 
 
 def file_starts(spark, folder):
     """The ids before each file: one short row per file, from the counts alone."""
     totals = read(spark, folder).groupBy("file").agg(F.sum("n_tokens").alias("total"))
-    return totals.select("file", (F.sum("total").over(Window.orderBy("file")) - F.col("total")).alias("before"))
+    order = Window.orderBy(file_number(F.col("file")), "file")
+    return totals.select("file", (F.sum("total").over(order) - F.col("total")).alias("before"))
+
+
+def file_number(name):
+    """The number of the task that wrote a file; numbers of more than five digits make names longer."""
+    return F.regexp_extract(name, r"part-(\d+)", 1).cast("long")
 
 
 def digests(spark, folder):

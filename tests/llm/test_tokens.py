@@ -1,3 +1,4 @@
+import unicodedata
 import zlib
 
 import numpy as np
@@ -5,6 +6,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallywharf.llm import packing, token_counts, token_files
@@ -31,6 +33,41 @@ def test_pieces_encode_as_the_whole_text(file):
     same()
 
 
+@pytest.mark.parametrize("file", FILES)
+@pytest.mark.parametrize("template", ["a {}.", "a {} b", "{}", "A{}, b", "x {}\u0301 y.", "\u0399{}. \u03a3 z"])
+def test_every_code_point_encodes_as_in_the_whole_text(file, template):
+    points = [chr(k) for k in range(1, 0x32000) if unicodedata.category(chr(k)) not in ("Cn", "Cs", "Co")]
+    points = [c for c in points if not 0x3500 < ord(c) < 0x9F00 and not 0xAC10 < ord(c) < 0xD7A0 and not 0x17100 < ord(c) < 0x18C00 and not 0x20100 < ord(c) < 0x31300]
+    texts = [template.format(c) for c in points]
+    plain = Tokenizer.from_file(public_tokenizers.path(file)).encode_batch(texts, add_special_tokens=False)
+    got = Encoder(file).encode(texts)
+    bad = [t for t, g, p in zip(texts, got, plain, strict=True) if g != np.array(p.ids, dtype="<u4").tobytes()]
+    assert not bad, (len(bad), bad[:5])
+
+
+def test_files_follow_each_other_by_number(spark):
+    names = spark.createDataFrame([(f"part-{k:05d}-x.orc",) for k in (99999, 100000, 7)], "file string")
+    assert [r.file[5:-6] for r in names.orderBy(token_files.file_number(names.file)).collect()] == ["00007", "99999", "100000"]
+
+
+def test_look_ups_skip_stripes(spark, folder):
+    frame = spark.range(0, 60_000, 2).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *[F.col("id")] * 30).alias("text"))
+    token_files.write(frame.repartition(1), f"{folder}/ids")
+    found = token_files.lookup(spark, f"{folder}/ids", [31_000])
+    assert [r.doc_id for r in found.collect()] == [31_000]
+    plan = found._jdf.queryExecution().executedPlan()
+    found._jdf.queryExecution().toRdd().count()
+    leaves = plan.collectLeaves()
+    read = sum(leaves.apply(k).metrics().apply("numOutputRows").value() for k in range(leaves.size()))
+    assert 1 <= read <= 4000, read
+    # Between the ids that are there lie others that only a Bloom filter can rule out.
+    none = token_files.lookup(spark, f"{folder}/ids", [31_001])
+    plan = none._jdf.queryExecution().executedPlan()
+    none._jdf.queryExecution().toRdd().count()
+    leaves = plan.collectLeaves()
+    assert sum(leaves.apply(k).metrics().apply("numOutputRows").value() for k in range(leaves.size())) <= 1000
+
+
 def brute_files(rows):
     start, out = 0, []
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
