@@ -1,6 +1,6 @@
 """The corpus pipeline: documents in, packed pieces out. A stage reads what the stage before it has kept.
 
-1. Language identification: documents whose language is ``und``, or whose cosine is below ``LEAST_COSINE``, go.
+1. Language identification: documents whose language is ``und``, those without a letter, go.
 2. N-gram Jaccard join, five words and a similarity of 0.8: of each group the row with the least id stays.
 3. Benchmark decontamination: documents that hold a window of a benchmark item go.
 4. Personal data: all spans are masked in the text, and ``n_chars`` follows.
@@ -16,32 +16,32 @@ from tallywharf.llm import decontamination, language, packing, private, shingle_
 from tallywharf.llm.common import column
 from tallywharf.sources.workspace import fresh_folder
 
-#: Texts that are hardly like any language of the corpus: two or three words have cosines above it.
-LEAST_COSINE = 0.02
-
 SHINGLE, PERCENT = 5, 80
-#: The key of a row in the second stage.
-ROW = "_row"
 
 
 def known_language(spark, docs, sf_dir):
     inner = docs.withColumnsRenamed({c: f"d_{c}" for c in docs.columns if c not in ("doc_id", "text", "lang")})
     model = language.learn(inner)
-    kept = language.predict(inner, model, inner.columns).where(
-        (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_COSINE)
-    )
+    kept = language.predict(inner, model, inner.columns).where(F.col("lang_pred") != language.UNKNOWN)
     return kept.select(*inner.columns).toDF(*docs.columns)
 
 
 def one_of_each_group(spark, docs, sf_dir):
     # Each row gets a key of its own, so ids may repeat or be null; written, so that the keys stay as they are.
-    keyed = shingle_join.kept_small(docs.withColumn(ROW, F.monotonically_increasing_id()), "keyed")
-    groups = shingle_join.join(keyed.select(F.col(ROW).alias("doc_id"), "text"), SHINGLE, PERCENT)
-    groups = shingle_join.kept_small(groups.select(F.col("doc_id").alias(ROW), "component_id"), "groups")
-    ids = keyed.select(ROW, F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), ROW).alias("place"))
-    first = groups.join(ids, ROW).groupBy("component_id").agg(F.min("place").getField(ROW).alias("first"))
-    others = groups.join(first, "component_id").where(F.col(ROW) != F.col("first")).select(ROW)
-    return keyed.join(shingle_join.kept_small(others, "copies"), ROW, "left_anti").select([column(c) for c in docs.columns])
+    row = "_row"
+    while row in {c.lower() for c in docs.columns}:
+        row = f"_{row}"
+    keyed = shingle_join.kept_small(docs.withColumn(row, F.monotonically_increasing_id()), "keyed")
+    groups = shingle_join.join(keyed.select(F.col(row).alias("doc_id"), "text"), SHINGLE, PERCENT)
+    groups = shingle_join.kept_small(groups.select(F.col("doc_id").alias("row"), "component_id"), "groups")
+    # Only rows that have a copy are looked up and compared.
+    several = groups.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id")
+    copied = shingle_join.kept_small(groups.join(several, "component_id"), "copied")
+    ids = keyed.select(F.col(row).alias("row"), F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), row).alias("place"))
+    places = shingle_join.kept_small(ids.join(copied, "row").select("row", "component_id", "place"), "places")
+    first = places.groupBy("component_id").agg(F.min("place").getField(row).alias("first"))
+    others = places.join(first, "component_id").where(F.col("row") != F.col("first")).select(F.col("row").alias(row))
+    return keyed.join(shingle_join.kept_small(others, "copies"), row, "left_anti").select([column(c) for c in docs.columns])
 
 
 def without_benchmark(spark, docs, sf_dir):
