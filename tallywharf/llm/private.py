@@ -417,20 +417,24 @@ def masked(text, spans):
 def mask(documents, tagger):
     """``documents`` with masked texts, null where they were, and ``n_chars`` of the new text where it had a value."""
     fields = [T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]
-    inner = documents.withColumnsRenamed({"text": "_text", "n_chars": "_n_chars"})
+    # Names that no column has.
+    taken, old_text, old_size = {c.lower() for c in documents.columns}, "_text", "_n_chars"
+    while {old_text, old_size} & taken:
+        old_text, old_size = f"_{old_text}", f"_{old_size}"
+    inner = documents.withColumnsRenamed({"text": old_text, "n_chars": old_size})
 
     def make():
         def run(batch):
-            old = batch.column(batch.schema.get_field_index("_text")).to_pylist()
-            sizes = batch.column(batch.schema.get_field_index("_n_chars")).to_pylist()
+            old = batch.column(batch.schema.get_field_index(old_text)).to_pylist()
+            sizes = batch.column(batch.schema.get_field_index(old_size)).to_pylist()
             _, spans = all_spans(tagger, [x or "" for x in old])
             new = [None if x is None else masked(x, s) for x, s in zip(old, spans, strict=True)]
             return pa.array(new, pa.string()), pa.array([n if n is None or x is None else len(x) for x, n in zip(new, sizes, strict=True)], pa.int64())
 
         return run
 
-    keep = [c for c in inner.columns if c not in ("_text", "_n_chars")]
-    return annotate(inner, fields, make, keep, ("_text", "_n_chars")).select(documents.columns)
+    keep = [c for c in inner.columns if c not in (old_text, old_size)]
+    return annotate(inner, fields, make, keep, (old_text, old_size)).select(documents.columns)
 
 
 def classify(documents):

@@ -72,3 +72,17 @@ def test_near_duplicates_go_by_row(spark, folder):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = corpus_pipeline.one_of_each_group(spark, docs, folder).collect()
     assert sorted((r.doc_id, r.text.removesuffix(" end")) for r in got) == sorted([(1, a), (7, b), (8, c), (9, d)])
+
+
+def test_stages_leave_clashing_columns_alone(spark, tables):
+    """Columns with the names that stages use inside stay as they are; ids repeat and are null."""
+    names = ("_row", "_text", "_n_chars", "component_id", "spans", "lang_pred", "score")
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    docs = docs.selectExpr("IF(doc_id % 7 = 0, NULL, doc_id % 20) AS doc_id", "* EXCEPT (doc_id)", *[f"concat('{n}', doc_id) AS {n}" for n in names])
+    columns, rows = docs.columns, docs.count()
+    want = {n: {r[n] for r in docs.select(n).distinct().collect()} for n in names}
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, tables)
+        assert docs.columns == columns
+        assert all({r[n] for r in docs.select(n).distinct().collect()} <= want[n] for n in names)
+    assert 50 < docs.count() < rows
