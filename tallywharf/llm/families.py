@@ -18,7 +18,7 @@ from .common import slices, texts
 from .sets import Union, components, digests, kept_small, link_rows, shingle_sets
 
 #: Sets and tokens to a block of a large family, pivots of a family, tokens to a task.
-BLOCK, BLOCK_TOKENS, PIVOTS, TASK_TOKENS = 512, 1 << 20, 64, 1 << 22
+BLOCK, BLOCK_TOKENS, PIVOTS, TASK_TOKENS = 512, 1 << 19, 64, 1 << 20
 
 SETS = "family long, id long, n long, tokens binary"
 

@@ -22,7 +22,7 @@ def mixed(x):
 
 
 #: Bytes whose words are hashed at once; a longer word is taken whole.
-HASHED_BYTES = 1 << 20
+HASHED_BYTES = 1 << 18
 
 #: A value for every byte, an odd base, and its inverse modulo 2 ** 64.
 _VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
