@@ -1,5 +1,6 @@
 """What the operators share: Arrow slices bounded by bytes, new columns from Arrow functions, bounded keyed samples."""
 
+import ctypes
 import math
 
 import numpy as np
@@ -32,6 +33,14 @@ def slices(batches, name="text", limit=SLICE_BYTES):
             first = last
 
 
+def release():
+    """Gives freed memory back to the system, as workers stay for later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def texts(batch, name="text"):
     """The named strings of a batch; null counts as empty."""
     return [x or "" for x in batch.column(batch.schema.get_field_index(name)).to_pylist()]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallywharf.sources.workspace import ensure_checkpoints
 
-from .common import slices, texts
+from .common import release, slices, texts
 from .sets import Union, components, digests, kept_small, link_rows, shingle_sets
 
 #: Sets and tokens to a block of a large family, pivots of a family, tokens to a task.
@@ -45,6 +45,7 @@ def tie_block(percent):
 
     def run(table):
         a, b = [], []
+        release()
         for block in _groups(table, ["family", "block"]):
             if block.num_rows < 2:
                 continue
@@ -69,6 +70,7 @@ def tie_rest(percent):
 
     def run(table):
         pairs = {}
+        release()
         for part in _groups(table, ["family", "block", "chunk"]):
             outside = part["outside"].to_numpy(zero_copy_only=False).astype(bool)
             left, right = part.filter(pa.array(outside)), part.filter(pa.array(~outside))
@@ -141,6 +143,7 @@ def full_sets(documents, wanted, size):
             yield pa.RecordBatch.from_arrays(
                 [*digests(sets), pa.array([x.astype("<u8").tobytes() for x in sets], pa.binary())], ["high", "low", "tokens"]
             )
+        release()
 
     ids = wanted.select("least").distinct()
     documents = documents.select(F.col("doc_id").cast("long"), "text")

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from . import families
-from .common import slices, texts, values
+from .common import release, slices, texts, values
 from .sets import components, digests, kept_small, mixed, shingle_sets
 
 SHINGLE = 3
@@ -148,6 +148,8 @@ def described(documents, size=SHINGLE):
             counts[cells] = np.minimum(counts[cells] + n, 255).astype(np.uint8)
         parts = [zlib.compress(counts[k * width : (k + 1) * width].tobytes(), 1) for k in range(SLICES)]
         yield rows(SLICES, None, None, None, None, None, pa.array(range(SLICES)), pa.array(parts, pa.binary()))
+        del counts, parts
+        release()
 
     layout = "doc_id long, n long, high long, low long, profile binary, slice int, counts binary"
     return documents.mapInArrow(run, layout)
@@ -221,6 +223,8 @@ def entries(documents, table, size=SHINGLE, percent=PERCENT):
                 ],
                 ["value", "node", "n"],
             )
+        del ranges, seen
+        release()
 
     return documents.select("text").mapInArrow(run, "value long, node long, n long")
 
@@ -232,6 +236,7 @@ def _linkable(pairs, classes, percent):
         for batch in batches:
             x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             yield batch.select(["a", "b"]).filter(pa.array([may_link(p, q, percent) for p, q in zip(x, y, strict=True)], pa.bool_()))
+        release()
 
     nodes = pairs.select("a").union(pairs.select("b")).distinct().toDF("high")
     profiles = kept_small(classes.join(nodes.hint("merge"), "high", "left_semi").select("high", "profile"), "profiles")
