@@ -1,12 +1,18 @@
 """Operator 4: personal data, by fixed patterns and a character-level bidirectional LSTM with CRF transitions.
 
-The patterns find the base spans. The model learns from them: it reads windows of characters around digits and ``@``,
-as class of digit, letter or each other sign, and tags them with the beginning and inside of each kind. It is trained in
-numpy on windows of at most ``SAMPLE`` documents, taken by hashed id. Every digit and every ``@`` of a text lies in a window;
-text without them has nothing to tag, as a span must hold one. Windows of ``WINDOW`` characters overlap by half. Each is
-decoded by Viterbi; a span that a window cuts is left to its neighbour; then spans of all windows of a text are reconciled
-at once: the set without overlaps, among themselves or with base spans, that has the most confidence. Spans below
-``CONFIDENCE``, or without what their kind needs, are not added.
+The patterns find the base spans. The model finds what they cannot: the same data written another way, such as
+``ann at mail dot com``, ``10[.]0[.]0[.]1``, a card number in groups with dots, a phone number without its plus sign. It
+learns from base spans of the documents, each rewritten in such ways where it stands with its tags, and from near misses
+(licence numbers, dates, hexadecimal tokens, prose with "at" and "dot") put in their place. It is trained in numpy on
+windows of at most ``SAMPLE`` documents, taken by hashed id, and reads each character as a class: digit, capital, small
+letter, the letters of "at" and "dot", each other sign.
+
+A span must hold a digit, an ``@`` or a spelled-out "at" or "dot" (``marks``), so windows around all marks of a text see
+all that can be a span, with ``MARGIN`` characters on either side. Windows of ``WINDOW`` characters overlap by half. Each
+is decoded by Viterbi; a span that a window cuts is left to its neighbour; then spans of all windows of a text are
+reconciled at once: the set without overlaps, among themselves or with base spans, that has the most confidence. Spans
+below ``CONFIDENCE``, or without what their kind needs (``holds``: an address, four parts up to 255, the check digit of a
+card, the count of digits), are not added. Card-shaped digits are tagged whatever their check digit is, as ``holds`` tests it.
 
 Nulls: a null text is empty and has no spans; a null ``doc_id`` is a document like others, never learned from. Without base spans
 to learn from, no spans are added. Repeated rows give repeated results. An empty table gives no rows.
@@ -14,6 +20,7 @@ to learn from, no spans are added. Repeated rows give repeated results. An empty
 
 import hashlib
 import re
+from random import Random
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +31,11 @@ from .common import annotate, bounded_sample, slices, texts
 
 KINDS = "email", "ip", "card", "phone"
 SAMPLE = 12_000
-WINDOWS = 2_400
-WINDOW, MARGIN = 96, 24
+WINDOWS = 600
+WINDOW, MARGIN = 128, 28
 HIDDEN, EMBEDDED = 20, 10
 EPOCHS, BATCH, RATE = 6, 48, 0.03
-CONFIDENCE = 0.9
+CONFIDENCE = 0.5
 SEED = 4_001
 
 # The fixed patterns.
@@ -38,12 +45,16 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
+# What a span must hold: a digit, "@", or in small letters a spelled-out at or dot.
 TRIGGER = re.compile(r"[0-9@]")
+SPELLED_AT = re.compile(r"at(?: ?[\])}>]| [a-z0-9-]+ ?\.[a-z])")
+SPELLED_DOT = re.compile(r"dot(?![a-z])")
 LOCAL_SIGNS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
+SPELLING = "adot"
 SIGNS = " \n\t.,;:!?@+-()[]{}<>/\\\"'#$%&*=_|~^`"
 TAGS = 1 + 2 * len(KINDS)
-CLASSES = 5 + len(SIGNS)
+CLASSES = 5 + len(SPELLING) + len(SIGNS)
 
 FIELDS = [T.StructField(f"n_{k}", T.LongType()) for k in KINDS] + [
     T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType())
@@ -98,19 +109,28 @@ def classes(text):
     return np.array([_class(c) for c in text], dtype=np.int64)
 
 
-def _class(c, signs={c: 5 + i for i, c in enumerate(SIGNS)}):
-    if c in signs:
-        return signs[c]
+def _class(c, known={c: 5 + i for i, c in enumerate(SPELLING + SIGNS)} | {c: 5 + i for i, c in enumerate(SPELLING.upper())}):
+    if c in known:
+        return known[c]
     if "0" <= c <= "9":
         return 1
     return (3 if c.isupper() else 2) if c.isalpha() else 4
 
 
+def marks(text):
+    """The places of all digits, ``@``, and spelled-out at and dot, in order."""
+    low = text.lower()
+    low = low if len(low) == len(text) else text
+    found = [m.start() for m in TRIGGER.finditer(text)]
+    spelled = [m.start() for p in (SPELLED_AT, SPELLED_DOT) for m in p.finditer(low)]
+    return sorted(found + spelled) if spelled else found
+
+
 def windows(text):
-    """(start, end, cut before, cut after) of the windows around digits and ``@``."""
+    """(start, end, cut before, cut after) of the windows around marks."""
     region = None
-    for m in TRIGGER.finditer(text):
-        a, b = max(0, m.start() - MARGIN), min(len(text), m.end() + MARGIN)
+    for at in marks(text):
+        a, b = max(0, at - MARGIN), min(len(text), at + 1 + MARGIN)
         if region and a <= region[1]:
             region[1] = b
         else:
@@ -294,12 +314,28 @@ def tagged(text, spans):
     return tags
 
 
-def holds(kind, x):
-    """Whether the text of a span has what its kind needs."""
-    n = count_digits(x)
+ADDRESS = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+AT_FORMS = re.compile(r" ?[\[({<] ?at ?[\])}>] ?| at | ?@ ?", re.I)
+DOT_FORMS = re.compile(r" ?[\[({<] ?(?:dot|\.) ?[\])}>] ?| dot | ?\. ?", re.I)
+PARTS = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
+CARD_SHAPE = re.compile(r"[0-9]+(?:[^0-9A-Za-z]{1,3}[0-9]+)*")
+PHONE_SHAPE = re.compile(r"\(?\+?[0-9][0-9 ().+/-]+[0-9]")
+
+
+def holds(kind, text, a, b):
+    """Whether a span has what its kind needs, and no letter or digit goes on beyond it."""
+    x = text[a:b]
+    if (a and text[a - 1].isalnum() and x[0].isalnum()) or (text[b : b + 1].isalnum() and x[-1].isalnum()):
+        return False
     if kind == 0:
-        return "@" in x and "." in x
-    return x[-1:].isdigit() and (x.count(".") == 3 and n >= 4, 13 <= n <= 19, 7 <= n <= 15)[kind - 1]
+        return ADDRESS.fullmatch(DOT_FORMS.sub(".", AT_FORMS.sub("@", x))) is not None
+    if kind == 1:
+        plain = DOT_FORMS.sub(".", x)
+        return PARTS.fullmatch(plain) is not None and all(int(p) <= 255 for p in plain.split("."))
+    if kind == 2:
+        digits = "".join(c for c in x if "0" <= c <= "9")
+        return CARD_SHAPE.fullmatch(x) is not None and 14 <= len(digits) <= 19 and luhn(digits)
+    return PHONE_SHAPE.fullmatch(x) is not None and 10 <= count_digits(x) <= 15
 
 
 def window_spans(tags, sure, start, cut_before, cut_after):
@@ -349,34 +385,113 @@ def added_spans(tagger, texts_, bases, batch=256):
         tags, sure = tagger.decode(padded(rows))
         for k, (i, a, b, before, after) in enumerate(part):
             for s in window_spans(tags[: b - a, k], sure[: b - a, k], a, before, after):
-                if s[3] >= CONFIDENCE and holds(s[1], texts_[i][s[0] : s[2]]):
+                if s[3] >= CONFIDENCE and holds(s[1], texts_[i], s[0], s[2]):
                     found[i].append(s)
     return [reconcile(f, b) for f, b in zip(found, bases, strict=True)]
 
 
+def shaped_spans(text):
+    """The base spans, and numbers shaped like a card whatever their check digit."""
+    return sorted(set(base_spans(text)) | {(m.start(), 2, m.end()) for m in CARD.finditer(text) if 14 <= count_digits(m.group()) <= 19})
+
+
+def _word(random, least, most):
+    return "".join(random.choices("abcdefghijklmnopqrstuvwxyz", k=random.randint(least, most)))
+
+
+def rewritten(kind, x, random):
+    """A base span's text in a form that the patterns do not find."""
+    if kind == 0:
+        local, domain = x.split("@", 1)
+        if random.random() < 0.5:
+            local = random.choice([_word(random, 2, 9), f"{_word(random, 1, 7)}.{_word(random, 3, 9)}", f"{_word(random, 3, 8)}{random.randint(1, 99)}"])
+            domain = ".".join([_word(random, 3, 10), *([_word(random, 3, 8)] if random.random() < 0.3 else []), _word(random, 2, 4)])
+        at = random.choice([" at ", " [at] ", " (at) ", "(at)", "[at]", " AT ", " @ ", "{at}"])
+        dot = random.choice([" dot ", " [dot] ", " (dot) ", "(dot)", "[dot]", " DOT ", " . ", ".", "[.]"])
+        return local.strip(".") + at + domain.replace(".", dot)
+    if kind == 1:
+        return x.replace(".", random.choice([" . ", "[.]", "(.)", " dot ", "[dot]", "(dot)", " [.] "]))
+    digits = "".join(c for c in x if "0" <= c <= "9")
+    if kind == 2:
+        sign = random.choice([".", "/", "_", "  ", " - ", " / ", ", ", "--", " . "])
+        size = random.choice([4, 4, 4, 5, 6])
+        return sign.join(digits[i : i + size] for i in range(0, len(digits), size))
+    if len(digits) < 10:
+        return "0" * (10 - len(digits)) + digits
+    a, b, c = digits[:-10], digits[-10:-7], digits[-7:]
+    sign = random.choice([" ", "-", ".", "/"])
+    head = random.choice([f"00{a}{sign}" if len(a) < 4 else f"{a}{sign}", f"{a}{sign}" if a else "", f"({a}) " if a else ""])
+    return head + random.choice([f"({b}) {c[:3]}{random.choice('-. /')}{c[3:]}", f"{b}{sign}{c[:3]}{sign}{c[3:]}"])
+
+
+def near_miss(random):
+    """Text that looks like personal data and is none."""
+    number = lambda n: "".join(random.choices("0123456789", k=n))
+    return random.choice([
+        lambda: f"{_word(random, 2, 2).upper()}-{number(4)}-{number(4)}-{_word(random, 2, 2).upper()}",
+        lambda: "".join(random.choices("0123456789abcdef", k=random.randint(12, 40))),
+        lambda: f"20{number(2)}-{random.randint(10, 12)}-{random.randint(10, 28)} {number(2)}:{number(2)}:{number(2)}",
+        lambda: f"no. {number(random.randint(3, 9))}", lambda: f"{number(1)}.{number(1)}.{number(2)}", lambda: f"{number(3)}, {number(4)}, {number(2)}, {number(3)}",
+        lambda: f"ISBN 978-{number(1)}-{number(5)}-{number(3)}-{number(1)}", lambda: f"{number(2)}.{number(2)} at {number(1)} dot {number(1)}",
+        lambda: f"{_word(random, 3, 8)} at the {_word(random, 3, 8)} dot", lambda: f"the dot at {_word(random, 2, 7)}. {_word(random, 2, 7)}",
+        lambda: f"a dot and {_word(random, 2, 7)} at {_word(random, 2, 7)}", lambda: f"{number(2)}/{number(2)}/{number(4)}",
+        lambda: f"@{_word(random, 4, 9)}", lambda: f"{number(4)}-{number(4)}", lambda: f"${number(3)},{number(3)}.{number(2)}",
+    ])()
+
+
+def replaced(text, spans, make):
+    """The text with each span's text remade by ``make(kind, text)`` to (text, whether it is still a span); its tags."""
+    out, tags, at = [], [], 0
+    for a, k, b in spans:
+        if a < at:
+            continue
+        new, stays = make(k, text[a:b])
+        out += [text[at:a], new]
+        tags += [0] * (a - at) + ([1 + 2 * k] + [2 + 2 * k] * (len(new) - 1) if stays else [0] * len(new))
+        at = b
+    return "".join([*out, text[at:]]), np.array(tags + [0] * (len(text) - at), dtype=np.int64)
+
+
+def examples(rows, seed=SEED):
+    """(text, tags) to learn from: each window as it is, and with its spans rewritten three times and once missed."""
+    for text, spans in rows:
+        random = Random(f"{seed} {text}")
+        yield text, tagged(text, spans)
+        if spans:
+            for _ in range(3):
+                yield replaced(text, spans, lambda k, x: (rewritten(k, x, random), True))
+            yield replaced(text, spans, lambda k, x: (near_miss(random), False))
+
+
+def whole_windows(text):
+    """The windows of a text that cut no span, with their spans."""
+    spans = shaped_spans(text)
+    for a, b, _, _ in windows(text):
+        inside = [(x - a, k, y - a) for x, k, y in spans if x < b and y > a]
+        if all(x >= 0 and y <= b - a for x, _, y in inside):
+            yield text[a:b], inside
+
+
 def learn(documents, sample=SAMPLE):
-    """The tagger, from windows of a bounded sample of documents."""
+    """The tagger, from windows of a bounded sample of documents; those with spans come first more often."""
     chosen = bounded_sample(documents.select("doc_id").dropna(), "doc_id", sample, SEED).distinct()
 
     def extract(batches):
         for batch in slices(batches):
-            rows = []
-            for text in texts(batch):
-                spans = base_spans(text) if TRIGGER.search(text) else []
-                tags = tagged(text, spans)
-                for a, b, _, _ in windows(text):
-                    rows.append((text[a:b], tags[a:b].tolist()))
+            rows = [w for text in texts(batch) if TRIGGER.search(text) for w in whole_windows(text)]
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x for x, _ in rows]), pa.array([y for _, y in rows], pa.list_(pa.int64()))], ["window", "tags"]
+                    [pa.array([x for x, _ in rows]), pa.array([[v for s in y for v in s] for _, y in rows], pa.list_(pa.int64()))], ["window", "spans"]
                 )
 
+    place = F.pmod(F.xxhash64("window", F.lit(SEED)), F.lit(1 << 40))
     rows = (
         documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi").select("text")
-        .mapInArrow(extract, "window string, tags array<long>")
-        .orderBy(F.xxhash64("window", F.lit(SEED)), "window").limit(WINDOWS).collect()
+        .mapInArrow(extract, "window string, spans array<long>").distinct()
+        .orderBy(F.when(F.size("spans") > 0, place / 4).otherwise(place), "window").limit(WINDOWS).collect()
     )
-    return train([(classes(r.window), np.array(r.tags, dtype=np.int64)) for r in rows])
+    found = [(r.window, list(zip(r.spans[::3], r.spans[1::3], r.spans[2::3], strict=True))) for r in rows]
+    return train([(classes(x), tags) for x, tags in examples(found)])
 
 
 def named(spans):

@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import random
 import re
 
@@ -81,6 +82,69 @@ def test_the_tagger_learns_the_kinds():
     assert total > 50 and hits > 0.6 * total
 
 
+def test_decoding_against_all_paths():
+    """Viterbi's path is the best of all, and the posteriors are the shares of all paths."""
+    t = private.Tagger(5)
+    rnd = np.random.default_rng(8)
+    t.p["move"], t.p["start"] = rnd.normal(0, 1, t.p["move"].shape), rnd.normal(0, 1, t.p["start"].shape)
+    ids = rnd.integers(0, private.CLASSES, (4, 2))
+    tags, sure = t.decode(ids)
+    e, _ = t.emissions(ids)
+    for k in range(2):
+        paths = list(itertools.product(range(private.TAGS), repeat=4))
+        scores = []
+        for path in paths:
+            x = t.p["start"][path[0]] + t.barred_start[path[0]] + sum(e[i, k, y] for i, y in enumerate(path))
+            scores.append(x + sum(t.p["move"][y, z] + t.barred[y, z] for y, z in itertools.pairwise(path)))
+        scores = np.array(scores)
+        weights = np.exp(scores - scores.max())
+        best = paths[int(scores.argmax())]
+        assert tuple(tags[:, k]) == best
+        for i in range(4):
+            share = weights[[p[i] == best[i] for p in paths]].sum() / weights.sum()
+            assert abs(share - sure[i, k]) < 1e-9
+
+
+def test_rewritten_spans_are_found_and_near_misses_left():
+    """Windows that were not learned from: of rewritten spans at least 0.8 are found, of found ones at least 0.9 are right."""
+    rows = [w for text in sample(11, 400) for w in private.whole_windows(text)]
+    model = private.train([(private.classes(x), tags) for x, tags in private.examples(rows)])
+    rnd = random.Random(12)
+    want, right, found = 0, 0, 0
+    for text in sample(13, 300):
+        base = private.base_spans(text)
+        new, tags = private.replaced(text, base, lambda k, x: (private.rewritten(k, x, rnd), True))
+        starts = [i for i, y in enumerate(tags) if y % 2]
+        spans = [(i, (tags[i] - 1) // 2, next((j for j in range(i + 1, len(new)) if tags[j] != tags[i] + 1), len(new))) for i in starts]
+        known = private.base_spans(new)
+        spans = [s for s in spans if all(s[2] <= a or s[0] >= b for a, _, b in known)]
+        added = private.added_spans(model, [new], [known])[0]
+        want, right, found = want + len(spans), right + len(set(spans) & set(added)), found + len(added)
+        missed, _ = private.replaced(text, base, lambda k, x: (private.near_miss(rnd), False))
+        found += len(private.added_spans(model, [missed], [private.base_spans(missed)])[0])
+    assert want > 100 and right >= 0.8 * want and right >= 0.9 * found
+
+
+def test_what_a_span_needs():
+    def holds(kind, x, before="", after=""):
+        return private.holds(kind, before + x + after, len(before), len(before) + len(x))
+
+    assert holds(0, "ann.lee at mail dot com") and holds(0, "ann [AT] mail(dot)co.uk") and not holds(0, "ann at mail")
+    assert holds(1, "10[.]0 . 0 dot 255") and not holds(1, "10[.]0[.]0[.]256") and not holds(1, "1 dot 2 dot 3")
+    assert holds(2, "4111/1111/1111/1111") and not holds(2, "4111/1111/1111/1112")
+    assert holds(3, "0044 20 7946 0958") and not holds(3, "7946 0958")
+    assert not holds(1, "10[.]0[.]0[.]1", after="2") and not holds(3, "0044 20 7946 0958", before="x")
+
+
+def test_windows_cover_spelled_marks():
+    text = "x " * 100 + "ann at mail dot com " + "y " * 100 + "bob (AT) home.net" + " İ" * 3
+    covered = set()
+    for a, b, _, _ in private.windows(text[:-6]):
+        covered |= set(range(a, b))
+    for part in ("ann at mail dot com", "bob (AT) home.net"):
+        assert set(range(text.index(part), text.index(part) + len(part))) <= covered
+
+
 def test_windows_cover_every_digit_and_overlap():
     text = "x" * 300 + "1" + "y" * 70 + "2" * 400 + "z" * 90 + "@"
     covered = set()
