@@ -87,10 +87,54 @@ def test_co_training_hands_labels_over():
     rnd = np.random.default_rng(2)
     y = rnd.integers(0, 2, 900)
     a, b = y[:, None] * 2.0 + rnd.normal(0, 0.8, (900, 3)), y[:, None] * 2.0 + rnd.normal(0, 0.8, (900, 3))
-    model = quality.co_train((a[:60], b[:60]), y[:60], (a[60:500], b[60:500]))
+    model = quality.co_train((a[:60], b[:60]), y[:60], quality.Matrices((a[60:500], b[60:500])))
     assert np.mean((model.scores(a[500:], b[500:]) >= 0.5) == y[500:]) > 0.95
 
 
+def two_views(seed, n, share, noise):
+    rnd = np.random.default_rng(seed)
+    y = (rnd.random(n) < share).astype(int)
+    return y, tuple(y[:, None] * 1.5 + rnd.normal(0, s, (n, 4)) for s in noise)
+
+
+def test_rounds_do_not_harm_and_help_where_labels_are_few():
+    def losses(seed, labelled_rows, noise, rounds):
+        y, (a, b) = two_views(seed, 4000, 0.85, noise)
+        k, m = labelled_rows, 2500
+        model = quality.co_train((a[:k], b[:k]), y[:k], quality.Matrices((a[k:m], b[k:m])), rounds=rounds)
+        p = np.clip(model.scores(a[m:], b[m:]), 1e-6, 1 - 1e-6)
+        return -np.mean(np.where(y[m:] == 1, np.log(p), np.log(1 - p)))
+
+    for labelled_rows, noise in ((60, (0.9, 0.9)), (400, (0.7, 6.0)), (400, (0.7, 0.7))):
+        alone, taught = ([losses(s, labelled_rows, noise, r) for s in range(8)] for r in (0, 5))
+        assert np.mean(taught) <= np.mean(alone) + 0.01, (labelled_rows, noise)
+
+
+def test_a_label_is_not_sure_by_its_frequency():
+    """With 0.88 of label 1, neither 0.9 for it nor 0.6 against the rest is sure; 0.98 and 0.05 are."""
+    logits = np.log([0.88 / 0.12, 0.9 / 0.1, 0.98 / 0.02, 0.6 / 0.4, 0.05 / 0.95])
+    assert [x[:2] for x in quality.chosen(logits, np.log(0.88 / 0.12), (5, 5))] == [(2, 1), (4, 0)]
+    assert [x[:2] for x in quality.chosen(-logits, -np.log(0.88 / 0.12), (5, 5))] == [(4, 1), (2, 0)]
+    assert not list(quality.chosen(logits, np.log(0.88 / 0.12), (0, 0)))
+
+
+def test_the_surest_of_all_rows_are_found(spark):
+    """The table finds what a pool in memory finds."""
+    y, _ = two_views(1, 300, 0.5, (1, 1))
+    rnd = np.random.default_rng(3)
+    contents = (y[:, None] * 2 + rnd.normal(0, 1, (300, len(quality.content(""))))).astype(np.float32)
+    places = [sorted({int(v) * 7, 100 + i % 9}) for i, v in enumerate(y)]
+    views = quality.matrices(contents, places)
+    frame = spark.createDataFrame(
+        [(i, c.tolist(), p) for i, (c, p) in enumerate(zip(contents, places))], "key long, content array<float>, places array<int>"
+    ).repartition(5)
+    view = quality.Logistic(1.0).fit(views[0][:50], y[:50], np.ones(50))
+    got = quality.Table(frame).surest(0, view, 0.1, {3, 4, 250}, (20, 7))
+    want = quality.Matrices(views).surest(0, view, 0.1, {3, 4, 250}, (20, 7))
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()} and len(got) == 27
+    assert all(np.allclose(g, w) for k in got for g, w in zip(got[k][1], want[k][1]))
+
+
 @pytest.mark.parametrize("classify", [toxicity.classify, quality.classify])
 def test_odd_rows(spark, odd, empty, classify):
     some = labels(spark, odd)
