@@ -1,13 +1,14 @@
 """Operator 2: documents packed into sequences by first-fit decreasing.
 
 A document is encoded, closed with the end id and cut into pieces of the sequence length; its last piece may be
-shorter. Documents are dealt to groups by a seeded hash of their ids, about ``GROUP_DOCUMENTS`` to a group, so groups
-stay of one size however many documents there are and whatever keys are frequent. Within a group, whole pieces are
+shorter. Pieces are dealt to groups by a seeded hash of id, start, digest and input partition, those of about
+``GROUP_DOCUMENTS`` documents to a group, so groups stay of one size however many documents there are; an id that owns a
+third of all rows is spread, and of equal rows a group holds at most those of the input partitions dealt to it. Within a group, whole pieces are
 sequences of their own and the others are placed by length, longest first, into the first sequence with room, which a
 tournament tree over the sequences' free room finds in logarithmic time.
 
 Nulls: a null text is empty (its document is the end id alone); a null ``doc_id`` is a document like others. Repeated
-rows are packed once each. Equal lengths are placed by ``doc_id``, then ``start``. An empty table gives no rows.
+rows are packed once each. Equal lengths are placed by ``doc_id``, ``start``, then ``ids_crc32``. An empty table gives no rows.
 """
 
 import math
@@ -104,7 +105,7 @@ def pack(parts, groups, length=LENGTH, seed=SEED):
 
     def place(key, frame):
         whole = frame[frame.length == length]
-        rest = frame[frame.length < length].sort_values(["length", "doc_id", "start"], ascending=[False, True, True])
+        rest = frame[frame.length < length].sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True])
         sequences, offsets = first_fit_decreasing(rest.length.tolist(), length)
         out = pd.concat([whole, rest])[names]
         local = np.concatenate((np.arange(len(whole)), len(whole) + np.array(sequences, dtype=np.int64))).astype(np.int64)
@@ -112,7 +113,7 @@ def pack(parts, groups, length=LENGTH, seed=SEED):
         out["offset"] = np.concatenate((np.zeros(len(whole), dtype=np.int64), np.array(offsets, dtype=np.int64)))
         return out
 
-    group = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(groups))
+    group = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.spark_partition_id(), F.lit(seed)), F.lit(groups))
     return parts.select(*(column(n) for n in names), group.alias("group")).groupBy("group").applyInPandas(place, schema)
 
 

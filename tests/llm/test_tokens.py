@@ -1,3 +1,4 @@
+import collections
 import unicodedata
 import zlib
 
@@ -182,3 +183,13 @@ def test_parts_keep_the_count():
 
 def test_counts_of_an_empty_table(empty):
     assert token_counts.count_tokens(empty).count() == 0
+
+
+def test_a_hot_id_is_spread_over_the_groups(spark):
+    """Every piece has one id, or none; no group gets much more than its share, and every piece stays."""
+    rows = [(7 if i % 2 else None, i * 3, 1 + i % 90, i * 7919, 400) for i in range(4000)]
+    parts = spark.createDataFrame(rows, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long").repartition(4)
+    got = packing.pack(parts, 8, 100).collect()
+    groups = collections.Counter(r.sequence_id >> 32 for r in got)
+    assert len(groups) == 8 and max(groups.values()) < 2 * 4000 / 8
+    assert sorted((r.start, r.ids_crc32) for r in got) == sorted((s, c) for _, s, _, c, _ in rows)
