@@ -4,7 +4,7 @@ The patterns find the base spans. The model finds what they cannot: the same dat
 ``ann at mail dot com``, ``10[.]0[.]0[.]1``, a card number in groups with dots, a phone number without its plus sign. It
 learns from base spans of the documents, each rewritten in such ways where it stands with its tags, and from near misses
 (licence numbers, dates, hexadecimal tokens, prose with "at" and "dot") put in their place. It is trained in numpy on
-windows of at most ``SAMPLE`` documents, taken by hashed id, and reads each character as a class: digit, capital, small
+windows of at most ``SAMPLE`` documents, taken by hashed id, in one task, and reads each character as a class: digit, capital, small
 letter, the letters of "at" and "dot", each other sign.
 
 A span must hold a digit, an ``@`` or a spelled-out "at" or "dot" (``marks``), so windows around all marks of a text see
@@ -483,13 +483,35 @@ def learn(documents, sample=SAMPLE):
                 )
 
     place = F.pmod(F.xxhash64("window", F.lit(SEED)), F.lit(1 << 40))
-    rows = (
+    chosen_windows = (
         documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi").select("text")
         .mapInArrow(extract, "window string, spans array<long>").distinct()
-        .orderBy(F.when(F.size("spans") > 0, place / 4).otherwise(place), "window").limit(WINDOWS).collect()
+        .orderBy(F.when(F.size("spans") > 0, place / 4).otherwise(place), "window").limit(WINDOWS)
     )
-    found = [(r.window, list(zip(r.spans[::3], r.spans[1::3], r.spans[2::3], strict=True))) for r in rows]
-    return train([(classes(x), tags) for x, tags in examples(found)])
+
+    def fit(batches):
+        found = []
+        for batch in batches:
+            spans = [list(zip(x[::3], x[1::3], x[2::3], strict=True)) for x in batch.column(1).to_pylist()]
+            found += zip(batch.column(0).to_pylist(), spans, strict=True)
+        model = train([(classes(x), tags) for x, tags in examples(sorted(found))])
+        if model:
+            names = sorted(model.p)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(names), pa.array([model.p[x].shape for x in names], pa.list_(pa.int64())),
+                    pa.array([model.p[x].ravel() for x in names], pa.list_(pa.float64())),
+                ],
+                ["name", "shape", "weights"],
+            )
+
+    # At most WINDOWS rows, so one task: lost with its executor it runs again, and numpy has one thread there.
+    weights = chosen_windows.coalesce(1).mapInArrow(fit, "name string, shape array<long>, weights array<double>").collect()
+    if not weights:
+        return None
+    tagger = Tagger()
+    tagger.p = {r.name: np.array(r.weights, dtype=np.float64).reshape(r.shape) for r in weights}
+    return tagger
 
 
 def named(spans):
