@@ -14,6 +14,9 @@ CUT = re.compile(r" (?<=\S )(?=\S)")
 
 #: White space other than space and line feed; a text without it needs no pattern to be cut.
 OTHER_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
+#: White space that a word among others may not hold: with line feeds inside it alone, its only token that starts with
+#: a space is still its first.
+ODD_SPACE = re.compile(r"[^\S\n]|\n\Z")
 #: What is white space here but not in the tokenizer files.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 
@@ -68,7 +71,8 @@ class Encoder:
 
         Words of letters are one pre-token; where no normalisation changes them, they go straight to the model.
         Others are encoded together as one text and told apart by the marks of the vocabulary, which is safe for words
-        without white space or, where the end of a word is marked, of letters alone; or else by the tokens' offsets.
+        without white space but line feeds or, where the end of a word is marked, of letters alone; or else by the
+        tokens' offsets.
         """
         out, plain, marked, other, stopped = {}, set(), set(), set(), []
         for w in words:
@@ -82,7 +86,7 @@ class Encoder:
                 if stem not in self.words:
                     same = not self.by_end or stem.islower() and unicodedata.is_normalized("NFC", stem)
                     (plain if same else marked).add(stem)
-            elif self.by_end or any(map(str.isspace, w)):
+            elif self.by_end or ODD_SPACE.search(w):
                 other.add(w)
             else:
                 marked.add(w)
