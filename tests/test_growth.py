@@ -1,0 +1,20 @@
+"""What must not depend on how large the input grows: sizes that Spark plans by, and how rows are dealt."""
+
+from helpers import messages
+
+from tallywharf.operators import decode, sales
+
+
+def _estimate(frame):
+    return int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def test_decoded_rows_count_in_full_when_spark_plans_a_join(spark, folder):
+    messages(spark, *[{"id": f"d{k}", "order_id": f"o{k}", "order_price": "2.5"} for k in range(2000)]).write.parquet(f"{folder}/in")
+    stored = spark.read.parquet(f"{folder}/in")
+    decoded = decode.accepted(decode.order_details(stored), keep=("arrived",))
+    lines = sales.detail_side(decoded).select("order_detail_id", "detail_order_id", "sku_price")
+    assert _estimate(lines) > _estimate(stored) / 2
+    # Each message is still parsed once.
+    assert decoded._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    assert lines.count() == 2000
