@@ -72,6 +72,12 @@ def read_batches(spark, table, schema, before=None):
     return stored.unionByName(settled)
 
 
+def read_batch(spark, table, schema, batch_id):
+    """The rows that one batch has written."""
+    layout = schema if isinstance(schema, str) else ddl(schema)
+    return spark.read.schema(layout).parquet(f"{table}/recent/batch_id={batch_id}")
+
+
 def newest_folder(spark, table, schema, before):
     """The rows of the last stored batches below ``before``: one folder, whatever the table's size."""
     layout = schema if isinstance(schema, str) else ddl(schema)
@@ -110,6 +116,18 @@ def _exists(spark, path):
     return files.exists(path)
 
 
+def move(spark, source, target):
+    """Gives a folder another name; False if there is no such folder."""
+    source, files = _path(spark, source)
+    target, _ = _path(spark, target)
+    if not files.exists(source):
+        return False
+    files.mkdirs(target.getParent())
+    if not files.rename(source, target):
+        raise OSError(f"{source} could not be moved to {target}")
+    return True
+
+
 def _all_folders(spark, table):
     """(first, last, folded) of every folder of batches; of folds only the complete ones."""
     single = [int(x.split("=")[1]) for x in _names(spark, f"{table}/recent") if x.startswith("batch_id=")]
@@ -129,11 +147,11 @@ def folders(spark, table):
     return sorted(f for f in found if not _covered(f, found))
 
 
-def fold(spark, table, batch_id, keys=(), version=(), day=None, fan=FAN, lookup=()):
+def fold(spark, table, batch_id, keys=(), version=(), day=None, fan=FAN, lookup=(), *, keep=None):
     """Folds the batches before ``batch_id`` when a run of them is complete; to be called as a batch begins.
 
     After ``fan`` batches these become one folder, after ``fan`` such folders those do, and so on.  With ``keys`` only
-    the latest version of each key stays, as in ``current``.  All batches before have been committed, so a batch that
+    the latest version of each key stays, as in ``current``; with ``keep``, a condition, only what meets it.  All batches before have been committed, so a batch that
     runs again finds its fold done, or writes it again from the same rows.
     """
     if batch_id <= 0 or batch_id % fan:
@@ -155,6 +173,8 @@ def fold(spark, table, batch_id, keys=(), version=(), day=None, fan=FAN, lookup=
         recent = spark.read.option("basePath", f"{table}/recent").parquet(*single)
         frames.append(recent.withColumn("batch_id", F.col("batch_id").cast("bigint")))
     rows = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1], allowMissingColumns=True)
+    if keep is not None:
+        rows = rows.where(keep)
     if keys:
         rows = first_row(rows, list(keys), [F.desc(c) for c in [*version, "batch_id"]])
     rows = rows.hint("rebalance") if day is None else rows.hint("rebalance", day).sortWithinPartitions(day)

@@ -25,7 +25,6 @@ SALE_LATENESS = "10 minutes"
 
 # Up to this many keys of one batch are sent to where a stored table lies; with more, both sides are shuffled.
 BROADCAST_KEYS = 500_000
-BUYER_SALTS = 16
 # Up to this many keys are looked up as a filter on the stored column, which skips by Bloom filters and statistics.
 FILTER_KEYS = 64
 
@@ -178,6 +177,11 @@ def _few(keys):
     return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
 
 
+def _of_few(stored, keys):
+    """Stored rows with one of the keys of a batch, filtered in place if these are few; all rows if not."""
+    return stored.join(F.broadcast(keys), keys.columns, "left_semi") if keys.count() <= BROADCAST_KEYS else stored
+
+
 def first_seen_table(spark, table, schema):
     """(mid, log_date): devices by the day they were first seen on; a filter on the day reads that day alone."""
     kinds = T.StructType([schema[c] for c in ("mid", "log_date")]) if isinstance(schema, T.StructType) else None
@@ -277,33 +281,78 @@ def user_snapshot(spark, table, ids=None):
 # Sales ----------------------------------------------------------------------------------------------------------
 
 
+_WAITING_ORDER = ("id", "order_status", "create_time", "user_id", "create_date", "arrived")
+_WAITING_LINE = ("id", "order_id", "sku_id", "sku_name", "order_price", "arrived")
+_UNTIL = "orders timestamp, lines timestamp"
+
+
 def sale_details(order_rows, detail_rows, table, checkpoint, users, as_of, lateness=SALE_LATENESS, salts=1,
                  interval=INTERVAL):
     """Orders and order lines that arrive at most ``lateness`` apart, with buyer data, to the sale documents.
 
     Both inputs carry ``arrived``.  ``users`` maps a frame of buyer ids to their snapshot (such as ``user_snapshot``)
     and ``as_of`` gives the time ages refer to; both are called per batch, so a batch sees the users known when it
-    runs.  A pair that is delivered again overwrites its document.  Stateful joins are not split at run time; where
-    single orders have very many lines, ``salts`` spreads them, at the price of as many copies of each order in state.
+    runs.  A pair that is delivered again overwrites its document.
+
+    Rows wait for their partners in two stored tables below the checkpoint, not in memory.  A batch joins its orders with
+    its lines and with the waiting ones that they ask for, and its lines with waiting orders: batch joins, which spill and
+    are split at run time.  A row waits until both sides have come ``lateness`` past the last time a partner could
+    arrive; a later partner still finds it as long as it is there.  ``salts`` is as in ``join_sales``.
     """
-    left = order_rows.withWatermark("arrived", lateness)
-    right = detail_rows.withWatermark("arrived", lateness)
-    pairs = sales.join_sales(left, right, lateness, salts)
+    waiting = f"{checkpoint}/waiting"
+    order_layout, line_layout = (
+        ", ".join(f"`{c}` {kinds[c]}" for c in columns)
+        for kinds, columns in ((dict(order_rows.dtypes), _WAITING_ORDER), (dict(detail_rows.dtypes), _WAITING_LINE))
+    )
+    gap = F.expr(f"INTERVAL {lateness}")
+    no_order, no_line = (F.lit(None).cast(f"struct<{x.replace('` ', '`:')}>") for x in (order_layout, line_layout))
+    orders_in = order_rows.where(F.col("id").isNotNull()).select(
+        F.struct(*_WAITING_ORDER).alias("an_order"), no_line.alias("a_line"))
+    lines_in = detail_rows.where(F.col("order_id").isNotNull()).select(
+        no_order.alias("an_order"), F.struct(*_WAITING_LINE).alias("a_line"))
 
     def sink(batch, batch_id):
-        keyed.fold(_spark(batch), table, batch_id, ("dt", "order_detail_id"), ("arrived",), "dt")
-        with _Held(batch) as pairs_of_batch:
-            buyers = pairs_of_batch.select(F.col("user_id").alias("id")).where(F.col("id").isNotNull()).distinct()
-            if buyers.count() <= BROADCAST_KEYS:
-                # The snapshot has at most one row per buyer, so the count bounds both broadcasts.
-                snapshot, salts_of_buyer = F.broadcast(users(F.broadcast(buyers))), 1
-            else:
-                snapshot, salts_of_buyer = users(buyers), BUYER_SALTS
-            documents = sales.enrich(pairs_of_batch, snapshot, as_of(), salts_of_buyer)
-            latest = latest_by_key(documents, ["dt", "order_detail_id"], ["arrived"])
-            keyed.write_batch(latest, table, batch_id, "dt")
-
-    return _start(pairs, "sale_details", sink, checkpoint, interval)
+        spark = _spark(batch)
+        until = keyed.newest_folder(spark, f"{waiting}/until", _UNTIL, batch_id).drop("batch_id")
+        # Of a side that has not come yet nothing is known, so all rows wait.
+        both = until.agg(F.max("orders").alias("o"), F.max("lines").alias("l")).where("o IS NOT NULL AND l IS NOT NULL")
+        since = both.select(F.unix_micros(F.least("o", "l") - gap - gap)).first()
+        alive = F.lit(True) if since is None else F.col("arrived") >= F.timestamp_micros(F.lit(since[0]))
+
+        def side(name, column, layout):
+            """The rows that have come, and those that wait; None if there are none."""
+            place = f"{waiting}/{name}"
+            keyed.fold(spark, place, batch_id, day="arrived", keep=alive)
+            keyed.write_batch(batch.where(F.col(column).isNotNull()).select(f"{column}.*"), place, batch_id, "arrived")
+            come = keyed.read_batch(spark, place, layout, batch_id)
+            if all(first >= batch_id for first, _, _ in keyed.folders(spark, place)):
+                return come, None
+            return come, keyed.read_batches(spark, place, layout, before=batch_id).drop("batch_id").where(alive)
+
+        keyed.fold(spark, table, batch_id, ("dt", "order_detail_id"), ("arrived",), "dt")
+        keyed.fold(spark, f"{waiting}/until", batch_id)
+        orders_now, orders_before = side("orders", "an_order", order_layout)
+        lines_now, lines_before = side("lines", "a_line", line_layout)
+        never = F.lit(None).cast("timestamp")
+        reached = until.unionByName(orders_now.select(F.col("arrived").alias("orders"), never.alias("lines")))
+        reached = reached.unionByName(lines_now.select(never.alias("orders"), F.col("arrived").alias("lines")))
+        keyed.write_batch(reached.agg(F.max("orders").alias("orders"), F.max("lines").alias("lines")), f"{waiting}/until", batch_id)
+
+        takes_part, lines = orders_now, lines_now
+        if lines_before is not None:
+            lines = lines.unionByName(_of_few(lines_before, orders_now.select(F.col("id").alias("order_id"))))
+        pairs = sales.join_sales(orders_now, lines, lateness, salts)
+        if orders_before is not None:
+            asked = _of_few(orders_before, lines_now.select(F.col("order_id").alias("id")))
+            takes_part = takes_part.unionByName(asked)
+            pairs = pairs.unionByName(sales.join_sales(asked, lines_now, lateness, salts))
+        buyers = takes_part.select(F.col("user_id").alias("id")).where(F.col("id").isNotNull()).distinct()
+        # The snapshot has at most one row per buyer, so the count of buyers bounds both broadcasts.
+        snapshot = F.broadcast(users(F.broadcast(buyers))) if buyers.count() <= BROADCAST_KEYS else users(buyers)
+        documents = sales.enrich(pairs, snapshot, as_of())
+        keyed.write_batch(latest_by_key(documents, ["dt", "order_detail_id"], ["arrived"]), table, batch_id, "dt")
+
+    return _start(orders_in.unionByName(lines_in), "sale_details", sink, checkpoint, interval)
 
 
 def sale_details_from_messages(order_messages, detail_messages, table, checkpoint, users, as_of, lateness=SALE_LATENESS,

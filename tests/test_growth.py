@@ -1,8 +1,11 @@
 """What must not depend on how large the input grows: sizes that Spark plans by, and how rows are dealt."""
 
-from helpers import messages
+from helpers import Landing, finish, messages, rows
+from pyspark.sql import functions as F
 
+from tallywharf.functions import clock
 from tallywharf.operators import decode, sales
+from tallywharf.streaming import jobs
 
 
 def _estimate(frame):
@@ -18,3 +21,34 @@ def test_decoded_rows_count_in_full_when_spark_plans_a_join(spark, folder):
     # Each message is still parsed once.
     assert decoded._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
     assert lines.count() == 2000
+
+
+def test_sides_of_a_sale_wait_in_tables_until_no_partner_can_come(spark, folder):
+    left, right = Landing(spark, f"{folder}/o"), Landing(spark, f"{folder}/d")
+    order = "id string, order_status string, create_time string, user_id string, create_date string, at bigint"
+    line = "id string, order_id string, sku_name string, sku_id string, order_price double, at bigint"
+    layouts = [x.replace("at bigint", "arrived timestamp") for x in (order, line)]
+
+    def run(at, lines):
+        """An order ``o<at>``, and lines as (order, time)."""
+        for landing, layout, items in (
+            (left, order, [(f"o{at}", "1", "2021-05-28 09:00:00", "u", "2021-05-28", at)]),
+            (right, line, [(f"{o}-{a}", o, "n", "s", 2.5, a) for o, a in lines]),
+        ):
+            frame = spark.createDataFrame(items, layout)
+            landing.add(frame.withColumn("arrived", F.timestamp_seconds("at")).drop("at"))
+        query = jobs.sale_details(
+            left.stream(layouts[0]), right.stream(layouts[1]), f"{folder}/t", f"{folder}/c",
+            lambda ids: ids.select("id", *[F.lit(None).cast("string").alias(c) for c in ("birthday", "gender", "user_level")]),
+            lambda: clock.wall_clock("2021-06-01 00:00:00"), interval=None)
+        finish(query)
+        assert not any(p["stateOperators"] for p in query.recentProgress)
+
+    run(0, [("o0", 0), ("o600", 50)])
+    run(600, [("o0", 600), ("o0", 601)])
+    # Both sides have come to 1800 when the last batch begins, so order o0 has gone, while o600 still waits.
+    run(1800, [("o600", 1200), ("o1800", 1800)])
+    run(1802, [("o600", 1199), ("o0", 1), ("o1800", 1802)])
+    stored = jobs.keyed.read_batches(spark, f"{folder}/t", "order_detail_id string, order_id string")
+    assert [r[0] for r in rows(stored, "order_detail_id")] == [
+        "o0-0", "o0-600", "o1800-1800", "o1800-1802", "o600-1199", "o600-1200", "o600-50"]
