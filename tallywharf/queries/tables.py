@@ -8,6 +8,7 @@ shop's zone.
 from pyspark.sql import functions as F
 
 from ..functions import clock
+from ..sources import keyed
 
 AS_OF = "2024-01-01 00:00:00"
 
@@ -26,18 +27,28 @@ def stream(spark, sf_dir, name):
     return spark.readStream.schema(read(spark, sf_dir, name).schema).parquet(f"{where[:-1]}[{where[-1]}]")
 
 
+_STEP = "_step"
+
+
 def land(frame, folder, key, parts):
     """Writes the rows below ``folder`` in ``parts`` steps, by equal ranges of a whole-number column and in its order.
 
-    Yields after each step, so that a job can run on what has come in.
+    Yields after each step, so that a job can run on what has come in.  All steps are made ready in one pass; rows of
+    equal keys are dealt by a digest, so a step that has one key only is still written by many tasks.
     """
+    spark = frame.sparkSession
     low, high = frame.agg(F.min(key), F.max(key)).first()
+    if low is None:
+        return
+    step = F.lit(0)
+    for k in range(1, parts):
+        step = step + (F.col(key) >= low + (high + 1 - low) * k // parts).cast("int")
+    rows = frame.where(F.col(key).isNotNull()).repartitionByRange(key, F.xxhash64(*frame.columns))
+    ready = f"{folder}-ready"
+    rows.withColumn(_STEP, step).sortWithinPartitions(_STEP, key).write.partitionBy(_STEP).parquet(ready)
     for k in range(parts):
-        if low is None:
-            return
-        first, last = (low + (high + 1 - low) * x // parts for x in (k, k + 1))
-        rows = frame.where((F.col(key) >= first) & (F.col(key) < last))
-        rows.repartitionByRange(key).sortWithinPartitions(key).write.parquet(f"{folder}/{k}")
+        if not keyed.move(spark, f"{ready}/{_STEP}={k}", f"{folder}/{k}"):
+            frame.limit(0).write.parquet(f"{folder}/{k}")
         yield k
 
 

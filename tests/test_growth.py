@@ -1,10 +1,13 @@
 """What must not depend on how large the input grows: sizes that Spark plans by, and how rows are dealt."""
 
+import os
+
 from helpers import Landing, finish, messages, rows
 from pyspark.sql import functions as F
 
 from tallywharf.functions import clock
 from tallywharf.operators import decode, sales
+from tallywharf.queries import tables
 from tallywharf.streaming import jobs
 
 
@@ -52,3 +55,29 @@ def test_sides_of_a_sale_wait_in_tables_until_no_partner_can_come(spark, folder)
     stored = jobs.keyed.read_batches(spark, f"{folder}/t", "order_detail_id string, order_id string")
     assert [r[0] for r in rows(stored, "order_detail_id")] == [
         "o0-0", "o0-600", "o1800-1800", "o1800-1802", "o600-1199", "o600-1200", "o600-50"]
+
+
+def test_a_step_of_one_key_is_written_by_many_tasks(spark, folder):
+    frame = spark.range(50_000).select("id", F.lit(7).cast("bigint").alias("step"), F.repeat(F.lit("x"), 20).alias("text"))
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        seen = [spark.read.parquet(f"{folder}/in/{k}").count() for k in tables.land(frame, f"{folder}/in", "step", 2)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    assert sum(seen) == 50_000
+    step = f"{folder}/in/{seen.index(50_000)}"
+    assert spark.read.parquet(step).columns == frame.columns
+    assert len([f for f in os.listdir(step) if f.startswith("part-")]) == 8
+
+
+def test_steps_come_in_the_order_of_their_key(spark, folder):
+    frame = spark.range(1000).select((F.col("id") * 7 % 1000).alias("id")).repartition(5)
+    first = 0
+    for k in tables.land(frame, f"{folder}/in", "id", 3):
+        step = f"{folder}/in/{k}"
+        files = sorted(f for f in os.listdir(step) if f.startswith("part-"))
+        ids = [r.id for f in files for r in spark.read.parquet(f"{step}/{f}").collect()]
+        assert ids == list(range(first, first + len(ids)))
+        first += len(ids)
+    assert first == 1000
