@@ -15,7 +15,12 @@ def matches(sales, keyword):
 
 def postings(sales):
     """(dt, word, order_detail_id): the words that each document can be found by."""
-    return sales.select("dt", F.explode(text.words(F.col("sku_name"))).alias("word"), "order_detail_id").distinct()
+    return words_of(sales).distinct()
+
+
+def words_of(sales):
+    """The same, with the words of a document that comes twice listed twice."""
+    return sales.select("dt", F.explode(text.words(F.col("sku_name"))).alias("word"), "order_detail_id")
 
 
 def posted(documents, words, keyword, day=None):

@@ -9,7 +9,13 @@ from ..operators import search
 
 
 def _ordered(rows, path, *order):
-    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+    _dealt(rows, *order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+
+
+def _dealt(rows, *order):
+    """Rows by ranges; where all columns are in ``order``, equal rows meet in one range and stay once, with no second shuffle."""
+    dealt = rows.repartitionByRange(*order)
+    return dealt.distinct() if set(order) == set(rows.columns) else dealt
 
 
 def write(sales, table):
@@ -17,7 +23,7 @@ def write(sales, table):
     spark = sales.sparkSession
     _ordered(sales, f"{table}/documents", "dt", "order_detail_id")
     stored = spark.read.schema(sales.schema).parquet(f"{table}/documents")
-    _ordered(search.postings(stored), f"{table}/postings", "dt", "word", "order_detail_id")
+    _ordered(search.words_of(stored), f"{table}/postings", "dt", "word", "order_detail_id")
     return read(spark, table, sales.schema)
 
 

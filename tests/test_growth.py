@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallywharf.functions import clock
 from tallywharf.operators import decode, sales
 from tallywharf.queries import tables
+from tallywharf.sources import documents
 from tallywharf.streaming import jobs
 
 
@@ -81,3 +82,12 @@ def test_steps_come_in_the_order_of_their_key(spark, folder):
         assert ids == list(range(first, first + len(ids)))
         first += len(ids)
     assert first == 1000
+
+
+def test_postings_cross_the_network_once(spark, folder):
+    sales_rows = spark.createDataFrame([("d", f"l{k % 50}", "red bolt red") for k in range(100)], "dt string, order_detail_id string, sku_name string")
+    order = ("dt", "word", "order_detail_id")
+    dealt = documents._dealt(documents.search.words_of(sales_rows), *order)
+    assert dealt._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    _, words = documents.write(sales_rows, f"{folder}/t")
+    assert words.count() == 100
