@@ -556,16 +556,18 @@ def gmv_stored(spark, sf_dir):
 def stream_sale_join_late(spark, sf_dir):
     """Raw messages of both sides in four steps of time: lines with their order, up to ten minutes off, and later."""
     work = fresh_folder(spark, "sales")
-    at = F.unix_seconds("arrived").alias("at")
-    orders = t.order_messages(
-        t.read(spark, sf_dir, "orders"), t.read(spark, sf_dir, "customer"), t.arrival("o_orderkey").alias("arrived")
-    ).select("*", at)
-    details = t.order_detail_messages(t.read(spark, sf_dir, "lineitem")).select("*", at)
     customer = t.read(spark, sf_dir, "customer")
-    steps = zip(t.land(orders, f"{work}/orders", "at", 4), t.land(details, f"{work}/details", "at", 4), strict=True)
+    sides = {
+        "orders": t.timed_orders(t.read(spark, sf_dir, "orders"), customer),
+        "details": t.timed_details(t.read(spark, sf_dir, "lineitem")),
+    }
+    steps = zip(*(t.land(rows, f"{work}/{name}", "at", 4, columns) for name, (rows, columns) in sides.items()), strict=True)
     for _ in steps:
+        orders, details = (
+            t.landed(spark, rows.select(*columns), f"{work}/{name}") for name, (rows, columns) in sides.items()
+        )
         _finish(jobs.sale_details_from_messages(
-            t.landed(spark, orders, f"{work}/orders"), t.landed(spark, details, f"{work}/details"),
+            orders, details,
             f"{work}/table", f"{work}/checkpoint", lambda ids: t.user_messages(customer).join(ids, "id", "left_semi"),
             lambda: clock.wall_clock(t.AS_OF), interval=None,
         ))

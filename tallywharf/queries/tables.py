@@ -28,27 +28,36 @@ def stream(spark, sf_dir, name):
 
 
 _STEP = "_step"
+#: Rows that a task writes of a large table, so that a step has files for many tasks to read.
+_FILE_ROWS = 200_000
 
 
-def land(frame, folder, key, parts):
+def land(frame, folder, key, parts, columns=None):
     """Writes the rows below ``folder`` in ``parts`` steps, by equal ranges of a whole-number column and in its order.
 
     Yields after each step, so that a job can run on what has come in.  All steps are made ready in one pass; rows of
-    equal keys are dealt by a digest, so a step that has one key only is still written by many tasks.
+    equal keys are dealt by a digest, so a step that has one key only is still written by many tasks.  ``columns`` are
+    what is written, made of the frame's once its rows have been dealt and sorted: messages are then made once, not again
+    for the sample by which Spark deals, and what crosses the network is the frame.
     """
     spark = frame.sparkSession
-    low, high = frame.agg(F.min(key), F.max(key)).first()
+    low, high, count = frame.agg(F.min(key), F.max(key), F.count(key)).first()
     if low is None:
         return
     step = F.lit(0)
     for k in range(1, parts):
         step = step + (F.col(key) >= low + (high + 1 - low) * k // parts).cast("int")
-    rows = frame.where(F.col(key).isNotNull()).repartitionByRange(key, F.xxhash64(*frame.columns))
+    dealt = key, F.xxhash64(*frame.columns)
+    files = count // _FILE_ROWS
+    rows = frame.where(F.col(key).isNotNull())
+    rows = rows.repartitionByRange(files, *dealt) if files > spark.sparkContext.defaultParallelism else rows.repartitionByRange(*dealt)
     ready = f"{folder}-ready"
-    rows.withColumn(_STEP, step).sortWithinPartitions(_STEP, key).write.partitionBy(_STEP).parquet(ready)
+    rows = rows.withColumn(_STEP, step).sortWithinPartitions(_STEP, key)
+    written = frame.columns if columns is None else columns
+    rows.select(*written, _STEP).write.partitionBy(_STEP).parquet(ready)
     for k in range(parts):
         if not keyed.move(spark, f"{ready}/{_STEP}={k}", f"{folder}/{k}"):
-            frame.limit(0).write.parquet(f"{folder}/{k}")
+            frame.select(*written).limit(0).write.parquet(f"{folder}/{k}")
         yield k
 
 
@@ -156,17 +165,26 @@ def shared_device_messages(events):
 
 
 def order_messages(orders, customers, *extra):
-    return (
-        orders.join(customers, orders["o_custkey"] == customers["c_custkey"])
-        .select(_json(
-            _text("o_orderkey").alias("id"), _text("o_custkey").alias("user_id"),
-            F.col("o_orderstatus").alias("order_status"), _money("o_totalprice").alias("total_amount"),
-            F.col("o_orderpriority").alias("order_comment"), F.col("c_name").alias("consignee_tel"),
-            _time_text("o_orderdate").alias("create_time"),
-        ), *extra)
+    return orders.join(customers, orders["o_custkey"] == customers["c_custkey"]).select(_order_message(), *extra)
+
+
+def _order_message():
+    return _json(
+        _text("o_orderkey").alias("id"), _text("o_custkey").alias("user_id"),
+        F.col("o_orderstatus").alias("order_status"), _money("o_totalprice").alias("total_amount"),
+        F.col("o_orderpriority").alias("order_comment"), F.col("c_name").alias("consignee_tel"),
+        _time_text("o_orderdate").alias("create_time"),
     )
 
 
+def timed_orders(orders, customers):
+    """What messages of orders are made of, with the second ``at`` which they arrive, and the columns of the messages."""
+    rows = orders.join(customers, orders["o_custkey"] == customers["c_custkey"]).select(
+        *orders.columns, "c_name", F.unix_seconds(arrival("o_orderkey")).alias("at")
+    )
+    return rows, [_order_message(), F.timestamp_seconds("at").alias("arrived"), "at"]
+
+
 def orders(frame):
     return frame.select(
         F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("order_status"),
@@ -206,15 +224,22 @@ def line_gap():
     return F.element_at(F.array(*map(F.lit, GAPS)), (F.pmod(F.col("l_partkey"), F.lit(len(GAPS))) + 1).cast("int"))
 
 
-def order_detail_messages(lineitem):
-    gap = line_gap()
-    return lineitem.select(
-        _json(
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
-            _text("l_orderkey").alias("order_id"), _text("l_partkey").alias("sku_id"), _money("l_extendedprice").alias("order_price"),
-        ),
-        arrival("l_orderkey", gap).alias("arrived"),
+def timed_details(lineitem):
+    """The same of order lines."""
+    rows = lineitem.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
+        F.unix_seconds(arrival("l_orderkey", line_gap())).alias("at"),
+    )
+    message = _json(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
+        _text("l_orderkey").alias("order_id"), _text("l_partkey").alias("sku_id"), _money("l_extendedprice").alias("order_price"),
     )
+    return rows, [message, F.timestamp_seconds("at").alias("arrived"), "at"]
+
+
+def order_detail_messages(lineitem):
+    rows, columns = timed_details(lineitem)
+    return rows.select(*columns[:2])
 
 
 def users(customer):

@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.newest import first_row, newest_version_rows
 
@@ -29,11 +30,12 @@ def _identified(rows):
     return rows.withColumn("doc_id", F.coalesce("doc_id", F.uuid())) if "doc_id" in rows.columns else rows
 
 
-def write_batch(rows, table, batch_id, day=None):
+def write_batch(rows, table, batch_id, day=None, by=()):
+    """``by`` names columns of few values that get a folder each within the batch's."""
     rows = _identified(rows)
     if day is not None:
-        rows = rows.sortWithinPartitions(day)
-    rows.write.mode("overwrite").parquet(f"{table}/recent/batch_id={batch_id}")
+        rows = rows.sortWithinPartitions(*by, day)
+    rows.write.mode("overwrite").partitionBy(*by).parquet(f"{table}/recent/batch_id={batch_id}")
 
 
 def write_settled(rows, table, day=None, lookup=()):
@@ -95,7 +97,12 @@ def _stored(spark, table, found, layout):
         frames.append(reader.option("basePath", f"{table}/recent").parquet(*single))
     if folds:
         frames.append(spark.read.schema(layout).parquet(*folds))
-    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], layout)
+    return reduce(DataFrame.unionByName, frames) if frames else _none(spark, layout)
+
+
+def _none(spark, layout):
+    """No rows; Spark leaves them out of its plan, while an empty list would start tasks and Python workers."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(layout)])
 
 
 # Folding ---------------------------------------------------------------------------------------------------------
@@ -147,12 +154,14 @@ def folders(spark, table):
     return sorted(f for f in found if not _covered(f, found))
 
 
-def fold(spark, table, batch_id, keys=(), version=(), day=None, fan=FAN, lookup=(), *, keep=None):
+def fold(spark, table, batch_id, keys=(), version=(), day=None, fan=FAN, lookup=(), *, keep=None, by=(), layout=None):
     """Folds the batches before ``batch_id`` when a run of them is complete; to be called as a batch begins.
 
     After ``fan`` batches these become one folder, after ``fan`` such folders those do, and so on.  With ``keys`` only
-    the latest version of each key stays, as in ``current``; with ``keep``, a condition, only what meets it.  All batches before have been committed, so a batch that
-    runs again finds its fold done, or writes it again from the same rows.
+    the latest version of each key stays, as in ``current``; with ``keep``, a condition, only what meets it.  ``by`` is
+    as in ``write_batch``, and then ``layout`` must be given, as batches without rows have no file to tell it.  All
+    batches before have been committed, so a batch that runs again finds its fold done, or writes it again from the same
+    rows.
     """
     if batch_id <= 0 or batch_id % fan:
         return
@@ -168,17 +177,18 @@ def fold(spark, table, batch_id, keys=(), version=(), day=None, fan=FAN, lookup=
         return
     single = [f"{table}/recent/batch_id={a}" for a, _, folded in parts if not folded]
     folds = [f"{table}/folded/{a}-{b}" for a, b, folded in parts if folded]
-    frames = [spark.read.parquet(*folds)] if folds else []
+    reader = spark.read if layout is None else spark.read.schema(f"{layout}, batch_id bigint")
+    frames = [reader.parquet(*folds)] if folds else []
     if single:
-        recent = spark.read.option("basePath", f"{table}/recent").parquet(*single)
+        recent = reader.option("basePath", f"{table}/recent").parquet(*single)
         frames.append(recent.withColumn("batch_id", F.col("batch_id").cast("bigint")))
     rows = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1], allowMissingColumns=True)
     if keep is not None:
         rows = rows.where(keep)
     if keys:
         rows = first_row(rows, list(keys), [F.desc(c) for c in [*version, "batch_id"]])
-    rows = rows.hint("rebalance") if day is None else rows.hint("rebalance", day).sortWithinPartitions(day)
-    _writer(rows, lookup).parquet(f"{table}/folded/{first}-{last}")
+    rows = rows.hint("rebalance") if day is None else rows.hint("rebalance", day).sortWithinPartitions(*by, day)
+    _writer(rows, lookup).partitionBy(*by).parquet(f"{table}/folded/{first}-{last}")
     for a, b, folded in known:
         if _covered((a, b, folded), known):
             path, files = _path(spark, f"{table}/folded/{a}-{b}" if folded else f"{table}/recent/batch_id={a}")
@@ -191,7 +201,7 @@ def _read(spark, path, layout):
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], layout)
+        return _none(spark, layout)
 
 
 def ddl(schema):

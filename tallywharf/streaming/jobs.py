@@ -281,9 +281,10 @@ def user_snapshot(spark, table, ids=None):
 # Sales ----------------------------------------------------------------------------------------------------------
 
 
-_WAITING_ORDER = ("id", "order_status", "create_time", "user_id", "create_date", "arrived")
-_WAITING_LINE = ("id", "order_id", "sku_id", "sku_name", "order_price", "arrived")
+_WAITING_ORDER = ("id", "order_status", "create_time", "user_id", "create_date")
+_WAITING_LINE = ("id", "order_id", "sku_id", "sku_name", "order_price")
 _UNTIL = "orders timestamp, lines timestamp"
+_BUYER = ("user_gender", "user_age", "user_level")
 
 
 def sale_details(order_rows, detail_rows, table, checkpoint, users, as_of, lateness=SALE_LATENESS, salts=1,
@@ -294,22 +295,31 @@ def sale_details(order_rows, detail_rows, table, checkpoint, users, as_of, laten
     and ``as_of`` gives the time ages refer to; both are called per batch, so a batch sees the users known when it
     runs.  A pair that is delivered again overwrites its document.
 
-    Rows wait for their partners in two stored tables below the checkpoint, not in memory.  A batch joins its orders with
-    its lines and with the waiting ones that they ask for, and its lines with waiting orders: batch joins, which spill and
-    are split at run time.  A row waits until both sides have come ``lateness`` past the last time a partner could
-    arrive; a later partner still finds it as long as it is there.  ``salts`` is as in ``join_sales``.
+    Rows wait for their partners in a stored table below the checkpoint, not in memory: a folder for each side, sorted by
+    a whole number for the time of arrival, by which a scan skips what has left.  Spark makes a batch anew for every
+    action on it, so it is written there at once and read from there.  Its rows are joined with each other and with the
+    waiting ones that they ask for: one batch join, which spills and is split at run time.  A row waits until both sides
+    have come ``lateness`` past the last time a partner could arrive; a later partner still finds it as long as it is
+    there.  ``salts`` is as in ``join_sales``.
     """
-    waiting = f"{checkpoint}/waiting"
-    order_layout, line_layout = (
-        ", ".join(f"`{c}` {kinds[c]}" for c in columns)
+    waiting, place = f"{checkpoint}/waiting", f"{checkpoint}/waiting/rows"
+    order_kind, line_kind = (
+        f"struct<{', '.join(f'`{c}`: {kinds[c]}' for c in columns)}>"
         for kinds, columns in ((dict(order_rows.dtypes), _WAITING_ORDER), (dict(detail_rows.dtypes), _WAITING_LINE))
     )
+    layout = f"at bigint, an_order {order_kind}, a_line {line_kind}, side string"
     gap = F.expr(f"INTERVAL {lateness}")
-    no_order, no_line = (F.lit(None).cast(f"struct<{x.replace('` ', '`:')}>") for x in (order_layout, line_layout))
+    at = F.unix_micros("arrived").alias("at")
     orders_in = order_rows.where(F.col("id").isNotNull()).select(
-        F.struct(*_WAITING_ORDER).alias("an_order"), no_line.alias("a_line"))
+        at, F.struct(*_WAITING_ORDER).alias("an_order"), F.lit(None).cast(line_kind).alias("a_line"), F.lit("order").alias("side"))
     lines_in = detail_rows.where(F.col("order_id").isNotNull()).select(
-        no_order.alias("an_order"), F.struct(*_WAITING_LINE).alias("a_line"))
+        at, F.lit(None).cast(order_kind).alias("an_order"), F.struct(*_WAITING_LINE).alias("a_line"), F.lit("line").alias("side"))
+
+    def orders_of(rows):
+        return rows.where(F.col("side") == "order").select("an_order.*", F.timestamp_micros("at").alias("arrived"), "new")
+
+    def lines_of(rows):
+        return rows.where(F.col("side") == "line").select("a_line.*", F.timestamp_micros("at").alias("arrived"), "new")
 
     def sink(batch, batch_id):
         spark = _spark(batch)
@@ -317,39 +327,30 @@ def sale_details(order_rows, detail_rows, table, checkpoint, users, as_of, laten
         # Of a side that has not come yet nothing is known, so all rows wait.
         both = until.agg(F.max("orders").alias("o"), F.max("lines").alias("l")).where("o IS NOT NULL AND l IS NOT NULL")
         since = both.select(F.unix_micros(F.least("o", "l") - gap - gap)).first()
-        alive = F.lit(True) if since is None else F.col("arrived") >= F.timestamp_micros(F.lit(since[0]))
-
-        def side(name, column, layout):
-            """The rows that have come, and those that wait; None if there are none."""
-            place = f"{waiting}/{name}"
-            keyed.fold(spark, place, batch_id, day="arrived", keep=alive)
-            keyed.write_batch(batch.where(F.col(column).isNotNull()).select(f"{column}.*"), place, batch_id, "arrived")
-            come = keyed.read_batch(spark, place, layout, batch_id)
-            if all(first >= batch_id for first, _, _ in keyed.folders(spark, place)):
-                return come, None
-            return come, keyed.read_batches(spark, place, layout, before=batch_id).drop("batch_id").where(alive)
+        alive = F.lit(True) if since is None else F.col("at") >= since[0]
 
         keyed.fold(spark, table, batch_id, ("dt", "order_detail_id"), ("arrived",), "dt")
         keyed.fold(spark, f"{waiting}/until", batch_id)
-        orders_now, orders_before = side("orders", "an_order", order_layout)
-        lines_now, lines_before = side("lines", "a_line", line_layout)
+        keyed.fold(spark, place, batch_id, day="at", keep=alive, by=("side",), layout=layout)
+        keyed.write_batch(batch, place, batch_id, "at", by=("side",))
+        come = keyed.read_batch(spark, place, layout, batch_id).withColumn("new", F.lit(True))
+        orders, lines = orders_of(come), lines_of(come)
         never = F.lit(None).cast("timestamp")
-        reached = until.unionByName(orders_now.select(F.col("arrived").alias("orders"), never.alias("lines")))
-        reached = reached.unionByName(lines_now.select(never.alias("orders"), F.col("arrived").alias("lines")))
+        reached = until.unionByName(orders.select(F.col("arrived").alias("orders"), never.alias("lines")))
+        reached = reached.unionByName(lines.select(never.alias("orders"), F.col("arrived").alias("lines")))
         keyed.write_batch(reached.agg(F.max("orders").alias("orders"), F.max("lines").alias("lines")), f"{waiting}/until", batch_id)
 
-        takes_part, lines = orders_now, lines_now
-        if lines_before is not None:
-            lines = lines.unionByName(_of_few(lines_before, orders_now.select(F.col("id").alias("order_id"))))
-        pairs = sales.join_sales(orders_now, lines, lateness, salts)
-        if orders_before is not None:
-            asked = _of_few(orders_before, lines_now.select(F.col("order_id").alias("id")))
-            takes_part = takes_part.unionByName(asked)
-            pairs = pairs.unionByName(sales.join_sales(asked, lines_now, lateness, salts))
-        buyers = takes_part.select(F.col("user_id").alias("id")).where(F.col("id").isNotNull()).distinct()
+        if any(first < batch_id for first, _, _ in keyed.folders(spark, place)):
+            before = keyed.read_batches(spark, place, layout, before=batch_id).where(alive).withColumn("new", F.lit(False))
+            asked_orders = _of_few(orders_of(before), lines.select(F.col("order_id").alias("id")))
+            asked_lines = _of_few(lines_of(before), orders.select(F.col("id").alias("order_id")))
+            orders, lines = orders.unionByName(asked_orders), lines.unionByName(asked_lines)
+        buyers = orders.select(F.col("user_id").alias("id")).where(F.col("id").isNotNull()).distinct()
         # The snapshot has at most one row per buyer, so the count of buyers bounds both broadcasts.
         snapshot = F.broadcast(users(F.broadcast(buyers))) if buyers.count() <= BROADCAST_KEYS else users(buyers)
-        documents = sales.enrich(pairs, snapshot, as_of())
+        # Orders get their buyers before they meet their lines, of which there are more.
+        known = sales.enrich(orders, snapshot, as_of())
+        documents = sales.join_sales(known, lines, lateness, salts, _BUYER, "new")
         keyed.write_batch(latest_by_key(documents, ["dt", "order_detail_id"], ["arrived"]), table, batch_id, "dt")
 
     return _start(orders_in.unionByName(lines_in), "sale_details", sink, checkpoint, interval)

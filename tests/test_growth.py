@@ -91,3 +91,66 @@ def test_postings_cross_the_network_once(spark, folder):
     assert dealt._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
     _, words = documents.write(sales_rows, f"{folder}/t")
     assert words.count() == 100
+
+
+def test_messages_are_made_after_rows_are_dealt(spark, folder, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        made.add(1)
+        return f"message {x}"
+
+    monkeypatch.setattr(tables, "_FILE_ROWS", 50)
+    message = F.udf(counted, "string")("id").alias("value")
+    steps = list(tables.land(spark.range(1000).select("id"), f"{folder}/in", "id", 2, [message, "id"]))
+    landed = spark.read.schema("value string, id bigint").parquet(f"{folder}/in/*")
+    assert rows(landed) == sorted(((f"message {k}", k) for k in range(1000)), key=repr)
+    assert steps == [0, 1] and made.value == 1000
+    # Each step has files for many tasks.
+    assert all(len([f for f in os.listdir(f"{folder}/in/{k}") if f.startswith("part-")]) >= 8 for k in steps)
+
+
+def test_a_batch_of_both_sides_is_made_once(spark, folder):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        made.add(1)
+        return x
+
+    order = "id string, order_status string, create_time string, user_id string, create_date string, arrived timestamp"
+    line = "id string, order_id string, sku_name string, sku_id string, order_price double, arrived timestamp"
+    left, right = Landing(spark, f"{folder}/o"), Landing(spark, f"{folder}/d")
+    at = F.timestamp_seconds(F.lit(5))
+    left.add(spark.range(10).selectExpr(
+        "concat('o', id) id", "'1' order_status", "'2021-05-28 09:00:00' create_time", "'u' user_id", "'2021-05-28' create_date"
+    ).withColumn("arrived", at))
+    right.add(spark.range(40).selectExpr(
+        "concat('d', id) id", "concat('o', id % 10) order_id", "'n' sku_name", "'s' sku_id", "2.5D order_price"
+    ).withColumn("arrived", at))
+    seen = F.udf(counted, "string").asNondeterministic()
+    finish(jobs.sale_details(
+        left.stream(order), right.stream(line).withColumn("sku_name", seen("sku_name")), f"{folder}/t", f"{folder}/c",
+        lambda ids: ids.select("id", *[F.lit(None).cast("string").alias(c) for c in ("birthday", "gender", "user_level")]),
+        lambda: clock.wall_clock("2021-06-01 00:00:00"), interval=None))
+    assert jobs.keyed.read_batches(spark, f"{folder}/t", "order_detail_id string, order_id string").count() == 40
+    assert made.value == 40
+    # A side that waits is stored by a whole number, whose statistics let a scan skip what has left.
+    waiting = spark.read.parquet(f"{folder}/c/waiting/rows/recent/batch_id=0")
+    assert dict(waiting.dtypes)["at"] == "bigint" and {r.side for r in waiting.select("side").distinct().collect()} == {"order", "line"}
+
+
+def test_waiting_rows_outlive_folds_and_batches_without_rows(spark, folder):
+    layout = "at bigint, x string, side string"
+    place = f"{folder}/w"
+    for n in range(5):
+        jobs.keyed.fold(spark, place, n, day="at", fan=4, by=("side",), layout=layout, keep=F.col("at") >= 2)
+        some = [(n, f"x{n}", side) for side in ("order", "line")][: n % 3]
+        jobs.keyed.write_batch(spark.createDataFrame(some, layout), place, n, "at", by=("side",))
+    stored = jobs.keyed.read_batches(spark, place, layout)
+    assert rows(stored.where("side = 'order'"), "at") == [(2,), (4,)]
+    assert rows(stored.where("side = 'line'"), "at") == [(2,)]
+    # Batches that are all without rows can be folded too.
+    for n in range(5):
+        jobs.keyed.fold(spark, f"{folder}/none", n, day="at", fan=4, by=("side",), layout=layout)
+        jobs.keyed.write_batch(spark.createDataFrame([], layout), f"{folder}/none", n, "at", by=("side",))
+    assert jobs.keyed.read_batches(spark, f"{folder}/none", layout).count() == 0
