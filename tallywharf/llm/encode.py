@@ -2,6 +2,7 @@
 
 import functools
 import re
+import string
 import unicodedata
 from array import array
 
@@ -65,6 +66,9 @@ class Encoder:
         self.ends = np.array([x.endswith("</w>") for x in tokens])
         self.starts = np.array([x.startswith("Ġ") for x in tokens])
         self.by_end = bool(self.ends.any())
+        # Marks that are, in a row after letters, a pre-token of their own.
+        self.stops = string.punctuation if self.by_end else ".,"
+        self.stop_ids = functools.lru_cache(maxsize=10_000)(self.head)
 
     def ids_of(self, words):
         """The ids of each word with a space before it, as little-endian unsigned 32-bit integers.
@@ -75,27 +79,28 @@ class Encoder:
         tokens' offsets.
         """
         out, plain, marked, other, stopped = {}, set(), set(), set(), []
+        by_end, marks, known = self.by_end, self.stops, self.words
         for w in words:
-            # A stop or comma after letters is a pre-token of its own, unless the letters become letters and marks.
-            stem = w[:-1] if w[-1] in ".," else w
-            if stem is not w and self.by_end and not (stem == stem.lower() and unicodedata.is_normalized("NFC", stem)):
-                stem = w
+            # Marks after letters are a pre-token of their own, unless the letters become letters and marks.
+            stem = w
+            if w[-1] in marks:
+                stem = w.rstrip(marks) if by_end else w[:-1]
+                if by_end and not (stem == stem.lower() and (stem.isascii() or unicodedata.is_normalized("NFC", stem))):
+                    stem = w
             if stem.isalpha():
                 if stem is not w:
-                    stopped.append(w)
-                if stem not in self.words:
-                    same = not self.by_end or stem.islower() and unicodedata.is_normalized("NFC", stem)
+                    stopped.append((w, stem))
+                if stem not in known:
+                    same = not by_end or stem.islower() and (stem.isascii() or unicodedata.is_normalized("NFC", stem))
                     (plain if same else marked).add(stem)
-            elif self.by_end or ODD_SPACE.search(w):
+            elif by_end or ODD_SPACE.search(w):
                 other.add(w)
             else:
                 marked.add(w)
         for each, how in ((list(plain), self._plain), (list(marked), self._marked), (list(other), self._by_offset)):
             out.update(zip(each, how(each), strict=True))
-        stops = {x: self.head(x) for x in ".,"}
-        for w in stopped:
-            stem = w[:-1]
-            out[w] = (out[stem] if stem in out else self.words[stem]) + stops[w[-1]]
+        for w, stem in stopped:
+            out[w] = (out[stem] if stem in out else known[stem]) + self.stop_ids(w[len(stem) :])
         return out
 
     def _plain(self, words):
@@ -163,9 +168,17 @@ class Encoder:
             if len(self.words) > self.kept:
                 self.words = {}
             self.again = set()
-        words = self.words
-        missing = [w for w in wanted if w not in words]
-        self.again.update(wanted.difference(missing))
-        words.update(self.ids_of(missing))
-        get = words.__getitem__
+        # The words of this slice in a table of their own, small enough to be looked up fast.
+        missing, here, known = [], {}, self.words.get
+        for w in wanted:
+            ids = known(w)
+            if ids is None:
+                missing.append(w)
+            else:
+                here[w] = ids
+        self.again.update(here)
+        new = self.ids_of(missing)
+        self.words.update(new)
+        here.update(new)
+        get = here.__getitem__
         return [head + b"".join(map(get, x)) for head, x in zip(heads, split, strict=True)]

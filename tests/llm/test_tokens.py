@@ -1,4 +1,5 @@
 import collections
+import string
 import unicodedata
 import zlib
 
@@ -46,6 +47,23 @@ def test_every_code_point_encodes_as_in_the_whole_text(file, template):
     assert not bad, (len(bad), bad[:5])
 
 
+def test_marks_after_letters_need_no_offsets(monkeypatch):
+    """Runs of marks are told from the letters before them by the words themselves, each run encoded once."""
+    file = "word_bpe_49k.json"
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(file))
+    marks = string.punctuation
+    runs = [*marks, *(a + b for a in marks for b in marks), *(3 * a for a in marks)]
+    stems = ("red", "s", "ll", "naïve", "e\u0301te", "Ǆ", "ß", "ﬁ", "中文", "a\u0338")
+    texts = ["x " + " ".join(stem + run for run in runs) + " y" for stem in stems]
+    offsets = []
+    encoder = Encoder(file)
+    plain = encoder._by_offset
+    monkeypatch.setattr(encoder, "_by_offset", lambda words: (offsets.extend(words), plain(words))[1])
+    for text, got in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(got, dtype="<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert not [w for w in offsets if w.isascii()]
+
+
 def test_files_follow_each_other_by_number(spark):
     names = spark.createDataFrame([(f"part-{k:05d}-x.orc",) for k in (99999, 100000, 7)], "file string")
     assert [r.file[5:-6] for r in names.orderBy(token_files.file_number(names.file)).collect()] == ["00007", "99999", "100000"]
