@@ -1,5 +1,6 @@
 """Whole texts to token ids with public tokenizers, each word of a slice of texts encoded once."""
 
+import codecs
 import functools
 import re
 import string
@@ -8,6 +9,8 @@ from array import array
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Between two words lies a single space. Neither tokenizer file joins tokens across it: a pre-token holds a space only
 #: as its first character or within a run of white space, and added tokens hold none. So texts may be cut before it.
@@ -18,17 +21,23 @@ OTHER_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c no
 #: White space that a word among others may not hold: with line feeds inside it alone, its only token that starts with
 #: a space is still its first.
 ODD_SPACE = re.compile(r"[^\S\n]|\n\Z")
+#: Two line feeds in a row, or one at an end: such a word is not cut before its line feeds.
+ODD_LINES = re.compile(r"\n\n|\A\n|\n\Z")
 #: What is white space here but not in the tokenizer files.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 
-#: Words whose ids a task keeps; beyond it only those that came again stay.
+#: Words whose ids a task keeps: once there are so many, only those that come again before there are so many anew stay.
 KEPT_WORDS = 300_000
+#: Text bytes encoded at once: the more, the fewer look-ups of words that come again.
+TEXT_BYTES = 4 << 20
 #: Words that the library gets at once.
 AT_ONCE = 512
 
 #: Byte-level tokens show bytes that are not printable as the characters from 256 on.
 _SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 BYTES = dict(zip([b for b in range(256) if b not in _SHOWN], map(chr, range(256, 512)), strict=False))
+#: The character of each byte.
+ALL_BYTES = "".join(BYTES.get(b, chr(b)) for b in range(256))
 
 
 @functools.lru_cache(maxsize=2)
@@ -38,13 +47,25 @@ def encoder(file):
 
 
 def cut(text):
-    """The text in pieces; all but the first have lost the space before them."""
+    """What comes before the first cut, and the rest: a text to be cut at each space, or the pieces themselves where
+    some hold spaces. All but the first have lost the space before them."""
     if (
         "  " in text or "\n " in text or " \n" in text or text[:1] == " " or text[-1:] == " "
         or any(c in text for c in OTHER_SPACE)
     ):
-        return CUT.split(text)
-    return text.split(" ")
+        head, *pieces = CUT.split(text)
+        return head, pieces
+    head, space, rest = text.partition(" ")
+    return head, rest if space else []
+
+
+def strings(array):
+    """The strings of an Arrow array, none null; read as one where none holds a space."""
+    if array.nbytes > 1 << 30:
+        return array.to_pylist()
+    whole = pa.ListArray.from_arrays(pa.array([0, len(array)], pa.int32()), array)
+    out = pc.binary_join(whole, " ")[0].as_py().split(" ")
+    return out if len(out) == len(array) else array.to_pylist()
 
 
 class Encoder:
@@ -59,55 +80,79 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(file))
         self.kept = kept
-        self.words, self.again = {}, set()
+        # The words of late, and those before them.
+        self.words, self.before = {"": b""}, {}
         # Marks in the vocabulary: a byte-level token that starts with a space, a token that ends a word.
         size = self.tokenizer.get_vocab_size()
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         self.ends = np.array([x.endswith("</w>") for x in tokens])
         self.starts = np.array([x.startswith("Ġ") for x in tokens])
         self.by_end = bool(self.ends.any())
-        # Marks that are, in a row after letters, a pre-token of their own.
-        self.stops = string.punctuation if self.by_end else ".,"
+        # Ids of marks that are, in a row after letters, a pre-token of their own.
         self.stop_ids = functools.lru_cache(maxsize=10_000)(self.head)
 
     def ids_of(self, words):
-        """The ids of each word with a space before it, as little-endian unsigned 32-bit integers.
+        """The ids of each word, and of its parts, with a space before it or the line feed that it starts with.
 
         Words of letters are one pre-token; where no normalisation changes them, they go straight to the model.
-        Others are encoded together as one text and told apart by the marks of the vocabulary, which is safe for words
-        without white space but line feeds or, where the end of a word is marked, of letters alone; or else by the
-        tokens' offsets.
+        A run of marks after letters and what comes after a line feed begin pre-tokens of their own, so a word is put
+        together from such parts. Others are encoded together as one text and told apart by the marks of the
+        vocabulary, which is safe for words without white space but line feeds or, where the end of a word is marked,
+        of letters alone; or else by the tokens' offsets.
         """
-        out, plain, marked, other, stopped = {}, set(), set(), set(), []
-        by_end, marks, known = self.by_end, self.stops, self.words
+        by_end, known, table = self.by_end, self.words.get, {}
+        plain, marked, other, lines, single, stopped, joined = set(), set(), set(), set(), [], [], []
         for w in words:
-            # Marks after letters are a pre-token of their own, unless the letters become letters and marks.
-            stem = w
-            if w[-1] in marks:
-                stem = w.rstrip(marks) if by_end else w[:-1]
-                if by_end and not (stem == stem.lower() and (stem.isascii() or unicodedata.is_normalized("NFC", stem))):
-                    stem = w
-            if stem.isalpha():
-                if stem is not w:
-                    stopped.append((w, stem))
-                if stem not in known:
-                    same = not by_end or stem.islower() and (stem.isascii() or unicodedata.is_normalized("NFC", stem))
-                    (plain if same else marked).add(stem)
-            elif by_end or ODD_SPACE.search(w):
+            if "\n" not in w[1:]:
+                single.append(w)
+            elif by_end or ODD_LINES.search(w) or ODD_SPACE.search(w):
                 other.add(w)
             else:
-                marked.add(w)
-        for each, how in ((list(plain), self._plain), (list(marked), self._marked), (list(other), self._by_offset)):
-            out.update(zip(each, how(each), strict=True))
-        for w, stem in stopped:
-            out[w] = (out[stem] if stem in out else known[stem]) + self.stop_ids(w[len(stem) :])
-        return out
+                first, *rest = w.split("\n")
+                parts = [first, *("\n" + x for x in rest)]
+                joined.append((w, parts))
+                for x in parts:
+                    ids = known(x)
+                    if ids is None:
+                        single.append(x)
+                    else:
+                        table[x] = ids
+        for w in single:
+            line = w[:1] == "\n"
+            word = stem = w[1:] if line else w
+            if not word.isalpha():
+                # Marks after letters are a pre-token of their own, unless the letters become letters and marks.
+                stem = word.rstrip(string.punctuation)
+                if not stem.isalpha() or by_end and not (stem == stem.lower() and (stem.isascii() or unicodedata.is_normalized("NFC", stem))):
+                    (lines if line else other if by_end or ODD_SPACE.search(w) else marked).add(w)
+                    continue
+                key = w[: line + len(stem)]
+                stopped.append((w, key, word[len(stem) :]))
+                ids = known(key)
+                if ids is not None:
+                    table[key] = ids
+                    continue
+            same = not by_end or stem.islower() and (stem.isascii() or unicodedata.is_normalized("NFC", stem))
+            (plain if same else marked).add(w[: line + len(stem)])
+        for each, how in ((plain, self._plain), (list(marked), self._marked), (list(other), self._by_offset)):
+            table.update(zip(each, how(each), strict=True))
+        for w in lines:
+            table[w] = self.stop_ids("\n") + self.head(w[1:])
+        for w, key, stops in stopped:
+            table[w] = table[key] + self.stop_ids(stops)
+        for w, parts in joined:
+            table[w] = b"".join(map(table.__getitem__, parts))
+        return table
 
     def _plain(self, words):
-        tokenize, first = self.tokenizer.model.tokenize, "" if self.by_end else "Ġ"
+        tokenize, first, feed = self.tokenizer.model.tokenize, "" if self.by_end else "Ġ", self.stop_ids("\n")
         for w in words:
-            shown = w if w.isascii() else w.encode().decode("latin-1").translate(BYTES)
-            yield array("I", [x.id for x in tokenize(first + shown)]).tobytes()
+            line = w[0] == "\n"
+            shown = w[1:] if line else w
+            if not shown.isascii():
+                shown = codecs.charmap_decode(shown.encode(), "strict", ALL_BYTES)[0]
+            ids = array("I", [x.id for x in tokenize(shown if line else first + shown)]).tobytes()
+            yield feed + ids if line else ids
 
     def _marked(self, words):
         for first in range(0, len(words), AT_ONCE):
@@ -135,50 +180,69 @@ class Encoder:
             yield from (ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True))
 
     def pieces(self, text):
-        """The first piece, with whatever stands before it, and the others. White space itself has no tokens where the
-        end of a word is marked, so there more cuts are safe. That file composes letters and marks and then lower-cases
-        letters one by one, as ``lower`` does but for two of them; special strings are left as they are. Where its own
-        normaliser would change what it has made of a text, the text goes to the library whole."""
+        """The first piece, with whatever stands before it, and the rest as ``cut`` gives it. White space itself has no
+        tokens where the end of a word is marked, so there more cuts are safe, and pieces may be empty. That file composes
+        letters and marks and then lower-cases letters one by one, as ``lower`` does but for two of them; special
+        strings are left as they are. Where its own normaliser would change what it has made of a text, the text goes
+        to the library whole."""
         if not self.by_end:
             return cut(text)
         made = text
         if any(x in text for x in ("Σ", "İ", "<|")):
             if not unicodedata.is_normalized("NFC", text):
-                return [text]
+                return text, []
         elif unicodedata.is_normalized("NFC", text):
             made = text.lower()
         else:
             made = self.tokenizer.normalizer.normalize_str(text)
         if made is not text and not unicodedata.is_normalized("NFC", made):
-            return [text]
-        return cut(made) if any(c in made for c in SEPARATORS) else ["", *made.split()]
+            return text, []
+        if any(c in made for c in SEPARATORS):
+            return cut(made)
+        return "", " ".join(made.split()) if any(c in made for c in OTHER_SPACE) else made.replace("\n", " ")
 
     def head(self, piece):
         return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes() if piece else b""
 
+    def heads(self, split):
+        """The ids of first pieces. A word is encoded as after a line feed, whose own id goes."""
+        lines = [
+            "\n" + head if head and not self.by_end and isinstance(rest, str) and "\n" not in head else None for head, rest in split
+        ]
+        words = list({*lines} - {None})
+        ids, feed = dict(zip(words, self.look_up(words), strict=True)), len(self.stop_ids("\n"))
+        return [self.head(head) if x is None else ids[x][feed:] for x, (head, _) in zip(lines, split, strict=True)]
+
+    def look_up(self, words):
+        """The ids of distinct words."""
+        out = [*map(self.words.get, words)]
+        missing = [k for k, ids in enumerate(out) if ids is None]
+        names = [words[k] for k in missing]
+        again = {w: ids for w in names if (ids := self.before.get(w)) is not None} if self.before else {}
+        here = again | self.ids_of([w for w in names if w not in again])
+        self.words.update(here)
+        for k, w in zip(missing, names, strict=True):
+            out[k] = here[w]
+        return out
+
     def encode(self, texts):
         """The ids of each text as bytes, four for an id."""
-        split = [self.pieces(x) for x in texts]
-        heads = [self.head(x[0]) for x in split]
-        for x in split:
-            del x[0]
-        wanted = set().union(*split)
         if len(self.words) > self.kept:
-            self.words = {w: self.words[w] for w in self.again}
-            if len(self.words) > self.kept:
-                self.words = {}
-            self.again = set()
-        # The words of this slice in a table of their own, small enough to be looked up fast.
-        missing, here, known = [], {}, self.words.get
-        for w in wanted:
-            ids = known(w)
-            if ids is None:
-                missing.append(w)
-            else:
-                here[w] = ids
-        self.again.update(here)
-        new = self.ids_of(missing)
-        self.words.update(new)
-        here.update(new)
-        get = here.__getitem__
-        return [head + b"".join(map(get, x)) for head, x in zip(heads, split, strict=True)]
+            self.words, self.before = {"": b""}, self.words
+        split = [self.pieces(x) for x in texts]
+        heads = self.heads(split)
+        # Arrow cuts the texts and numbers their words; what some texts are cut into here comes after.
+        lists = pc.split_pattern(pa.array([x if isinstance(x, str) else None for _, x in split], pa.string()), " ")
+        bounds = lists.offsets.to_numpy()
+        cuts = np.stack((bounds[:-1], bounds[1:]), axis=1)
+        words, more = lists.flatten(), []
+        for k, (_, x) in enumerate(split):
+            if not isinstance(x, str):
+                cuts[k] = len(words) + len(more), len(words) + len(more) + len(x)
+                more += x
+        words = pa.concat_arrays([words, pa.array(more, pa.string())]).dictionary_encode()
+        ids = pa.array(self.look_up(strings(words.dictionary)), pa.large_binary()).take(words.indices)
+        _, ends, packed = ids.buffers()
+        packed = packed.to_pybytes() if packed else b""
+        cuts = np.frombuffer(ends, "<i8")[cuts].tolist() if len(ids) else cuts.tolist()
+        return [head + packed[a:b] for head, (a, b) in zip(heads, cuts, strict=True)]

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import column, slices, texts, values
-from .encode import encoder
+from .encode import TEXT_BYTES, encoder
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 1
@@ -72,7 +72,7 @@ def pieces(documents, length=LENGTH, tokenizer=TOKENIZER, end_id=END_ID, with_id
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, limit=TEXT_BYTES):
             encoded = [x + end for x in encoder(tokenizer).encode(texts(batch))]
             rows = [(i, a) for i, x in enumerate(encoded) for a in range(0, len(x), 4 * length)]
             parts = [encoded[i][a : a + 4 * length] for i, a in rows]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import slices, texts, values
-from .encode import encoder
+from .encode import TEXT_BYTES, encoder
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -43,7 +43,7 @@ def write(documents, folder, tokenizer=TOKENIZER, end_id=END_ID):
 
     def encode(batches):
         start = 0
-        for batch in slices(batches):
+        for batch in slices(batches, limit=TEXT_BYTES):
             ids = [x + end for x in encoder(tokenizer).encode(texts(batch))]
             counts = np.array([len(x) // 4 for x in ids], dtype=np.int64)
             ends = np.cumsum(counts)

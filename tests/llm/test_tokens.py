@@ -64,6 +64,40 @@ def test_marks_after_letters_need_no_offsets(monkeypatch):
     assert not [w for w in offsets if w.isascii()]
 
 
+@pytest.mark.parametrize("file", FILES)
+def test_words_are_put_together_from_parts(file, monkeypatch):
+    """Marks after letters and words after a line feed are not encoded again in each combination, nor are they looked up
+    at each place."""
+    stems = ["red", "Roja", "naïve", "Éclair", "中文"]
+    ends = ["", ".", "!!", "###", ".,!!", "'", "'!", "$$$"]
+    words = [a + b for a in stems for b in ends]
+    words += [a + "\n" + b for a in words for b in words]
+    random = np.random.default_rng(3)
+    texts = [" ".join(words[k] for k in random.integers(0, len(words), 400)) for _ in range(40)]
+    texts += ["red", "red.\nRoja!!", "red\n\nRoja it", "'s red.\n's it\n", "\nred", "x<|endoftext|>!\nred <|endoftext|>", "a\u1680\nred", ""]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(file))
+    encoder = Encoder(file)
+    calls = []
+    for name in ("_plain", "_marked", "_by_offset"):
+        monkeypatch.setattr(encoder, name, lambda words, f=getattr(encoder, name): (calls.extend(words), f(words))[1])
+    for text, got in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(got, dtype="<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    assert len(calls) < 60, len(calls)
+
+
+@pytest.mark.parametrize("file", FILES)
+def test_words_that_come_again_stay_known(file, monkeypatch):
+    """A table that is full gives way to a new one, into which words go over when they come again."""
+    encoder, calls = Encoder(file, kept=20), []
+    plain = encoder._plain
+    monkeypatch.setattr(encoder, "_plain", lambda words: (calls.extend(words), plain(words))[1])
+    for k in range(30):
+        new = " ".join("".join(chr(97 + int(c)) for c in str(1000 + 7 * k + x)) for x in range(7))
+        encoder.encode([f"x often {new} again"])
+    assert calls.count("often") == calls.count("again") == 1
+    assert len(encoder.words) + len(encoder.before) < 2 * 20 + 2 * 11
+
+
 def test_files_follow_each_other_by_number(spark):
     names = spark.createDataFrame([(f"part-{k:05d}-x.orc",) for k in (99999, 100000, 7)], "file string")
     assert [r.file[5:-6] for r in names.orderBy(token_files.file_number(names.file)).collect()] == ["00007", "99999", "100000"]
