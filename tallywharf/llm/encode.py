@@ -21,8 +21,6 @@ OTHER_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c no
 #: White space that a word among others may not hold: with line feeds inside it alone, its only token that starts with
 #: a space is still its first.
 ODD_SPACE = re.compile(r"[^\S\n]|\n\Z")
-#: Two line feeds in a row, or one at an end: such a word is not cut before its line feeds.
-ODD_LINES = re.compile(r"\n\n|\A\n|\n\Z")
 #: What is white space here but not in the tokenizer files.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 
@@ -91,57 +89,37 @@ class Encoder:
         # Ids of marks that are, in a row after letters, a pre-token of their own.
         self.stop_ids = functools.lru_cache(maxsize=10_000)(self.head)
 
+    def is_stem(self, word):
+        """Whether marks after it are a pre-token of their own: letters, unless they become letters and marks, or a line
+        feed, alone or with letters."""
+        if self.by_end:
+            return word.isalpha() and word == word.lower() and (word.isascii() or unicodedata.is_normalized("NFC", word))
+        return word.isalpha() or word[:1] == "\n" and (len(word) == 1 or word[1:].isalpha())
+
     def ids_of(self, words):
-        """The ids of each word, and of its parts, with a space before it or the line feed that it starts with.
+        """The ids of each word with a space before it or the line feed that it starts with.
 
         Words of letters are one pre-token; where no normalisation changes them, they go straight to the model.
-        A run of marks after letters and what comes after a line feed begin pre-tokens of their own, so a word is put
-        together from such parts. Others are encoded together as one text and told apart by the marks of the
-        vocabulary, which is safe for words without white space but line feeds or, where the end of a word is marked,
-        of letters alone; or else by the tokens' offsets.
+        Others are encoded together as one text and told apart by the marks of the vocabulary, which is safe for words
+        without white space but line feeds or, where the end of a word is marked, of letters alone; or else by the
+        tokens' offsets.
         """
-        by_end, known, table = self.by_end, self.words.get, {}
-        plain, marked, other, lines, single, stopped, joined = set(), set(), set(), set(), [], [], []
+        by_end, plain, marked, other, table = self.by_end, [], [], [], {}
         for w in words:
-            if "\n" not in w[1:]:
-                single.append(w)
-            elif by_end or ODD_LINES.search(w) or ODD_SPACE.search(w):
-                other.add(w)
+            if w.isalpha():
+                same = not by_end or w.islower() and (w.isascii() or unicodedata.is_normalized("NFC", w))
+                (plain if same else marked).append(w)
+            elif w[:1] == "\n":
+                if w[1:].isalpha():
+                    plain.append(w)
+                else:
+                    table[w] = self.stop_ids("\n") + self.head(w[1:])
+            elif by_end or ODD_SPACE.search(w):
+                other.append(w)
             else:
-                first, *rest = w.split("\n")
-                parts = [first, *("\n" + x for x in rest)]
-                joined.append((w, parts))
-                for x in parts:
-                    ids = known(x)
-                    if ids is None:
-                        single.append(x)
-                    else:
-                        table[x] = ids
-        for w in single:
-            line = w[:1] == "\n"
-            word = stem = w[1:] if line else w
-            if not word.isalpha():
-                # Marks after letters are a pre-token of their own, unless the letters become letters and marks.
-                stem = word.rstrip(string.punctuation)
-                if not stem.isalpha() or by_end and not (stem == stem.lower() and (stem.isascii() or unicodedata.is_normalized("NFC", stem))):
-                    (lines if line else other if by_end or ODD_SPACE.search(w) else marked).add(w)
-                    continue
-                key = w[: line + len(stem)]
-                stopped.append((w, key, word[len(stem) :]))
-                ids = known(key)
-                if ids is not None:
-                    table[key] = ids
-                    continue
-            same = not by_end or stem.islower() and (stem.isascii() or unicodedata.is_normalized("NFC", stem))
-            (plain if same else marked).add(w[: line + len(stem)])
-        for each, how in ((plain, self._plain), (list(marked), self._marked), (list(other), self._by_offset)):
+                marked.append(w)
+        for each, how in ((plain, self._plain), (marked, self._marked), (other, self._by_offset)):
             table.update(zip(each, how(each), strict=True))
-        for w in lines:
-            table[w] = self.stop_ids("\n") + self.head(w[1:])
-        for w, key, stops in stopped:
-            table[w] = table[key] + self.stop_ids(stops)
-        for w, parts in joined:
-            table[w] = b"".join(map(table.__getitem__, parts))
         return table
 
     def _plain(self, words):
@@ -204,15 +182,6 @@ class Encoder:
     def head(self, piece):
         return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes() if piece else b""
 
-    def heads(self, split):
-        """The ids of first pieces. A word is encoded as after a line feed, whose own id goes."""
-        lines = [
-            "\n" + head if head and not self.by_end and isinstance(rest, str) and "\n" not in head else None for head, rest in split
-        ]
-        words = list({*lines} - {None})
-        ids, feed = dict(zip(words, self.look_up(words), strict=True)), len(self.stop_ids("\n"))
-        return [self.head(head) if x is None else ids[x][feed:] for x, (head, _) in zip(lines, split, strict=True)]
-
     def look_up(self, words):
         """The ids of distinct words."""
         out = [*map(self.words.get, words)]
@@ -225,24 +194,77 @@ class Encoder:
             out[k] = here[w]
         return out
 
+    def joined(self, words):
+        """The ids of distinct words, put together from stems and the marks after them. Words are cut before line feeds,
+        which begin pre-tokens where there are at most two in a row, not before a special string, and no other white space is
+        beside them."""
+        lists = pc.split_pattern(pc.replace_substring(words, "\n", " \n"), " ")
+        parts, at = lists.flatten(), lists.offsets.to_numpy()
+        trimmed = pc.utf8_rtrim(parts, characters=string.punctuation)
+        stems = trimmed.dictionary_encode()
+        names = strings(stems.dictionary)
+        good = np.fromiter(map(self.is_stem, names), bool, len(names))
+        pool = self.look_up([w for w, x in zip(names, good.tolist(), strict=True) if x])
+        index = stems.indices.to_numpy()
+        is_good = good[index]
+        # Two columns: the stem, or the part as it is, and the marks.
+        picks = np.empty((len(parts), 2), np.int64)
+        picks[:, 0] = (np.cumsum(good) - 1)[index]
+        whole = parts.filter(pa.array(~is_good)).dictionary_encode()
+        picks[~is_good, 0] = len(pool) + whole.indices.to_numpy()
+        pool += self.look_up(strings(whole.dictionary))
+        picks[:, 1] = len(pool)
+        pool.append(b"")
+        length = pc.binary_length(trimmed).to_numpy()
+        marked = np.flatnonzero(is_good & (length != pc.binary_length(parts).to_numpy()))
+        if len(marked):
+            ends = np.frombuffer(parts.buffers()[1], np.int32)[parts.offset :]
+            bounds = np.stack((ends[marked] + length[marked], ends[marked + 1]), axis=1).ravel()
+            marks = pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype(np.int32)), parts.buffers()[2])
+            marks = marks.take(pa.array(np.arange(0, len(marks), 2))).dictionary_encode()
+            picks[marked, 1] = len(pool) + marks.indices.to_numpy()
+            pool += map(self.stop_ids, marks.dictionary.to_pylist())
+        ids = pa.array(pool, pa.large_binary()).take(pa.array(picks.ravel()))
+        _, ends, packed = ids.buffers()
+        ends = np.frombuffer(ends, np.int64)[ids.offset :][2 * at]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(ends), packed or pa.py_buffer(b"")])
+
+    def word_ids(self, words, spaced):
+        """The ids of distinct words; ``spaced`` says that some may hold white space other than line feeds."""
+        odd = functools.reduce(pc.or_, [pc.ends_with(words, "\n\n"), *(pc.match_substring(words, x) for x in ("\n\n\n", "\n\n<|"))])
+        if spaced:
+            odd = pc.or_(odd, pc.match_substring_regex(words, f"[ {OTHER_SPACE}" + "\n" * self.by_end + "]"))
+        if not pc.any(odd).as_py():
+            return self.joined(words)
+        usual = pc.invert(odd)
+        ids = [self.joined(words.filter(usual)), pa.array(self.look_up(words.filter(odd).to_pylist()), pa.large_binary())]
+        order = np.concatenate([np.flatnonzero(x.to_numpy(zero_copy_only=False)) for x in (usual, odd)])
+        return pa.concat_arrays(ids).take(pa.array(np.argsort(order)))
+
     def encode(self, texts):
         """The ids of each text as bytes, four for an id."""
         if len(self.words) > self.kept:
             self.words, self.before = {"": b""}, self.words
         split = [self.pieces(x) for x in texts]
-        heads = self.heads(split)
         # Arrow cuts the texts and numbers their words; what some texts are cut into here comes after.
         lists = pc.split_pattern(pa.array([x if isinstance(x, str) else None for _, x in split], pa.string()), " ")
         bounds = lists.offsets.to_numpy()
         cuts = np.stack((bounds[:-1], bounds[1:]), axis=1)
-        words, more = lists.flatten(), []
-        for k, (_, x) in enumerate(split):
-            if not isinstance(x, str):
-                cuts[k] = len(words) + len(more), len(words) + len(more) + len(x)
-                more += x
+        words, heads, more, spaced = lists.flatten(), [], [], False
+        for k, (head, rest) in enumerate(split):
+            if not isinstance(rest, str):
+                cuts[k] = len(words) + len(more), len(words) + len(more) + len(rest)
+                more += rest
+                spaced = spaced or bool(rest)
+            elif head and not self.by_end and head[0] != "\n" and "\n\n" not in head:
+                # A first word as after a line feed, whose own id goes.
+                heads.append((k, len(words) + len(more)))
+                more.append("\n" + head)
         words = pa.concat_arrays([words, pa.array(more, pa.string())]).dictionary_encode()
-        ids = pa.array(self.look_up(strings(words.dictionary)), pa.large_binary()).take(words.indices)
+        ids = self.word_ids(words.dictionary, spaced).take(words.indices)
         _, ends, packed = ids.buffers()
-        packed = packed.to_pybytes() if packed else b""
-        cuts = np.frombuffer(ends, "<i8")[cuts].tolist() if len(ids) else cuts.tolist()
-        return [head + packed[a:b] for head, (a, b) in zip(heads, cuts, strict=True)]
+        ends, packed = np.frombuffer(ends, np.int64)[ids.offset :], packed.to_pybytes() if packed else b""
+        feed, first = len(self.stop_ids("\n")), {k: packed[ends[at] : ends[at + 1]] for k, at in heads}
+        return [
+            (first[k][feed:] if k in first else self.head(split[k][0])) + packed[a:b] for k, (a, b) in enumerate(ends[cuts].tolist())
+        ]

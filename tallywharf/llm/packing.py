@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column, slices, texts, values
+from .common import column, release, slices, texts, values
 from .encode import TEXT_BYTES, encoder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -93,6 +93,7 @@ def pieces(documents, length=LENGTH, tokenizer=TOKENIZER, end_id=END_ID, with_id
                 ],
                 ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"],
             )
+        release()
 
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES)
 

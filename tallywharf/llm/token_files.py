@@ -17,7 +17,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, texts, values
+from .common import release, slices, texts, values
 from .encode import TEXT_BYTES, encoder
 
 TOKENIZER = "word_bpe_49k.json"
@@ -54,6 +54,7 @@ def write(documents, folder, tokenizer=TOKENIZER, end_id=END_ID):
                 ["doc_id", "file_start", "n_tokens", "ids"],
             )
             start += int(ends[-1])
+        release()
 
     (
         documents.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))

@@ -74,7 +74,8 @@ def test_words_are_put_together_from_parts(file, monkeypatch):
     words += [a + "\n" + b for a in words for b in words]
     random = np.random.default_rng(3)
     texts = [" ".join(words[k] for k in random.integers(0, len(words), 400)) for _ in range(40)]
-    texts += ["red", "red.\nRoja!!", "red\n\nRoja it", "'s red.\n's it\n", "\nred", "x<|endoftext|>!\nred <|endoftext|>", "a\u1680\nred", ""]
+    texts += ["red", "red.\nRoja!!", "red\n\nRoja it", "'s red.\n's it\n", "\nred", "a\u1680\nred", ""]
+    texts += ["red a.\n\nb", "red a\n\n<|endoftext|>", "red a\n\n\nb", "red a\n\n", "x<|endoftext|>!\nred <|endoftext|>"]
     tokenizer = Tokenizer.from_file(public_tokenizers.path(file))
     encoder = Encoder(file)
     calls = []
